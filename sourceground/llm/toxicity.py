@@ -18,7 +18,7 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .labelled import held_out, training_sample
@@ -182,21 +182,25 @@ class ToxicityModel:
         return 1 / (1 + math.exp(-min(30.0, max(-30.0, float(self.weights[0] + self.weights[1:] @ self.features(text))))))
 
 
-def learn_terms(rows: DataFrame, least_docs: int = 3, least_evidence: float = 15.0, least_odds: float = 2.3, max_terms: int = 2000):
+def _stems(words: Column, k: int) -> Column:
+    return F.transform(F.filter(words, lambda w: F.length(w) > k), lambda w: F.concat(F.substring(w, 1, k), F.lit("*")))
+
+
+def learn_terms(rows: DataFrame, least_docs: int = 3, least_evidence: float = 15.0, least_odds: float = 2.3, stem_evidence: float = 40.0, max_terms: int = 2000):
     """(words, stems, clean words) from (text, y): document counts by class, combined before the shuffle.
 
-    Evidence of a term is its toxic documents times the log ratio of its shares; a stem
-    counts only if it tells more than the whole words below it.
+    Evidence of a term is its toxic documents times the log ratio of its shares. A stem
+    needs more of it, and must tell more than the whole words below it.
     """
     words = F.array_distinct(F.filter(F.split(F.lower(F.col("text")), r"[^\p{L}\p{N}]+"), lambda w: F.length(w) >= 3))
-    stems = [F.transform(F.filter(words, lambda w, k=k: F.length(w) > k), lambda w, k=k: F.concat(F.substring(w, 1, k), F.lit("*"))) for k in STEMS]
+    stems = [_stems(words, k) for k in STEMS]
     terms = F.explode(F.array_distinct(F.concat(words, *stems)))
     sizes = {r["y"]: r["count"] for r in rows.groupBy("y").count().collect()}
     n1, n0 = max(1, sizes.get(1, 0)), max(1, sizes.get(0, 0))
     counts = rows.select("y", terms.alias("term")).groupBy("term").agg(F.sum("y").alias("a"), F.sum(1 - F.col("y")).alias("b"))
     odds = F.log((F.col("a") / n1) / ((F.col("b") + 0.5) / n0))
     found = counts.withColumn("odds", odds).withColumn("evidence", F.col("a") * odds)
-    found = found.where((F.col("a") >= least_docs) & (F.col("odds") >= least_odds) & (F.col("evidence") >= least_evidence))
+    found = found.where((F.col("a") >= least_docs) & (F.col("odds") >= least_odds) & (F.col("evidence") >= F.when(F.col("term").endswith("*"), stem_evidence).otherwise(least_evidence)))
     best = found.orderBy(F.col("evidence").desc(), "term").limit(max_terms).collect()  # at most max_terms rows
     whole = {r.term: r for r in best if not r.term.endswith("*")}
     prefix = {r.term[:-1]: r for r in best if r.term.endswith("*")}
