@@ -17,12 +17,14 @@ def scratch_path(spark: SparkSession, name: str) -> str:
         root = sc.getCheckpointDir()
     path = f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex}"
     where = sc._jvm.org.apache.hadoop.fs.Path(path)
-    where.getFileSystem(sc._jsc.hadoopConfiguration()).deleteOnExit(where)
+    fs = where.getFileSystem(sc._jsc.hadoopConfiguration())
+    fs.mkdirs(where)
+    fs.deleteOnExit(where)
     return path
 
 
 def stored(df: DataFrame, name: str) -> DataFrame:
     """Write once as Parquet and read back: later steps reuse it, and a lost executor costs a reread."""
     path = scratch_path(df.sparkSession, name)
-    df.write.parquet(path)
+    df.write.mode("overwrite").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
