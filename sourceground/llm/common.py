@@ -2,38 +2,15 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
-
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-#: White space between words: space and 0x09 to 0x0D.
-SPACE = r"[\x20\x09-\x0D]+"
+from ..sources.scratch import scratch_path, stored
 
+__all__ = ["SPACE", "connected_components", "let", "materialize", "scratch_path", "unit_hash", "word_count"]
 
-def scratch_root(spark: SparkSession) -> str:
-    """The shared folder that the cluster names in ``spark.checkpoint.dir``.
-
-    Only where the session names none (local tests) a temporary folder is set.
-    """
-    sc = spark.sparkContext
-    root = sc.getConf().get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
-    if not root:
-        sc.setCheckpointDir(tempfile.mkdtemp(prefix="spark-scratch-"))
-        root = sc.getCheckpointDir()
-    return root.rstrip("/")
-
-
-def scratch_path(spark: SparkSession, name: str) -> str:
-    """A new path below the shared folder; Hadoop deletes it when the driver ends."""
-    path = f"{scratch_root(spark)}/{name}-{uuid.uuid4().hex}"
-    jvm = spark.sparkContext._jvm
-    hadoop_path = jvm.org.apache.hadoop.fs.Path(path)
-    fs = hadoop_path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    fs.mkdirs(hadoop_path)
-    fs.deleteOnExit(hadoop_path)
-    return path
+#: White space between words: space and 0x09 to 0x0D.
+SPACE = r"[\x20\x09-\x0D]+"
 
 
 def materialize(df: DataFrame, name: str) -> DataFrame:
@@ -42,10 +19,7 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     Cuts the lineage: lost executors cost a reread, never a recomputation, and
     identifiers drawn while writing stay as they are.
     """
-    spark = df.sparkSession
-    path = scratch_path(spark, name)
-    df.write.mode("overwrite").parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return stored(df, name)
 
 
 def let(value: Column, body) -> Column:
