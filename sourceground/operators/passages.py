@@ -68,9 +68,11 @@ def passages(lines: DataFrame, levels: list[int] | None = None) -> DataFrame:
     content = with_heading_path(mark_lines(lines), levels).where("not is_break")
     joined = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("line_no", "line"))), lambda x: x["line"]), "\n")
     grouped = content.groupBy("book_id", "grp").agg(F.min("line_no").alias("first_line"), F.min_by("heading_path", "line_no").alias("heading_path"), joined.alias("raw_joined"))
-    cleaned = grouped.withColumn("raw_joined", strip(F.col("raw_joined"))).withColumn("text", strip_inline(F.col("raw_joined"))).where("text <> ''")
-    idx = F.row_number().over(Window.partitionBy("book_id").orderBy("first_line")) - 1
-    return cleaned.withColumn("passage_idx", idx).select("book_id", "passage_idx", "heading_path", "raw_joined", "text", extract_formulas(F.col("raw_joined")).alias("formulas"))
+    cleaned = grouped.withColumn("raw_joined", strip(F.col("raw_joined"))).withColumn("text", strip_inline(F.col("raw_joined")))
+    # Empty texts are filtered above the window, so that the filter does not evaluate the clean-up a second time.
+    upto = Window.partitionBy("book_id").orderBy("first_line").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    idx = (F.sum((F.col("text") != "").cast("int")).over(upto) - 1).cast("int")
+    return cleaned.withColumn("passage_idx", idx).where("text <> ''").select("book_id", "passage_idx", "heading_path", "raw_joined", "text", extract_formulas(F.col("raw_joined")).alias("formulas"))
 
 
 def unclosed_blocks(lines: DataFrame) -> DataFrame:

@@ -30,7 +30,11 @@ ORACLE_SQL: dict[str, str] = {}
 
 def query(name: str, oracle: str | None = None, ctes: bool = True):
     def add(f):
-        QUERIES[name] = f
+        def run(spark: SparkSession, sf: str) -> DataFrame:
+            out = f(spark, sf)  # whole numbers as DuckDB has them
+            return out.withColumns(wide) if (wide := {c: F.col(c).cast("long") for c, kind in out.dtypes if kind == "int"}) else out
+
+        QUERIES[name] = run
         if oracle is not None:
             ORACLE_SQL[name] = f"{Q.CTES} {oracle}" if ctes else oracle
         return f
@@ -148,6 +152,32 @@ def x20(spark, sf):
 
 
 # ---------------------------------------------------------------- sources
+@query("s01_book_files", "SELECT f.book_id, f.file_name, sha256(content) AS content FROM files f WHERE book_id IN (SELECT book_id FROM files WHERE file_name = 'index.txt')")
+def s01(spark, sf):
+    root = scratch_path(spark, "books")
+    S.write_book_files(D.files(spark, sf), root).write.format("noop").mode("overwrite").save()
+    return S.read_book_files(spark, root).select("book_id", "file_name", F.sha2("content", 256).alias("content"))
+
+
+@query("s03_jsonl_blank_lines", "SELECT doc_id, source FROM documents", ctes=False)
+def s03(spark, sf):
+    path = scratch_path(spark, "lines")
+    docs = D.table(spark, sf, "documents")
+    line = F.to_json(F.struct("doc_id", "source"))
+    docs.select(F.explode(F.array(line, F.lit(""))).alias("value")).write.mode("overwrite").text(path)
+    return io.read_jsonl(spark, path, "doc_id long, source string")
+
+
+@query("s04_done_keys", "SELECT DISTINCT source || '::' || cast(doc_id % 50 AS string) AS passage_id, 'T2' AS task_code FROM documents WHERE doc_id % 3 <> 0", ctes=False)
+def s04(spark, sf):
+    path = scratch_path(spark, "lines")
+    key = F.concat("source", F.lit("::"), (F.col("doc_id") % 50).cast("string"))
+    line = F.to_json(F.struct(key.alias("passage_id"), F.lit("T2").alias("task_code")))
+    cut = F.when(F.col("doc_id") % 3 == 0, line.substr(F.lit(1), F.length(line) - 4)).otherwise(line)
+    D.table(spark, sf, "documents").select(cut.alias("value")).write.mode("overwrite").text(path)
+    return io.read_done(spark, path)
+
+
 @query("s02_file_order", "SELECT book_id, file_name, file_ord FROM ordered")
 def s02(spark, sf):
     return S.file_order(D.files(spark, sf))
@@ -161,7 +191,7 @@ def s05(spark, sf):
     return io.read_jsonl(spark, path, docs.schema).select("doc_id", "lang", "source", "n_chars")
 
 
-@query("s06_stats_document", """, st AS (SELECT pilot, count(*) AS n FROM pcorpus GROUP BY pilot) SELECT count(*) AS pilots, sum(n) AS passages FROM st""")
+@query("s06_stats_document", """, st AS (SELECT pilot, count(*) AS n FROM pcorpus GROUP BY pilot) SELECT count(*) AS pilots, cast(sum(n) AS bigint) AS passages FROM st""")
 def s06(spark, sf):
     doc = _release(spark, sf)["document"]
     schema = "struct<pilots:array<struct<pilot:string,passages_full:bigint>>>"
@@ -178,7 +208,7 @@ def p01(spark, sf):
 RAW_QUALITY = "CASE doc_id % 6 WHEN 0 THEN cast(n_chars % 101 AS string) || '%' WHEN 1 THEN ' ' || cast(quality AS string) || ' % ' WHEN 2 THEN cast(n_chars % 997 AS string) || '.75%%' WHEN 3 THEN 'x' || lang WHEN 4 THEN '' ELSE NULL END"
 
 
-@query("p02_quality_percent", f"SELECT doc_id, {Q.percent('r')} AS v FROM (SELECT doc_id, {RAW_QUALITY} AS r FROM documents JOIN labels USING (doc_id))", ctes=False)
+@query("p02_quality_percent", f"SELECT doc_id, cast({Q.percent('r')} AS bigint) AS v FROM (SELECT doc_id, {RAW_QUALITY} AS r FROM documents JOIN labels USING (doc_id))", ctes=False)
 def p02(spark, sf):
     rows = D.table(spark, sf, "documents").join(D.table(spark, sf, "labels"), "doc_id").withColumn("r", F.expr(RAW_QUALITY))
     return rows.select("doc_id", classify.quality_percent(F.col("r")).alias("v"))
@@ -317,7 +347,7 @@ def g02(spark, sf):
     return t6.select("item_id", "context", "answer_formula.formula_name", _ings("answer_formula.ingredients").alias("ings"), F.array_join("evidence.spans", ";").alias("spans"), "safety_note", "formula_no")
 
 
-@query("g03_generate_items", "SELECT item_id, task, task_code, task_rank, book_title_trad, array_to_string(heading_path, ' · ') AS chapter FROM items")
+@query("g03_generate_items", "SELECT item_id, task, task_code, cast(task_rank AS bigint) AS task_rank, book_title_trad, array_to_string(heading_path, ' · ') AS chapter FROM items")
 def g03(spark, sf):
     return items(spark, sf).select("item_id", "task", "task_code", "task_rank", "evidence.book_title_trad", "evidence.chapter")
 
@@ -534,7 +564,7 @@ PSTATS = SAMPLE.replace("FROM corpus", "FROM pcorpus") + CAPPED.replace("FROM it
 
 
 @query("a01_pilot_stats", PSTATS + """ SELECT st.pilot, passages_full, formula_passages, passages_sampled, (SELECT count(*) FROM pitems i WHERE i.pilot = st.pilot) AS items_generated,
-  (SELECT count(*) FROM pitems i WHERE i.pilot = st.pilot) AS items_valid, 0 AS items_failed, (SELECT count(*) FROM capped i WHERE i.pilot = st.pilot) AS items_released FROM st""")
+  (SELECT count(*) FROM pitems i WHERE i.pilot = st.pilot) AS items_valid, cast(0 AS bigint) AS items_failed, (SELECT count(*) FROM capped i WHERE i.pilot = st.pilot) AS items_released FROM st""")
 def a01(spark, sf):
     return _release(spark, sf)["stats"]
 
@@ -569,12 +599,12 @@ def a07(spark, sf):
     return A.rejected_by_level(V.validate(broken(D.corpus(spark, sf))))
 
 
-@query("a08_totals", "SELECT pilot, count(*) AS items_generated, 0 AS items_failed FROM pitems GROUP BY ROLLUP (pilot)")
+@query("a08_totals", "SELECT pilot, count(*) AS items_generated, cast(0 AS bigint) AS items_failed FROM pitems GROUP BY ROLLUP (pilot)")
 def a08(spark, sf):
     return _release(spark, sf)["totals"]
 
 
-@query("a09_run_report", REPLIES + """ SELECT 40 AS target, count(*) AS jobs_total, count(error) AS errored, count(*) FILTER (error IS NULL AND j IS NULL) AS parse_failed, count(*) FILTER (error IS NULL AND j IS NOT NULL) AS yielded,
+@query("a09_run_report", REPLIES + """ SELECT cast(40 AS bigint) AS target, count(*) AS jobs_total, count(error) AS errored, count(*) FILTER (error IS NULL AND j IS NULL) AS parse_failed, count(*) FILTER (error IS NULL AND j IS NOT NULL) AS yielded,
   (SELECT count(*) FILTER (len(errors) = 0) FROM checked) AS accepted, (SELECT count(*) FILTER (len(errors) > 0) FROM checked) AS rejected, greatest(0, 40 - (SELECT count(*) FILTER (len(errors) = 0) FROM checked)) AS shortfall FROM parsed""")
 def a09(spark, sf):
     return A.run_report(replies(spark, sf), V.validate(broken(D.corpus(spark, sf))), 40)
@@ -632,3 +662,15 @@ def st2(spark, sf):
     return spark.read.parquet(f"{base}/items").select("item_id", "task_code")
 
 
+def _answer(system: str, prompt: str, max_tokens: int, temperature: float) -> str:
+    return '{"question": "q", "answer": "a"}'
+
+
+@query("st3_model_waves", JOBS + " SELECT passage_id, task_code FROM (SELECT passage_id, task_code FROM jobs ORDER BY sha256('0:' || passage_id || '|' || task_code) LIMIT 200)")
+def st3(spark, sf):
+    full = stored(some_corpus(spark, sf), "corpus")
+    done = None
+    for _ in range(2):  # each wave leaves out what the waves before have done
+        replies, _ = J.model_wave(full, ALL_TASKS, _answer, "m1", done, 100, 4, store=lambda df: stored(df, "replies"), pause=0.0)
+        done = replies if done is None else done.union(replies)
+    return done.select("passage_id", "task_code")

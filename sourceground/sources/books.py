@@ -25,6 +25,27 @@ def read_book_files(spark: SparkSession, root: str) -> DataFrame:
     return files.join(files.where("file_name = 'index.txt'").select("book_id"), "book_id", "left_semi")
 
 
+def write_book_files(files: DataFrame, root: str) -> DataFrame:
+    """Write (book_id, file_name, content) as folders of text files below ``root``, a URI that ``pyarrow.fs`` opens; returns what was written.
+
+    Names are fixed by the rows, so a repeated task writes the same bytes again. Nothing is
+    written until the result is used.
+    """
+
+    def run(batches):
+        import pyarrow.fs as pafs
+
+        fs, base = pafs.FileSystem.from_uri(root)
+        for pdf in batches:
+            for book, name, content in zip(pdf["book_id"], pdf["file_name"], pdf["content"], strict=True):
+                fs.create_dir(f"{base}/{book}", recursive=True)
+                with fs.open_output_stream(f"{base}/{book}/{name}") as out:
+                    out.write((content or "").encode())
+            yield pdf[["book_id", "file_name"]]
+
+    return files.select("book_id", "file_name", "content").mapInPandas(run, "book_id string, file_name string")
+
+
 def split_lines(text: Column) -> Column:
     """Lines at any Unicode line end; a final line end adds no empty line."""
     return let(F.split(text, LINE_END, -1), lambda a: F.when(F.element_at(a, -1) == "", F.slice(a, 1, F.size(a) - 1)).otherwise(a))
@@ -37,15 +58,15 @@ def file_order(files: DataFrame) -> DataFrame:
     block = F.regexp_extract("content", r"(?s)<menu>(.*?)</menu>", 1)
     menu = files.where("file_name = 'menu.txt'").select("book_id", F.posexplode(split_lines(block)).alias("pos", "line"))
     menu = menu.select("book_id", "pos", F.concat(strip(F.element_at(F.split("line", r"\|", 2), 1)), F.lit(".txt")).alias("file_name"))
-    listed = menu.join(names, ["book_id", "file_name"]).select("book_id", "file_name", F.col("pos").cast("long").alias("key"))
-    digits = names.where(F.col("file_name").rlike(r"^[0-9]+\.txt$")).join(listed.select("book_id").distinct(), "book_id", "left_anti")
-    digits = digits.select("book_id", "file_name", F.regexp_extract("file_name", r"^([0-9]+)", 1).try_cast("decimal(38,0)").alias("number"))
-    number = Window.partitionBy("book_id").orderBy("number", "file_name")
-    numbered = digits.select("book_id", "file_name", F.row_number().over(number).cast("long").alias("key"))
-    covered = listed.select("book_id").union(numbered.select("book_id")).distinct()
-    alone = names.where("file_name = 'index.txt'").join(covered, "book_id", "left_anti").select("book_id", "file_name", F.lit(0).cast("long").alias("key"))
+    number = F.regexp_extract("file_name", r"^([0-9]+)[.]txt$", 1).try_cast("decimal(38,0)")
+    key = lambda c: c.cast("decimal(38,0)").alias("key")
+    listed = menu.join(names, ["book_id", "file_name"]).select("book_id", "file_name", F.lit(0).alias("kind"), key(F.col("pos")))
+    others = names.select("book_id", "file_name", F.when(number.isNotNull(), 1).when(F.col("file_name") == "index.txt", 2).alias("kind"), key(F.coalesce(number, F.lit(0)))).where("kind is not null")
+    # A book keeps the first kind that it has: one window instead of anti-joins.
+    best = F.min("kind").over(Window.partitionBy("book_id"))
+    kept = listed.union(others).withColumn("best", best).where("kind = best")
     order = Window.partitionBy("book_id").orderBy("key", "file_name")
-    return listed.unionByName(numbered).unionByName(alone).select("book_id", "file_name", F.row_number().over(order).alias("file_ord"))
+    return kept.select("book_id", "file_name", F.row_number().over(order).alias("file_ord"))
 
 
 def book_lines(files: DataFrame, order: DataFrame | None = None) -> DataFrame:
