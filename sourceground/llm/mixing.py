@@ -2,7 +2,7 @@
 
 Each source's documents are dealt into blocks of bounded size by a seeded hash. A target
 is met by whole copies of the source plus, for the rest, whole blocks in the order of a
-seeded permutation and some documents of one boundary block. The exact number of
+seeded permutation and single documents of the blocks around the rest's end. The exact number of
 block copies that a source gives is its quota. A binary tree over the output shards
 splits all quotas from the root down: at each node the left half's share of every source
 is one draw of a multivariate hypergeometric law, so quotas add up exactly and every
@@ -137,12 +137,13 @@ def split_quotas(quotas: DataFrame, num_shards: int, seed: int) -> DataFrame:
     return shards.select("source", upto.alias("upto"))
 
 
-def mix_plan(keys: DataFrame, num_shards: int = 8, seed: int = 20, block_words: int = 250_000, block_docs: int = 2_000, max_sources: int = 100_000, weights=WEIGHTS, share: float = 1.5, cap: float = 2.0) -> DataFrame:
+def mix_plan(keys: DataFrame, num_shards: int = 8, seed: int = 20, block_words: int = 250_000, block_docs: int = 2_000, pool_words: int = 100_000, max_sources: int = 100_000, weights=WEIGHTS, share: float = 1.5, cap: float = 2.0) -> DataFrame:
     """Which shards take each row: ``keys`` (source, size long, h long) with ``shards array<int>`` and totals.
 
     ``keys`` is read several times: pass a stored table. ``h`` is the row's hash; rows with equal (source, h) count as one document repeated, and
-    share one decision. Words taken from a source differ from its target by less than the
-    smallest document that was left out of its boundary block. Rows of size 0 come with
+    share one decision. Words taken from a source fall short of its target by less than the
+    smallest document that was left out of the blocks around the rest's end (``pool_words``
+    words and ``block_docs`` documents beyond it, about). Rows of size 0 come with
     every whole copy but never as part of the rest. An empty table gives an empty result.
     """
     spark = keys.sparkSession
@@ -161,14 +162,32 @@ def mix_plan(keys: DataFrame, num_shards: int = 8, seed: int = 20, block_words:
     dealt = keys.join(small, keys.source.eqNullSafe(F.col("__s"))).drop("__s").withColumn("__block", F.pmod(F.xxhash64(F.lit(seed), "h"), F.col("__blocks")))
 
     by_block = ["source", "__block"]
-    blocks = dealt.groupBy(*by_block).agg(F.sum("size").alias("words"), F.first("__base").alias("base"), F.first("__rest").alias("rest"))
+    blocks = dealt.groupBy(*by_block).agg(F.sum("size").alias("words"), F.first("__base").alias("base"), F.first("__rest").alias("rest"), F.first("docs").alias("docs"), F.first("source_size").alias("source_size"))
     permuted = Window.partitionBy("source").orderBy(F.xxhash64(F.lit(seed + 1), "source", "__block"), "__block")
     blocks = blocks.withColumn("upto", F.sum("words").over(permuted.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
     blocks = blocks.withColumn("from", F.col("upto") - F.col("words")).withColumn("full", (F.col("upto") <= F.col("rest")) & (F.col("words") > 0))
-    blocks = materialize(blocks.withColumn("cut", ~F.col("full") & (F.col("from") < F.col("rest")) & (F.col("words") > 0)), "mix-blocks")
+    # What the rest lacks comes from the blocks around its end: in block and hash order, take each document that still fits.
+    beyond = F.greatest(F.lit(0.0), F.col("from") - F.col("rest"))
+    near = (beyond < pool_words) & (beyond * F.col("docs") <= F.col("source_size") * block_docs)
+    blocks = materialize(blocks.withColumn("pool", ~F.col("full") & (F.col("words") > 0) & (F.col("rest") > 0) & near), "mix-blocks")
+    taken = blocks.where("full").groupBy(F.col("source").alias("__t")).agg(F.sum("words").alias("__taken"))
+    pool = blocks.where("pool").join(taken, F.col("source").eqNullSafe(F.col("__t")), "left")
+    pool = pool.select(F.col("source").alias("__s"), F.col("__block").alias("__b"), F.col("from").alias("__from"), (F.col("rest") - F.coalesce("__taken", F.lit(0))).alias("__left"))
+    edge = dealt.join(pool, F.col("source").eqNullSafe(F.col("__s")) & (F.col("__block") == F.col("__b"))).where("size > 0")
+    edge = edge.groupBy("source", "h", "__block", "__from", "__left").agg(F.sum("size").alias("size"))
+    edge = edge.groupBy("source").agg(F.first("__left").alias("__left"), F.array_sort(F.collect_list(F.struct("__from", F.xxhash64(F.lit(seed + 4), "h").alias("k"), "h", F.col("__block").alias("b"), "size"))).alias("xs"))
+    picked = "array<struct<h:bigint,b:bigint>>"
+    zero = F.struct(F.col("__left").cast("double").alias("left"), F.array().cast(picked).alias("hs"))
 
-    copies = F.col("base") + F.when(F.col("full") | F.col("cut"), 1).otherwise(0)
-    units = blocks.where(copies > 0).select(*by_block, F.explode(F.sequence(F.lit(1), copies)).alias("copy"), (F.col("cut") & (F.col("base") < F.col("copy"))).alias("part"))
+    def fit(acc, x):
+        more = F.concat(acc["hs"], F.array(F.struct(x["h"].alias("h"), x["b"].alias("b"))).cast(picked))
+        return F.when(x["size"] <= acc["left"], F.struct((acc["left"] - x["size"]).alias("left"), more.alias("hs"))).otherwise(acc)
+
+    chosen = materialize(edge.select(F.col("source").alias("__s2"), F.explode(F.aggregate("xs", zero, fit)["hs"]).alias("x")).select("__s2", F.col("x.h").alias("__h"), F.col("x.b").alias("__b2")), "mix-chosen")
+
+    copies = F.col("base") + F.when(F.col("full"), 1).otherwise(0)
+    units = blocks.where(copies > 0).select(*by_block, F.explode(F.sequence(F.lit(1), copies)).alias("copy"), F.lit(False).alias("part"))
+    units = units.union(chosen.select(F.col("__s2").alias("source"), F.col("__b2").alias("__block"), F.lit(0).alias("copy"), F.lit(True).alias("part")).distinct())
     quotas = units.groupBy("source").agg(F.count(F.lit(1)).alias("quota"))
     cuts = split_quotas(quotas, num_shards, seed + 2).withColumnRenamed("source", "__s")
     place = Window.partitionBy("source").orderBy(F.xxhash64(F.lit(seed + 3), "source", "__block", "copy"), "__block", "copy")
@@ -182,17 +201,7 @@ def mix_plan(keys: DataFrame, num_shards: int = 8, seed: int = 20, block_words:
             F.max(F.when(F.col("part"), F.col("shard"))).alias("__part"),
         )
     )
-
-    # The boundary block, one for each source at most: in hash order, take each document that still fits.
-    edge = dealt.join(F.broadcast(blocks.where("cut").select(F.col("source").alias("__s"), F.col("__block").alias("__b"), (F.col("rest") - F.col("from")).alias("__left"))), F.col("source").eqNullSafe(F.col("__s")) & (F.col("__block") == F.col("__b")))
-    edge = edge.where("size > 0").groupBy("source", "h", "__left").agg(F.sum("size").alias("size"))
-    boundary = edge.groupBy("source").agg(F.first("__left").alias("__left"), F.array_sort(F.collect_list(F.struct(F.xxhash64(F.lit(seed + 4), "h").alias("k"), "h", "size"))).alias("xs"))
-    zero = F.struct(F.col("__left").cast("double").alias("left"), F.array().cast("array<bigint>").alias("hs"))
-
-    def fit(acc, x):
-        return F.when(x["size"] <= acc["left"], F.struct((acc["left"] - x["size"]).alias("left"), F.concat(acc["hs"], F.array(x["h"])).alias("hs"))).otherwise(acc)
-
-    chosen = boundary.select(F.col("source").alias("__s2"), F.explode(F.aggregate("xs", zero, fit)["hs"]).alias("__h"))
+    chosen = chosen.select("__s2", "__h")
     placed = placed.select(F.col("source").alias("__s"), F.col("__block").alias("__b"), "__whole", "__part")
     out = dealt.join(placed, F.col("source").eqNullSafe(F.col("__s")) & (F.col("__block") == F.col("__b")), "left")
     out = out.join(chosen, F.col("source").eqNullSafe(F.col("__s2")) & (F.col("h") == F.col("__h")), "left")
