@@ -127,16 +127,16 @@ class Index:
         found: dict[tuple[int, int], Hit] = {}
         if self.blocks:
             held: list[tuple[int, list[str], np.ndarray]] = []
-            segments = 0
+            segments = size = 0
             for row, text in enumerate(texts):
                 words = words_of(text)
                 if not words:
                     continue
                 held.append((row, words, np.fromiter(map(self.vocabulary.get, words, repeat(-1)), np.int64, len(words))))
-                segments += len(words) // self.segment + 2
-                if segments * self.blocks > 2_000_000:
+                segments, size = segments + len(words) // self.segment + 2, size + len(words)
+                if segments * self.blocks > 2_000_000 or size > 200_000:
                     self._open(held, found)
-                    held, segments = [], 0
+                    held, segments, size = [], 0, 0
             self._open(held, found)
         return list(found.values())
 
