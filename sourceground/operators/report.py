@@ -63,6 +63,7 @@ def run_report(replies: DataFrame, checked: DataFrame, target: int) -> DataFrame
     """One row: jobs, errors, unparsed replies, items, accepted, rejected, shortfall."""
     from .model import job_accounting
 
-    jobs = job_accounting(replies)
-    sums = checked.agg(F.count_if("ok").alias("accepted"), F.count_if(~F.col("ok")).alias("rejected"))
-    return jobs.crossJoin(sums).select(F.lit(target).alias("target"), "*", F.greatest(F.lit(0), F.lit(target) - F.col("accepted")).alias("shortfall"))  # one row each
+    parts = job_accounting(replies).unionByName(checked.agg(F.count_if("ok").alias("accepted"), F.count_if(~F.col("ok")).alias("rejected")), allowMissingColumns=True)
+    names = ("jobs_total", "errored", "parse_failed", "yielded", "accepted", "rejected")
+    row = parts.agg(*[F.max(c).alias(c) for c in names])  # two rows, one of each side
+    return row.select(F.lit(target).alias("target"), *names, F.greatest(F.lit(0), F.lit(target) - F.col("accepted")).alias("shortfall"))
