@@ -118,22 +118,23 @@ def deduplicate(corpus: DataFrame) -> DataFrame:
 
 
 def _grams(text: Column, k: int) -> Column:
-    return F.array_distinct(F.transform(F.sequence(F.lit(1), F.length(text) - k + 1), lambda i: text.substr(i, F.lit(k))))
+    """All runs of ``k`` code points; a lookahead finds overlapping ones in one pass."""
+    return F.array_distinct(F.regexp_extract_all(text, F.lit(f"(?s)(?=(.{{{k}}}))"), F.lit(1)))
 
 
 def trace_spans(spans: DataFrame, corpus: DataFrame, gram: int = 8) -> DataFrame:
     """(span_id, passage_id) of all passages that hold a span: equal first grams, then containment.
 
     Spans shorter than a gram are compared with the passages' grams of their own length.
+    Texts join the few candidates, not every gram. ``corpus`` is read twice: pass a stored table.
     """
     normal = spans.select("span_id", X.normalize(F.col("span")).alias("n")).where("n <> ''")
     normal = normal.withColumn("k", F.least(F.lit(gram), F.length("n"))).withColumn("g", F.col("n").substr(F.lit(1), F.col("k")))
     lengths = [r[0] for r in normal.select("k").distinct().collect()]  # at most ``gram`` values
-    found = None
-    for k in sorted(lengths):
-        grams = corpus.where(F.length("normalized_text") >= k).select("passage_id", "normalized_text", F.explode(_grams(F.col("normalized_text"), k)).alias("g"))
-        hits = grams.join(normal.where(F.col("k") == k), "g").where(F.contains("normalized_text", "n")).select("span_id", "passage_id")
-        found = hits if found is None else found.unionByName(hits)
-    if found is None:
-        found = corpus.select(F.lit(0).cast("long").alias("span_id"), "passage_id").limit(0)
+    if not lengths:
+        return corpus.select(F.lit(0).cast("long").alias("span_id"), "passage_id").limit(0)
+    text = F.col("normalized_text")
+    grams = corpus.select("passage_id", F.explode(F.concat(*[_grams(text, k) for k in sorted(lengths)])).alias("g"))
+    hits = grams.join(normal, "g").select("span_id", "n", "passage_id")
+    found = hits.join(corpus.select("passage_id", "normalized_text"), "passage_id").where(F.contains(text, F.col("n"))).select("span_id", "passage_id")
     return found.distinct()

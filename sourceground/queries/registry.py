@@ -624,7 +624,7 @@ def d02(spark, sf):
 @query("d03_trace_spans", f"SELECT item_id AS span_id, passage_id FROM (SELECT item_id, {Q.normalize('split_part(text, chr(46), 1)')} AS n FROM benchmark) b JOIN corpus c ON n <> '' AND contains(normalized_text, n)")
 def d03(spark, sf):
     spans = D.table(spark, sf, "benchmark").select(F.col("item_id").alias("span_id"), F.split_part("text", F.lit("."), F.lit(1)).alias("span"))
-    return C.trace_spans(spans, D.corpus(spark, sf))
+    return C.trace_spans(spans, stored(D.corpus(spark, sf), "corpus"))
 
 
 @query("job_simple", ", ok AS (SELECT *, sha256('11:' || passage_id) AS k FROM pitems WHERE len(raw_text_trad) >= 20), pos AS (SELECT *, row_number() OVER (ORDER BY k, passage_id, task_rank, formula_no) AS p FROM ok), ranked AS (SELECT *, row_number() OVER (PARTITION BY task_code, book_id ORDER BY p) AS rn, min(p) OVER (PARTITION BY task_code, book_id) AS f FROM pos) SELECT item_id FROM (SELECT * FROM ranked ORDER BY rn, f LIMIT 500)")
