@@ -245,7 +245,7 @@ def p07(spark, sf):
     return D.corpus(spark, sf, 40).select("passage_id", "passage_idx")
 
 
-@query("p08_pilot_selection", "SELECT pilot, pilot_ord, book_ord, passage_id FROM pcorpus")
+@query("p08_pilot_selection", "SELECT pilot, cast(pilot_ord AS bigint) AS pilot_ord, cast(book_ord AS bigint) AS book_ord, passage_id FROM pcorpus")
 def p08(spark, sf):
     return D.pilot_corpus(spark, sf).select("pilot", "pilot_ord", "book_ord", "passage_id")
 
