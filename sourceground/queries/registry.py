@@ -45,14 +45,14 @@ def query(name: str, oracle: str | None = None, ctes: bool = True):
 # ---------------------------------------------------------------- strings
 MARKUP = """
 SELECT doc_id, CASE doc_id % 8
-  WHEN 0 THEN '((註' || chr(10) || substr(text, 1, 40) || '))' || substr(text, 41, 120)
-  WHEN 1 THEN '見[[book:' || source || ':]]及[[page:]][[a:b]]' || substr(text, 1, 90)
-  WHEN 2 THEN '**' || substr(text, 1, 12) || '**' || substr(text, 13, 80)
-  WHEN 3 THEN '__' || lang || '__，' || substr(text, 1, 80)
-  WHEN 4 THEN '人參<l> 三兩，去蘆 </l>，甘草<l>一' || chr(10) || '錢</l>' || substr(text, 1, 60)
-  WHEN 5 THEN '甲<#/>乙<&/>丙<~/>丁<z>戊</z><br/>　　　己 ' || substr(text, 1, 60) || '　'
-  WHEN 6 THEN '「' || substr(text, 1, 50) || '」（' || source || '）—…'
-  ELSE substr(text, 1, 200) END AS m
+  WHEN 0 THEN '((註' || chr(10) || substr(text, 1, 40) || '))' || substr(text, 41)
+  WHEN 1 THEN '見[[book:' || source || ':]]及[[page:]][[a:b]]' || text
+  WHEN 2 THEN '**' || substr(text, 1, 12) || '**' || substr(text, 13)
+  WHEN 3 THEN '__' || lang || '__，' || text
+  WHEN 4 THEN '人參<l> 三兩，去蘆 </l>，甘草<l>一' || chr(10) || '錢</l>' || text
+  WHEN 5 THEN '甲<#/>乙<&/>丙<~/>丁<z>戊</z><br/>　　　己 ' || text || '　'
+  WHEN 6 THEN '「' || text || '」（' || source || '）—…'
+  ELSE text END AS m
 FROM documents WHERE text IS NOT NULL"""
 M_ = f"WITH d_markup AS ({MARKUP}) "
 
@@ -309,9 +309,9 @@ def w06(spark, sf):
     return D.passages(spark, sf).select("book_id", "raw_joined", "text", F.size("formulas").alias("n_formulas"))
 
 
-@query("w07_passage_index", "SELECT book_id, passage_idx, substr(text, 1, 20) AS head FROM passages")
+@query("w07_passage_index", "SELECT book_id, passage_idx, text FROM passages")
 def w07(spark, sf):
-    return D.passages(spark, sf).select("book_id", "passage_idx", F.substring("text", 1, 20).alias("head"))
+    return D.passages(spark, sf).select("book_id", "passage_idx", "text")
 
 
 @query("w03_unclosed_blocks", "SELECT book_id, line_no FROM (SELECT book_id, line_no, in_block, s, row_number() OVER (PARTITION BY book_id ORDER BY line_no DESC) AS r FROM marked) WHERE r = 1 AND in_block AND NOT contains(s, '</F>')")
@@ -354,16 +354,11 @@ def g03(spark, sf):
 
 ALL_TASKS = [f"T{i}" for i in range(1, 13)]
 MODEL_TASKS = [t for t in ALL_TASKS if t not in ("T1", "T6")]
-JOBS = f", jobs AS (SELECT passage_id, passage_idx, unnest(list_filter(candidate_tasks, lambda t: t NOT IN ('T1', 'T6'))) AS task_code FROM corpus WHERE passage_idx % 50 = 0), done AS (SELECT * FROM jobs WHERE substr(sha1(passage_id || task_code), 1, 1) < '8')"
-
-
-def some_corpus(spark: SparkSession, sf: str) -> DataFrame:
-    """The passages that open a stretch of fifty: the range these jobs run on."""
-    return D.corpus(spark, sf).where("passage_idx % 50 = 0")
+JOBS = f", jobs AS (SELECT passage_id, passage_idx, unnest(list_filter(candidate_tasks, lambda t: t NOT IN ('T1', 'T6'))) AS task_code FROM corpus), done AS (SELECT * FROM jobs WHERE substr(sha1(passage_id || task_code), 1, 1) < '8')"
 
 
 def jobs_and_done(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
-    jobs = G.model_jobs(some_corpus(spark, sf), ALL_TASKS)
+    jobs = G.model_jobs(D.corpus(spark, sf), ALL_TASKS)
     return jobs, jobs.where(F.substring(F.sha1(F.concat("passage_id", "task_code")), 1, 1) < "8")
 
 
@@ -415,7 +410,7 @@ def g06(spark, sf):
   coalesce(array_to_string(cast(j->'options' AS varchar[]), ';'), '') AS options, CASE WHEN j->>'evidence' IS NOT NULL THEN j->>'evidence' ELSE coalesce(array_to_string(cast(j->'evidence_spans' AS varchar[]), ';'), '') END AS spans,
   CASE WHEN coalesce(j->>'safety_note', '') <> '' THEN j->>'safety_note' WHEN {Q.restricted("coalesce(j->>'answer', '')")} THEN {Q.q(Q.SAFETY_NOTE)} ELSE '' END AS safety_note FROM parsed WHERE j IS NOT NULL""")
 def g07(spark, sf):
-    found = M.items_from_replies(replies(spark, sf), some_corpus(spark, sf), "m1")
+    found = M.items_from_replies(replies(spark, sf), D.corpus(spark, sf), "m1")
     return found.select("item_id", "task_code", "question", "context", "answer_text", "inference_level", "difficulty", F.array_join("options", ";").alias("options"), F.array_join("evidence.spans", ";").alias("spans"), "safety_note")
 
 
@@ -425,10 +420,9 @@ def g08(spark, sf):
 
 
 # ---------------------------------------------------------------- joins
-@query("j01_items_with_source", "SELECT item_id, CASE WHEN passage_idx % 4 = 0 THEN '' ELSE raw_text_trad END AS source_text FROM items")
+@query("j01_items_with_source", "SELECT item_id, CASE WHEN len(raw_text_trad) < 40 THEN '' ELSE raw_text_trad END AS source_text FROM items")
 def j01(spark, sf):
-    c = D.corpus(spark, sf)
-    return V.with_source(G.generate_items(c, ["T1", "T6"]), c.where("passage_idx % 4 <> 0")).select("item_id", "source_text")
+    return V.with_source(items(spark, sf), D.corpus(spark, sf, 40)).select("item_id", "source_text")
 
 
 @query("j02_passages_with_books", "SELECT passage_id, book_title_trad, author, dynasty, quality_score_source FROM corpus_all")
@@ -668,7 +662,7 @@ def _answer(system: str, prompt: str, max_tokens: int, temperature: float) -> st
 
 @query("st3_model_waves", JOBS + " SELECT passage_id, task_code FROM (SELECT passage_id, task_code FROM jobs ORDER BY sha256('0:' || passage_id || '|' || task_code) LIMIT 200)")
 def st3(spark, sf):
-    full = stored(some_corpus(spark, sf), "corpus")
+    full = stored(D.corpus(spark, sf), "corpus")
     done = None
     for _ in range(2):  # each wave leaves out what the waves before have done
         replies, _ = J.model_wave(full, ALL_TASKS, _answer, "m1", done, 100, 4, store=lambda df: stored(df, "replies"), pause=0.0)
