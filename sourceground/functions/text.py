@@ -13,6 +13,8 @@ from .lookups import PUNCTUATION, SAFETY_HERBS, SAFETY_NOTE, SOURCE_HOMEPAGE
 
 #: White space of Unicode, as a character class body.
 WS = r"\t-\r\x1c-\x20\x85\u00a0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
+#: The same characters, one by one.
+SPACES = "".join(map(chr, [*range(0x9, 0xE), *range(0x1C, 0x21), 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000]))
 LINE_END = r"\r\n|[\n\r\x0b\x0c\x1c-\x1e\x85\u2028\u2029]"
 HAN = r"㐀-鿿"
 HEADING = rf"(?d)^(={{3,}})[{WS}]*(.+?)[{WS}]*\1[{WS}]*$"
@@ -28,7 +30,7 @@ def let(value: Column, body) -> Column:
 
 def strip(text: Column) -> Column:
     """Without Unicode white space at both ends."""
-    return F.regexp_replace(text, rf"^[{WS}]+|[{WS}]+$", "")
+    return F.trim(text, F.lit(SPACES))
 
 
 def crossref_label(inner: Column) -> Column:

@@ -21,15 +21,10 @@ def balanced_take(items: DataFrame, n: int, order: list[str], buckets: tuple[str
 
     Only the first ``n`` of a bucket can be taken, so larger buckets are cut before the sort.
     """
-    position = F.struct(*order)
-    ranked = items.withColumn("__rn", F.row_number().over(Window.partitionBy(*buckets).orderBy(*order))).where(F.col("__rn") <= n)
-    first = items.groupBy(*[F.col(b).alias(f"__{b}") for b in buckets]).agg(F.min(position).alias("__first"))
-    on = None
-    for b in buckets:
-        same = F.col(b).eqNullSafe(F.col(f"__{b}"))
-        on = same if on is None else on & same
-    joined = ranked.join(first, on)
-    return joined.orderBy("__rn", "__first").limit(n).drop("__rn", "__first", *[f"__{b}" for b in buckets])
+    by_bucket = Window.partitionBy(*buckets).orderBy(*order)
+    first = F.first(F.struct(*order)).over(by_bucket.rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    ranked = items.withColumns({"__rn": F.row_number().over(by_bucket), "__first": first}).where(F.col("__rn") <= n)
+    return ranked.orderBy("__rn", "__first").limit(n).drop("__rn", "__first")
 
 
 def balanced_sample(corpus: DataFrame, per_book: int = 30) -> DataFrame:

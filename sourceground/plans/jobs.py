@@ -36,8 +36,8 @@ def release(files: DataFrame, pilots: DataFrame, date: str, per_book: int = 30,
 
 
 def simple(full: DataFrame, n: int, seed: int = 0, tasks: tuple[str, ...] = ("T1", "T6")) -> DataFrame:
-    """A balanced, validated set of ``n`` items in a seeded order. ``full`` has min_chars 20."""
-    keyed = full.withColumn("shuffle", sampling.shuffle_key(seed, F.col("passage_id")))
+    """A balanced, validated set of ``n`` items in a seeded order. ``full`` has min_chars 20; it feeds each task, so it is stored once."""
+    keyed = stored(full.withColumn("shuffle", sampling.shuffle_key(seed, F.col("passage_id"))), "corpus")
     checked = validate.generate_and_validate(keyed, list(tasks), carry=("shuffle",))
     return sampling.balanced_take(checked.where("ok"), n, ["shuffle", "passage_id", "task_rank", "formula_no"])
 

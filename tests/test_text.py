@@ -28,6 +28,14 @@ def test_strip_inline(spark, raw, clean):
     assert one(spark, X.strip_inline(F.col("t")), t=raw) == clean
 
 
+def test_strip_takes_all_white_space_of_unicode(spark):
+    spaces = [chr(c) for c in range(0x110000) if chr(c).isspace()]
+    assert sorted(X.SPACES) == spaces
+    for t in ("", "".join(spaces), "".join(spaces) + "甲 \u3000乙" + "".join(spaces), "甲", "\u200b甲\u200b"):
+        assert one(spark, X.strip(F.col("t")), t=t) == t.strip()
+    assert one(spark, X.strip(F.col("t").cast("string")), t=None) is None
+
+
 def test_normalize_and_punctuation(spark):
     assert one(spark, X.normalize(F.col("t")), t="桂枝<l>三兩</l>，A_1。") == "桂枝A_1"
     assert one(spark, X.remove_punctuation(F.col("t")), t="甲，乙。「丙」\"d\"　'e'") == "甲乙丙de"
