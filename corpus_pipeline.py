@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from sourceground.llm import decontaminate, mixing, quality, sharding, simhash
+from sourceground.llm import decontaminate, mixing, near_copies, quality, sharding
 from sourceground.llm.common import materialize
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
@@ -20,8 +20,8 @@ def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def near_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies."""
-    return simhash.keep_one(docs.select(*COLUMNS))
+    """One document of each group of near copies: five-word shingles, Jaccard similarity of 0.8 or more."""
+    return near_copies.keep_one(docs.select(*COLUMNS))
 
 
 def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
