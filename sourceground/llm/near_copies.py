@@ -7,9 +7,9 @@ covers for sure, so candidates come from an exact bound instead (prefix filter):
    hash. Two sets at 0.8 share a shingle within the first fifth of either. The sample
    moves only the order, never the result.
 2. Equal sets are one node from the start. Nodes that share a shingle of their prefixes are
-   candidates, if sizes and positions still leave room for 0.8.
-3. Each node is first held against three heads of every shingle's nodes, and components of
-   the true pairs are formed. All pairs between different components follow: a large group
+   candidates, if sizes, positions and sketches of both sets still leave room for 0.8.
+3. Each node is first held against three heads of every shingle's nodes (one is the node
+   whose shingles most others hold), and components of the true pairs are formed. All pairs between different components follow: a large group
    of near copies is one component by then, so its pairs are not listed.
 4. Every candidate is decided by the exact similarity of its two whole sets.
 """
@@ -19,7 +19,7 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import connected_components, materialize
@@ -64,6 +64,11 @@ def prefix_size(n: int) -> int:
     return n - (4 * n + 4) // 5 + 1 if n else 0
 
 
+def odd_sketch(own: np.ndarray) -> np.ndarray:
+    """Four longs: bit h is set if an odd number of the shingles have h as the lowest eight bits."""
+    return np.packbits((np.bincount(own & 255, minlength=256) & 1).astype(np.uint8)).view(np.int64)
+
+
 def _common(docs: DataFrame, shingle: int) -> tuple[np.ndarray, np.ndarray]:
     """(hashes in order, documents) of shingles that at least two sampled documents hold."""
     every = max(1, docs.count() // SAMPLE)
@@ -82,10 +87,16 @@ def _common(docs: DataFrame, shingle: int) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _room(a: str, b: str) -> Column:
-    """Can the sets ``a`` and ``b`` (structs with n and the position of a shared shingle) still be at 0.8?"""
-    na, nb, at, bt = (F.col(f"{s}.{c}") for c in ("n", "pos") for s in (a, b))
-    shared = F.least(at, bt) + 1 + F.least(na - at - 1, nb - bt - 1)
-    return (9 * shared >= 4 * (na + nb)) & (5 * F.least(na, nb) >= 4 * F.greatest(na, nb))
+    """Can the sets ``a`` and ``b`` still be at 0.8, given their places of a shared shingle?
+
+    ``pos`` shingles stand before it in the order, of which ``before`` occur in any other
+    prefix: whoever holds this shingle in its prefix has no others of them. Sketches differ
+    in at most as many bits as the sets differ in shingles: a ninth of both sizes at 0.8.
+    """
+    na, nb, at, bt, ax, bx = (F.col(f"{s}.{c}") for c in ("n", "pos", "before") for s in (a, b))
+    shared = F.least(ax, bx) + 1 + F.least(na - at - 1, nb - bt - 1)
+    differ = sum(F.bit_count(F.col(f"{a}.odd{i}").bitwiseXOR(F.col(f"{b}.odd{i}"))) for i in range(4))
+    return (9 * differ <= na + nb) & (9 * shared >= 4 * (na + nb)) & (5 * F.least(na, nb) >= 4 * F.greatest(na, nb))
 
 
 def _ends(x: str, y: str) -> list[Column]:
@@ -94,13 +105,15 @@ def _ends(x: str, y: str) -> list[Column]:
 
 def near_links(keyed: DataFrame, prints: DataFrame, shingle: int = SHINGLE) -> DataFrame:
     """Links (a, b) of set hashes whose components are those of all pairs at 0.8 or more."""
-    nodes = materialize(prints.where("n > 0").groupBy("sig").agg(F.first("n").alias("n"), F.first("prefix").alias("prefix"), F.min("__row").alias("__row")), "near-nodes")
-    postings = nodes.select("sig", "n", F.posexplode("prefix").alias("pos", "token"))
-    node = F.struct("sig", "n", "pos")
-    heads = postings.groupBy("token").agg(
-        F.count("*").alias("nodes"), F.min(node).alias("h1"), F.max(node).alias("h2"), F.min(F.struct(F.xxhash64("sig").alias("by"), "sig", "n", "pos")).alias("h3")
-    ).where("nodes > 1")
-    shared = materialize(postings.join(heads, "token").select("token", node.alias("x"), "h1", "h2", F.struct("h3.sig", "h3.n", "h3.pos").alias("h3")), "near-shared")
+    nodes = materialize(prints.where("n > 0").groupBy("sig").agg(F.first("n").alias("n"), F.first("prefix").alias("prefix"), F.first("odd").alias("odd"), F.min("__row").alias("__row")), "near-nodes")
+    postings = nodes.select("sig", "n", "odd", F.posexplode("prefix").alias("pos", "token"))
+    met = postings.groupBy("token").agg(F.count("*").alias("nodes")).where("nodes > 1")
+    own = Window.partitionBy("sig")
+    before, common = F.row_number().over(own.orderBy("pos")) - 1, F.avg("nodes").over(own)
+    places = postings.join(met, "token").select("token", "sig", F.struct("sig", "n", "pos", before.alias("before"), *(F.col("odd")[i].alias(f"odd{i}") for i in range(4))).alias("x"), common.alias("common"))
+    places = materialize(places, "near-places")
+    by = lambda c: F.struct(c, "x.sig")
+    heads = places.groupBy("token").agg(F.max_by("x", by(F.col("common"))).alias("h1"), F.min_by("x", by(F.col("sig"))).alias("h2"), F.min_by("x", by(F.xxhash64("sig"))).alias("h3"))
 
     def true_pairs(pairs: DataFrame) -> DataFrame:
         """The pairs (a, b) whose whole sets are at 0.8 or more."""
@@ -118,11 +131,11 @@ def near_links(keyed: DataFrame, prints: DataFrame, shingle: int = SHINGLE) -> D
         both = pairs.join(sets.select(F.col("sig").alias("a"), F.col("hashes").alias("x")), "a").join(sets.select(F.col("sig").alias("b"), F.col("hashes").alias("y")), "b")
         return materialize(both.where(9 * F.size(F.array_intersect("x", "y")) >= 4 * (F.size("x") + F.size("y"))).select("a", "b"), "near-true")
 
-    star = shared.select("x", F.explode(F.array("h1", "h2", "h3")).alias("h")).where((F.col("x.sig") != F.col("h.sig")) & _room("x", "h"))
+    star = places.join(heads, "token").select("x", F.explode(F.array("h1", "h2", "h3")).alias("h")).where((F.col("x.sig") != F.col("h.sig")) & _room("x", "h"))
     first = true_pairs(star.select(*_ends("x", "h")))
 
     labels = connected_components(first)
-    held = shared.select("token", "x", F.col("x.sig").alias("node")).join(labels, "node", "left").select("token", "x", F.coalesce("root", "node").alias("label"))
+    held = places.select("token", "x", F.col("sig").alias("node")).join(labels, "node", "left").select("token", "x", F.coalesce("root", "node").alias("label"))
     sizes = held.groupBy("token", "label").count()
     largest = sizes.groupBy("token").agg(F.max(F.struct("count", "label"))["label"].alias("most"), F.count("*").alias("labels")).where("labels > 1")
     held = materialize(held.join(largest.select("token", "most"), "token"), "near-held")
@@ -143,23 +156,24 @@ def keep_one(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
 
     def run(batches):
         for batch in batches:
-            sig, size, prefix = [], [], []
+            sig, size, odd, prefix = [], [], [], []
             for text in batch.column("text"):
                 own = shingles(text.as_py(), shingle)
                 sig.append(xxhash.xxh64_intdigest(own.tobytes(), SEED) - 2**63)
                 size.append(len(own))
+                odd.append(odd_sketch(own))
                 rank = np.zeros(len(own), np.int64)
                 if len(tokens) and len(own):
                     at = np.minimum(np.searchsorted(tokens, own), len(tokens) - 1)
                     rank = np.where(tokens[at] == own, counts[at], 0)
                 prefix.append(own[np.argsort(rank, kind="stable")[: prefix_size(len(own))]])
-            names = ["doc_id", "__text", "__row"]
+            names, longs = ["doc_id", "__text", "__row"], pa.list_(pa.int64())
             yield pa.RecordBatch.from_arrays(
-                [*(batch.column(c) for c in names), pa.array(sig, pa.int64()), pa.array(size, pa.int64()), pa.array(prefix, pa.list_(pa.int64()))], names=[*names, "sig", "n", "prefix"]
+                [*(batch.column(c) for c in names), pa.array(sig, pa.int64()), pa.array(size, pa.int64()), pa.array(odd, longs), pa.array(prefix, longs)], names=[*names, "sig", "n", "odd", "prefix"]
             )
 
     doc_type = docs.schema["doc_id"].dataType.simpleString()
-    prints = keyed.select("doc_id", "__text", "__row", "text").mapInArrow(run, f"doc_id {doc_type}, __text string, __row string, sig long, n long, prefix array<long>")
+    prints = keyed.select("doc_id", "__text", "__row", "text").mapInArrow(run, f"doc_id {doc_type}, __text string, __row string, sig long, n long, odd array<long>, prefix array<long>")
     prints = materialize(prints, "near-prints")
     roots = connected_components(near_links(keyed, prints, shingle))
     grouped = prints.join(roots, prints.sig == roots.node, "left").groupBy(F.coalesce("root", "sig")).agg(first_row().alias("__row"))
