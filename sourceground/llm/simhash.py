@@ -20,6 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import connected_components, materialize
+from .near_copies import first_row, keep_rows, row_keys
 
 SEED = 42
 SHINGLE = 3
@@ -214,10 +215,12 @@ def near_duplicates(docs: DataFrame, radius: int = 2, shingle: int = SHINGLE) ->
 
 
 def keep_one(docs: DataFrame, radius: int = 2) -> DataFrame:
-    """``docs`` without near copies: of each group the row with the smallest doc_id stays.
+    """``docs`` without near copies: of each group the row stays that is first by doc_id (null last) and text.
 
-    Rows that repeat the kept doc_id collapse to one. All columns of ``docs`` are kept.
+    Rows are told apart by all their columns, so null or repeated ids lose no group; all
+    columns of ``docs`` are kept.
     """
-    groups = near_duplicates(docs, radius).where(F.col("doc_id").isNull() | (F.col("doc_id") == F.col("component_id")))
-    ids = groups.select(F.col("doc_id").alias("__id")).distinct()
-    return docs.join(ids, F.col("doc_id").eqNullSafe(F.col("__id")), "left_semi").dropDuplicates(["doc_id"])
+    keyed = row_keys(docs)
+    groups = near_duplicates(keyed.select(F.col("__row").alias("doc_id"), "text"), radius).select(F.col("doc_id").alias("__row"), "component_id").distinct()
+    first = keyed.select("doc_id", "__text", "__row").join(groups, "__row").groupBy("component_id").agg(first_row().alias("__row"))
+    return keep_rows(keyed, first)
