@@ -28,6 +28,8 @@ STEMS = (4, 5, 6)
 WINDOW = 8
 LEET = str.maketrans("013457@$!", "oieastasi")
 EDGE = " \t\r\n.,;:!?\"'`()[]{}<>*#$%&|/\\-_=+~«»“”„‘’‚…¡¿—–"
+#: Edge marks that do not look like letters.
+EDGE_ALONE = EDGE.replace("$", "").replace("!", "")
 QUOTES = "\"«»“”„‘’"
 REPORTING = frozenset("said says say quote quoted quotes wrote writes called calls word words term phrase reported insult slur dit mot terme dijo dice palabra llamó sagte wort schrieb zitat".split())
 ADDRESS = frozenset("you your you're ur yourself u du dein dich tu te usted vous toi tú".split())
@@ -40,15 +42,17 @@ PRIOR = np.array([-3.0, 2.0, 1.2, 1.2, -1.0, 0.5, 0.5, 0.5])
 class Automaton:
     """Levenshtein automata of all terms, intersected with their trie and determinised lazily.
 
-    The first letter must match: of random words, few are one edit from a short term.
+    ``whole`` allows an edit at any letter and in terms of any length, as the model does;
+    without it the first letter must match and terms under five letters allow none.
     """
 
-    def __init__(self, terms: list[str]):
+    def __init__(self, terms: list[str], whole: bool = False):
+        self.whole = whole
         self.children: list[dict[str, int]] = [{}]
         self.ends: list[str | None] = [None]
         self.reach: list[int] = [0]  # most edits that a term below may use
         for term in sorted(terms):
-            node, k = 0, self.allowed(term)
+            node, k = 0, self.edits(term)
             self.reach[0] = max(self.reach[0], k)
             for c in term:
                 if c not in self.children[node]:
@@ -63,12 +67,15 @@ class Automaton:
         self.sets: list[frozenset] = []
         self.moves: list[dict[str, int]] = []
         self.accepts: list[tuple[str, int] | None] = []
-        self.start = self._state(frozenset({(0, 0)}), close=False)
+        self.start = self._state(frozenset({(0, 0)}), close=whole)
 
     @staticmethod
     def allowed(term: str) -> int:
         return 0 if len(term) < 5 else 1 if len(term) < 9 else 2
 
+    def edits(self, term: str) -> int:
+        return max(1, self.allowed(term)) if self.whole else self.allowed(term)
+
     def _state(self, items: frozenset, close: bool = True) -> int:
         best: dict[int, int] = {}
         stack = list(items)
@@ -84,14 +91,14 @@ class Automaton:
             self.states[key] = len(self.sets)
             self.sets.append(key)
             self.moves.append({})
-            hits = [(e, self.ends[n]) for n, e in best.items() if self.ends[n] and e <= self.allowed(self.ends[n])]
+            hits = [(e, self.ends[n]) for n, e in best.items() if self.ends[n] and e <= self.edits(self.ends[n])]
             self.accepts.append(min(hits)[::-1] if hits else None)
         return self.states[key]
 
     def _step(self, state: int, c: str) -> int:
         items = set()
         for node, e in self.sets[state]:
-            if node == 0:
+            if node == 0 and not self.whole:
                 items |= {(child, e) for x, child in self.children[0].items() if x == c}
                 continue
             items.add((node, e + 1))  # a letter too many
@@ -118,6 +125,13 @@ def tidy(token: str) -> str:
     return word if word.isalpha() else word.translate(LEET)
 
 
+def readings(token: str) -> list[str]:
+    """``tidy``, and the word that leading or trailing signs stand for as letters ($tupid) if there are any."""
+    word, kept = tidy(token), token.strip(EDGE_ALONE).lower()
+    spelled = kept.translate(LEET)
+    return [word, spelled] if word and kept and (kept[0] in "$!" or kept[-1] in "$!") else [word]
+
+
 @dataclass
 class ToxicityModel:
     words: dict[str, float]
@@ -126,7 +140,7 @@ class ToxicityModel:
     weights: np.ndarray = field(default_factory=lambda: PRIOR.copy())
 
     def __post_init__(self):
-        self.automaton, self.known = Automaton(list(self.words)), {}
+        self.automaton, self.known = Automaton(list(self.words), whole=True), {}
 
     def __getstate__(self):
         return {"words": self.words, "stems": self.stems, "clean": self.clean, "weights": self.weights}
@@ -137,14 +151,18 @@ class ToxicityModel:
 
     def _lookup(self, token: str) -> tuple[int, float] | None:
         """(kind, weight) of a token: kind 0 exact, 1 fuzzy, 2 stem."""
-        word = tidy(token)
-        if word in self.words:
-            return 0, self.words[word]
-        for k in STEMS:
-            if word[:k] in self.stems and len(word) >= k:
-                return 2, self.stems[word[:k]]
-        if len(word) >= 4 and word not in self.clean and (hit := self.automaton.match(word)):
-            return 1, self.words[hit[0]] / (1 + hit[1])
+        words = readings(token)
+        for word in words:
+            if word in self.words:
+                return 0, self.words[word]
+            for k in STEMS:
+                if word[:k] in self.stems and len(word) >= k:
+                    return 2, self.stems[word[:k]]
+        for word in words:
+            if word in self.clean:
+                return None
+            if len(word) >= 2 and (hit := self.automaton.match(word)):
+                return 1, self.words[hit[0]] / (1 + hit[1])
         return None
 
     def features(self, text: str | None) -> np.ndarray:
@@ -192,7 +210,7 @@ def learn_terms(rows: DataFrame, least_docs: int = 3, least_evidence: float = 15
     Evidence of a term is its toxic documents times the log ratio of its shares. A stem
     needs more of it, and must tell more than the whole words below it.
     """
-    words = F.array_distinct(F.filter(F.split(F.lower(F.col("text")), r"[^\p{L}\p{N}]+"), lambda w: F.length(w) >= 3))
+    words = F.array_distinct(F.filter(F.split(F.lower(F.col("text")), r"[^\p{L}\p{N}]+"), lambda w: F.length(w) >= 2))
     stems = [_stems(words, k) for k in STEMS]
     terms = F.explode(F.array_distinct(F.concat(words, *stems)))
     sizes = {r["y"]: r["count"] for r in rows.groupBy("y").count().collect()}
@@ -200,7 +218,7 @@ def learn_terms(rows: DataFrame, least_docs: int = 3, least_evidence: float = 15
     counts = rows.select("y", terms.alias("term")).groupBy("term").agg(F.sum("y").alias("a"), F.sum(1 - F.col("y")).alias("b"))
     odds = F.log((F.col("a") / n1) / ((F.col("b") + 0.5) / n0))
     found = counts.withColumn("odds", odds).withColumn("evidence", F.col("a") * odds)
-    found = found.where((F.col("a") >= least_docs) & (F.col("odds") >= least_odds) & (F.col("evidence") >= F.when(F.col("term").endswith("*"), stem_evidence).otherwise(least_evidence)))
+    found = found.where((F.length("term") >= 3) & (F.col("a") >= least_docs) & (F.col("odds") >= least_odds) & (F.col("evidence") >= F.when(F.col("term").endswith("*"), stem_evidence).otherwise(least_evidence)))
     best = found.orderBy(F.col("evidence").desc(), "term").limit(max_terms).collect()  # at most max_terms rows
     whole = {r.term: r for r in best if not r.term.endswith("*")}
     prefix = {r.term[:-1]: r for r in best if r.term.endswith("*")}
@@ -214,11 +232,10 @@ def learn_terms(rows: DataFrame, least_docs: int = 3, least_evidence: float = 15
                 (whole if w in whole else prefix).pop(w, None)
     weight = lambda r: min(1.5, r.odds / 5)
     words_ = {w: weight(r) for w, r in whole.items()}
-    automaton = Automaton(list(words_))
+    automaton = Automaton(list(words_), whole=True)
     near = F.col("b") > 0
     if words_:
-        first = "|".join(sorted({w[0] for w in words_}))
-        near &= F.col("term").rlike(rf"^({first})") & F.length("term").between(min(map(len, words_)) - 2, max(map(len, words_)) + 2)
+        near &= F.length("term").between(min(map(len, words_)) - 2, max(map(len, words_)) + 2)
 
     def close(batches):
         for batch in batches:
