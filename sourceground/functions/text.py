@@ -144,8 +144,8 @@ def item_id(book_id: Column, task: Column, passage: Column, salt: Column) -> Col
 
 
 def contains(source: Column, normalized_source: Column, needle: Column) -> Column:
-    """Empty needles are contained; else a raw match, else one of the normal forms. Null needles are not."""
-    raw = (needle == "") | F.contains(source, needle)
+    """Null and empty needles are contained; else a raw match, else one of the normal forms."""
+    raw = needle.isNull() | (needle == "") | F.contains(source, needle)
     return F.coalesce(raw | F.contains(normalized_source, normalize(needle)), F.lit(False))
 
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import functools
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -22,6 +24,7 @@ from ..functions.lookups import (
     TIERS,
 )
 from ..sources.books import book_lines, catalog
+from ..sources.scratch import stored
 from .passages import passages
 
 CORPUS_REQUIRED = ("passage_id", "book_id", "book_title_trad", "book_title_simp", "category_level_1", "raw_text_trad", "raw_text_simp", "normalized_text", "source_id", "version_commit")
@@ -122,19 +125,24 @@ def _grams(text: Column, k: int) -> Column:
     return F.array_distinct(F.regexp_extract_all(text, F.lit(f"(?s)(?=(.{{{k}}}))"), F.lit(1)))
 
 
-def trace_spans(spans: DataFrame, corpus: DataFrame, gram: int = 8) -> DataFrame:
+def trace_spans(spans: DataFrame, corpus: DataFrame, gram: int = 8, most_bytes: int = 64 << 20) -> DataFrame:
     """(span_id, passage_id) of all passages that hold a span: equal first grams, then containment.
 
     Spans shorter than a gram are compared with the passages' grams of their own length.
-    Texts join the few candidates, not every gram. ``corpus`` is read twice: pass a stored table.
+    Spans are sent to the passages in groups of at most about ``most_bytes`` bytes, so no
+    gram is shuffled and a common one burdens no task. Null and empty spans are in none.
     """
     normal = spans.select("span_id", X.normalize(F.col("span")).alias("n")).where("n <> ''")
     normal = normal.withColumn("k", F.least(F.lit(gram), F.length("n"))).withColumn("g", F.col("n").substr(F.lit(1), F.col("k")))
+    normal = stored(normal, "spans")
+    size = normal.agg(F.sum(F.octet_length("n") + 100)).first()[0]
     lengths = [r[0] for r in normal.select("k").distinct().collect()]  # at most ``gram`` values
-    if not lengths:
-        return corpus.select(F.lit(0).cast("long").alias("span_id"), "passage_id").limit(0)
+    if not size:
+        return corpus.select(F.lit(None).cast(spans.schema["span_id"].dataType).alias("span_id"), "passage_id").limit(0)
     text = F.col("normalized_text")
     grams = corpus.select("passage_id", F.explode(F.concat(*[_grams(text, k) for k in sorted(lengths)])).alias("g"))
-    hits = grams.join(normal, "g").select("span_id", "n", "passage_id")
-    found = hits.join(corpus.select("passage_id", "normalized_text"), "passage_id").where(F.contains(text, F.col("n"))).select("span_id", "passage_id")
-    return found.distinct()
+    groups = -(-size // most_bytes)
+    dealt = F.pmod(F.xxhash64("span_id", "n"), F.lit(groups))
+    hits = [grams.join(F.broadcast(normal.where(dealt == i)), "g").select("span_id", "n", "passage_id") for i in range(groups)]
+    found = functools.reduce(DataFrame.union, hits).join(corpus.select("passage_id", "normalized_text"), "passage_id")
+    return found.where(F.contains(text, F.col("n"))).select("span_id", "passage_id").distinct()

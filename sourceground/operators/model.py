@@ -104,8 +104,10 @@ def items_from_replies(replies: DataFrame, corpus: DataFrame, model: str, diffic
     spans = F.coalesce(some(listed("evidence")), some(listed("evidence_spans")), F.array().cast("array<string>"))
     options = F.coalesce(_get("options", "array<string>"), F.array().cast("array<string>"))
     answer = F.try_variant_get(F.col("__data"), "$.answer", "variant")
-    answer_json = F.coalesce(F.to_json(answer), F.when(answer.isNull(), F.to_json("__data")))
-    said = F.concat(F.coalesce(_get("context"), F.lit("")), F.coalesce(_get("answer"), answer_json), F.array_join(options, " "))
+    is_text = F.coalesce(F.schema_of_variant(answer) == "STRING", F.lit(False))
+    # A text stands in answer_text alone; an answer that is there and null stands nowhere; without any, the whole reply is the answer.
+    answer_json = F.when(answer.isNull(), F.to_json("__data")).when(~is_text & ~F.is_variant_null(answer), F.to_json(answer))
+    said = F.concat(F.coalesce(_get("context"), F.lit("")), F.coalesce(_get("answer"), answer_json, F.lit("")), F.array_join(options, " "))
     note = F.coalesce(_get("safety_note"), F.lit(""))
     names = F.create_map(*[F.lit(x) for code, (_, en) in TASKS.items() for x in (code, en)])
     from .generate import evidence
@@ -115,7 +117,7 @@ def items_from_replies(replies: DataFrame, corpus: DataFrame, model: str, diffic
         item_id=X.item_id(F.col("book_id"), F.col("task_code"), F.col("passage_id"), F.lit(model)),
         task=F.coalesce(filled(_get("task")), F.try_element_at(names, F.col("task_code")), F.col("task_code")), task_code=F.col("task_code"),
         question=F.coalesce(_get("question"), F.lit("")), context=F.coalesce(filled(_get("context")), F.col("raw_text_trad")),
-        answer_text=F.when(F.schema_of_variant(answer) == "STRING", _get("answer")), answer_json=answer_json, evidence=evidence(spans),
+        answer_text=F.when(is_text, _get("answer")), answer_json=answer_json, evidence=evidence(spans),
         inference_level=F.coalesce(_get("inference_level"), F.lit("direct")), difficulty=F.coalesce(filled(_get("difficulty")), F.lit(difficulty)),
         options=options, distractors=F.coalesce(_get("distractors", DISTRACTORS), F.array().cast(DISTRACTORS)),
         safety_note=F.when((note == "") & X.mentions_restricted_herb(said), SAFETY_NOTE).otherwise(note),

@@ -1,34 +1,88 @@
-"""Passages from ordered lines: windows over a book, all on one exchange by book.
+"""Passages from numbered lines, in parts of a book.
 
 With ``s`` the stripped line: a line with ``</F>`` ends a formula block, one with ``<F>`` (and
 no heading) starts one; ``before`` is the last such mark above. Headings outside blocks and
 blank lines outside blocks are breaks; lines between two breaks are one passage.
+
+A book is worked on in parts of ``PART`` lines, so a book that holds most lines is many
+tasks. What a part needs of the parts before it (is a block open, how many breaks, which
+headings) comes from one row for each part; only these rows meet in a window of a book.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
 from ..functions.text import extract_formulas, heading_signs, heading_title, strip, strip_inline
+from ..sources.scratch import stored
 
+#: Lines of a part, and passages that are numbered together.
+PART = 2000
+NUMBERED = 250
 
-def mark_lines(lines: DataFrame) -> DataFrame:
-    """Adds the heading columns, the formula state, ``is_break`` and the group number ``grp``."""
-    by_book = Window.partitionBy("book_id").orderBy("line_no")
+KEYS = ["book_id", "__part"]
+
+
+def _in_part() -> WindowSpec:
+    return Window.partitionBy(*KEYS).orderBy("line_no")
+
+
+def _upto() -> WindowSpec:
+    return _in_part().rowsBetween(Window.unboundedPreceding, Window.currentRow)
+
+
+def _parts_before() -> WindowSpec:
+    return Window.partitionBy("book_id").orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)
+
+
+def _parts(lines: DataFrame) -> DataFrame:
+    """Lines in parts, with headings and block marks; one exchange serves all that follows."""
     s = strip(F.col("line"))
-    marked = lines.withColumn("s", s).withColumn("eq_len", heading_signs(F.col("s"))).withColumn("title", heading_title(F.col("s")))
+    cut = lines.withColumn("__part", F.floor((F.col("line_no") - 1) / PART)).repartition(*KEYS)
+    marked = cut.withColumn("s", s).withColumn("eq_len", heading_signs(F.col("s"))).withColumn("title", heading_title(F.col("s")))
     opens, closes = F.contains("s", F.lit("<F>")), F.contains("s", F.lit("</F>"))
-    mark = F.when(closes, False).when(opens & F.col("eq_len").isNull(), True)
-    marked = marked.withColumn("mark", mark)
-    before = F.coalesce(F.last("mark", ignorenulls=True).over(by_book.rowsBetween(Window.unboundedPreceding, -1)), F.lit(False))
-    marked = marked.withColumn("in_block_before", before)
+    return marked.withColumn("mark", F.when(closes, False).when(opens & F.col("eq_len").isNull(), True))
+
+
+def _with_state(lines: DataFrame) -> DataFrame:
+    """Adds the formula state and ``is_break``; block marks carry over from part to part."""
+    parts = _parts(lines)
+    last = parts.groupBy(*KEYS).agg(F.max_by("mark", F.when(F.col("mark").isNotNull(), F.col("line_no"))).alias("mark"))
+    carried = last.select(*KEYS, F.last("mark", ignorenulls=True).over(_parts_before()).alias("__open"))
+    marked = parts.join(carried, KEYS)
+    before = F.last("mark", ignorenulls=True).over(_in_part().rowsBetween(Window.unboundedPreceding, -1))
+    marked = marked.withColumn("in_block_before", F.coalesce(before, "__open", F.lit(False)))
     heading = F.col("eq_len").isNotNull() & ~F.col("in_block_before")
     marked = marked.withColumn("is_heading", heading)
     inside = (F.col("in_block_before") | F.contains("s", F.lit("<F>"))) & ~F.col("is_heading")
-    marked = marked.withColumn("in_block", inside).withColumn("is_break", F.col("is_heading") | ((F.col("s") == "") & ~inside))
-    upto = by_book.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    return marked.withColumn("grp", F.sum(F.col("is_break").cast("long")).over(upto)).drop("mark")
+    return marked.withColumn("in_block", inside).withColumn("is_break", F.col("is_heading") | ((F.col("s") == "") & ~inside)).drop("mark", "__open")
+
+
+def _latest(n: int) -> Column:
+    """The line number and title of a heading of ``n`` signs; null for other lines."""
+    return F.when(F.col("is_heading") & (F.col("eq_len") == n), F.struct("line_no", "title"))
+
+
+def _segmented(lines: DataFrame, levels: list[int]) -> DataFrame:
+    """Lines with state, ``grp`` and the last heading of each of ``levels`` so far (``__h<n>``)."""
+    marked = _with_state(lines)
+    named = {n: f"__h{n}" for n in levels}
+    breaks = F.col("is_break").cast("long")
+    sums = marked.groupBy(*KEYS).agg(F.sum(breaks).alias("__n"), *[F.max(_latest(n)).alias(h) for n, h in named.items()])
+    carried = sums.select(
+        *KEYS,
+        F.coalesce(F.sum("__n").over(_parts_before()), F.lit(0)).alias("__breaks"),
+        *[F.last(h, ignorenulls=True).over(_parts_before()).alias(f"__c{n}") for n, h in named.items()],
+    )
+    found = marked.join(carried, KEYS).withColumn("grp", F.col("__breaks") + F.sum(breaks).over(_upto()))
+    found = found.withColumns({h: F.coalesce(F.last(_latest(n), ignorenulls=True).over(_upto()), F.col(f"__c{n}")) for n, h in named.items()})
+    return found.drop("__breaks", *[f"__c{n}" for n in levels])
+
+
+def mark_lines(lines: DataFrame) -> DataFrame:
+    """Adds the heading columns, the formula state, ``is_break`` and the group number ``grp``."""
+    return _segmented(lines, []).drop("__part")
 
 
 def level_ranks(lines: DataFrame) -> DataFrame:
@@ -38,44 +92,51 @@ def level_ranks(lines: DataFrame) -> DataFrame:
     return lengths.select("book_id", "eq_len", rank.alias("depth"))
 
 
-def with_heading_path(marked: DataFrame, levels: list[int] | None = None) -> DataFrame:
-    """Adds ``heading_path``: of each level the last heading so far, unless a shallower one came after it.
+def heading_levels(lines: DataFrame) -> list[int]:
+    """All lengths of headings that occur, longest first: one row for each length is read, however many lines there are."""
+    signs = lines.select(heading_signs(F.col("line")).alias("n")).where("n is not null").distinct()
+    return sorted((r.n for r in signs.collect()), reverse=True)
+
+
+def with_heading_path(lines: DataFrame, levels: list[int] | None = None) -> DataFrame:
+    """``mark_lines`` with ``heading_path``: of each level the last heading so far, unless a shallower one came after it.
 
     ``levels`` are the lengths that occur; if None they are read off by one small distinct query.
     """
-    if levels is None:
-        levels = sorted((r[0] for r in marked.where("is_heading").select("eq_len").distinct().limit(1000).collect()), reverse=True)
-    upto = Window.partitionBy("book_id").orderBy("line_no").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    named = [f"__h{n}" for n in levels]
-    for n, name in zip(levels, named, strict=True):
-        at = F.when(F.col("is_heading") & (F.col("eq_len") == n), F.struct("line_no", "title"))
-        marked = marked.withColumn(name, F.last(at, ignorenulls=True).over(upto))
+    levels = heading_levels(lines) if levels is None else sorted(levels, reverse=True)
+    marked = _segmented(lines, levels)
     kept, above = [], F.lit(-1).cast("long")
-    for name in named:
+    for name in (f"__h{n}" for n in levels):
         line_no = F.col(f"{name}.line_no")
         kept.append(F.when(line_no > above, F.col(f"{name}.title")))
         above = F.greatest(above, F.coalesce(line_no, F.lit(-1).cast("long")))
     path = F.array_compact(F.array(*kept)) if kept else F.array().cast("array<string>")
-    return marked.withColumn("heading_path", path).drop(*named)
+    return marked.withColumn("heading_path", path).drop("__part", *[f"__h{n}" for n in levels])
 
 
 def passages(lines: DataFrame, levels: list[int] | None = None) -> DataFrame:
     """(book_id, passage_idx, heading_path, raw_joined, text, formulas) of every non-empty passage.
 
     Texts are joined inside one group of lines, whose size is a passage's; the order comes
-    from line numbers. ``passage_idx`` counts from 0 in a book.
+    from line numbers. ``passage_idx`` counts from 0 in a book: cleaned passages are stored
+    once, counted in runs of groups, and numbered inside their run.
     """
-    content = with_heading_path(mark_lines(lines), levels).where("not is_break")
+    lines = stored(lines.select("book_id", "line_no", "line"), "lines")  # read for the levels, for both carries, and for the texts
+    content = with_heading_path(lines, levels).where("not is_break")
     joined = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("line_no", "line"))), lambda x: x["line"]), "\n")
-    grouped = content.groupBy("book_id", "grp").agg(F.min("line_no").alias("first_line"), F.min_by("heading_path", "line_no").alias("heading_path"), joined.alias("raw_joined"))
+    grouped = content.groupBy("book_id", "grp").agg(F.min_by("heading_path", "line_no").alias("heading_path"), joined.alias("raw_joined"))
     cleaned = grouped.withColumn("raw_joined", strip(F.col("raw_joined"))).withColumn("text", strip_inline(F.col("raw_joined")))
-    # Empty texts are filtered above the window, so that the filter does not evaluate the clean-up a second time.
-    upto = Window.partitionBy("book_id").orderBy("first_line").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    idx = (F.sum((F.col("text") != "").cast("int")).over(upto) - 1).cast("int")
-    return cleaned.withColumn("passage_idx", idx).where("text <> ''").select("book_id", "passage_idx", "heading_path", "raw_joined", "text", extract_formulas(F.col("raw_joined")).alias("formulas"))
+    cleaned = stored(cleaned.withColumn("__run", F.floor(F.col("grp") / NUMBERED)), "passages").where("text <> ''")
+    before = Window.partitionBy("book_id").orderBy("__run").rowsBetween(Window.unboundedPreceding, -1)
+    counts = cleaned.groupBy("book_id", "__run").agg(F.count(F.lit(1)).alias("n"))
+    offsets = counts.select("book_id", "__run", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("__offset"))
+    in_run = Window.partitionBy("book_id", "__run").orderBy("grp")
+    idx = (F.col("__offset") + F.row_number().over(in_run) - 1).cast("int")
+    numbered = cleaned.join(offsets, ["book_id", "__run"]).withColumn("passage_idx", idx)
+    return numbered.select("book_id", "passage_idx", "heading_path", "raw_joined", "text", extract_formulas(F.col("raw_joined")).alias("formulas"))
 
 
 def unclosed_blocks(lines: DataFrame) -> DataFrame:
     """(book_id, line_no) of books whose last formula block never ends: the rest of them is one passage."""
-    last = mark_lines(lines).groupBy("book_id").agg(F.max_by("in_block", "line_no").alias("open"), F.max_by("s", "line_no").alias("s"), F.max("line_no").alias("line_no"))
+    last = _with_state(lines).groupBy("book_id").agg(F.max_by("in_block", "line_no").alias("open"), F.max_by("s", "line_no").alias("s"), F.max("line_no").alias("line_no"))
     return last.where(F.col("open") & ~F.contains("s", F.lit("</F>"))).select("book_id", "line_no")

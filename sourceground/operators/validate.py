@@ -78,8 +78,15 @@ def _has_options() -> Column:
     return F.coalesce(F.size("options"), F.lit(0)) > 0
 
 
+def _answered() -> Column:
+    """Is there an answer? Empty texts, lists and objects, null, zero and false are none."""
+    json = F.trim(F.coalesce("answer_json", F.lit("")))
+    empty = json.isin("", '""', "[]", "{}", "null", "false") | F.coalesce(json.try_cast("double") == 0, F.lit(False))
+    return (F.coalesce("answer_text", F.lit("")) != "") | F.col("answer_formula").isNotNull() | ~empty
+
+
 def mcq_errors() -> Column:
-    answered = (F.coalesce("answer_text", F.lit("")) != "") | F.col("answer_formula").isNotNull() | (F.coalesce("answer_json", F.lit("")) != "")
+    answered = _answered()
     few = _if(F.size("options") < 3, F.concat(F.lit("few_options:"), F.size("options").cast("string")))
     return F.when(_has_options(), F.concat(few, _if(~answered, "mcq_without_answer"), _distractor_errors())).otherwise(F.array().cast(NONE))
 

@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+import functools
+from collections.abc import Callable, Iterable
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -50,3 +51,21 @@ def model_wave(full: DataFrame, tasks: list[str], client: Callable[..., str], na
     rows = full.withColumns({"source_text": F.col("raw_text_trad"), "source_normalized": F.col("normalized_text")})
     items = model.items_from_replies(replies, rows, name, carry=("source_text", "source_normalized"))
     return replies, validate.validate(items).drop("source_text", "source_normalized")
+
+
+def union(tables: Iterable[DataFrame]) -> DataFrame:
+    return functools.reduce(DataFrame.unionByName, tables)
+
+
+def model_waves(full: DataFrame, tasks: list[str], client: Callable[..., str], name: str, waves: int, concurrency: int, seed: int = 0, store: Callable[[DataFrame], DataFrame] = lambda df: df, pause: float = 1.0) -> list[tuple[DataFrame, DataFrame]]:
+    """Waves until no job is left, each of a ``waves``-th of all jobs: (stored replies, checked items) of each wave.
+
+    Each wave leaves out what the waves before have done, so a lost run starts again where
+    its stored replies end.
+    """
+    size = max(1, -(-generate.model_jobs(full, tasks).count() // waves))
+    found: list[tuple[DataFrame, DataFrame]] = []
+    for _ in range(waves):
+        done = union(replies for replies, _ in found) if found else None
+        found.append(model_wave(full, tasks, client, name, done, size, concurrency, seed, store, pause))
+    return found

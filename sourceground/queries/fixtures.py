@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from ..operators import corpus as C
 from ..sources import books
+from ..sources.scratch import stored
 
 DATE = "2026-01-01"
 PILOTS = {"p1": ["src0", "src1", "src2", "absent"], "p2": ["src3", "src4", "src5", "src6", "src7"], "p3": ["src8", "src9", "src10", "src11"]}
@@ -39,7 +40,7 @@ UNION ALL
 SELECT source, 'menu.txt', '<menu>' || {NL} || cast(max(doc_id) AS string) || '|末卷' || {NL} || cast(min(doc_id) AS string) || '|首卷' || {NL} || '999999999|缺卷' || {NL} || '</menu>'
 FROM documents WHERE length(source) = 5 GROUP BY source
 UNION ALL
-SELECT 'solo', 'index.txt', '<book>' || {NL} || '朝代=清' || {NL} || '</book>' || {NL} || '=== 獨卷 ===' || {NL} || '僅此一段文字，共有 ' || cast(count(*) AS string) || ' 篇。' FROM documents
+SELECT 'solo', 'index.txt', '<book>' || {NL} || '朝代=清' || {NL} || '</book>' || {NL} || '=== 獨卷 ===' || {NL} || '僅此一段文字，共有 ' || cast(count(*) AS string) || ' 篇。' || {NL} || {NL} || '<F>' || {NL} || '**散**' || {NL} || {NL} || '未完' FROM documents
 """
 
 
@@ -55,21 +56,17 @@ def lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return books.book_lines(files(spark, sf_dir))
 
 
-#: Lengths of headings in these files; known here, so no query has to find them.
-LEVELS = [6, 5, 4, 3]
-
-
 def passages(spark: SparkSession, sf_dir: str) -> DataFrame:
     from ..operators.passages import passages as cut
 
-    return cut(lines(spark, sf_dir), LEVELS)
+    return cut(lines(spark, sf_dir))
 
 
 def corpus(spark: SparkSession, sf_dir: str, min_chars: int = 12) -> DataFrame:
-    source = files(spark, sf_dir)
+    source = stored(files(spark, sf_dir), "files")  # the files that a reader would find
     from ..operators.passages import passages as cut
 
-    return C.min_length(C.corpus_records(cut(books.book_lines(source), LEVELS), books.catalog(source), DATE), min_chars)
+    return C.min_length(C.corpus_records(cut(books.book_lines(source)), books.catalog(source), DATE), min_chars)
 
 
 def pilot_corpus(spark: SparkSession, sf_dir: str, min_chars: int = 12) -> DataFrame:

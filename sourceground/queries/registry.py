@@ -125,7 +125,7 @@ def x15(spark, sf):
     return D.table(spark, sf, "documents").select("doc_id", X.item_id(F.col("source"), F.lit("T2"), F.col("doc_id").cast("string"), F.concat(F.lit("m"), "lang")).alias("item_id"))
 
 
-SPAN = "CASE doc_id % 4 WHEN 0 THEN substr(text, 5, 30) WHEN 1 THEN replace(substr(text, 5, 30), ' ', '，') WHEN 2 THEN '' ELSE 'zz' || substr(text, 5, 9) END"
+SPAN = "CASE WHEN doc_id % 9 = 8 THEN NULL ELSE CASE doc_id % 4 WHEN 0 THEN substr(text, 5, 30) WHEN 1 THEN replace(substr(text, 5, 30), ' ', '，') WHEN 2 THEN '' ELSE 'zz' || substr(text, 5, 9) END END"
 
 
 @query("x16_contains", f"SELECT doc_id, {Q.found(SPAN, 'text', Q.normalize('text'))} AS v FROM documents", ctes=False)
@@ -301,7 +301,7 @@ def w04(spark, sf):
 
 @query("w05_heading_path", "SELECT book_id, line_no, array_to_string(heading_path, '>') AS path FROM pathed WHERE NOT is_break")
 def w05(spark, sf):
-    return W.with_heading_path(W.mark_lines(D.lines(spark, sf)), D.LEVELS).where("not is_break").select("book_id", "line_no", F.array_join("heading_path", ">").alias("path"))
+    return W.with_heading_path(D.lines(spark, sf)).where("not is_break").select("book_id", "line_no", F.array_join("heading_path", ">").alias("path"))
 
 
 @query("w06_passages", "SELECT book_id, raw_joined, text, len(bodies) AS n_formulas FROM passages")
@@ -399,9 +399,10 @@ def _echo(system: str, prompt: str, max_tokens: int, temperature: float) -> str:
     return f'{{"answer": "{len(prompt)}"}}'
 
 
-@query("g06_model_calls")
+@query("g06_model_calls", JOBS + """ SELECT passage_id, task_code, CASE WHEN n % 5 <> 0 THEN '{"answer": "' || n || '"}' END AS reply, CASE WHEN n % 5 = 0 THEN 'TimeoutError: busy' END AS error, cast(CASE WHEN n % 5 = 0 THEN 2 ELSE 1 END AS bigint) AS attempts
+  FROM (SELECT passage_id, task_code, len(raw_text_trad || task_code) AS n FROM jobs JOIN corpus USING (passage_id))""")
 def g06(spark, sf):
-    jobs = jobs_and_done(spark, sf)[0].withColumn("prompt", M.build_prompt(F.col("task_code")))
+    jobs = jobs_and_done(spark, sf)[0].withColumn("prompt", F.concat("raw_text_trad", "task_code"))
     return M.complete(jobs, _echo, 4, max_retries=1, pause=0.0)
 
 
@@ -505,6 +506,20 @@ def v09(spark, sf):
     return V.validate_mcq(broken(D.corpus(spark, sf))).select("item_id", "ok", F.array_join("errors", ";").alias("errors"), F.array_join("warnings", ";").alias("warnings"))
 
 
+ANSWERS = """CASE passage_idx % 12 WHEN 0 THEN '""' WHEN 1 THEN '[]' WHEN 2 THEN '{}' WHEN 3 THEN 'null' WHEN 4 THEN '0' WHEN 5 THEN 'false' WHEN 6 THEN '"甲"' WHEN 7 THEN '["甲"]' WHEN 8 THEN '{"x": "甲"}' WHEN 9 THEN '7' WHEN 10 THEN '0.0' ELSE 'true' END"""
+CHOICE = f"""'{{"question": "問", "options": ["甲", "乙", "丙"], "evidence_spans": [null, "' || CASE passage_idx % 5 WHEN 0 THEN '無此文字' ELSE '' END || '"], "answer": ' || {ANSWERS} || '}}'"""
+
+
+@query("v06_model_answers", JOBS + """ SELECT passage_id, task_code, passage_idx % 12 IN (6, 7, 8, 9, 11) AND passage_idx % 5 <> 0 AS ok,
+  concat_ws(';', CASE WHEN passage_idx % 5 = 0 THEN 'span:無此文字' END, CASE WHEN passage_idx % 12 NOT IN (6, 7, 8, 9, 11) THEN 'mcq_without_answer' END) AS errors FROM jobs""")
+def v06m(spark, sf):
+    full = stored(D.corpus(spark, sf), "corpus")
+    said = G.model_jobs(full, ALL_TASKS).select("passage_id", "task_code", F.expr(CHOICE).alias("reply"))
+    rows = full.withColumns({"source_text": F.col("raw_text_trad"), "source_normalized": F.col("normalized_text")})
+    found = V.validate(M.items_from_replies(said, rows, "m1", carry=("source_text", "source_normalized")))
+    return found.select("passage_id", "task_code", "ok", F.array_join("errors", ";").alias("errors"))
+
+
 # ---------------------------------------------------------------- samples
 
 
@@ -615,15 +630,17 @@ def d02(spark, sf):
     return R.stratified_sample(D.corpus(spark, sf), "category_level_1", 20, 5).select("passage_id", "category_level_1")
 
 
-@query("d03_trace_spans", f"SELECT item_id AS span_id, passage_id FROM (SELECT item_id, {Q.normalize('split_part(text, chr(46), 1)')} AS n FROM benchmark) b JOIN corpus c ON n <> '' AND contains(normalized_text, n)")
+@query("d03_trace_spans", f"""SELECT DISTINCT span_id, passage_id FROM (SELECT span_id, {Q.normalize('span')} AS n FROM (SELECT item_id || ':' || i AS span_id, p[i] AS span FROM
+  (SELECT item_id, string_split(text, '.') AS p, unnest(range(1, len(string_split(text, '.')) + 1)) AS i FROM benchmark))) b JOIN corpus c ON n <> '' AND contains(normalized_text, n)""")
 def d03(spark, sf):
-    spans = D.table(spark, sf, "benchmark").select(F.col("item_id").alias("span_id"), F.split_part("text", F.lit("."), F.lit(1)).alias("span"))
+    sentences = D.table(spark, sf, "benchmark").select("item_id", F.posexplode(F.split("text", "[.]", -1)).alias("i", "span"))
+    spans = sentences.select(F.concat_ws(":", "item_id", F.col("i") + 1).alias("span_id"), "span")
     return C.trace_spans(spans, stored(D.corpus(spark, sf), "corpus"))
 
 
-@query("job_simple", ", ok AS (SELECT *, sha256('11:' || passage_id) AS k FROM pitems WHERE len(raw_text_trad) >= 20), pos AS (SELECT *, row_number() OVER (ORDER BY k, passage_id, task_rank, formula_no) AS p FROM ok), ranked AS (SELECT *, row_number() OVER (PARTITION BY task_code, book_id ORDER BY p) AS rn, min(p) OVER (PARTITION BY task_code, book_id) AS f FROM pos) SELECT item_id FROM (SELECT * FROM ranked ORDER BY rn, f LIMIT 500)")
+@query("job_simple", ", ok AS (SELECT *, sha256('11:' || passage_id) AS k FROM pitems WHERE len(raw_text_trad) >= 20), pos AS (SELECT *, row_number() OVER (ORDER BY k, passage_id, task_rank, formula_no) AS p FROM ok), ranked AS (SELECT *, row_number() OVER (PARTITION BY task_code, book_id ORDER BY p) AS rn, min(p) OVER (PARTITION BY task_code, book_id) AS f FROM pos) SELECT item_id FROM (SELECT * FROM ranked ORDER BY rn, f LIMIT 5000)")
 def job_simple(spark, sf):
-    return J.simple(D.pilot_corpus(spark, sf, 20), 500, 11).select("item_id")
+    return J.simple(D.pilot_corpus(spark, sf, 20), 5000, 11).select("item_id")
 
 
 @query("job_release_items", CAPPED.replace("FROM items", "FROM pitems") + " SELECT pilot, item_id, task_code FROM capped")
@@ -660,11 +677,9 @@ def _answer(system: str, prompt: str, max_tokens: int, temperature: float) -> st
     return '{"question": "q", "answer": "a"}'
 
 
-@query("st3_model_waves", JOBS + " SELECT passage_id, task_code FROM (SELECT passage_id, task_code FROM jobs ORDER BY sha256('0:' || passage_id || '|' || task_code) LIMIT 200)")
+@query("st3_model_waves", JOBS + " SELECT passage_id, task_code, 'T' || wave AS wave FROM (SELECT passage_id, task_code, 1 + (row_number() OVER (ORDER BY sha256('0:' || passage_id || '|' || task_code)) - 1) // greatest(1, cast(ceil(count(*) OVER () / 3) AS bigint)) AS wave FROM jobs)")
 def st3(spark, sf):
+    """All jobs in three waves, each as large as a third of them."""
     full = stored(D.corpus(spark, sf), "corpus")
-    done = None
-    for _ in range(2):  # each wave leaves out what the waves before have done
-        replies, _ = J.model_wave(full, ALL_TASKS, _answer, "m1", done, 100, 4, store=lambda df: stored(df, "replies"), pause=0.0)
-        done = replies if done is None else done.union(replies)
-    return done.select("passage_id", "task_code")
+    waves = J.model_waves(full, ALL_TASKS, _answer, "m1", 3, 4, store=lambda df: stored(df, "replies"), pause=0.0)
+    return J.union(replies.select("passage_id", "task_code", F.lit(f"T{n}").alias("wave")) for n, (replies, _) in enumerate(waves, 1))

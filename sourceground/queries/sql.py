@@ -51,7 +51,7 @@ def bare(e: str) -> str:
 
 
 def found(needle: str, source: str = "raw_text_trad", normal: str = "normalized_text") -> str:
-    return f"coalesce({needle} = '' OR contains({source}, {needle}) OR contains({normal}, {normalize(needle)}), false)"
+    return f"coalesce({needle} IS NULL OR {needle} = '' OR contains({source}, {needle}) OR contains({normal}, {normalize(needle)}), false)"
 
 
 def restricted(e: str) -> str:

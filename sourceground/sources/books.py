@@ -70,12 +70,19 @@ def file_order(files: DataFrame) -> DataFrame:
 
 
 def book_lines(files: DataFrame, order: DataFrame | None = None) -> DataFrame:
-    """(book_id, line_no, line): the files' lines one after another; the metadata block of ``index.txt`` is left out."""
+    """(book_id, line_no, line): the files' lines one after another; the metadata block of ``index.txt`` is left out.
+
+    Only the files' line counts meet in a window of a book; lines are numbered inside their file.
+    """
     order = order if order is not None else file_order(files)
     body = F.when(F.col("file_name") == "index.txt", F.regexp_replace("content", r"(?s)<book>(.*?)</book>", "")).otherwise(F.col("content"))
-    exploded = files.join(order, ["book_id", "file_name"]).select("book_id", "file_ord", F.posexplode(split_lines(body)).alias("pos", "line"))
-    at = Window.partitionBy("book_id").orderBy("file_ord", "pos")
-    return exploded.select("book_id", F.row_number().over(at).cast("long").alias("line_no"), "line")
+    dealt = files.join(order, ["book_id", "file_name"]).repartition("book_id", "file_ord")  # files of one book go to all tasks
+    cut = dealt.select("book_id", "file_ord", split_lines(body).alias("lines"))
+    before = Window.partitionBy("book_id").orderBy("file_ord").rowsBetween(Window.unboundedPreceding, -1)
+    counts = cut.select("book_id", "file_ord", F.size("lines").cast("long").alias("n"))
+    offsets = counts.select("book_id", "file_ord", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("offset"))
+    numbered = cut.join(offsets, ["book_id", "file_ord"]).select("book_id", "offset", F.posexplode("lines").alias("pos", "line"))
+    return numbered.select("book_id", (F.col("offset") + F.col("pos") + 1).alias("line_no"), "line")
 
 
 def metadata_map(index_text: Column) -> Column:

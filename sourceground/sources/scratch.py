@@ -9,10 +9,15 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A new path below ``spark.checkpoint.dir``; Hadoop deletes it when the driver ends. A temporary folder serves where none is set (tests)."""
+    """A new path below ``spark.checkpoint.dir``; Hadoop deletes it when the driver ends.
+
+    Where none is set, a local session takes a temporary folder; a cluster must set one.
+    """
     sc = spark.sparkContext
     root = sc.getConf().get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if not root:
+        if not sc.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
         sc.setCheckpointDir(tempfile.mkdtemp(prefix="spark-scratch-"))
         root = sc.getCheckpointDir()
     path = f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex}"
@@ -23,6 +28,11 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return path
 
 
+def exists(spark: SparkSession, path: str) -> bool:
+    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(where)
+
+
 def stored(df: DataFrame, name: str) -> DataFrame:
     """Write once as Parquet and read back: later steps reuse it, and a lost executor costs a reread."""
     path = scratch_path(df.sparkSession, name)

@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
+import zlib
+
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
 from ..operators import generate, validate
+from ..sources.scratch import exists
 
 
 def stream_items(spark: SparkSession, corpus_path: str, schema: StructType, tasks: list[str], max_files: int | None = None) -> DataFrame:
@@ -23,17 +27,20 @@ def write_items(items: DataFrame, out: str, checkpoint: str) -> StreamingQuery:
 
 
 def write_new_items(items: DataFrame, out: str, checkpoint: str) -> StreamingQuery:
-    """As ``write_items``, without items whose passage and task the sink has: an anti-join for each batch, so no state grows."""
-
-    def add(batch: DataFrame, _: int) -> None:
-        session = batch.sparkSession
-        fresh = batch.where("ok")
-        try:
-            done = session.read.schema(batch.schema).parquet(out)
-            fresh = generate.resume(fresh, done)
-        except Exception as e:  # noqa: BLE001
-            if "PATH_NOT_FOUND" not in str(e):
-                raise
-        fresh.write.mode("append").parquet(out)
+    """As ``write_items``, without items whose passage and task the sink has: an anti-join for each batch, so no state grows.
+
+    Of the sink only the two key columns are read. An item that a batch holds twice is
+    written once. A batch that is run again replaces what it wrote before, in a folder
+    named by checkpoint and batch.
+    """
+    run = f"run={zlib.crc32(checkpoint.encode()):08x}"
+
+    def add(batch: DataFrame, number: int) -> None:
+        session, mine = batch.sparkSession, f"{out}/{run}/batch={number}"
+        fresh = batch.where("ok").dropDuplicates(["item_id"])
+        if exists(session, out):
+            done = session.read.schema("passage_id string, task_code string, run string, batch long").option("basePath", out).parquet(out)
+            fresh = generate.resume(fresh, done.where((F.concat(F.lit("run="), "run") != run) | (F.col("batch") != number)))
+        fresh.write.mode("overwrite").parquet(mine)
 
     return items.writeStream.foreachBatch(add).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()

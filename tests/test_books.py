@@ -3,6 +3,7 @@
 import random
 import re
 
+import pytest
 from pyspark.sql import functions as F
 
 from sourceground.operators import corpus as C
@@ -94,7 +95,11 @@ def plain(lines):
     return out
 
 
-def test_segmentation_matches_a_loop(spark):
+@pytest.mark.parametrize(("part", "run"), [(2000, 250), (4, 2)])
+def test_segmentation_matches_a_loop(spark, monkeypatch, part, run):
+    """In whole books, and in parts so short that blocks, passages and headings run across them."""
+    monkeypatch.setattr(W, "PART", part)
+    monkeypatch.setattr(W, "NUMBERED", run)
     rng = random.Random(3)
     parts = ["", " ", "文一", "文二，", "<F>", "</F>", "<F>方</F>", "=== a ===", "==== b ====", "===== c =====", "文</F>尾", "=== d === <F>"]
     books = {f"b{i}": [rng.choice(parts) for _ in range(rng.randint(0, 25))] for i in range(150)}
@@ -122,3 +127,10 @@ def test_deduplicate_and_trace(spark):
     assert sorted(tuple(r) for r in C.trace_spans(spans, corpus).collect()) == [(1, "p1"), (1, "p3"), (2, "p2")]
     assert C.trace_spans(spans.limit(0), corpus).count() == 0
     assert corpus.where(F.lit(False)).count() == 0
+
+
+def test_no_heading_level_is_lost(spark):
+    rows = [("a", n, "=" * (n + 2) + f" t{n} " + "=" * (n + 2)) for n in range(1, 31)] + [("a", 31, "=== low ==="), ("a", 32, "text")]
+    lines = spark.createDataFrame(rows, "book_id string, line_no long, line string")
+    assert W.heading_levels(lines) == list(range(32, 2, -1))
+    assert [r.heading_path for r in W.passages(lines).collect()] == [["t30", "low"]]

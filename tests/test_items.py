@@ -66,6 +66,23 @@ def test_replies_to_items(spark, corpus):
     assert items["T7"].answer_text == "A" and items["T7"].options == ["A", "B", "C"] and items["T7"].distractors[0].option == "B"
 
 
+@pytest.mark.parametrize(("answer", "ok"), [('""', False), ("[]", False), ("{}", False), ("null", False), ("0", False), ("-0.0", False), ("false", False), ('"A"', True), ("[0]", True), ('{"x": null}', True), ("2", True), ("true", True), (None, True)])
+def test_empty_model_answers_are_none(spark, corpus, answer, ok):
+    said = '{"question": "q", "options": ["A","B","C"], "evidence_spans": [null, ""]' + (f', "answer": {answer}' if answer else "") + "}"
+    rows = corpus.limit(1).withColumns({"source_text": F.col("raw_text_trad"), "source_normalized": F.col("normalized_text")})
+    replies = rows.select("passage_id", F.lit("T7").alias("task_code"), F.lit(said).alias("reply"))
+    found = V.validate(M.items_from_replies(replies, rows, "m", carry=("source_text", "source_normalized"))).first()
+    assert (found.ok, found.errors) == (ok, [] if ok else ["mcq_without_answer"])
+    assert (found.answer_text is None) or (found.answer_json is None)
+
+
+def test_waves_take_every_job_once(spark, corpus):
+    waves = J.model_waves(corpus, list(TASKS), lambda *a, **k: '{"answer": "a"}', "m", 3, 4, store=lambda df: stored(df, "replies"), pause=0.0)
+    done = J.union(r for r, _ in waves).select("passage_id", "task_code")
+    jobs = G.model_jobs(corpus, list(TASKS)).select("passage_id", "task_code")
+    assert len(waves) == 3 and done.count() == done.distinct().count() == jobs.count() and jobs.exceptAll(done).count() == 0
+
+
 def test_model_calls_and_accounting(spark):
     def flaky(system, prompt, max_tokens, temperature):
         if "T-bad" in prompt:
@@ -143,3 +160,15 @@ def test_streaming_resumes(spark, corpus):
     for _ in range(2):  # the rerun adds nothing
         write_items(stream_items(spark, f"{base}/in", corpus.schema, ["T1", "T6"], 1), f"{base}/out", f"{base}/state").awaitTermination()
     assert spark.read.parquet(f"{base}/out").count() == G.generate_items(corpus, ["T1", "T6"]).count()
+
+
+def test_new_items_are_written_once(spark, corpus):
+    from sourceground.streaming.items import stream_items, write_new_items
+
+    base = scratch_path(spark, "stream")
+    corpus.union(corpus).coalesce(1).write.parquet(f"{base}/in")
+    corpus.repartition(2).write.mode("append").parquet(f"{base}/in")
+    for k in (0, 1, 0):  # twice on states of their own, then again on the first
+        write_new_items(stream_items(spark, f"{base}/in", corpus.schema, ["T1", "T6"], 1), f"{base}/out", f"{base}/state{k}").awaitTermination()
+    items = spark.read.parquet(f"{base}/out")
+    assert items.count() == items.select("item_id").distinct().count() == G.generate_items(corpus, ["T1", "T6"]).count()
