@@ -1,14 +1,16 @@
 """Main text of web pages by wrapper induction.
 
-Pages of one host share a layout. The host's exemplar page (smallest hash of its id) is
-reduced to a skeleton: tags, classes and a hash of each node's own text. Every page of the
-host is aligned with it by simple tree matching, and how often each skeleton node was
-matched, had the exemplar's text, and how many words it held are summed over all pages:
-nodes of constant text are template, the others are slots. The slot that holds the words
-is the host's content node; each page is aligned once more and read from there.
-
-Skeletons and sums are a few hundred bytes for a host, so pages join them without moving
-html while all hosts together stay under a checked size, and by a shuffle on host beyond.
+Pages of one host that use the same structural tags share a layout. Each page is reduced
+to a skeleton: its block elements, and for each a hash and the word count of its own text.
+A layout's exemplar is aligned with every distinct page of the layout by simple tree
+matching (structure decides, equal texts break ties). Sums over these alignments tell
+template from content: a node whose text is the same on nearly all pages is template, the
+others are slots, and the content node is where the words of the slots are. Each page is
+aligned once more and read from that node, without the template nodes below it.
+
+Tags that are never running text (menus, footers, forms, scripts and the like) are left out
+everywhere. Class names decide only where nothing can be induced: on hosts with fewer
+than ``LEAST`` distinct pages, and on pages that hold no match of the content node.
 """
 
 from __future__ import annotations
@@ -19,6 +21,7 @@ import re
 import zlib
 from collections import OrderedDict
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -28,10 +31,11 @@ from .common import materialize
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW = frozenset("script style textarea title noscript template iframe svg math".split())
 INLINE = frozenset("a abbr b bdi bdo big br cite code data del dfn em font i img ins kbd label mark q rp rt ruby s samp small span strike strong sub sup time tt u var wbr".split())
-#: Never content, wherever they stand.
+#: Never running text, wherever they stand.
 DROPPED = frozenset("nav footer aside form button select option input textarea script style noscript template iframe svg math head title dialog menu object canvas audio video".split())
 DROPPED_ROLES = frozenset("navigation banner contentinfo complementary search dialog alert menu menubar".split())
-DROPPED_NAMES = re.compile(
+#: Class names and ids of what is no article; only for pages without a wrapper.
+NAMES = re.compile(
     r"(?:^|[\s_-])(?:ads?|adverts?|advertisement|advertising|sponsor(?:ed)?|promo(?:tion)?|banner|sidebars?|side|menus?|nav|navbar|navigation|breadcrumbs?|footer|site-?header|masthead|"
     r"cookies?|consent|notices?|notifications?|alert|popup|modal|overlay|newsletter|subscribe|signup|login|comments?|disqus|replies|respond|share|sharing|social|related|recommended|widget|pagination|pager|skip|hidden)(?:$|[\s_-])",
     re.I,
@@ -39,26 +43,41 @@ DROPPED_NAMES = re.compile(
 CLOSES_P = frozenset("address article aside blockquote center details div dl fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hr main menu nav ol p pre section table ul".split())
 CLOSES = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}}
 SCOPES = frozenset("ul ol dl table div article section main body".split())
+#: Elements that hold an article or parts of a page, as lists, headings and paragraphs do not.
+HOLDERS = frozenset("#root html body div section article main center table tbody tr td".split())
+PARAGRAPHS = frozenset("p h1 h2 h3 h4 h5 h6 ul ol dl blockquote pre figure".split())
 
 TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^\"'>]|\"[^\"]*\"|'[^']*')*)>|<[!?][^>]*>|<[/!?a-zA-Z][^>]*\Z", re.S)
 ATTRIBUTE = re.compile(r"(class|id|role|hidden|aria-hidden)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?", re.I)
+DIGITS = re.compile(r"\d+")
 
-DEEPEST = 150
+#: Distinct pages from which a wrapper is induced; share of them that makes a text constant; share of the words that leads to a child.
+LEAST, CONSTANT, MOST = 3, 0.9, 0.5
+#: Exemplars have at most so many nodes where a layout has such pages.
+EXEMPLAR_NODES = 2000
 
 
 class Node:
-    __slots__ = ("depth", "drop", "key", "kids", "parent", "tag")
+    __slots__ = ("drop", "key", "kids", "named", "parent", "tag")
 
-    def __init__(self, tag: str, key: str, drop: bool, parent: "Node | None"):
-        self.tag, self.key, self.drop, self.parent, self.kids = tag, key, drop, parent, []
-        self.depth = parent.depth + 1 if parent else 0
+    def __init__(self, tag: str, key: str, drop: bool, named: bool, parent: "Node | None"):
+        self.tag, self.key, self.drop, self.named, self.parent, self.kids = tag, key, drop, named, parent, []
 
 
 def parse(html: str | None) -> Node:
     """A tree of a page; text pieces are strings among ``kids``. Bad markup never fails."""
-    root = node = Node("#root", "#root", False, None)
+    root = node = Node("#root", "#root", False, False, None)
     html = html or ""
     at, end = 0, len(html)
+    opened: dict[str, int] = {}
+
+    def leave(to: Node) -> Node:
+        n = node
+        while n is not to:
+            opened[n.tag] -= 1
+            n = n.parent
+        return to
+
     while at < end:
         m = TOKEN.search(html, at)
         if m is None:
@@ -72,57 +91,55 @@ def parse(html: str | None) -> Node:
             continue
         tag = tag.lower()
         if m.group(1):
+            if not opened.get(tag):
+                continue
             up = node
-            while up is not root and up.tag != tag:
+            while up.tag != tag:
                 if tag in ("p", "li", "td", "th", "tr") and up.tag in SCOPES:
-                    up = root
+                    up = None
                     break
                 up = up.parent
-            if up is not root:
-                node = up.parent
+            if up is not None:
+                node = leave(up.parent)
             continue
         if tag in CLOSES_P:
             up = node
             while up is not root and up.tag in INLINE:
                 up = up.parent
             if up.tag == "p":
-                node = up.parent
+                node = leave(up.parent)
         elif tag in CLOSES:
             up = node
             while up is not root and up.tag not in SCOPES and up.tag not in CLOSES[tag]:
                 up = up.parent
             if up.tag in CLOSES[tag]:
-                node = up.parent
+                node = leave(up.parent)
                 if tag == "tr" and node.tag == "tr":
-                    node = node.parent
+                    node = leave(node.parent)
         attributes = m.group(3)
-        drop, key = tag in DROPPED, tag
+        drop, named, key = tag in DROPPED, False, tag
         if attributes and not attributes.isspace():
             for name, *values in ATTRIBUTE.findall(attributes):
                 value, name = next((v for v in values if v), ""), name.lower()
                 if name in ("class", "id"):
-                    key += f".{value}"
-                    drop = drop or bool(DROPPED_NAMES.search(value))
+                    key += f".{DIGITS.sub('#', value)}"
+                    named = named or bool(NAMES.search(value))
                 elif name == "role":
                     drop = drop or value.lower() in DROPPED_ROLES
                 else:
                     drop = drop or value.lower() != "false"
         if tag in ("html", "body", "article", "main", "h1"):
-            drop = False
-        if tag == "header":  # of the page, unless it opens the article
-            up = node
-            while up is not root and up.tag not in ("article", "main"):
-                up = up.parent
-            drop = drop or up is root
-        while node.depth >= DEEPEST and tag not in VOID:  # deeper nesting is flattened
-            node = node.parent
-        new = Node(tag, key, drop, node)
+            drop = named = False
+        if tag == "header" and not (opened.get("article") or opened.get("main")):
+            drop = True  # of the page; in an article it opens the text
+        new = Node(tag, key, drop, named, node)
         node.kids.append(new)
         if tag in RAW:
             close = re.compile(rf"</{re.escape(tag)}\s*(?:>|\Z)", re.I).search(html, at)
             at = close.end() if close else end
         elif tag not in VOID and not attributes.endswith("/"):
             node = new
+            opened[tag] = opened.get(tag, 0) + 1
     return root
 
 
@@ -130,53 +147,70 @@ def elements(node: Node) -> list[Node]:
     return [k for k in node.kids if k.__class__ is Node and k.tag not in INLINE and k.tag not in RAW]
 
 
-def words_in(node: Node) -> int:
-    """Words of a subtree that are neither dropped nor inside links."""
-    if node.drop or node.tag == "a":
-        return 0
-    return sum(len(k.split()) if k.__class__ is str else words_in(k) for k in node.kids)
+def words_in(node: Node, by_name: bool = True) -> int:
+    """Words of a subtree that are neither dropped nor inside links; ``by_name`` also leaves out what class names drop."""
+    total, stack = 0, [node]
+    while stack:
+        n = stack.pop()
+        if n.__class__ is str:
+            total += len(n.split())
+        elif not (n.drop or n.tag == "a" or (by_name and n.named)):
+            stack += n.kids
+    return total
 
 
-def own_text(node: Node) -> str:
-    """Text of a node and its inline children, in normal white space."""
+def own_text(node: Node) -> tuple[str, int]:
+    """Text of a node and its inline children in normal white space, and its words outside links."""
     parts: list[str] = []
-
-    def walk(n: Node) -> None:
-        for k in n.kids:
-            if k.__class__ is str:
-                parts.append(k)
-            elif k.tag in INLINE:
-                walk(k)
-
-    walk(node)
-    return " ".join(" ".join(parts).split())
+    words, stack = 0, [(k, False) for k in reversed(node.kids)]
+    while stack:
+        k, linked = stack.pop()
+        if k.__class__ is str:
+            parts.append(k)
+            words += 0 if linked else len(k.split())
+        elif k.tag in INLINE:
+            stack += [(x, linked or k.tag == "a") for x in reversed(k.kids)]
+    return " ".join(" ".join(parts).split()), words
 
 
 class Bone:
-    """A skeleton node."""
+    """A skeleton node: ``sig`` names the structure of its subtree, ``said`` hashes all texts in it."""
 
-    __slots__ = ("at", "drop", "key", "kids", "tag", "text")
+    __slots__ = ("at", "drop", "key", "kids", "node", "said", "sig", "tag", "text", "words")
 
-    def __init__(self, at: int, tag: str, key: str, drop: bool, text: int):
-        self.at, self.tag, self.key, self.drop, self.text, self.kids = at, tag, key, drop, text, []
+    def __init__(self, at: int, tag: str, key: str, drop: bool, text: int, words: int, node: Node | None = None):
+        self.at, self.tag, self.key, self.drop, self.text, self.words, self.node, self.kids = at, tag, key, drop, text, words, node, []
 
 
-def skeleton(root: Node) -> str:
-    """Pre-order list of [depth, tag, key, drop, hash of own text], as JSON."""
-    out: list = []
-    stack = [(root, 0)]
+def bones_of(root: Node) -> list[Bone]:
+    """The block elements of a page in page order."""
+    made: list[Bone] = []
+    stack: list[tuple[Node, Bone | None]] = [(root, None)]
     while stack:
-        node, depth = stack.pop()
-        out.append([depth, node.tag, node.key, int(node.drop), zlib.crc32(own_text(node).encode())])
-        stack += [(k, depth + 1) for k in reversed(elements(node))]
-    return json.dumps(out, ensure_ascii=False, separators=(",", ":"))
+        node, above = stack.pop()
+        text, words = own_text(node)
+        bone = Bone(len(made), node.tag, node.key, node.drop, zlib.crc32(text.encode()) if text else 0, words, node)
+        made.append(bone)
+        if above is not None:
+            above.kids.append(bone)
+        stack += [(k, bone) for k in reversed(elements(node))]
+    return made
+
+
+def skeleton(made: list[Bone]) -> str:
+    """[depth, tag, key, drop, hash of own text, words] of each bone, as JSON."""
+    depth = {made[0].at: 0}
+    for b in made:
+        depth |= dict.fromkeys((k.at for k in b.kids), depth[b.at] + 1)
+    return json.dumps([[depth[b.at], b.tag, b.key, int(b.drop), b.text, b.words] for b in made], ensure_ascii=False, separators=(",", ":"))
 
 
 def bones(text: str) -> list[Bone]:
+    """The bones that ``skeleton`` wrote."""
     made: list[Bone] = []
     path: list[Bone] = []
-    for at, (depth, tag, key, drop, crc) in enumerate(json.loads(text)):
-        bone = Bone(at, tag, key, bool(drop), crc)
+    for at, (depth, tag, key, drop, crc, words) in enumerate(json.loads(text)):
+        bone = Bone(at, tag, key, bool(drop), crc, words)
         made.append(bone)
         del path[depth:]
         if path:
@@ -185,78 +219,170 @@ def bones(text: str) -> list[Bone]:
     return made
 
 
-def tree_match(a: Node, b: Bone, cells: int = 40_000) -> list[tuple[Node, Bone]]:
-    """Simple tree matching: the largest order-keeping match of nodes with equal keys whose parents match.
+def best_pairs(weights, n: int, m: int, cells: int = 1 << 24) -> list[tuple[int, int]]:
+    """The order-keeping pairs (i, j) of largest total weight; ``weights(i)`` is row i over all m columns, 0 where a pair may not be.
 
-    Lists of children whose product exceeds ``cells`` are aligned greedily in order.
+    A row of the table is one running maximum. Tables beyond ``cells`` are halved at the
+    row's best split, so memory stays bounded and the result exact.
     """
-    size: dict[tuple[int, int], int] = {}
-    kids: dict[int, list[Node]] = {}
-
-    def of(n: Node) -> list[Node]:
-        if (k := kids.get(id(n))) is None:
-            k = kids[id(n)] = elements(n)
-        return k
-
-    def align(x: Node, y: Bone) -> list[tuple[Node, Bone]]:
-        xs, ys = of(x), y.kids
-        if not xs or not ys:
-            return []
-        keys = {k.key for k in xs} | {k.key for k in ys}
-        if len(keys) == 1 and not any(k.kids for k in ys):
-            return list(zip(xs, ys, strict=False))
-        if len(xs) * len(ys) > cells:
-            pairs, at = [], 0
-            ahead: dict[str, list[int]] = {}
-            for i, k in enumerate(ys):
-                ahead.setdefault(k.key, []).append(i)
-            for k in xs:
-                if later := ahead.get(k.key):
-                    while later and later[0] < at:
-                        later.pop(0)
-                    if later and later[0] <= at + 50:
-                        pairs.append((k, ys[later[0]]))
-                        at = later[0] + 1
-            return pairs
-        table = [[0] * (len(ys) + 1)]
-        for k in xs:
-            above, row = table[-1], [0]
-            for j, q in enumerate(ys):
-                best = above[j + 1] if above[j + 1] > row[j] else row[j]
-                if k.key == q.key:
-                    w = above[j] + weigh(k, q)
-                    if w > best:
-                        best = w
-                row.append(best)
-            table.append(row)
-        pairs, i, j = [], len(xs), len(ys)
+    if not n or not m:
+        return []
+
+    def last_row(rows, flip: bool, lo: int, hi: int) -> np.ndarray:
+        best = np.zeros(hi - lo + 1)
+        for i in rows:
+            w = weights(i)[lo:hi]
+            grown = best.copy()
+            np.maximum(grown[1:], best[:-1] + (w[::-1] if flip else w), out=grown[1:])
+            best = np.maximum.accumulate(grown)
+        return best
+
+    found: list[tuple[int, int]] = []
+    stack = [(0, n, 0, m)]
+    while stack:
+        top, end, lo, hi = stack.pop()
+        if top == end or lo == hi:
+            continue
+        if (end - top) * (hi - lo) > cells and end - top > 1:
+            mid = (top + end) // 2
+            above, below = last_row(range(top, mid), False, lo, hi), last_row(range(end - 1, mid - 1, -1), True, lo, hi)
+            cut = lo + int(np.argmax(above + below[::-1]))
+            stack += [(top, mid, lo, cut), (mid, end, cut, hi)]
+            continue
+        best = np.zeros(hi - lo + 1)
+        up, taken = [], []
+        for i in range(top, end):
+            w = weights(i)[lo:hi]
+            diagonal = np.where(w > 0, best[:-1] + w, -1.0)
+            grown = best.copy()
+            np.maximum(grown[1:], diagonal, out=grown[1:])
+            now = np.maximum.accumulate(grown)
+            up.append(np.packbits(now == best))
+            taken.append(np.packbits(np.append(False, now[1:] == diagonal)))
+            best = now
+        i, j = end - top, hi - lo
+        bit = lambda row, at: row[at >> 3] >> (7 - (at & 7)) & 1
         while i and j:
-            if table[i][j] == table[i - 1][j]:
+            if bit(up[i - 1], j):
                 i -= 1
-            elif table[i][j] == table[i][j - 1]:
-                j -= 1
-            else:
+            elif bit(taken[i - 1], j):
                 i, j = i - 1, j - 1
-                pairs.append((xs[i], ys[j]))
-        return pairs[::-1]
-
-    def weigh(x: Node, y: Bone) -> int:
-        if not y.kids or not of(x):
-            return 1
-        if (got := size.get((id(x), y.at))) is None:
-            got = size[id(x), y.at] = 1 + sum(weigh(p, q) for p, q in align(x, y))
-        return got
-
-    found, stack = [], [(a, b)]
-    while stack:
-        x, y = stack.pop()
-        found.append((x, y))
-        stack += align(x, y)
-    return found
-
-
-def blocks(node: Node, template: frozenset[int] = frozenset()) -> list[str]:
-    """Texts of the blocks below ``node`` in page order, without dropped nodes and those in ``template``."""
+                found.append((top + i, lo + j))
+            else:
+                j -= 1
+    return sorted(found)
+
+
+class Matcher:
+    """Simple tree matching, with the structures of subtrees numbered so that equal ones are compared once."""
+
+    def __init__(self, most: int = 200_000):
+        self.most, self.numbers, self.shapes, self.sizes = most, {}, [], {}
+
+    def number(self, made: list[Bone]) -> list[Bone]:
+        """Sets ``sig`` and ``said`` of each bone."""
+        for b in reversed(made):
+            shape = (b.key, *(k.sig for k in b.kids))
+            if (sig := self.numbers.get(shape)) is None:
+                sig = self.numbers[shape] = len(self.shapes)
+                self.shapes.append(shape)
+            b.sig, b.said = sig, hash((b.text, *(k.said for k in b.kids))) if b.kids else b.text
+        return made
+
+    def full(self) -> bool:
+        """Has the memory bound been reached? Then a new matcher must number all trees anew."""
+        return len(self.shapes) + len(self.sizes) > self.most
+
+    def _common(self, x: int, y: int) -> int | None:
+        """Nodes that two structures with equal keys can share; None if pairs of children are still to be sized."""
+        xs, ys = self.shapes[x][1:], self.shapes[y][1:]
+        if x == y:
+            return self._nodes(x)
+        waiting = [(p, q) for p in set(xs) for q in set(ys) if self.shapes[p][0] == self.shapes[q][0] and (p, q) not in self.sizes]
+        if waiting:
+            self.stack += waiting
+            return None
+        return 1 + int(sum(self._row(p, ys)[j] for p, j in ((xs[i], j) for i, j in best_pairs(self._rows(xs, ys), len(xs), len(ys)))))
+
+    def _nodes(self, sig: int) -> int:
+        total, stack = 0, [sig]
+        while stack:
+            total += 1
+            stack += self.shapes[stack.pop()][1:]
+        return total
+
+    def _row(self, p: int, ys) -> np.ndarray:
+        key = self.shapes[p][0]
+        return np.array([self.sizes[p, q] if self.shapes[q][0] == key else 0 for q in ys], float)
+
+    def _rows(self, xs, ys):
+        rows: dict[int, np.ndarray] = {}
+
+        def row(i: int) -> np.ndarray:
+            p = xs[i]
+            if p not in rows:
+                rows[p] = self._row(p, ys)
+            return rows[p]
+
+        return row
+
+    def size(self, x: int, y: int) -> int:
+        """Nodes of the largest match of two structures whose keys are equal."""
+        self.stack = [(x, y)]
+        while self.stack:
+            pair = self.stack[-1]
+            if pair not in self.sizes:
+                got = self._common(*pair)
+                if got is None:
+                    continue
+                self.sizes[pair] = got
+            self.stack.pop()
+        return self.sizes[x, y]
+
+    def match(self, a: Bone, b: Bone) -> list[tuple[Bone, Bone]]:
+        """Pairs of the largest order-keeping match of nodes with equal keys whose parents match; of equal ones that with most equal texts."""
+        found, stack = [], [(a, b)]
+        while stack:
+            x, y = stack.pop()
+            found.append((x, y))
+            if not x.kids or not y.kids:
+                continue
+            if x.sig == y.sig and x.said == y.said:
+                stack += zip(x.kids, y.kids, strict=True)
+                continue
+            xk, yk = [k.key for k in x.kids], [k.key for k in y.kids]
+            if xk == yk and len(set(xk)) == len(xk):
+                stack += zip(x.kids, y.kids, strict=True)
+                continue
+            flat = not any(k.kids for k in x.kids) or not any(k.kids for k in y.kids)
+            if flat and not {k.said for k in x.kids if k.said} & {k.said for k in y.kids if k.said}:
+                # Every pair weighs the same: equal ends belong together.
+                n, head, tail = min(len(xk), len(yk)), 0, 0
+                while head < n and xk[head] == yk[head]:
+                    head += 1
+                while tail < n - head and xk[-1 - tail] == yk[-1 - tail]:
+                    tail += 1
+                if head + tail == n:
+                    stack += [*zip(x.kids[:head], y.kids[:head], strict=True), *(zip(x.kids[-tail:], y.kids[-tail:], strict=True) if tail else ())]
+                    continue
+            xs, ys = [k.sig for k in x.kids], [k.sig for k in y.kids]
+            for p in set(xs):
+                for q in set(ys):
+                    if self.shapes[p][0] == self.shapes[q][0] and (p, q) not in self.sizes:
+                        self.size(p, q)
+            rows, said = self._rows(xs, ys), np.array([k.said for k in y.kids])
+            scale = 1.0 + min(len(xs), len(ys))  # all equal texts together weigh less than one node
+
+            def weights(i: int, rows=rows, said=said, kids=x.kids, scale=scale) -> np.ndarray:
+                row = rows(i)
+                return np.where(row > 0, scale * row + (said == kids[i].said), 0.0)
+
+            stack += [(x.kids[i], y.kids[j]) for i, j in best_pairs(weights, len(xs), len(ys))]
+        return found
+
+
+def blocks(node: Node, template: frozenset[int] = frozenset(), by_name: bool = False) -> list[str]:
+    """Texts of the blocks below ``node`` in page order, without dropped nodes and the own texts of those in ``template``."""
     out: list[str] = []
     held: list[str] = []
 
@@ -276,62 +402,62 @@ def blocks(node: Node, template: frozenset[int] = frozenset()) -> list[str]:
             held.append(x)
         elif x.tag == "br":
             held.append(" ")
-        elif not (x.drop or id(x) in template):
+        elif not (x.drop or (by_name and x.named)):
             if x.tag in INLINE:
                 stack += reversed(x.kids)
             else:
                 flush()
                 stack.append(None)
-                stack += reversed(x.kids)
+                stack += reversed(elements(x) if id(x) in template else x.kids)
     flush()
     return out
 
 
 def best_node(root: Node) -> Node:
-    """Where a page that no template explains holds its text: an article or main element, else the deepest node with most words."""
+    """Where a page that no wrapper explains holds its text: an article or main element, else the deepest node with most words."""
     named: list[tuple[int, Node]] = []
     stack = [root]
     while stack:
         n = stack.pop()
-        if n.drop:
+        if n.drop or n.named:
             continue
         if n.tag in ("article", "main"):
             named.append((words_in(n), n))
         stack += reversed(elements(n))
     if named:
-        main = [x for x in named if x[1].tag == "main"]
-        pool = [x for x in named if x[1].tag == "article"] or main
+        pool = [x for x in named if x[1].tag == "article"] or named
         return max(pool, key=lambda x: x[0])[1]
     node, total = root, words_in(root)
     while True:
-        inner = [(words_in(k), k) for k in elements(node) if not k.drop]
+        inner = [(words_in(k), k) for k in elements(node) if not k.drop and not k.named]
         top = max(inner, key=lambda x: x[0], default=(0, node))
         if top[0] < 0.8 * total or not elements(top[1]):
             return node
         node = top[1]
 
 
-def content_bone(tree: list[Bone], stats: dict[int, tuple[int, int, int]]) -> tuple[int, list[int]]:
-    """(index of the content node, indexes of constant nodes), from (pages, pages with the exemplar's text, words) of each node.
+def induce(tree: list[Bone], stats: dict[int, tuple[int, ...]]) -> tuple[int, list[int]]:
+    """(index of the content node, indexes of constant nodes), from (pages, pages with the commonest text, words) of each node.
 
-    A node is constant if it has words, at least three pages match it, and nine in ten have its text.
+    A node is constant if at least ``LEAST`` pages have text in it, and ``CONSTANT`` of them
+    the same. From the root down, the content is in the child with most words of slots,
+    while that is a holder with ``MOST`` of them; a holder without parts must have nearly
+    all. An article or main element that has paragraphs beside that child is taken whole.
     """
-    constant = [b.at for b in tree if (s := stats.get(b.at)) and s[0] >= 3 and s[1] >= 0.9 * s[0] and s[2] > 0 and b.tag not in ("#root", "html", "body")]
+    constant = [b.at for b in tree if (s := stats.get(b.at)) and s[0] >= LEAST and s[1] >= CONSTANT * s[0]]
     fixed = set(constant)
-    own = {b.at: (stats.get(b.at, (0, 0, 0))[2] if not b.drop and b.at not in fixed else 0) for b in tree}
     total: dict[int, int] = {}
     for b in reversed(tree):
-        total[b.at] = 0 if b.drop else own[b.at] + sum(total[k.at] for k in b.kids)
-    hidden: set[int] = set()
-    for b in tree:
-        if b.drop or b.at in hidden:
-            hidden |= {b.at, *(k.at for k in b.kids)}
-    for tag in ("article", "main"):
-        named = [b for b in tree if b.tag == tag and b.at not in hidden]
-        if named:
-            return max(named, key=lambda b: total[b.at]).at, constant
+        own = 0 if b.at in fixed else stats.get(b.at, (0, 0, 0))[2]
+        total[b.at] = 0 if b.drop else own + sum(total[k.at] for k in b.kids)
     node = tree[0]
-    while node.kids and (top := max(node.kids, key=lambda k: total[k.at])).kids and total[top.at] >= 0.8 * total[node.at] > 0:
+    while node.kids:
+        top = max(node.kids, key=lambda k: total[k.at])
+        share = total[top.at] / max(1, total[node.at])
+        if not total[top.at] or top.tag not in HOLDERS or share < (MOST if top.kids else 0.8):
+            break
+        if node.tag in ("article", "main") and any(k.tag in PARAGRAPHS and total[k.at] for k in node.kids):
+            break
         node = top
     return node.at, constant
 
@@ -341,110 +467,144 @@ def host_of(url: Column) -> Column:
     return F.lower(F.coalesce(F.regexp_extract(url, r"^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]+)", 1), F.lit("")))
 
 
-def small_or_shuffled(small: DataFrame, row_bytes: int, limit: int = 64 << 20) -> DataFrame:
-    """Broadcast a stored table while its rows, at ``row_bytes`` each, are proven to stay under ``limit``; else leave it to a shuffle."""
-    return F.broadcast(small) if small.count() * row_bytes <= limit else small
+def layout_of(html: Column) -> Column:
+    """A hash of the structural tags that a page uses."""
+    tags = F.regexp_extract_all(F.coalesce(html, F.lit("")), F.lit(r"<(article|main|header|section|table|nav|aside|footer|form)[\s>]"), F.lit(1))
+    return F.xxhash64(F.array_sort(F.array_distinct(tags)))
+
+
+def joined_with(pages: DataFrame, small: DataFrame, keys: list[str], row_bytes: int, limit: int = 64 << 20, salts: int = 16) -> DataFrame:
+    """``pages`` left-joined with a stored table: broadcast while its rows, at ``row_bytes`` each, are proven to stay under ``limit``.
+
+    Beyond, both sides are shuffled; pages of one key go to ``salts`` tasks, so a host with
+    a third of all pages is not one task.
+    """
+    if small.count() * row_bytes <= limit:
+        return pages.join(F.broadcast(small), keys, "left")
+    spread = small.withColumn("__salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+    dealt = pages.withColumn("__salt", F.pmod(F.xxhash64("page_id", "html" if "html" in pages.columns else "skeleton"), F.lit(salts)).cast("int"))
+    return dealt.join(spread, [*keys, "__salt"], "left").drop("__salt")
 
 
 class _Trees:
-    """Skeletons by text, for the hosts that a task met last."""
+    """Numbered skeletons by text, for the layouts that a task met last."""
 
-    def __init__(self, most: int = 2000):
-        self.held, self.most = OrderedDict(), most
+    def __init__(self, most: int = 500):
+        self.held, self.most, self.matcher = OrderedDict(), most, Matcher()
 
     def get(self, text: str) -> list[Bone]:
+        if self.matcher.full():
+            self.held.clear()
+            self.matcher = Matcher()
         tree = self.held.get(text)
         if tree is None:
-            tree = self.held[text] = bones(text)
+            tree = self.held[text] = self.matcher.number(bones(text))
             if len(self.held) > self.most:
                 self.held.popitem(last=False)
         return tree
 
 
-def host_templates(pages: DataFrame) -> DataFrame:
-    """(host, skeleton, content, constant array<int>) for each host of ``pages`` (page_id, host, html)."""
-    key = F.xxhash64("page_id")
-    first = materialize(pages.groupBy(F.col("host").alias("__host")).agg(F.min(key).alias("__key")), "hosts")  # reads no html
-    chosen = pages.join(small_or_shuffled(first, 80), (F.col("host") == F.col("__host")) & (key == F.col("__key")))
+def host_templates(keyed: DataFrame) -> DataFrame:
+    """(host, layout, skeleton, content, constant array<long>) for each layout of ``keyed`` (page_id, host, layout, html) that has a wrapper.
+
+    A layout with fewer than ``LEAST`` distinct pages uses the exemplar of its host's
+    commonest layout, if the host has that many pages at all.
+    """
 
     def reduce_(batches):
         for batch in batches:
-            made = [skeleton(parse(h)) for h in batch.column("html").to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column("host"), pa.array(made, pa.string())], names=["host", "skeleton"])
+            made = [bones_of(parse(h)) for h in batch.column("html").to_pylist()]
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("page_id"), batch.column("host"), batch.column("layout"), pa.array([len(m) for m in made], pa.int32()), pa.array([skeleton(m) for m in made], pa.string())],
+                names=["page_id", "host", "layout", "nodes", "skeleton"],
+            )
 
-    exemplars = chosen.select("host", "html").mapInArrow(reduce_, "host string, skeleton string")
-    exemplars = materialize(exemplars.groupBy("host").agg(F.min("skeleton").alias("skeleton")), "exemplars")
-    width = exemplars.agg(F.max(F.octet_length("skeleton") + F.octet_length("host"))).first()[0] or 0
-    joined = pages.select("host", "html").join(small_or_shuffled(exemplars, 64 + width), "host")
+    page_type = keyed.schema["page_id"].dataType.simpleString()
+    some = keyed.where(F.length(F.coalesce("html", F.lit(""))) > 0).select("page_id", "host", "layout", "html")
+    drawn = some.mapInArrow(reduce_, f"page_id {page_type}, host string, layout long, nodes int, skeleton string")
+    drawn = materialize(drawn.withColumn("sig", F.xxhash64("skeleton")), "skeletons")
+    pages = materialize(drawn.groupBy("host", "layout", "sig").agg(F.min("page_id").alias("page_id"), F.first("nodes").alias("nodes"), F.first("skeleton").alias("skeleton")), "skeletons-distinct")
+
+    first = F.min_by("skeleton", F.struct(F.col("nodes") > EXEMPLAR_NODES, F.xxhash64("sig"), "sig"))
+    layouts = materialize(pages.groupBy("host", "layout").agg(F.count(F.lit(1)).alias("n"), first.alias("skeleton")), "layouts")
+    hosts = layouts.groupBy("host").agg(F.sum("n").alias("all"), F.max_by("layout", F.struct("n", "layout")).alias("usual"))
+    own = layouts.join(hosts, "host").where(F.col("all") >= LEAST).withColumn("group", F.when(F.col("n") >= LEAST, F.col("layout")).otherwise(F.col("usual")))
+    exemplars = own.select("host", F.col("layout").alias("group"), F.col("skeleton").alias("exemplar"))
+    groups = materialize(own.select("host", "layout", "group").join(exemplars, ["host", "group"]), "layout-groups")
+    width = groups.agg(F.max(F.octet_length("exemplar") + F.octet_length("host"))).first()[0] or 0
+    joined = joined_with(pages.select("page_id", "host", "layout", "skeleton"), groups, ["host", "layout"], 80 + width).where("exemplar is not null")
 
     def observe(batches):
         trees = _Trees()
         for batch in batches:
-            sums: dict[tuple[str, int], list[int]] = {}
-            for host, page, text in zip(*(batch.column(c).to_pylist() for c in ("host", "html", "skeleton")), strict=True):
+            sums: dict[tuple[str, int, int, int], list[int]] = {}
+            for host, group, page, text in zip(*(batch.column(c).to_pylist() for c in ("host", "group", "skeleton", "exemplar")), strict=True):
                 tree = trees.get(text)
-                for node, bone in tree_match(parse(page), tree[0]):
-                    own = own_text(node)
-                    got = sums.setdefault((host, bone.at), [0, 0, 0])
-                    got[0] += 1
-                    got[1] += zlib.crc32(own.encode()) == bone.text
-                    got[2] += len(own.split())
+                for node, bone in trees.matcher.match(trees.matcher.number(bones(page))[0], tree[0]):
+                    if node.words or node.text:
+                        got = sums.setdefault((host, group, bone.at, node.text), [0, 0])
+                        got[0] += 1
+                        got[1] += node.words
             if sums:
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array([k[0] for k in sums], pa.string()), pa.array([k[1] for k in sums], pa.int32()), *(pa.array([v[i] for v in sums.values()], pa.int64()) for i in range(3))],
-                    names=["host", "node", "pages", "same", "words"],
+                    [pa.array([k[0] for k in sums], pa.string()), *(pa.array([k[i] for k in sums], pa.int64()) for i in (1, 2, 3)), *(pa.array([v[i] for v in sums.values()], pa.int64()) for i in range(2))],
+                    names=["host", "group", "node", "text", "pages", "words"],
                 )
 
-    seen = joined.mapInArrow(observe, "host string, node int, pages long, same long, words long")
-    sums = seen.groupBy("host", "node").agg(F.sum("pages").alias("pages"), F.sum("same").alias("same"), F.sum("words").alias("words"))
-    nodes = sums.groupBy("host").agg(F.collect_list(F.struct("node", "pages", "same", "words")).alias("nodes"))  # one skeleton's nodes
+    seen = joined.select("host", "group", "skeleton", "exemplar").mapInArrow(observe, "host string, group long, node long, text long, pages long, words long")
+    texts = seen.groupBy("host", "group", "node", "text").agg(F.sum("pages").alias("pages"), F.sum("words").alias("words"))
+    sums = texts.groupBy("host", "group", "node").agg(F.sum("pages").alias("pages"), F.max("pages").alias("same"), F.sum("words").alias("words"), F.max_by("text", F.struct("pages", "text")).alias("text"))
+    nodes = sums.groupBy("host", "group").agg(F.collect_list(F.struct("node", "pages", "same", "words", "text")).alias("nodes"))  # one skeleton's nodes
 
     def choose(batches):
         for batch in batches:
             content, constant = [], []
             for text, rows in zip(batch.column("skeleton").to_pylist(), batch.column("nodes").to_pylist(), strict=True):
-                c, k = content_bone(bones(text), {r["node"]: (r["pages"], r["same"], r["words"]) for r in rows})
+                stats = {r["node"]: (r["pages"], r["same"], r["words"], r["text"]) for r in rows}
+                c, k = induce(bones(text), stats)
                 content.append(c)
-                constant.append(k)
-            yield pa.RecordBatch.from_arrays([batch.column("host"), batch.column("skeleton"), pa.array(content, pa.int32()), pa.array(constant, pa.list_(pa.int32()))], names=["host", "skeleton", "content", "constant"])
+                constant.append([at << 32 | stats[at][3] for at in k])  # the node and the hash of its text
+            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in ("host", "group", "skeleton")), pa.array(content, pa.int32()), pa.array(constant, pa.list_(pa.int64()))], names=["host", "group", "skeleton", "content", "constant"])
 
-    return exemplars.join(nodes, "host").mapInArrow(choose, "host string, skeleton string, content int, constant array<int>")
+    used = exemplars.withColumnRenamed("exemplar", "skeleton").join(nodes, ["host", "group"])
+    wrappers = used.select("host", "group", "skeleton", "nodes").mapInArrow(choose, "host string, group long, skeleton string, content int, constant array<long>")
+    return groups.select("host", "layout", "group").join(materialize(wrappers, "wrappers"), ["host", "group"]).drop("group")
 
 
-def extract(html: str | None, tree: list[Bone], content: int, constant: frozenset[int]) -> str:
-    """The text of a page: the node aligned with the host's content node, or else the page's own best node."""
+def extract(html: str | None, matcher: Matcher, tree: list[Bone] | None, content: int, constant: frozenset[int]) -> str:
+    """The text of a page: below the node aligned with the wrapper's content node, without constant nodes; else of the page's own best node."""
     root = parse(html)
-    pairs = tree_match(root, tree[0])
-    node = next((n for n, b in pairs if b.at == content), None)
-    if node is None or (not words_in(node) and words_in(root)):
-        node = best_node(root)
-    named = node.tag in ("article", "main")
-    template = frozenset() if named else frozenset(id(n) for n, b in pairs if b.at in constant)
-    return "\n".join(blocks(node, template))
+    if tree is not None:
+        pairs = matcher.match(matcher.number(bones_of(root))[0], tree[0])
+        node = next((n.node for n, b in pairs if b.at == content), None)
+        if node is not None:
+            return "\n".join(blocks(node, frozenset(id(n.node) for n, b in pairs if b.at << 32 | n.text in constant)))
+    return "\n".join(blocks(best_node(root), by_name=True))
 
 
 def main_text(pages: DataFrame) -> DataFrame:
     """(page_id, url, text, n_chars) for every row of ``pages`` (page_id, url, html).
 
     Blocks of the content node in page order, joined by a line feed; inside a block
-    references are decoded and white space is one space. Menus, headers, footers,
-    sidebars, notices, adverts, forms, scripts and reader comments are left out. Null and
-    empty html give an empty text; null addresses share one nameless host. Repeated rows
-    give repeated rows; an empty table an empty result; other columns are not read.
+    references are decoded and white space is one space. What is the same on nearly all
+    pages of a layout and what lies outside its content node is left out, as are menus,
+    footers, forms and scripts. Null and empty html give an empty text; null addresses
+    share one nameless host. Repeated rows give repeated rows and count once for the
+    wrapper; an empty table gives an empty result; other columns are not read.
     """
-    keyed = pages.select("page_id", "url", "html", host_of(F.col("url")).alias("host"))
-    templates = materialize(host_templates(keyed.select("page_id", "host", "html")), "templates")
-    width = templates.agg(F.max(F.octet_length("skeleton") + F.octet_length("host") + 4 * F.size("constant"))).first()[0] or 0
-    joined = keyed.join(small_or_shuffled(templates, 64 + width), "host")
+    keyed = pages.select("page_id", "url", "html", host_of(F.col("url")).alias("host"), layout_of(F.col("html")).alias("layout"))
+    templates = materialize(host_templates(keyed), "templates")
+    width = templates.agg(F.max(F.octet_length("skeleton") + F.octet_length("host") + 8 * F.size("constant"))).first()[0] or 0
+    joined = joined_with(keyed, templates, ["host", "layout"], 64 + width)
     page_type = pages.schema["page_id"].dataType.simpleString()
 
     def run(batches):
         trees = _Trees()
         for batch in batches:
-            texts = [
-                extract(h, trees.get(s), c, frozenset(k or ()))
-                for h, s, c, k in zip(*(batch.column(x).to_pylist() for x in ("html", "skeleton", "content", "constant")), strict=True)
-            ]
+            texts = []
+            for h, s, c, k in zip(*(batch.column(x).to_pylist() for x in ("html", "skeleton", "content", "constant")), strict=True):
+                tree = trees.get(s) if s is not None else None
+                texts.append(extract(h, trees.matcher, tree, c if c is not None else -1, frozenset(k or ())))
             yield pa.RecordBatch.from_arrays(
                 [batch.column("page_id"), batch.column("url"), pa.array(texts, pa.string()), pa.array([len(t) for t in texts], pa.int64())], names=["page_id", "url", "text", "n_chars"]
             )

@@ -81,7 +81,7 @@ def test_chat_threads(spark):
     assert got[2].n_turns == 3 and got[2].turns_sha256 == hashlib.sha256(b"user\na\n\n\nuser\nb\n").hexdigest()
 
 
-ARTICLE = "<article><h1>T {n}</h1><p>Body {n} &amp; more   text <b>bold</b><br>tail<p>Second {n}<ul><li>x{n}<li>y</ul></article>"
+ARTICLE = "<article><h1>T {n}</h1><p>Body {n} &amp; more   text <b>bold</b><br>tail<p>Second {n}<ul><li>x{n}<li>y{n}</ul></article>"
 LAYOUT = "<html><head><title>t{n}</title><style>p{{}}</style></head><body><header>Site</header><nav><a>menu</a></nav><div class='ad'>buy {n}</div>{main}<aside>side {n}</aside><div id=comments><p>I agree {n}</p></div><form>f</form><footer>&copy; {n}</footer></body></html>"
 
 
@@ -92,7 +92,7 @@ def test_page_texts(spark):
     texts = dict(x[:2] for x in got)
     assert len(got) == len(rows) and all(len(t) == n for _, t, n in got)
     for n in range(8):
-        assert texts[n] == f"T {n}\nBody {n} & more text bold tail\nSecond {n}\nx{n}\ny"
+        assert texts[n] == f"T {n}\nBody {n} & more text bold tail\nSecond {n}\nx{n}\ny{n}"
     assert texts[100] == texts[101] == "" and texts[103] == "deep" and texts[102].startswith("T 0\nBody 0")
 
 
@@ -103,13 +103,6 @@ def test_wrapper_without_article_tags(spark):
         assert r.text == f"Story {r.page_id} about a thing that happened {r.page_id}\nIt went on for {r.page_id} days and more"
 
 
-def test_tree_matching():
-    a = html_text.parse("<div><p>1</p><ul><li>a<li>b</ul><p>2</p></div>")
-    b = html_text.bones(html_text.skeleton(html_text.parse("<div><h2>new</h2><p>1</p><ul><li>a<li>b<li>c</ul><p>2</p></div>")))
-    pairs = [(n.tag, k.tag) for n, k in html_text.tree_match(a, b[0])]
-    assert all(x == y for x, y in pairs) and sorted(x for x, _ in pairs) == ["#root", "div", "li", "li", "p", "p", "ul"]
-
-
 DOC = "doc_id long, text string, lang string, source string, n_chars long"
 
 
