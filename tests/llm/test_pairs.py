@@ -105,7 +105,7 @@ def test_neighbours_recall_and_bad_vectors(spark):
     good = [(i, rng.normal(size=64).tolist()) for i in range(1500)]
     bad = [(2000, None), (2050, [0.0] * 64), (2100, [float("nan")] * 64), (2150, [1.0, None] * 32), (2200, [1.0] * 3), (2250, [float("inf")] + [0.0] * 63)]
     df = spark.createDataFrame(good + bad, "vec_id long, embedding array<float>")
-    got = ann.neighbours(df, block_rows=500).collect()
+    got = ann.neighbours(df, least_rows=400).collect()
     want = exact([(i, np.float32(v).astype(float)) for i, v in good], 50, 5)
     assert {r.query_id for r in got} == set(want) and len(got) == 5 * len(want)
     hits = sum(r.vec_id in {i for _, i in want[r.query_id]} for r in got)
@@ -127,13 +127,55 @@ def test_neighbours_few_and_ties(spark):
 
 def test_multi_index_finds_all_within_the_radius():
     rng = np.random.default_rng(4)
-    codes = rng.integers(0, 2**16, (3000, 4)).astype("<u2")
-    codes[1::2] = codes[::2] ^ (1 << rng.integers(0, 16, (1500, 4))).astype("<u2")
-    index = ann.MultiIndex(codes)
-    for radius in (0, 3, 5, 12, 40):
-        for q in range(0, 60, 7):
-            want = np.nonzero(np.bitwise_count(codes ^ codes[q]).sum(axis=1) <= radius)[0]
-            assert (np.sort(index.within(codes[q], radius)) == want).all()
+    codes = rng.integers(0, 2**63, (3000, 1), dtype=np.uint64)
+    codes[1::2] = codes[::2] ^ (np.uint64(1) << rng.integers(0, 64, (1500, 1)).astype(np.uint64))
+    for width in ann.WIDTHS:
+        index = ann.MultiIndex(codes, width)
+        for radius in (0, 1, 3, 5, 12, 40):
+            for q in range(0, 60, 7):
+                want = np.nonzero(np.bitwise_count(codes ^ codes[q]).sum(axis=1) <= radius)[0]
+                assert (np.sort(index.within(codes[q], radius)) == want).all()
+
+
+@pytest.mark.parametrize("n", [6, 7, 11, 40])
+@pytest.mark.parametrize("least", [4096, 3])
+def test_ties_go_to_the_smaller_ids(spark, n, least):
+    """Equal and parallel vectors around a query, in one block and over several; repeated, null and own ids; extra columns."""
+    rng = np.random.default_rng(n)
+    base = rng.integers(-9, 9, 16).astype(float)
+    rows = [(50, base.tolist())] + [(101 + i, (base * (1, 3, 0.5)[i % 3]).tolist()) for i in range(n)]
+    rows += [(100, (-base).tolist()), (150, base.tolist()), (150, base.tolist()), (None, base.tolist())] + [(1000 + i, rng.normal(size=16).tolist()) for i in range(30) if i % 50]
+    rng.shuffle(order := list(range(len(rows))))
+    df = spark.createDataFrame([rows[i] for i in order], "vec_id long, embedding array<double>").selectExpr("*", "1 as h1", "2 as v", "3 as block")
+    got = {}
+    for r in ann.neighbours(df, least_rows=least).orderBy("query_id", "rank").collect():
+        got.setdefault(r.query_id, []).append((r.vec_id, r.score))
+    near = [i for i, _ in got[50]]
+    assert near == [101, 102, 103, 104, 105] and {s for _, s in got[50]} == {1.0}
+    assert [i for i, _ in got[150]] == [50, 101, 102, 103, 104]
+    assert len(got[100]) == 5 and set(got) == {50, 100, 150}
+
+
+def test_one_id_on_many_rows(spark):
+    rows = [(50, [1.0, i / 1000]) for i in range(60)] + [(i, [1.0, 0.5 + i / 100]) for i in range(1, 8)]
+    got = ann.neighbours(spark.createDataFrame(rows, "vec_id long, embedding array<double>")).orderBy("rank").collect()
+    assert [r.vec_id for r in got] == [1, 2, 3, 4, 5]
+
+
+def test_probing_prunes_clustered_vectors(spark):
+    rng = np.random.default_rng(8)
+    centres = rng.normal(size=(60, 64))
+    x = centres[rng.integers(0, 60, 3000)] + 0.05 * rng.normal(size=(3000, 64))
+    sample = ann.unit(x)
+    codes = ann.encode(sample, ann.learn_rotations(sample))
+    radius = ann.learn_radius(sample, codes, 5)
+    index = ann.MultiIndex(codes, ann.learn_width(codes, radius))
+    share = np.mean([index.probed(codes[q], radius).mean() for q in range(0, 3000, 50)])
+    assert share < 0.3
+    rows = [(i, v.tolist()) for i, v in enumerate(x)]
+    got = {(r.query_id, r.vec_id) for r in ann.neighbours(spark.createDataFrame(rows, "vec_id long, embedding array<double>"), least_rows=500).collect()}
+    want = {(q, i) for q, near in exact(rows, 50, 5).items() for _, i in near}
+    assert len(got & want) >= 0.9 * len(want) and len(got) == len(want)
 
 
 def brute_hits(docs, items, index):
