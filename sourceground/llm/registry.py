@@ -14,7 +14,7 @@ def _read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def op1_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return warc.archive_round_trip(_read(spark, sf_dir, "pages")).drop("last_chunk")
+    return warc.archive_round_trip(_read(spark, sf_dir, "pages")).drop("chunks")
 
 
 def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -1,10 +1,11 @@
 """WARC archives written and read as chunked record tables.
 
-A payload never travels whole once it is in a table: it is a run of rows
-``(page_id, chunk_no, chunk, bytes_so_far, sha1_so_far, last)``, each with the digest and
-length of everything up to it, so any prefix can be verified and the last row carries
-the record's digest. Writers stream such runs into gzip members of at most a chunk at a
-time; readers inflate and cut them the same way.
+A payload travels as a run of rows ``(record, chunk_no, chunk, bytes_so_far, sha1_so_far,
+last)`` with the digest and length of everything up to it, so any prefix can be verified
+and the last row carries the record's digest. Only responses have payload rows: which
+records are revisits is known from digests before a payload moves. The rows of a record
+are shuffled to one place and sorted; a writer streams them into a gzip member, a reader
+inflates and cuts archives into the same rows, and results are summed over all of these.
 
 Archives go to a shared folder (any store that ``pyarrow.fs`` opens by URI). A task
 writes a file of its own name and reports it in a manifest that Spark commits as a
@@ -61,30 +62,12 @@ def chunks(payload: Iterable[bytes], size: int = CHUNK) -> Iterator[tuple[int, b
     yield row(bytes(held), True)
 
 
-def payload_chunks(pages: DataFrame, size: int = CHUNK, column: str = "html") -> DataFrame:
-    """The chunked record table of ``pages``: slices of the Arrow buffer, with running digests. Null text is empty."""
-
-    def run(batches):
-        for batch in batches:
-            ids, texts = batch.column("page_id"), batch.column(column).cast(pa.large_binary())
-            rows = []
-            held = 0
-            for page_id, text in zip(ids, texts, strict=True):
-                buffer = memoryview(text.as_buffer()) if text.is_valid else memoryview(b"")
-                pieces = (buffer[at : at + size] for at in range(0, len(buffer), size))
-                for x in chunks(pieces, size):
-                    rows.append((page_id.as_py(), *x))
-                    held += len(x[1])
-                    if held > 16 * size:
-                        yield _batch(rows)
-                        rows, held = [], 0
-            if rows:
-                yield _batch(rows)
-
-    return pages.select("page_id", column).mapInArrow(run, CHUNK_SCHEMA)
+_ARROW = pa.schema([("page_id", pa.int64()), ("chunk_no", pa.int64()), ("chunk", pa.binary()), ("bytes_so_far", pa.int64()), ("sha1_so_far", pa.string()), ("last", pa.bool_())])
 
 
-_ARROW = pa.schema([("page_id", pa.int64()), ("chunk_no", pa.int64()), ("chunk", pa.binary()), ("bytes_so_far", pa.int64()), ("sha1_so_far", pa.string()), ("last", pa.bool_())])
+_RECORDS = pa.schema(
+    [("place", pa.int64()), ("kind", pa.int32()), ("record", pa.int64()), ("page_id", pa.int64()), ("url", pa.string()), ("sha", pa.string()), ("payload_bytes", pa.int64()), ("first_page", pa.int64()), *list(_ARROW)[1:]]
+)
 
 
 def _batch(rows: list[tuple], schema: pa.Schema = _ARROW) -> pa.RecordBatch:
@@ -95,38 +78,86 @@ def _batch(rows: list[tuple], schema: pa.Schema = _ARROW) -> pa.RecordBatch:
 def payload_keys(pages: DataFrame) -> DataFrame:
     """(page_id, url, html, sha, payload_bytes) with the hex SHA-1 and length of the UTF-8 payload; null html is empty."""
     html = F.coalesce("html", F.lit(""))
-    return pages.select("page_id", "url", "html", F.sha1(html).alias("sha"), F.octet_length(html).cast("long").alias("payload_bytes"))
+    return pages.select(F.col("page_id").cast("long").alias("page_id"), "url", "html", F.sha1(html).alias("sha"), F.octet_length(html).cast("long").alias("payload_bytes"))
 
 
-def revisits(digests: DataFrame, min_bytes: int = 0) -> DataFrame:
-    """(page_id, sha, first_page) of rows whose payload is long enough and that other rows share.
+def shared_payloads(digests: DataFrame, min_bytes: int = 0) -> DataFrame:
+    """(sha, payload_bytes, first_page, rows_of_first) of payloads that are long enough and that several rows of ``digests`` hold.
 
     Counts are combined before the shuffle, so a payload that a third of all rows share is
     one row per task; no payload moves here.
     """
-    shared = digests.where(F.col("payload_bytes") >= min_bytes).groupBy("sha", "payload_bytes")
-    shared = shared.agg(F.min("page_id").alias("first_page"), F.count(F.lit(1)).alias("n")).where("n > 1")
-    return digests.join(shared.select("sha", "payload_bytes", "first_page"), ["sha", "payload_bytes"]).select("page_id", "sha", "first_page").distinct()
+    by_page = digests.where(F.col("payload_bytes") >= min_bytes).groupBy("sha", "payload_bytes", "page_id").agg(F.count(F.lit(1)).alias("n"))
+    shared = by_page.groupBy("sha", "payload_bytes").agg(F.min("page_id").alias("first_page"), F.min_by("n", "page_id").alias("rows_of_first"), F.sum("n").alias("rows"))
+    return shared.where("rows > 1 and first_page is not null").drop("rows")
+
 
+def record_id(page_id, sha: str, row: int | None = None) -> str:
+    """The id of a payload's response; with ``row``, of any other record."""
+    return f"<urn:uuid:{uuid.uuid5(NAMESPACE, f'page/{page_id}/{sha}' + ('' if row is None else f'/{row}'))}>"
 
-def record_id(page_id, occurrence: int = 0) -> str:
-    return f"<urn:uuid:{uuid.uuid5(NAMESPACE, f'page/{page_id}/{occurrence}')}>"
 
+#: Kinds of records: a response that none refers to, one that revisits refer to, a candidate for such a response, a revisit.
+PLAIN, REFERRED, CANDIDATE, REVISIT = range(4)
+RECORD_SCHEMA = "place long, kind int, record long, page_id long, url string, sha string, payload_bytes long, first_page long, " + CHUNK_SCHEMA.removeprefix("page_id long, ")
 
-def _head(kind: str, page_id, occurrence: int, uri: str, date: str, digest: str, total: int, refers_to) -> bytes:
+
+def record_chunks(pages: DataFrame, min_bytes: int = 0, size: int = CHUNK, limit: int = 64 << 20) -> DataFrame:
+    """The chunked record table to be written: rows of ``RECORD_SCHEMA``, none of them larger than ``size``.
+
+    A record that is surely a revisit is one row without payload. If several rows repeat
+    the first page of a payload, one of them in each task keeps its payload and these
+    candidates meet for the writer to choose; the others are revisits. The table of shared
+    payloads is broadcast while proven to stay under ``limit`` bytes, and shuffled beyond.
+    """
+    keyed = payload_keys(pages)
+    digests = materialize(keyed.select("page_id", "sha", "payload_bytes"), "warc-digests")
+    shared = materialize(shared_payloads(digests, min_bytes), "warc-shared")
+    shared = F.broadcast(shared) if shared.count() * 150 <= limit else shared
+    marked = keyed.withColumn("record", F.monotonically_increasing_id()).join(shared, ["sha", "payload_bytes"], "left")
+    first = F.coalesce(F.col("page_id") == F.col("first_page"), F.lit(False))
+    kind = F.when(F.col("first_page").isNull(), PLAIN).when(~first, REVISIT).when(F.col("rows_of_first") == 1, REFERRED).otherwise(CANDIDATE)
+    marked = marked.select("record", "page_id", "url", "sha", "payload_bytes", "first_page", kind.alias("kind"), F.when(kind != REVISIT, F.col("html")).alias("html"))
+
+    def run(batches):
+        met: set[tuple[int, str]] = set()  # repeated first pages of this task
+        for batch in batches:
+            rows, held = [], 0
+            texts = batch.column("html").cast(pa.large_binary())
+            meta = zip(*(batch.column(c).to_pylist() for c in ("record", "page_id", "url", "sha", "payload_bytes", "first_page", "kind")), texts, strict=True)
+            for record, page_id, url, sha, total, first, kind, text in meta:
+                if kind == CANDIDATE:
+                    kind = REVISIT if (page_id, sha) in met else CANDIDATE
+                    met.add((page_id, sha))
+                about = (int(sha[:15], 16) if kind == CANDIDATE else record, kind, record, page_id, url, sha, total, first)
+                buffer = memoryview(text.as_buffer()) if kind != REVISIT and text.is_valid else memoryview(b"")
+                for x in chunks((buffer[at : at + size] for at in range(0, len(buffer), size)), size):
+                    rows.append((*about, *x))
+                    held += len(x[1]) + 200
+                    if held > 4 * size:
+                        yield _batch(rows, _RECORDS)
+                        rows, held = [], 0
+            if rows:
+                yield _batch(rows, _RECORDS)
+
+    return marked.mapInArrow(run, RECORD_SCHEMA)
+
+
+def _head(kind: str, page_id, row: int | None, uri: str, date: str, sha: str, total: int, refers_to) -> bytes:
     """Record head and HTTP head. Header values hold no line breaks."""
+    digest = base64.b32encode(bytes.fromhex(sha)).decode()
     one_line = lambda s: " ".join(str(s).split())
     http = f"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: {total}\r\n\r\n".encode()
     lines = [
         ("WARC-Type", kind),
-        ("WARC-Record-ID", record_id(page_id, occurrence)),
+        ("WARC-Record-ID", record_id(page_id, sha, row)),
         ("WARC-Date", date),
         ("WARC-Target-URI", one_line(uri or "")),
         ("WARC-Payload-Digest", f"sha1:{digest}"),
         ("WARC-Page-ID", "" if page_id is None else page_id),
     ]
     if kind == "revisit":
-        lines += [("WARC-Profile", PROFILE), ("WARC-Refers-To", record_id(refers_to)), ("WARC-Refers-To-Page-ID", refers_to)]
+        lines += [("WARC-Profile", PROFILE), ("WARC-Refers-To", record_id(refers_to, sha)), ("WARC-Refers-To-Page-ID", refers_to)]
     lines += [("Content-Type", "application/http; msgtype=response"), ("Content-Length", len(http) + (total if kind == "response" else 0))]
     return VERSION + b"\r\n" + "".join(f"{k}: {v}\r\n" for k, v in lines).encode() + b"\r\n" + http
 
@@ -154,16 +185,16 @@ class _Archive:
         context = TaskContext.get()
         self.name = f"part-{context.partitionId():05d}-{context.taskAttemptId()}" if context else f"part-{os.getpid()}"
 
-    def record(self, head: bytes, payload: Iterable[bytes]) -> None:
+    def begin(self, head: bytes) -> None:
         if self.out is None:
             self.path = f"{self.folder}/{self.name}-{self.n:03d}.warc.gz"
             self.out, self.records = self.fs.open_output_stream(self.path), 0
-        member = _Member(self.out, self.level)
-        member.write(head)
-        for piece in payload:
-            member.write(piece)
-        member.write(b"\r\n\r\n")
-        member.close()
+        self.member = _Member(self.out, self.level)
+        self.member.write(head)
+
+    def end(self) -> None:
+        self.member.write(b"\r\n\r\n")
+        self.member.close()
         self.records += 1
         if self.out.tell() >= self.roll:
             self.close()
@@ -178,45 +209,45 @@ class _Archive:
 _MANIFEST = pa.schema([("file", pa.string()), ("records", pa.int64()), ("bytes", pa.int64())])
 
 
-def write_archives(pages: DataFrame, folder: str, min_bytes: int = 0, date: str = "1970-01-01T00:00:00Z", level: int = 1, roll: int = 1 << 30) -> DataFrame:
+def write_archives(pages: DataFrame, folder: str, min_bytes: int = 0, date: str = "1970-01-01T00:00:00Z", level: int = 1, roll: int = 1 << 30, size: int = CHUNK) -> DataFrame:
     """Write one record per row of ``pages`` (page_id, url, html) below ``folder``; returns the manifest (file, records, bytes).
 
     Of rows with equal payloads of at least ``min_bytes`` bytes, that with the smallest
     page_id is a response and the others are revisits of it; shorter ones are responses.
-    A row that repeats page_id and payload is a revisit of the first. A null page_id is
+    Of rows that repeat page_id and payload one is the response. A null page_id is
     never referred to while its payload has another; if it has none all are responses.
     Null html is an empty payload, null url an empty URI. No rows: no files. Columns
     besides these three are not read.
 
-    Payloads are shuffled once, by page: the marks of shared payloads go to the same
-    partitions as thin rows and sort before the pages they concern.
+    Records are dealt by a row number, so neither one page, nor null ids, nor one payload
+    burden a task.
     """
-    keyed = payload_keys(pages)
-    digests = materialize(keyed.select("page_id", "sha", "payload_bytes"), "warc-digests")
-    marks = revisits(digests, min_bytes)
-    none = lambda kind: F.lit(None).cast(kind)
-    both = marks.select("page_id", none("string").alias("url"), none("string").alias("html"), "sha", none("long").alias("payload_bytes"), "first_page", F.lit(0).alias("kind"))
-    both = both.union(keyed.select("page_id", "url", "html", "sha", "payload_bytes", none("long").alias("first_page"), F.lit(1).alias("kind")))
     parts = int(pages.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    rows = both.repartition(parts, "page_id").sortWithinPartitions("page_id", "sha", "kind", "url")
+    rows = record_chunks(pages, min_bytes, size).repartition(parts, "place").sortWithinPartitions("place", "page_id", "sha", "record", "chunk_no")
 
     def run(batches):
         archive = _Archive(folder, level, roll)
-        mark, seen, first, again = None, None, None, 0
+        chosen = now = running = None
         for batch in batches:
-            texts = batch.column("html").cast(pa.large_binary())
-            meta = zip(*(batch.column(c).to_pylist() for c in ("page_id", "url", "sha", "payload_bytes", "first_page", "kind")), texts, strict=True)
-            for page_id, url, sha, total, first_page, kind, text in meta:
-                if kind == 0:
-                    mark, first = (page_id, sha), first_page
-                    continue
-                again = again + 1 if seen == (page_id, sha) else 0
-                seen = (page_id, sha)
-                refers_to = first if mark == seen else None
-                revisit = refers_to is not None and (refers_to != page_id or again > 0)
-                digest = base64.b32encode(bytes.fromhex(sha)).decode()
-                head = _head("revisit" if revisit else "response", page_id, again, url, date, digest, total, refers_to)
-                archive.record(head, () if revisit else _verified(text, sha))
+            meta = zip(*(batch.column(c).to_pylist() for c in ("kind", "record", "page_id", "url", "sha", "payload_bytes", "first_page", "chunk_no", "bytes_so_far", "sha1_so_far", "last")), batch.column("chunk"), strict=True)
+            for kind, record, page_id, url, sha, total, first, no, upto, digest, last, chunk in meta:
+                if no == 0:
+                    now, running = record, hashlib.sha1()
+                    revisit = kind == REVISIT or (kind == CANDIDATE and chosen == (page_id, sha))
+                    if kind == CANDIDATE:
+                        chosen = (page_id, sha)
+                    named = record if revisit or kind == PLAIN else None
+                    archive.begin(_head("revisit" if revisit else "response", page_id, named, url, date, sha, total, first))
+                elif record != now:
+                    raise ValueError("chunks of two records are mixed")
+                if not revisit:
+                    piece = memoryview(chunk.as_buffer())
+                    running.update(piece)
+                    archive.member.write(piece)
+                    if last and (upto != total or running.hexdigest() != sha or base32_sha1(running) != digest):
+                        raise ValueError("a payload changed while it was written")
+                if last:
+                    archive.end()
         archive.close()
         if archive.done:
             yield _batch(archive.done, _MANIFEST)
@@ -224,15 +255,6 @@ def write_archives(pages: DataFrame, folder: str, min_bytes: int = 0, date: str
     return materialize(rows.mapInArrow(run, "file string, records long, bytes long"), "warc-manifest")
 
 
-def _verified(text: pa.Scalar, sha: str) -> Iterator[bytes]:
-    buffer = memoryview(text.as_buffer()) if text.is_valid else memoryview(b"")
-    running = None
-    for _, piece, _, running, _ in chunks(buffer[at : at + CHUNK] for at in range(0, len(buffer), CHUNK)):
-        yield piece
-    if running != base64.b32encode(bytes.fromhex(sha)).decode():
-        raise ValueError("a payload changed while it was written")
-
-
 class _Source:
     """Lines and runs of bytes from a stream of gzip members, inflated a chunk at a time."""
 
@@ -303,15 +325,14 @@ def read_records(stream) -> Iterator[tuple[dict, dict, Iterator[bytes]]]:
             raise ValueError("a record does not end where its length says")
 
 
-_READ = pa.schema([*_ARROW, ("record_type", pa.string()), ("refers_to", pa.int64()), ("payload_bytes", pa.int64()), ("payload_digest", pa.string())])
+_READ = pa.schema([*_ARROW, ("record", pa.string()), ("record_type", pa.string()), ("refers_to", pa.int64()), ("payload_bytes", pa.int64()), ("payload_digest", pa.string())])
 
 
-def read_archives(spark: SparkSession, manifest: DataFrame, folder: str, payload: bool = True, size: int = CHUNK) -> DataFrame:
-    """The chunked record table of the archives in ``manifest``, with each record's type, referred page, length and digest.
+def read_archives(spark: SparkSession, manifest: DataFrame, folder: str, size: int = CHUNK) -> DataFrame:
+    """The chunked record table of the archives in ``manifest``, with each record's id, type, referred page, length and digest.
 
     Revisits hold no payload: they are one empty chunk, with the length and digest of the
-    payload they refer to. Digests are verified while reading. ``payload=False`` leaves
-    ``chunk`` null and returns only the last row of each record.
+    payload they refer to. Digests are verified while reading.
     """
     parts = max(1, min(manifest.count(), 10 * int(spark.conf.get("spark.sql.shuffle.partitions"))))
 
@@ -326,26 +347,40 @@ def read_archives(spark: SparkSession, manifest: DataFrame, folder: str, payload
                         kind = warc[b"warc-type"].decode()
                         refers_to = int(warc[b"warc-refers-to-page-id"]) if kind == "revisit" else None
                         digest = warc[b"warc-payload-digest"].decode().removeprefix("sha1:")
-                        rest = (kind, refers_to, int(http[b"content-length"]), digest)
+                        rest = (warc[b"warc-record-id"].decode(), kind, refers_to, int(http[b"content-length"]), digest)
                         for no, piece, total, running, last in chunks(pieces, size):
                             if last and kind == "response" and running != digest:
                                 raise ValueError(f"page {page}: the payload does not have its digest")
-                            if payload or last:
-                                rows.append((page, no, piece if payload else None, total, running, last, *rest))
-                                held += len(piece) if payload else 200
-                            if held > 16 * size:
+                            rows.append((page, no, piece, total, running, last, *rest))
+                            held += len(piece) + 200
+                            if held > 4 * size:
                                 yield _batch(rows, _READ)
                                 rows, held = [], 0
                 if rows:
                     yield _batch(rows, _READ)
 
-    schema = f"{CHUNK_SCHEMA}, record_type string, refers_to long, payload_bytes long, payload_digest string"
+    schema = f"{CHUNK_SCHEMA}, record string, record_type string, refers_to long, payload_bytes long, payload_digest string"
     return manifest.select("file").repartition(parts).mapInArrow(run, schema)
 
 
+def records(table: DataFrame) -> DataFrame:
+    """A row per record of a chunked record table, from all its chunk rows: page_id, payload_bytes, payload_digest, record_type, refers_to, chunks.
+
+    A response has the summed length of its chunks and the digest that its last chunk
+    carries, a revisit those of the payload it refers to. A record that lacks a chunk fails.
+    """
+    whole = table.groupBy("record").agg(
+        *[F.first(c).alias(c) for c in ("page_id", "record_type", "refers_to", "payload_bytes", "payload_digest")],
+        F.sum(F.octet_length("chunk")).alias("held"), F.count(F.lit(1)).alias("chunks"), F.max("chunk_no").alias("last_no"), F.max_by("sha1_so_far", "chunk_no").alias("running"),
+    )
+    response = F.col("record_type") == "response"
+    fits = (F.col("chunks") == F.col("last_no") + 1) & (~response | (F.col("held") == F.col("payload_bytes")))
+    size = F.when(fits, F.when(response, F.col("held")).otherwise(F.col("payload_bytes"))).otherwise(F.raise_error(F.concat(F.lit("chunks are missing: "), "record")).cast("long"))
+    return whole.select("page_id", size.alias("payload_bytes"), F.when(response, F.col("running")).otherwise(F.col("payload_digest")).alias("payload_digest"), "record_type", "refers_to", "chunks")
+
+
 def archive_round_trip(pages: DataFrame, min_bytes: int = 0) -> DataFrame:
     """Write ``pages`` to archives in the shared folder, read them back, and return a row per record."""
-    spark = pages.sparkSession
-    folder = scratch_path(spark, "warc")
+    folder = scratch_path(pages.sparkSession, "warc")
     manifest = write_archives(pages, folder, min_bytes)
-    return read_archives(spark, manifest, folder, payload=False).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", F.col("chunk_no").alias("last_chunk"))
+    return records(read_archives(pages.sparkSession, manifest, folder))

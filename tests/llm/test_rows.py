@@ -37,15 +37,44 @@ def test_warc_round_trip(spark):
 
 
 def test_min_revisit_size_and_chunk_table(spark):
-    pages = spark.createDataFrame([(1, "u", "aaaa"), (2, "u", "aaaa"), (3, "u", "b"), (4, "u", "b")], PAGE)
+    pages = spark.createDataFrame([(1, "u", "aaaa"), (2, "u", "aaaa"), (3, "u", "b"), (4, "u", "b"), (4, "u", "b")], PAGE)
     folder = scratch_path(spark, "warc-test")
-    got = {r.page_id: r.record_type for r in warc.read_archives(spark, warc.write_archives(pages, folder, min_bytes=2), folder).collect()}
-    assert got == {1: "response", 2: "revisit", 3: "response", 4: "response"}
-    table = warc.payload_chunks(pages, size=3).orderBy("page_id", "chunk_no").collect()
-    assert [(r.page_id, bytes(r.chunk), r.last) for r in table][:2] == [(1, b"aaa", False), (1, b"a", True)]
+    got = sorted((r.page_id, r.record_type) for r in warc.records(warc.read_archives(spark, warc.write_archives(pages, folder, min_bytes=2), folder)).collect())
+    assert got == [(1, "response"), (2, "revisit"), (3, "response"), (4, "response"), (4, "response")]
+    table = warc.record_chunks(pages, size=3).orderBy("page_id", "record", "chunk_no").collect()
+    assert [(r.page_id, bytes(r.chunk), r.last) for r in table][:3] == [(1, b"aaa", False), (1, b"a", True), (2, b"", True)]
     assert warc.archive_round_trip(pages.limit(0)).count() == 0
 
 
+@pytest.mark.parametrize("limit", [64 << 20, 0])
+def test_no_chunk_row_is_large_and_revisits_move_no_payload(spark, limit):
+    """One page stands for a third of the rows, many ids are null, one payload is huge."""
+    big = "é" * 400_000
+    rows = [(7, f"u{n % 3}", "same") for n in range(60)] + [(None, "n", "same") for _ in range(20)] + [(8 + n, "v", "same") for n in range(20)] + [(5, "b", big), (6, "b", big), (None, None, "alone"), (None, None, "alone")]
+    pages = spark.createDataFrame(rows, PAGE).repartition(3).selectExpr("*", "1 as record", "2 as kind", "3 as place")
+    table = warc.record_chunks(pages, size=1000, limit=limit).cache()
+    assert table.agg(F.max(F.octet_length("chunk"))).first()[0] <= 1000
+    moved = {r.sha: r.b for r in table.groupBy("sha").agg(F.sum(F.octet_length("chunk")).alias("b")).collect()}
+    sha = lambda t: hashlib.sha1(t.encode()).hexdigest()
+    assert moved[sha(big)] == 800_000 and moved[sha("same")] <= 4 * 3 and moved[sha("alone")] == 10
+    folder = scratch_path(spark, "warc-test")
+    got = warc.records(warc.read_archives(spark, warc.write_archives(pages, folder, size=1000), folder, size=777)).collect()
+    assert len(got) == len(rows)
+    same = [r for r in got if r.payload_bytes == 4]
+    assert [r.page_id for r in same if r.record_type == "response"] == [7] and all(r.refers_to == 7 for r in same if r.record_type == "revisit")
+    assert sorted((r.page_id, r.record_type, r.refers_to) for r in got if r.payload_bytes == 800_000) == [(5, "response", None), (6, "revisit", 5)]
+    assert [r.record_type for r in got if r.payload_bytes == 5] == ["response"] * 2
+
+
+def test_a_lost_chunk_is_noticed(spark):
+    pages = spark.createDataFrame([(1, "u", "abcdefgh")], PAGE)
+    folder = scratch_path(spark, "warc-test")
+    table = warc.read_archives(spark, warc.write_archives(pages, folder), folder, size=3)
+    assert warc.records(table).first().chunks == 3
+    with pytest.raises(Exception, match="chunks are missing"):
+        warc.records(table.where("chunk_no <> 1")).collect()
+
+
 def test_reader_rejects_damage():
     with pytest.raises(Exception):
         list(warc.read_records(io.BytesIO(b"not gzip")))
