@@ -1,16 +1,19 @@
 """Near copies by the Jaccard similarity of word shingles: every pair at 0.8 or more is found, none below.
 
-A 64-bit SimHash of such a pair differs by about ten bits, with a spread that no radius
-covers for sure, so candidates come from an exact bound instead (prefix filter):
+SimHash fingerprints of the shingle sets go through the vantage-point trees of ``simhash``
+and give the first candidates. Sets at 0.8 differ in about ten of 64 bits, where balls
+prune nothing, so fingerprints alone would lose such pairs; an exact bound (prefix
+filter) completes them:
 
 1. Shingles have one global order: those common in a sample of documents last, else by
    hash. Two sets at 0.8 share a shingle within the first fifth of either. The sample
    moves only the order, never the result.
 2. Equal sets are one node from the start. Nodes that share a shingle of their prefixes are
    candidates, if sizes, positions and sketches of both sets still leave room for 0.8.
-3. Each node is first held against three heads of every shingle's nodes (one is the node
-   whose shingles most others hold), and components of the true pairs are formed. All pairs between different components follow: a large group
-   of near copies is one component by then, so its pairs are not listed.
+3. Each node is first held against its fingerprint's neighbours and against three heads of
+   every shingle's nodes, and components of the true pairs are formed. All pairs between
+   different components follow: a large group of near copies is one component by then, so
+   its pairs are not listed.
 4. Every candidate is decided by the exact similarity of its two whole sets.
 """
 
@@ -23,12 +26,15 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import connected_components, materialize
+from .simhash import hamming_links
 
 SHINGLE = 5
 SEED = 42
 #: Documents whose shingles set the order, and shingles that are set last.
 SAMPLE = 4096
 COMMON = 200_000
+#: Bits in which fingerprints of the first candidates may differ.
+RADIUS = 2
 
 
 def shingles(text: str | None, shingle: int = SHINGLE) -> np.ndarray:
@@ -53,10 +59,21 @@ def first_row() -> Column:
     return F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "__text", "__row"))["__row"]
 
 
-def keep_rows(keyed: DataFrame, rows: DataFrame) -> DataFrame:
-    """The rows of ``keyed`` whose __row is in ``rows``; rows equal in all columns collapse to one."""
-    kept = keyed.join(rows.select("__row"), "__row", "left_semi").dropDuplicates(["__row"])
-    return kept.drop("__row", "__text")
+def keep_rows(keyed: DataFrame, rows: DataFrame, kept: DataFrame, limit: int = 64 << 20) -> DataFrame:
+    """The rows of ``keyed`` whose __row is in ``kept``; rows equal in all columns collapse to one.
+
+    ``rows`` holds the __row of every row. What is decided on these thin rows is what goes,
+    broadcast while proven small; texts move only if it is not, and for rows that repeat.
+    """
+    counts = rows.groupBy("__row").agg(F.count(F.lit(1)).alias("n"))
+    fate = counts.join(kept.select("__row", F.lit(True).alias("stays")), "__row", "left")
+    fate = materialize(fate.where("stays is null or n > 1").select("__row", F.coalesce("stays", F.lit(False)).alias("stays")), "near-fate")
+    small = F.broadcast if fate.count() * 100 <= limit else lambda df: df
+    out = keyed.join(small(fate), "__row", "left_anti")
+    repeated = fate.where("stays")
+    if not repeated.isEmpty():
+        out = out.unionByName(keyed.join(small(repeated), "__row", "left_semi").dropDuplicates(["__row"]))
+    return out.drop("__row", "__text")
 
 
 def prefix_size(n: int) -> int:
@@ -69,6 +86,16 @@ def odd_sketch(own: np.ndarray) -> np.ndarray:
     return np.packbits((np.bincount(own & 255, minlength=256) & 1).astype(np.uint8)).view(np.int64)
 
 
+def sketch(own: np.ndarray) -> int:
+    """SimHash of a set: a bit is set if over half of the shingle hashes have it."""
+    if not len(own):
+        return 0
+    counts = np.zeros(64, np.int64)
+    for at in range(0, len(own), 65535):
+        counts += np.unpackbits(own[at : at + 65535].view(np.uint8).reshape(-1, 8), axis=1).sum(axis=0, dtype=np.uint16)
+    return int(np.packbits(counts * 2 > len(own)).view(np.int64)[0])
+
+
 def _common(docs: DataFrame, shingle: int) -> tuple[np.ndarray, np.ndarray]:
     """(hashes in order, documents) of shingles that at least two sampled documents hold."""
     every = max(1, docs.count() // SAMPLE)
@@ -105,7 +132,7 @@ def _ends(x: str, y: str) -> list[Column]:
 
 def near_links(keyed: DataFrame, prints: DataFrame, shingle: int = SHINGLE) -> DataFrame:
     """Links (a, b) of set hashes whose components are those of all pairs at 0.8 or more."""
-    nodes = materialize(prints.where("n > 0").groupBy("sig").agg(F.first("n").alias("n"), F.first("prefix").alias("prefix"), F.first("odd").alias("odd"), F.min("__row").alias("__row")), "near-nodes")
+    nodes = materialize(prints.where("n > 0").groupBy("sig").agg(F.first("n").alias("n"), F.first("prefix").alias("prefix"), F.first("odd").alias("odd"), F.first("fp").alias("fp"), F.min("__row").alias("__row")), "near-nodes")
     postings = nodes.select("sig", "n", "odd", F.posexplode("prefix").alias("pos", "token"))
     met = postings.groupBy("token").agg(F.count("*").alias("nodes")).where("nodes > 1")
     own = Window.partitionBy("sig")
@@ -131,8 +158,14 @@ def near_links(keyed: DataFrame, prints: DataFrame, shingle: int = SHINGLE) -> D
         both = pairs.join(sets.select(F.col("sig").alias("a"), F.col("hashes").alias("x")), "a").join(sets.select(F.col("sig").alias("b"), F.col("hashes").alias("y")), "b")
         return materialize(both.where(9 * F.size(F.array_intersect("x", "y")) >= 4 * (F.size("x") + F.size("y"))).select("a", "b"), "near-true")
 
+    prints_ = materialize(nodes.groupBy("fp").agg(F.min("sig").alias("head")), "near-fingerprints")
+    close = hamming_links(prints_.select("fp"), RADIUS)
+    ends = [prints_.select(F.col("fp").alias(e), F.col("head").alias(f"{e}h")) for e in ("a", "b")]
+    close = close.join(ends[0], "a").join(ends[1], "b").select(F.least("ah", "bh").alias("a"), F.greatest("ah", "bh").alias("b"))
+    alike = nodes.join(prints_, "fp").where("sig <> head").select(F.col("head").alias("a"), F.col("sig").alias("b"))
+
     star = places.join(heads, "token").select("x", F.explode(F.array("h1", "h2", "h3")).alias("h")).where((F.col("x.sig") != F.col("h.sig")) & _room("x", "h"))
-    first = true_pairs(star.select(*_ends("x", "h")))
+    first = true_pairs(star.select(*_ends("x", "h")).union(close).union(alike))
 
     labels = connected_components(first)
     held = places.select("token", "x", F.col("sig").alias("node")).join(labels, "node", "left").select("token", "x", F.coalesce("root", "node").alias("label"))
@@ -156,12 +189,13 @@ def keep_one(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
 
     def run(batches):
         for batch in batches:
-            sig, size, odd, prefix = [], [], [], []
+            sig, size, odd, fp, prefix = [], [], [], [], []
             for text in batch.column("text"):
                 own = shingles(text.as_py(), shingle)
                 sig.append(xxhash.xxh64_intdigest(own.tobytes(), SEED) - 2**63)
                 size.append(len(own))
                 odd.append(odd_sketch(own))
+                fp.append(sketch(own))
                 rank = np.zeros(len(own), np.int64)
                 if len(tokens) and len(own):
                     at = np.minimum(np.searchsorted(tokens, own), len(tokens) - 1)
@@ -169,12 +203,12 @@ def keep_one(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
                 prefix.append(own[np.argsort(rank, kind="stable")[: prefix_size(len(own))]])
             names, longs = ["doc_id", "__text", "__row"], pa.list_(pa.int64())
             yield pa.RecordBatch.from_arrays(
-                [*(batch.column(c) for c in names), pa.array(sig, pa.int64()), pa.array(size, pa.int64()), pa.array(odd, longs), pa.array(prefix, longs)], names=[*names, "sig", "n", "odd", "prefix"]
+                [*(batch.column(c) for c in names), pa.array(sig, pa.int64()), pa.array(size, pa.int64()), pa.array(odd, longs), pa.array(fp, pa.int64()), pa.array(prefix, longs)], names=[*names, "sig", "n", "odd", "fp", "prefix"]
             )
 
     doc_type = docs.schema["doc_id"].dataType.simpleString()
-    prints = keyed.select("doc_id", "__text", "__row", "text").mapInArrow(run, f"doc_id {doc_type}, __text string, __row string, sig long, n long, odd array<long>, prefix array<long>")
+    prints = keyed.select("doc_id", "__text", "__row", "text").mapInArrow(run, f"doc_id {doc_type}, __text string, __row string, sig long, n long, odd array<long>, fp long, prefix array<long>")
     prints = materialize(prints, "near-prints")
     roots = connected_components(near_links(keyed, prints, shingle))
     grouped = prints.join(roots, prints.sig == roots.node, "left").groupBy(F.coalesce("root", "sig")).agg(first_row().alias("__row"))
-    return keep_rows(keyed, grouped)
+    return keep_rows(keyed, prints.select("__row"), grouped)

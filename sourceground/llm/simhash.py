@@ -20,13 +20,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import connected_components, materialize
-from .near_copies import first_row, keep_rows, row_keys
 
 SEED = 42
 SHINGLE = 3
-#: Fingerprints that fit the tree's boundaries, and members wanted in a leaf.
-SAMPLE = 4096
-LEAF_MEMBERS = 16384
+#: Members wanted in a leaf, and fingerprints for each leaf (and in all, at least) that fit the tree's boundaries.
+LEAF_MEMBERS = 8192
+PER_LEAF, SAMPLE = 64, 4096
 
 
 def fingerprint(text: str | None, shingle: int = SHINGLE) -> int:
@@ -90,9 +89,9 @@ class VantageTree:
         else:
             self.bounds[node] = 64
 
-    def route(self, fps: np.ndarray):
+    def route(self, fps: np.ndarray, member: np.ndarray | None = None):
         """Arrays (leaf, fingerprint, member). Of two partners in different leaves, the one that turned left visits the other."""
-        node, who, member = np.ones(len(fps), np.int64), fps, np.ones(len(fps), bool)
+        node, who, member = np.ones(len(fps), np.int64), fps, np.ones(len(fps), bool) if member is None else member
         for _ in range(self.depth):
             d = hamming(who, self.points[node]).astype(np.int64)
             bound = self.bounds[node]
@@ -170,28 +169,65 @@ def leaf_links(members: np.ndarray, visitors: np.ndarray, radius: int, small: in
     return fps[linked], fps[root[linked]]
 
 
-def hamming_links(fps: DataFrame, radius: int = 2) -> DataFrame:
-    """Links (a, b) whose components are those of all pairs of distinct ``fp`` within ``radius``.
+def _depth(members: int) -> int:
+    return max(0, int(np.ceil(np.log2(max(1, members / LEAF_MEMBERS)))))
 
-    ``fps`` holds each fingerprint once. Empty input gives no links.
+
+def _drawn(fps: DataFrame, of: int, wanted: int) -> np.ndarray:
+    """About ``wanted`` of ``of`` fingerprints, by their hash."""
+    every = max(1, of // wanted)
+    return fps.where(F.pmod(F.xxhash64("fp"), F.lit(every)) == 0).select("fp").toArrow().column("fp").to_numpy().view(np.uint64)
+
+
+def route(fps: DataFrame, radius: int, rounds: int = 4) -> DataFrame:
+    """(leaf long, fp, member): each fingerprint where it lives and where it visits.
+
+    Leaves with over four times the members wanted are split again by trees of their own,
+    up to ``rounds`` times; what no ball can part stays together.
     """
     n = fps.count()
-    depth = max(0, int(np.ceil(np.log2(max(1, n / LEAF_MEMBERS)))))
-    sample = np.array([r.fp for r in fps.orderBy(F.xxhash64("fp"), "fp").limit(SAMPLE).collect()], np.int64).view(np.uint64)
-    tree = VantageTree(sample, depth, radius)
+    depth = _depth(n)
+    tree = VantageTree(_drawn(fps, n, max(SAMPLE, PER_LEAF << depth)), depth, radius)
 
-    def route(batches):
+    def first(batches):
         for batch in batches:
             leaf, who, member = tree.route(batch.column("fp").to_numpy(zero_copy_only=False).view(np.uint64))
-            yield pa.RecordBatch.from_arrays([pa.array(leaf.astype(np.int32)), pa.array(who.view(np.int64)), pa.array(member)], names=["leaf", "fp", "member"])
+            yield pa.RecordBatch.from_arrays([pa.array(leaf), pa.array(who.view(np.int64)), pa.array(member)], names=["leaf", "fp", "member"])
+
+    schema = "leaf long, fp long, member boolean"
+    routed = materialize(fps.select("fp").mapInArrow(first, schema), "simhash-routed")
+    for _ in range(rounds):
+        sizes = routed.where("member").groupBy("leaf").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > 4 * LEAF_MEMBERS).collect()  # few: leaves that the sample misjudged
+        if not sizes:
+            break
+        big = F.col("leaf").isin([r.leaf for r in sizes])
+        trees = {r.leaf: VantageTree(_drawn(routed.where(F.col("leaf") == r.leaf).where("member"), r.n, max(SAMPLE, PER_LEAF << _depth(r.n))), _depth(r.n), radius) for r in sizes}
+
+        def again(batches, trees=trees):
+            for batch in batches:
+                leaves = batch.column("leaf").to_numpy()
+                fp, member = batch.column("fp").to_numpy().view(np.uint64), batch.column("member").to_numpy(zero_copy_only=False)
+                for at in np.unique(leaves):
+                    sub, who, own = trees[int(at)].route(fp[leaves == at], member[leaves == at])
+                    name = np.array([xxhash.xxh64_intdigest(f"{at}/{k}") - 2**63 for k in range(2 ** trees[int(at)].depth)], np.int64)[sub]
+                    yield pa.RecordBatch.from_arrays([pa.array(name), pa.array(who.view(np.int64)), pa.array(own)], names=["leaf", "fp", "member"])
+
+        routed = materialize(routed.where(~big).union(routed.where(big).mapInArrow(again, schema)), "simhash-routed")
+    return routed
+
+
+def hamming_links(fps: DataFrame, radius: int = 2) -> DataFrame:
+    """Links (a, b) whose components are those of all pairs of distinct ``fp`` within ``radius``.
+
+    ``fps`` holds each fingerprint once. Empty input gives no links.
+    """
 
     def search(pdf: pd.DataFrame) -> pd.DataFrame:
         fp, member = pdf["fp"].to_numpy().view(np.uint64), pdf["member"].to_numpy(bool)
         a, b = leaf_links(np.sort(fp[member]), np.sort(fp[~member]), radius)
         return pd.DataFrame({"a": a.view(np.int64), "b": b.view(np.int64)})
 
-    routed = fps.select("fp").mapInArrow(route, "leaf int, fp long, member boolean")
-    return routed.groupBy("leaf").applyInPandas(search, "a long, b long")
+    return route(fps, radius).groupBy("leaf").applyInPandas(search, "a long, b long")
 
 
 def near_duplicates(docs: DataFrame, radius: int = 2, shingle: int = SHINGLE) -> DataFrame:
@@ -212,15 +248,3 @@ def near_duplicates(docs: DataFrame, radius: int = 2, shingle: int = SHINGLE) ->
     smallest = grouped.groupBy("root").agg(F.min("first_doc").alias("component_id"))
     by_fp = grouped.join(smallest, "root").select(F.col("fp").alias("__fp"), "component_id")
     return prints.join(by_fp, prints.fp == by_fp["__fp"]).select("doc_id", "fp", "component_id")
-
-
-def keep_one(docs: DataFrame, radius: int = 2) -> DataFrame:
-    """``docs`` without near copies: of each group the row stays that is first by doc_id (null last) and text.
-
-    Rows are told apart by all their columns, so null or repeated ids lose no group; all
-    columns of ``docs`` are kept.
-    """
-    keyed = row_keys(docs)
-    groups = near_duplicates(keyed.select(F.col("__row").alias("doc_id"), "text"), radius).select(F.col("doc_id").alias("__row"), "component_id").distinct()
-    first = keyed.select("doc_id", "__text", "__row").join(groups, "__row").groupBy("component_id").agg(first_row().alias("__row"))
-    return keep_rows(keyed, first)

@@ -3,7 +3,6 @@
 import random
 
 import corpus_pipeline
-from sourceground.llm import simhash
 
 DOC = "doc_id long, text string, lang string, source string, n_chars long"
 
@@ -51,5 +50,5 @@ def test_pipeline_keeps_texts_with_null_and_repeated_ids(spark):
     rows = [(None, "one text of its own words", "en", "s", 1), (None, "quite another text than that", "en", "s", 1), (5, "a b c d e f g", "en", "s", 1), (5, "h i j k l m n", "en", "s", 1)]
     rows += [(4, "h i j k l m n", "en", "s", 1), (None, "a b c d e f g", "en", "s", 1), (5, "a b c d e f g", "en", "s", 1)]
     docs = spark.createDataFrame(rows, DOC)
-    for kept in (corpus_pipeline.near_dedup_stage(spark, docs, ""), simhash.keep_one(docs)):
+    for kept in (corpus_pipeline.near_dedup_stage(spark, docs, ""), corpus_pipeline.near_dedup_stage(spark, docs.repartition(3), "")):
         assert sorted((str(r.doc_id), r.text) for r in kept.collect()) == [("4", rows[3][1]), ("5", rows[2][1]), ("None", rows[0][1]), ("None", rows[1][1])]

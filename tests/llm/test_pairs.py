@@ -50,8 +50,6 @@ def test_near_duplicates(spark):
     prints = [brute_print(t) for t in texts]
     want = brute_components(prints, 2)
     assert {k: r.component_id for k, r in got.items()} == {100 + i: 100 + c for i, c in enumerate(want)}
-    kept = simhash.keep_one(docs)
-    assert kept.columns == docs.columns and sorted(r.doc_id for r in kept.collect()) == sorted({100 + c for c in want})
     assert simhash.near_duplicates(docs.limit(0)).count() == 0
 
 
@@ -81,6 +79,28 @@ def test_vantage_trees_lose_no_pair(depth):
     assert all(simhash.hamming(np.uint64(a), np.uint64(b)) <= 64 for a, b in links)
 
 
+@pytest.mark.parametrize("per_leaf", [64, 0])
+def test_links_over_many_leaves(spark, monkeypatch, per_leaf):
+    """Leaves of about 40 members; without a good sample some are split again. Components are those of brute force."""
+    monkeypatch.setattr(simhash, "LEAF_MEMBERS", 40)
+    monkeypatch.setattr(simhash, "PER_LEAF", per_leaf)
+    if not per_leaf:
+        monkeypatch.setattr(simhash, "SAMPLE", 12)
+    rng = np.random.default_rng(9)
+    x = rng.integers(0, 2**63, 1200, dtype=np.uint64)
+    near = x[:300] ^ (np.uint64(1) << rng.integers(0, 64, 300).astype(np.uint64))
+    ball = x[5] ^ (np.uint64(1) << np.arange(64, dtype=np.uint64))
+    fps = np.unique(np.concatenate([x, near, ball, ball ^ np.uint64(3)]))
+    df = spark.createDataFrame([(int(v),) for v in fps.view(np.int64)], "fp long")
+    routed = simhash.route(df, 2)
+    assert routed.where("member").count() == routed.where("member").distinct().count() == len(fps) and routed.select("leaf").distinct().count() > 8
+    links = [(r.a, r.b) for r in simhash.hamming_links(df).collect()]
+    place = {v: i for i, v in enumerate(fps.view(np.int64).tolist())}
+    mine = simhash.forest(np.array([place[a] for a, _ in links], int), np.array([place[b] for _, b in links], int), len(fps))
+    i, j = np.nonzero(simhash.hamming(fps[:, None], fps[None]) <= 2)
+    assert (mine == simhash.forest(i, j, len(fps))).all()
+
+
 def test_components(spark):
     chain = [(i, i + 1) for i in range(60)] + [(100, 90), (90, 100), (7, 7), (500, 500), (None, 3)]
     got = {r.node: r.root for r in connected_components(spark.createDataFrame(chain, "a long, b long")).collect()}
