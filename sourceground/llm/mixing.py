@@ -131,10 +131,10 @@ def split_quotas(quotas: DataFrame, num_shards: int, seed: int) -> DataFrame:
             F.struct(F.col("mid").alias("lo"), "hi", F.zip_with("qs", "left", lambda x, k: F.struct(x["source"].alias("source"), (x["q"] - k).alias("q"))).alias("qs")),
         )
         nodes = nodes.select(F.explode(halves).alias("x")).select("x.*").where("lo < hi")
-    cells = nodes.select("lo", F.explode("qs").alias("x")).select("lo", "x.*")
-    shards = cells.groupBy("source").agg(F.array_sort(F.collect_list(F.struct("lo", "q"))).alias("cells"))
-    upto = F.transform("cells", lambda _, i: F.aggregate(F.slice("cells", 1, i + 1), F.lit(0).cast("long"), lambda a, c: a + c["q"]))
-    return shards.select("source", upto.alias("upto"))
+    cells = nodes.select("lo", F.explode("qs").alias("x")).select("lo", "x.*")  # one row for each source and shard
+    upto = F.sum("q").over(Window.partitionBy("source").orderBy("lo").rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    shards = cells.withColumn("upto", upto).groupBy("source").agg(F.array_sort(F.collect_list(F.struct("lo", "upto"))).alias("cells"))
+    return shards.select("source", F.transform("cells", lambda c: c["upto"]).alias("upto"))
 
 
 def mix_plan(keys: DataFrame, num_shards: int = 8, seed: int = 20, block_words: int = 250_000, block_docs: int = 2_000, pool_words: int = 100_000, max_sources: int = 100_000, weights=WEIGHTS, share: float = 1.5, cap: float = 2.0) -> DataFrame:
@@ -145,6 +145,8 @@ def mix_plan(keys: DataFrame, num_shards: int = 8, seed: int = 20, block_words:
     smallest document that was left out of the blocks around the rest's end (``pool_words``
     words and ``block_docs`` documents beyond it, about). Rows of size 0 come with
     every whole copy but never as part of the rest. An empty table gives an empty result.
+
+    Windows of a source run over its blocks, one thin row for ``block_docs`` documents.
     """
     spark = keys.sparkSession
     keys = keys.select("source", "size", "h")
@@ -190,10 +192,12 @@ def mix_plan(keys: DataFrame, num_shards: int = 8, seed: int = 20, block_words:
     units = units.union(chosen.select(F.col("__s2").alias("source"), F.col("__b2").alias("__block"), F.lit(0).alias("copy"), F.lit(True).alias("part")).distinct())
     quotas = units.groupBy("source").agg(F.count(F.lit(1)).alias("quota"))
     cuts = split_quotas(quotas, num_shards, seed + 2).withColumnRenamed("source", "__s")
+    if goal.count() * (40 + 8 * num_shards) <= 64 << 20:  # else a shuffled join
+        cuts = F.broadcast(cuts)
     place = Window.partitionBy("source").orderBy(F.xxhash64(F.lit(seed + 3), "source", "__block", "copy"), "__block", "copy")
     placed = (
         units.withColumn("pos", F.row_number().over(place) - 1)
-        .join(F.broadcast(cuts), F.col("source").eqNullSafe(F.col("__s")))
+        .join(cuts, F.col("source").eqNullSafe(F.col("__s")))
         .withColumn("shard", F.size(F.filter("upto", lambda c: c <= F.col("pos"))))
         .groupBy(*by_block)
         .agg(
@@ -228,12 +232,22 @@ def mix_counts(docs: DataFrame, num_shards: int = 8, seed: int = 20, **options)
 
 
 def mixed_rows(docs: DataFrame, num_shards: int = 8, seed: int = 20, **options) -> DataFrame:
-    """The mix itself: the columns of ``docs``, a row for each copy taken, shard by shard and shuffled inside."""
+    """The mix itself: the columns of ``docs``, a row for each copy taken, shard by shard and shuffled inside.
+
+    Null texts have size 0 and null sources are one source, last in order; rows repeated
+    in ``docs`` have one decision. An empty table gives an empty result. A shard is
+    written by several tasks, each with a run of hashes.
+    """
     keyed = docs.withColumns({"__mix_size": word_count(F.col("text")), "__mix_h": document_hash(docs)})
     thin = materialize(keyed.select("source", F.col("__mix_size").alias("size"), F.col("__mix_h").alias("h")), "mix-docs")
     plan = mix_plan(thin, num_shards, seed, **options)
-    plan = plan.dropDuplicates(["source", "h"]).select(F.col("source").alias("__mix_s"), F.col("h").alias("__mix_k"), F.col("shards").alias("__mix_shards")).where(F.size("shards") > 0)
+    plan = plan.where(F.size("shards") > 0).dropDuplicates(["source", "h"]).select(F.col("source").alias("__mix_s"), F.col("h").alias("__mix_k"), F.col("shards").alias("__mix_shards"))
+    plan = materialize(plan, "mix-plan")
+    if plan.count() * 120 <= 64 << 20:  # else a shuffled join
+        plan = F.broadcast(plan)
     rows = keyed.join(plan, (F.col("__mix_h") == F.col("__mix_k")) & F.col("source").eqNullSafe(F.col("__mix_s")))
     rows = rows.select(*docs.columns, "__mix_h", F.posexplode("__mix_shards").alias("__mix_copy", "__mix_shard"))
+    parts = max(num_shards, int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")))
     order = F.xxhash64(F.lit(seed + 5), "__mix_h", "__mix_copy")
-    return rows.repartition(num_shards, "__mix_shard").sortWithinPartitions("__mix_shard", order).select(*docs.columns)
+    rows = rows.withColumn("__mix_run", F.floor(F.shiftrightunsigned(order, 32) * F.lit(-(-parts // num_shards)) / F.lit(2.0**32)))
+    return rows.repartition(parts, "__mix_shard", "__mix_run").sortWithinPartitions("__mix_shard", "__mix_run", order).select(*docs.columns)

@@ -70,6 +70,7 @@ class FactorisationMachine:
     factors: np.ndarray
     mean: np.ndarray
     scale: np.ndarray
+    fitted: bool = False
 
     def inputs(self, buckets: np.ndarray, values: np.ndarray, stats: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         x = np.clip((stats - self.mean) / self.scale, -4, 4) / 4
@@ -98,6 +99,7 @@ def fit(samples: list[tuple[np.ndarray, np.ndarray, np.ndarray]], y: np.ndarray,
     if len(set(y.tolist())) < 2:
         fm.factors[:] = 0
         return fm
+    fm.fitted = True
     weight = np.where(y == 1, ones / (y == 1).mean(), (1 - ones) / (y == 0).mean())
     weight = np.sqrt(weight / weight.min())  # between the true share and equal classes
     weight /= weight.mean()
@@ -165,9 +167,13 @@ def classify(docs: DataFrame, labels: DataFrame, per_class: int = 1500) -> DataF
 def keep_good(docs: DataFrame, labels: DataFrame, per_class: int = 1500) -> DataFrame:
     """The rows of ``docs``, with all their columns, that the classifier accepts.
 
-    Scores are taken beside the rows in the same pass, so texts are not shuffled.
+    Scores are taken beside the rows in the same pass, so texts are not shuffled. Null and
+    empty texts are scored like others, repeated rows stay repeated, an empty table stays
+    empty. Labels of fewer than two classes teach nothing: then every row stays.
     """
     model = train(docs, labels, per_class)
+    if not model.fitted:
+        return docs
     names = docs.columns
 
     def run(batches):

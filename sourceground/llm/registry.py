@@ -55,7 +55,7 @@ def op9_html(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return mixing.mix_counts(_read(spark, sf_dir, "documents"), 8).drop("shards")
+    return mixing.mix_counts(_read(spark, sf_dir, "documents"), 8)
 
 
 QUERIES = {f.__name__: f for f in (op1_warc, op2_toxicity, op3_sharding, op4_quality, op5_simhash, op6_chat, op7_ann, op8_decontamination, op9_html, op10_mixing)}

@@ -37,6 +37,12 @@ def contiguous_shards(df: DataFrame, size: str, order: list[str], num_shards: in
     numbered = materialize(df.withColumn("__row", F.monotonically_increasing_id()), "shard-rows")
     ranged = materialize(numbered.repartitionByRange(parts, *keys).withColumn("__part", F.spark_partition_id()), "shard-ranges")
 
+    placed = materialize(_placed(ranged, size, keys, num_shards).select(*df.columns, "shard", "__index"), "shard-placed")
+    return _with_slot(placed, placed, num_shards).select(*df.columns, "shard", "slot")
+
+
+def _placed(ranged: DataFrame, size: str, keys: list[str], num_shards: int) -> DataFrame:
+    """Adds ``shard`` and the global ``__index`` to rows numbered by ``__part`` and, inside a part, by ``keys``."""
     # One row for each partition: their number is a setting, not a property of the data.
     totals = ranged.groupBy("__part").agg(F.sum(size).alias("bytes"), F.count(F.lit(1)).alias("rows"))
     before = Window.orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)
@@ -49,15 +55,31 @@ def contiguous_shards(df: DataFrame, size: str, order: list[str], num_shards: in
     )
     inside = Window.partitionBy("__part").orderBy(*keys)
     upto = inside.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    placed = (
+    return (
         ranged.join(F.broadcast(offsets), "__part")
         .withColumn("__end", F.col("__byte_offset") + F.sum(size).over(upto))
         .withColumn("__index", F.col("__row_offset") + F.row_number().over(inside) - 1)
         .withColumn("shard", F.expr(f"cast(least({num_shards - 1}, ((2 * __end - {size}) * {num_shards}) div (2 * __total)) as int)"))
     )
-    placed = materialize(placed.select(*df.columns, "shard", "__index"), "shard-placed")
-    firsts = placed.groupBy("shard").agg(F.min("__index").alias("__first"))  # one row for each shard
-    return placed.join(F.broadcast(firsts), "shard").select(*df.columns, "shard", (F.col("__index") - F.col("__first")).alias("slot"))
+
+
+def _with_slot(rows: DataFrame, counted: DataFrame, num_shards: int) -> DataFrame:
+    firsts = counted.groupBy("shard").agg(F.min("__index").alias("__first"))  # one row for each shard
+    return rows.join(F.broadcast(firsts), "shard").withColumn("slot", F.col("__index") - F.col("__first"))
+
+
+def shard_rows(docs: DataFrame, num_shards: int = 8) -> DataFrame:
+    """``docs`` with all their columns, ``size``, ``shard`` and ``slot``: shards of near equal bytes in the order in which rows come.
+
+    Columns of these names are replaced. Rows are numbered while they are written once;
+    sizes and numbers make the plan, and each text moves once, with its part. Null texts
+    count as empty; repeated rows and ids are rows like others; an empty table stays empty.
+    """
+    kept = [c for c in docs.columns if c not in ("size", "shard", "slot")]
+    numbered = docs.select(*kept, utf8_size(F.col("text")).alias("size"), F.monotonically_increasing_id().alias("__row"))
+    numbered = materialize(numbered, "shard-rows").withColumn("__part", F.shiftright("__row", 33))  # the task that wrote the row
+    thin = _placed(numbered.select("__part", "__row", "size"), "size", ["__row"], num_shards)
+    return _with_slot(_placed(numbered, "size", ["__row"], num_shards), thin, num_shards).select(*kept, "size", "shard", "slot")
 
 
 def shard_documents(docs: DataFrame, num_shards: int = 8) -> DataFrame:

@@ -63,11 +63,14 @@ class Automaton:
                 node = self.children[node][c]
                 self.reach[node] = max(self.reach[node], k)
             self.ends[node] = term
+        self._restart()
+
+    def _restart(self) -> None:
         self.states: dict[frozenset, int] = {}
         self.sets: list[frozenset] = []
         self.moves: list[dict[str, int]] = []
         self.accepts: list[tuple[str, int] | None] = []
-        self.start = self._state(frozenset({(0, 0)}), close=whole)
+        self.start = self._state(frozenset({(0, 0)}), close=self.whole)
 
     @staticmethod
     def allowed(term: str) -> int:
@@ -108,6 +111,8 @@ class Automaton:
 
     def match(self, word: str) -> tuple[str, int] | None:
         """(term, edits) of the nearest term, ties to the first in order; None if none is near enough."""
+        if len(self.sets) > 200_000:  # bounded memory; states are built again as needed
+            self._restart()
         state = self.start
         for c in word:
             to = self.moves[state].get(c)
@@ -204,11 +209,12 @@ def _stems(words: Column, k: int) -> Column:
     return F.transform(F.filter(words, lambda w: F.length(w) > k), lambda w: F.concat(F.substring(w, 1, k), F.lit("*")))
 
 
-def learn_terms(rows: DataFrame, least_docs: int = 3, least_evidence: float = 15.0, least_odds: float = 2.3, stem_evidence: float = 40.0, max_terms: int = 2000):
+def learn_terms(rows: DataFrame, least_docs: int = 3, least_evidence: float = 15.0, least_odds: float = 2.3, stem_evidence: float = 40.0):
     """(words, stems, clean words) from (text, y): document counts by class, combined before the shuffle.
 
     Evidence of a term is its toxic documents times the log ratio of its shares. A stem
-    needs more of it, and must tell more than the whole words below it.
+    needs more of it, and must tell more than the whole words below it. All terms with
+    the evidence are taken: the sample of documents bounds them.
     """
     words = F.array_distinct(F.filter(F.split(F.lower(F.col("text")), r"[^\p{L}\p{N}]+"), lambda w: F.length(w) >= 2))
     stems = [_stems(words, k) for k in STEMS]
@@ -219,7 +225,7 @@ def learn_terms(rows: DataFrame, least_docs: int = 3, least_evidence: float = 15
     odds = F.log((F.col("a") / n1) / ((F.col("b") + 0.5) / n0))
     found = counts.withColumn("odds", odds).withColumn("evidence", F.col("a") * odds)
     found = found.where((F.length("term") >= 3) & (F.col("a") >= least_docs) & (F.col("odds") >= least_odds) & (F.col("evidence") >= F.when(F.col("term").endswith("*"), stem_evidence).otherwise(least_evidence)))
-    best = found.orderBy(F.col("evidence").desc(), "term").limit(max_terms).collect()  # at most max_terms rows
+    best = found.orderBy(F.col("evidence").desc(), "term").collect()  # terms of a bounded sample
     whole = {r.term: r for r in best if not r.term.endswith("*")}
     prefix = {r.term[:-1]: r for r in best if r.term.endswith("*")}
     for stem in sorted(prefix, key=len, reverse=True):
@@ -242,7 +248,7 @@ def learn_terms(rows: DataFrame, least_docs: int = 3, least_evidence: float = 15
             yield batch.filter(pa.array([automaton.match(t) is not None for t in batch.column("term").to_pylist()], pa.bool_()))
 
     clean = counts.where(near & ~F.col("term").endswith("*")).select("term").mapInArrow(close, "term string")
-    clean = clean.orderBy("term").limit(100_000).collect() if words_ else []  # spellings near the lexicon, of a bounded sample
+    clean = clean.collect() if words_ else []  # spellings near the lexicon, of a bounded sample
     return words_, {s: weight(r) for s, r in prefix.items()}, frozenset(r.term for r in clean) - set(words_)
 
 

@@ -1,5 +1,6 @@
 """Near copies, components, nearest neighbours and benchmark leaks against brute force."""
 
+import math
 import random
 
 import numpy as np
@@ -198,17 +199,27 @@ def test_probing_prunes_clustered_vectors(spark):
     assert len(got & want) >= 0.9 * len(want) and len(got) == len(want)
 
 
-def brute_hits(docs, items, index):
-    """All scores by definition, no index."""
-    out = set()
+def brute_hits(docs, items):
+    """BM25 by its definition over all items, every window against every item."""
+    kept = {(i, t): decontaminate.words_of(t) for i, t in items if decontaminate.words_of(t)}
+    n, mean = len(kept), sum(map(len, kept.values())) / max(1, len(kept))
+    df = {}
+    for words in kept.values():
+        for w in set(words):
+            df[w] = df.get(w, 0) + 1
+
+    def bm25(query, words):
+        return sum(math.log(1 + (n - df[w] + 0.5) / (df[w] + 0.5)) * words.count(w) * 2.2 / (words.count(w) + 1.2 * (0.25 + 0.75 * len(words) / mean)) for w in sorted(query & set(words)))
+
+    step, out = max(map(len, kept.values()), default=1), {}
     for d, text in docs:
-        words = decontaminate.words_of(text)
-        for k in range(max(1, -(-len(words) // index.segment))):
-            window = words[k * index.segment : (k + 2) * index.segment]
-            for n, i in enumerate(index.ids):
-                score = sum(x for t, w, x in zip(index.term, index.item, index.impact, strict=True) if w == n and list(index.vocabulary)[t] in set(window))
-                if score >= 1 - 1e-9 and all(decontaminate.overlap(p, window) >= 0.8 for p in index.parts[n]):
-                    out.add((d, i))
+        passage = decontaminate.words_of(text)
+        for k in range(0, len(passage), step):
+            window = passage[k : k + 2 * step]
+            for (i, t), words in kept.items():
+                score = bm25(set(window), words)
+                if score >= 0.8 * bm25(set(words), words) - 1e-9 and all(decontaminate.overlap(p, window) >= 0.8 for p in decontaminate.question_and_answer(t)):
+                    out[d, i] = max(score, out.get((d, i), 0.0))
     return out
 
 
@@ -227,14 +238,45 @@ def test_decontamination(spark):
             body = body[: len(body) // 2]
         docs.append((d, " ".join(body)))
     docs += [(1000, None), (1001, "")]
-    index = decontaminate.Index([x for x in items if x[1] is not None])
-    df = spark.createDataFrame(docs, "doc_id long, text string")
-    bench = spark.createDataFrame(items, "item_id long, text string")
-    got = {(r.doc_id, r.item_id) for r in decontaminate.contaminated(df, bench).collect()}
-    assert got == brute_hits(docs, items, index) and len(got) > 10
+    docs += [(2000, " ".join([*rng.choices(words, k=3000), *items[5][1].split(), *rng.choices(words, k=3000)])), (0, docs[0][1]), (None, docs[0][1])]
+    df = spark.createDataFrame(docs, "doc_id long, text string").selectExpr("*", "1 as row", "2 as item_id")
+    bench = spark.createDataFrame(items + items[:3], "item_id long, text string").selectExpr("*", "1 as bm25")
+    want = brute_hits(docs, items)
+    for groups in ({}, {"group_rows": 10}):
+        got = decontaminate.contaminated(df, bench, **groups).collect()
+        assert {(r.doc_id, r.item_id) for r in got} == set(want) and len(want) > 10
+        assert all(abs(r.bm25 - want[r.doc_id, r.item_id]) < 1e-9 for r in got)
+        assert len(got) == len(want) + sum(d == 0 for d, _ in want)  # a repeated row gives its rows again
     clean = {r.doc_id for r in decontaminate.keep_clean(df, bench).collect()}
-    assert clean == {d for d, _ in docs} - {d for d, _ in got}
+    assert clean == {d for d, _ in docs} - {d for d, _ in want}
     assert decontaminate.contaminated(df, bench.limit(0)).count() == 0
     assert decontaminate.contaminated(df.limit(0), bench).count() == 0
-    grouped = [ix for ix in decontaminate.build_indexes(bench, group_rows=10)]
-    assert sum(len(ix.ids) for ix in grouped) == len(index.ids)
+    assert decontaminate.keep_clean(df, bench.limit(0)).count() == df.count()
+    assert decontaminate.keep_clean(df, bench, group_rows=10).count() == decontaminate.keep_clean(df, bench).count()
+
+
+def test_long_texts_in_pieces_give_the_same_hits():
+    rng = random.Random(5)
+    words = [f"w{i}" for i in range(80)]
+    items = [(i, " ".join(rng.choices(words, k=20))) for i in range(40)]
+    text = " ".join(" ".join([*rng.choices(words, k=rng.randint(0, 90)), items[n % 40][1]]) for n in range(60))
+    whole = decontaminate.Index(items)
+    seen = lambda hits: sorted((h.item_id, round(h.score, 9)) for h in hits)
+    want = seen(whole.search([text]))
+    assert len(want) == 40
+    for most in (1, 2, 7):
+        assert seen(whole.search([None, text], most)) == want
+
+
+def test_wand_is_exact():
+    rng = random.Random(6)
+    words = [f"w{i}" for i in range(60)]
+    index = decontaminate.Index([(i, " ".join(rng.choices(words, k=rng.randint(3, 25)))) for i in range(300)])
+    for _ in range(60):
+        terms = sorted(index.vocabulary[w] for w in set(rng.choices(words, k=rng.randint(1, 40))) if w in index.vocabulary)
+        scores = np.zeros(300)
+        for t in terms:
+            scores[index.item[index.at[t] : index.at[t + 1]]] += index.impact[index.at[t] : index.at[t + 1]]
+        for threshold in (0.5, 0.9, 1.0):
+            want = np.nonzero(scores >= threshold)[0].tolist()
+            assert [i for i, _ in index.wand(terms, threshold)] == want

@@ -7,6 +7,7 @@ import numpy as np
 
 import corpus_pipeline
 from sourceground.llm import decontaminate, quality, toxicity
+from sourceground.llm.labelled import training_sample
 from sourceground.llm.registry import ORACLE_SQL, QUERIES
 
 TRAIN = "/root/testdata/sf0.1"
@@ -49,7 +50,14 @@ def test_classifiers_on_odd_tables(spark):
         rows = f(docs, labels).collect()
         assert len(rows) == 4 and all(0 <= r.score <= 1 for r in rows)
         assert f(docs.limit(0), labels.limit(0)).count() == 0
-    assert quality.keep_good(docs, labels).columns == docs.columns
+    assert quality.keep_good(docs, labels).columns == docs.columns and quality.keep_good(docs, labels).count() == 4  # nothing learnt, nothing lost
+
+
+def test_repeated_labelled_ids_are_one_sample_row(spark):
+    docs = spark.createDataFrame([(i % 3, f"text {i % 7} of {i}", 9) for i in range(300)], "doc_id long, text string, n_chars long")
+    labels = spark.createDataFrame([(0, 0), (1, 1), (2, 1)] * 5, "doc_id long, quality int")
+    rows, sizes = training_sample(docs, labels, "quality", 4, 2, 2)
+    assert rows.count() == rows.select("doc_id").distinct().count() == sum(sizes.values())
 
 
 def distance(a, b):
@@ -61,21 +69,6 @@ def distance(a, b):
     return row[-1]
 
 
-def test_automaton_is_the_edit_distance():
-    rng = random.Random(1)
-    terms = ["idiot", "moron", "scum", "worthless", "disgusting", "clown"]
-    automaton = toxicity.Automaton(terms)
-    for _ in range(4000):
-        w = list(rng.choice(terms))
-        for _ in range(rng.randint(0, 3)):
-            at = rng.randint(0, len(w))
-            w[at : at + rng.randint(0, 1)] = rng.choice(["", "x", "o"])
-        word = "".join(w)
-        near = [(distance(word[1:], t[1:]), t) for t in terms if word[:1] == t[0]]
-        best = min(((d, t) for d, t in near if d <= automaton.allowed(t)), default=None)
-        assert automaton.match(word) == (best[::-1] if best else None), word
-
-
 def test_quotation_scores_lower():
     model = toxicity.ToxicityModel({"idiot": 1.5}, {})
     abuse, quoted = model.score("you are an idiot"), model.score('he said the word "idiot" was used')
@@ -95,8 +88,43 @@ def test_pipeline(spark, sf):
     assert not decontaminate.Index(items).search([r.text for r in kept.collect()])
     mixed = corpus_pipeline.STAGES[3][1](spark, kept, sf).cache()
     assert mixed.columns == docs.columns and mixed.groupBy("doc_id").count().where("count > 2").count() == 0
-    final = corpus_pipeline.run(spark, sf)
-    assert final.count() == mixed.count() and final.where("slot is null or shard not between 0 and 7").count() == 0
+    final = corpus_pipeline.run(spark, sf).cache()
+    assert final.select(*docs.columns).exceptAll(mixed).count() == mixed.exceptAll(final.select(*docs.columns)).count() == 0
+    check_shards(final)
+
+
+def check_shards(final):
+    shards = {}
+    for r in final.collect():
+        assert r["size"] == len((r.text or "").encode()) + 1
+        shards.setdefault(r.shard, []).append(r)
+    total, largest = sum(r["size"] for rs in shards.values() for r in rs), max(r["size"] for rs in shards.values() for r in rs)
+    for rs in shards.values():
+        assert sorted(r.slot for r in rs) == list(range(len(rs))) and abs(sum(r["size"] for r in rs) - total / 8) <= largest
+
+
+def test_pipeline_on_odd_documents(spark, tmp_path):
+    """Nulls in every column, empty texts, repeated rows and ids, no labels, a clashing column, an empty table."""
+    schema = "doc_id long, text string, lang string, source string, n_chars long, size int, shard string"
+    rows = [(i, " ".join(f"w{(i * 7 + k * k) % 211}" for k in range(30)), "en", "ab"[i % 2], 9, 1, "x") for i in range(40)]
+    rows += [(None, None, None, None, None, None, None), (None, "", "en", None, 0, 1, "x"), rows[3], rows[3], (5, "another text that has the same id", None, "a", 1, 1, "x"), (99, "word " * 20_000, "en", "b", 1, 1, "x")]
+    spark.createDataFrame(rows, schema).write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame([], "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+    spark.createDataFrame([(1, rows[0][1]), (None, None)], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    docs = spark.read.parquet(f"{tmp_path}/documents.parquet")
+    for _, stage in corpus_pipeline.STAGES[:3]:
+        docs = stage(spark, docs, str(tmp_path)).cache()
+        assert docs.columns == corpus_pipeline.COLUMNS
+    kept = docs.collect()
+    assert sorted(r.doc_id for r in kept if r.text and r.doc_id is not None) == [*range(1, 6), 5, *range(6, 40), 99]
+    assert sum(not r.text for r in kept) == 1
+    final = corpus_pipeline.run(spark, str(tmp_path))
+    check_shards(final)
+    assert {r.text for r in final.collect() if r.text} <= {r.text for r in kept}
+    empty = spark.read.parquet(f"{tmp_path}/documents.parquet").limit(0)
+    for _, stage in corpus_pipeline.STAGES:
+        empty = stage(spark, empty, str(tmp_path))
+        assert empty.count() == 0
 
 
 def test_registry():
