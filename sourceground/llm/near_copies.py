@@ -10,7 +10,7 @@ filter) completes them:
    moves only the order, never the result.
 2. Equal sets are one node from the start. Nodes that share a shingle of their prefixes are
    candidates, if sizes, positions and sketches of both sets still leave room for 0.8.
-3. Each node is first held against its fingerprint's neighbours and against three heads of
+3. Each node is first held against its fingerprint's neighbours and against two heads of
    every shingle's nodes, and components of the true pairs are formed. All pairs between
    different components follow: a large group of near copies is one component by then, so
    its pairs are not listed.
@@ -81,9 +81,9 @@ def prefix_size(n: int) -> int:
     return n - (4 * n + 4) // 5 + 1 if n else 0
 
 
-def odd_sketch(own: np.ndarray) -> np.ndarray:
-    """Four longs: bit h is set if an odd number of the shingles have h as the lowest eight bits."""
-    return np.packbits((np.bincount(own & 255, minlength=256) & 1).astype(np.uint8)).view(np.int64)
+def odd_sketch(own: np.ndarray, bits: int = 256) -> np.ndarray:
+    """Longs of so many bits: bit h is set if an odd number of the shingles leave h as the remainder."""
+    return np.packbits((np.bincount(own & (bits - 1), minlength=bits) & 1).astype(np.uint8)).view(np.int64)
 
 
 def sketch(own: np.ndarray) -> int:
@@ -132,19 +132,27 @@ def _ends(x: str, y: str) -> list[Column]:
 
 def near_links(keyed: DataFrame, prints: DataFrame, shingle: int = SHINGLE) -> DataFrame:
     """Links (a, b) of set hashes whose components are those of all pairs at 0.8 or more."""
-    nodes = materialize(prints.where("n > 0").groupBy("sig").agg(F.first("n").alias("n"), F.first("prefix").alias("prefix"), F.first("odd").alias("odd"), F.first("fp").alias("fp"), F.min("__row").alias("__row")), "near-nodes")
-    postings = nodes.select("sig", "n", "odd", F.posexplode("prefix").alias("pos", "token"))
-    met = postings.groupBy("token").agg(F.count("*").alias("nodes")).where("nodes > 1")
+    picked = F.min(F.struct("__row", "n", "prefix", "odd", "wide", "fp")).alias("x")  # equal sets, one of them
+    nodes = materialize(prints.where("n > 0").groupBy("sig").agg(picked).select("sig", "x.*"), "near-nodes")
+    thin = nodes.select("sig", F.posexplode("prefix").alias("pos", "token"))
+    met = materialize(thin.groupBy("token").agg(F.count("*").alias("nodes")).where("nodes > 1"), "near-met")
+    met = F.broadcast(met) if met.count() * 40 <= 64 << 20 else met  # most tokens are in one node only
     own = Window.partitionBy("sig")
     before, common = F.row_number().over(own.orderBy("pos")) - 1, F.avg("nodes").over(own)
-    places = postings.join(met, "token").select("token", "sig", F.struct("sig", "n", "pos", before.alias("before"), *(F.col("odd")[i].alias(f"odd{i}") for i in range(4))).alias("x"), common.alias("common"))
+    places = thin.join(met, "token").select("token", "sig", "pos", before.alias("before"), common.alias("common"))
+    places = places.join(nodes.select("sig", "n", "odd"), "sig")
+    places = places.select("token", "sig", F.struct("sig", "n", "pos", "before", *(F.col("odd")[i].alias(f"odd{i}") for i in range(4))).alias("x"), "common")
     places = materialize(places, "near-places")
     by = lambda c: F.struct(c, "x.sig")
-    heads = places.groupBy("token").agg(F.max_by("x", by(F.col("common"))).alias("h1"), F.min_by("x", by(F.col("sig"))).alias("h2"), F.min_by("x", by(F.xxhash64("sig"))).alias("h3"))
+    heads = places.groupBy("token").agg(F.max_by("x", by(F.col("common"))).alias("h1"), F.min_by("x", by(F.xxhash64("sig"))).alias("h2"))
 
     def true_pairs(pairs: DataFrame) -> DataFrame:
         """The pairs (a, b) whose whole sets are at 0.8 or more."""
-        pairs = materialize(pairs.distinct(), "near-pairs")
+        # Sketches of 2,048 bits tell long sets apart before any set moves.
+        wide = [nodes.select(F.col("sig").alias(e), F.col("n").alias(f"n{e}"), F.col("wide").alias(f"w{e}")) for e in ("a", "b")]
+        differ = F.aggregate(F.zip_with("wa", "wb", lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda s, x: s + x)
+        pairs = pairs.distinct().join(wide[0], "a").join(wide[1], "b").where(9 * differ <= F.col("na") + F.col("nb")).select("a", "b")
+        pairs = materialize(pairs, "near-pairs")
         ends = pairs.select(F.col("a").alias("sig")).union(pairs.select("b")).distinct()
         rows = nodes.join(ends, "sig").select("sig", "__row")
 
@@ -164,7 +172,7 @@ def near_links(keyed: DataFrame, prints: DataFrame, shingle: int = SHINGLE) -> D
     close = close.join(ends[0], "a").join(ends[1], "b").select(F.least("ah", "bh").alias("a"), F.greatest("ah", "bh").alias("b"))
     alike = nodes.join(prints_, "fp").where("sig <> head").select(F.col("head").alias("a"), F.col("sig").alias("b"))
 
-    star = places.join(heads, "token").select("x", F.explode(F.array("h1", "h2", "h3")).alias("h")).where((F.col("x.sig") != F.col("h.sig")) & _room("x", "h"))
+    star = places.join(heads, "token").select("x", F.explode(F.array("h1", "h2")).alias("h")).where((F.col("x.sig") != F.col("h.sig")) & _room("x", "h"))
     first = true_pairs(star.select(*_ends("x", "h")).union(close).union(alike))
 
     labels = connected_components(first)
@@ -189,12 +197,13 @@ def keep_one(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
 
     def run(batches):
         for batch in batches:
-            sig, size, odd, fp, prefix = [], [], [], [], []
+            sig, size, odd, wide, fp, prefix = [], [], [], [], [], []
             for text in batch.column("text"):
                 own = shingles(text.as_py(), shingle)
                 sig.append(xxhash.xxh64_intdigest(own.tobytes(), SEED) - 2**63)
                 size.append(len(own))
                 odd.append(odd_sketch(own))
+                wide.append(odd_sketch(own, 2048))
                 fp.append(sketch(own))
                 rank = np.zeros(len(own), np.int64)
                 if len(tokens) and len(own):
@@ -203,11 +212,11 @@ def keep_one(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
                 prefix.append(own[np.argsort(rank, kind="stable")[: prefix_size(len(own))]])
             names, longs = ["doc_id", "__text", "__row"], pa.list_(pa.int64())
             yield pa.RecordBatch.from_arrays(
-                [*(batch.column(c) for c in names), pa.array(sig, pa.int64()), pa.array(size, pa.int64()), pa.array(odd, longs), pa.array(fp, pa.int64()), pa.array(prefix, longs)], names=[*names, "sig", "n", "odd", "fp", "prefix"]
+                [*(batch.column(c) for c in names), pa.array(sig, pa.int64()), pa.array(size, pa.int64()), pa.array(odd, longs), pa.array(wide, longs), pa.array(fp, pa.int64()), pa.array(prefix, longs)], names=[*names, "sig", "n", "odd", "wide", "fp", "prefix"]
             )
 
     doc_type = docs.schema["doc_id"].dataType.simpleString()
-    prints = keyed.select("doc_id", "__text", "__row", "text").mapInArrow(run, f"doc_id {doc_type}, __text string, __row string, sig long, n long, odd array<long>, fp long, prefix array<long>")
+    prints = keyed.select("doc_id", "__text", "__row", "text").mapInArrow(run, f"doc_id {doc_type}, __text string, __row string, sig long, n long, odd array<long>, wide array<long>, fp long, prefix array<long>")
     prints = materialize(prints, "near-prints")
     roots = connected_components(near_links(keyed, prints, shingle))
     grouped = prints.join(roots, prints.sig == roots.node, "left").groupBy(F.coalesce("root", "sig")).agg(first_row().alias("__row"))
