@@ -59,7 +59,7 @@ def first_row() -> Column:
     return F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "__text", "__row"))["__row"]
 
 
-def keep_rows(keyed: DataFrame, rows: DataFrame, kept: DataFrame, limit: int = 64 << 20) -> DataFrame:
+def keep_rows(keyed: DataFrame, rows: DataFrame, kept: DataFrame) -> DataFrame:
     """The rows of ``keyed`` whose __row is in ``kept``; rows equal in all columns collapse to one.
 
     ``rows`` holds the __row of every row. What is decided on these thin rows is what goes,
@@ -68,11 +68,10 @@ def keep_rows(keyed: DataFrame, rows: DataFrame, kept: DataFrame, limit: int = 6
     counts = rows.groupBy("__row").agg(F.count(F.lit(1)).alias("n"))
     fate = counts.join(kept.select("__row", F.lit(True).alias("stays")), "__row", "left")
     fate = materialize(fate.where("stays is null or n > 1").select("__row", F.coalesce("stays", F.lit(False)).alias("stays")), "near-fate")
-    small = F.broadcast if fate.count() * 100 <= limit else lambda df: df
-    out = keyed.join(small(fate), "__row", "left_anti")
+    out = keyed.join(_small(fate, 100), "__row", "left_anti")
     repeated = fate.where("stays")
     if not repeated.isEmpty():
-        out = out.unionByName(keyed.join(small(repeated), "__row", "left_semi").dropDuplicates(["__row"]))
+        out = out.unionByName(keyed.join(_small(repeated, 100), "__row", "left_semi").dropDuplicates(["__row"]))
     return out.drop("__row", "__text")
 
 
@@ -130,16 +129,20 @@ def _ends(x: str, y: str) -> list[Column]:
     return [F.least(f"{x}.sig", f"{y}.sig").alias("a"), F.greatest(f"{x}.sig", f"{y}.sig").alias("b")]
 
 
+def _small(stored: DataFrame, row_bytes: int, limit: int = 64 << 20) -> DataFrame:
+    """A stored table, broadcast while its rows are proven to stay under ``limit`` bytes, so that the other side of a join does not move."""
+    return F.broadcast(stored) if stored.count() * row_bytes <= limit else stored
+
+
 def near_links(keyed: DataFrame, prints: DataFrame, shingle: int = SHINGLE) -> DataFrame:
     """Links (a, b) of set hashes whose components are those of all pairs at 0.8 or more."""
     picked = F.min(F.struct("__row", "n", "prefix", "odd", "wide", "fp")).alias("x")  # equal sets, one of them
     nodes = materialize(prints.where("n > 0").groupBy("sig").agg(picked).select("sig", "x.*"), "near-nodes")
     thin = nodes.select("sig", F.posexplode("prefix").alias("pos", "token"))
     met = materialize(thin.groupBy("token").agg(F.count("*").alias("nodes")).where("nodes > 1"), "near-met")
-    met = F.broadcast(met) if met.count() * 40 <= 64 << 20 else met  # most tokens are in one node only
     own = Window.partitionBy("sig")
     before, common = F.row_number().over(own.orderBy("pos")) - 1, F.avg("nodes").over(own)
-    places = thin.join(met, "token").select("token", "sig", "pos", before.alias("before"), common.alias("common"))
+    places = thin.join(_small(met, 40), "token").select("token", "sig", "pos", before.alias("before"), common.alias("common"))
     places = places.join(nodes.select("sig", "n", "odd"), "sig")
     places = places.select("token", "sig", F.struct("sig", "n", "pos", "before", *(F.col("odd")[i].alias(f"odd{i}") for i in range(4))).alias("x"), "common")
     places = materialize(places, "near-places")
@@ -154,14 +157,14 @@ def near_links(keyed: DataFrame, prints: DataFrame, shingle: int = SHINGLE) -> D
         pairs = pairs.distinct().join(wide[0], "a").join(wide[1], "b").where(9 * differ <= F.col("na") + F.col("nb")).select("a", "b")
         pairs = materialize(pairs, "near-pairs")
         ends = pairs.select(F.col("a").alias("sig")).union(pairs.select("b")).distinct()
-        rows = nodes.join(ends, "sig").select("sig", "__row")
+        rows = materialize(nodes.select("sig", "__row").join(ends, "sig"), "near-ends")
 
         def run(batches):
             for batch in batches:
                 sets = [shingles(t.as_py(), shingle) for t in batch.column("text")]
                 yield pa.RecordBatch.from_arrays([batch.column("sig"), pa.array(sets, pa.list_(pa.int64()))], names=["sig", "hashes"])
 
-        texts = keyed.select("__row", "text").join(rows, "__row").dropDuplicates(["sig"])
+        texts = keyed.select("__row", "text").join(_small(rows, 120), "__row").dropDuplicates(["sig"])
         sets = materialize(texts.select("sig", "text").mapInArrow(run, "sig long, hashes array<long>"), "near-sets")
         both = pairs.join(sets.select(F.col("sig").alias("a"), F.col("hashes").alias("x")), "a").join(sets.select(F.col("sig").alias("b"), F.col("hashes").alias("y")), "b")
         return materialize(both.where(9 * F.size(F.array_intersect("x", "y")) >= 4 * (F.size("x") + F.size("y"))).select("a", "b"), "near-true")
@@ -175,7 +178,7 @@ def near_links(keyed: DataFrame, prints: DataFrame, shingle: int = SHINGLE) -> D
     star = places.join(heads, "token").select("x", F.explode(F.array("h1", "h2")).alias("h")).where((F.col("x.sig") != F.col("h.sig")) & _room("x", "h"))
     first = true_pairs(star.select(*_ends("x", "h")).union(close).union(alike))
 
-    labels = connected_components(first)
+    labels = _small(connected_components(first), 40)
     held = places.select("token", "x", F.col("sig").alias("node")).join(labels, "node", "left").select("token", "x", F.coalesce("root", "node").alias("label"))
     sizes = held.groupBy("token", "label").count()
     largest = sizes.groupBy("token").agg(F.max(F.struct("count", "label"))["label"].alias("most"), F.count("*").alias("labels")).where("labels > 1")
