@@ -5,8 +5,8 @@ and give the first candidates. Sets at 0.8 differ in about ten of 64 bits, where
 prune nothing, so fingerprints alone would lose such pairs; an exact bound (prefix
 filter) completes them:
 
-1. Shingles have one global order: those common in a sample of documents last, else by
-   hash. Two sets at 0.8 share a shingle within the first fifth of either. The sample
+1. Shingles have one global order: those common in a share of the documents last, else by
+   hash. Two sets at 0.8 share a shingle within the first fifth of either. The share
    moves only the order, never the result.
 2. Equal sets are one node from the start. Nodes that share a shingle of their prefixes are
    candidates, if sizes, positions and sketches of both sets still leave room for 0.8.
@@ -30,8 +30,9 @@ from .simhash import hamming_links
 
 SHINGLE = 5
 SEED = 42
-#: Documents whose shingles set the order, and shingles that are set last.
-SAMPLE = 4096
+#: One in so many documents sets the order (of at least so many), and shingles that are set last at most.
+#: A share, so that a passage which so many documents hold is seen as common at any size.
+EVERY, SAMPLE = 12, 4096
 COMMON = 200_000
 #: Bits in which fingerprints of the first candidates may differ.
 RADIUS = 2
@@ -97,7 +98,7 @@ def sketch(own: np.ndarray) -> int:
 
 def _common(docs: DataFrame, shingle: int) -> tuple[np.ndarray, np.ndarray]:
     """(hashes in order, documents) of shingles that at least two sampled documents hold."""
-    every = max(1, docs.count() // SAMPLE)
+    every = max(1, min(EVERY, docs.count() // SAMPLE))
 
     def run(batches):
         for batch in batches:
