@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..sources.scratch import scratch_path, stored
 
-__all__ = ["SPACE", "connected_components", "let", "materialize", "scratch_path", "unit_hash", "word_count"]
+__all__ = ["SPACE", "connected_components", "discard", "let", "materialize", "scratch_path", "unit_hash", "word_count"]
 
 #: White space between words: space and 0x09 to 0x0D.
 SPACE = r"[\x20\x09-\x0D]+"
@@ -22,6 +22,15 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     return stored(df, name)
 
 
+def discard(*tables: DataFrame) -> None:
+    """Delete tables of ``materialize`` that no later step reads, so that scratch disk holds what is in use only."""
+    for table in tables:
+        hadoop = table.sparkSession.sparkContext
+        for folder in {file.rpartition("/")[0] for file in table.inputFiles()}:
+            where = hadoop._jvm.org.apache.hadoop.fs.Path(folder)
+            where.getFileSystem(hadoop._jsc.hadoopConfiguration()).delete(where, True)
+
+
 def let(value: Column, body) -> Column:
     """Evaluate ``value`` once and use it several times inside ``body``."""
     return F.element_at(F.transform(F.array(value), body), 1)

@@ -25,7 +25,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import connected_components, materialize
+from .common import connected_components, discard, materialize
 from .simhash import hamming_links
 
 SHINGLE = 5
@@ -126,19 +126,65 @@ def _room(a: str, b: str) -> Column:
     return (9 * differ <= na + nb) & (9 * shared >= 4 * (na + nb)) & (5 * F.least(na, nb) >= 4 * F.greatest(na, nb))
 
 
-def _ends(x: str, y: str) -> list[Column]:
-    return [F.least(f"{x}.sig", f"{y}.sig").alias("a"), F.greatest(f"{x}.sig", f"{y}.sig").alias("b")]
-
-
 def _small(stored: DataFrame, row_bytes: int, limit: int = 64 << 20) -> DataFrame:
     """A stored table, broadcast while its rows are proven to stay under ``limit`` bytes, so that the other side of a join does not move."""
     return F.broadcast(stored) if stored.count() * row_bytes <= limit else stored
 
 
-def near_links(keyed: DataFrame, prints: DataFrame, shingle: int = SHINGLE) -> DataFrame:
-    """Links (a, b) of set hashes whose components are those of all pairs at 0.8 or more."""
-    picked = F.min(F.struct("__row", "n", "prefix", "odd", "wide", "fp")).alias("x")  # equal sets, one of them
-    nodes = materialize(prints.where("n > 0").groupBy("sig").agg(picked).select("sig", "x.*"), "near-nodes")
+def distinct_sets(prints: DataFrame) -> DataFrame:
+    """One row of ``prints`` for each set with shingles. Sets of several rows are a thin table, so rows stay where they are while it is proven small."""
+    own = prints.where("n > 0")
+    several = own.groupBy("sig").agg(F.min("__i").alias("first"), F.count(F.lit(1)).alias("rows")).where("rows > 1").select("sig", "first")
+    several = materialize(several, "near-several")
+    one = own.join(_small(several, 40), "sig", "left").where("first is null or first = __i")
+    return materialize(one.select("sig", "__row", "n", "prefix", "odd", "wide", "fp"), "near-nodes")
+
+
+def _sets(keyed: DataFrame, rows: DataFrame, shingle: int) -> DataFrame:
+    """(sig, hashes) of the stored ``rows`` (sig, __row); texts are read where they lie and do not move."""
+
+    def run(batches):
+        for batch in batches:
+            sets = [shingles(t.as_py(), shingle) for t in batch.column("text")]
+            yield pa.RecordBatch.from_arrays([batch.column("sig"), pa.array(sets, pa.list_(pa.int64()))], names=["sig", "hashes"])
+
+    texts = keyed.select("__row", "text").join(_small(rows, 120), "__row").select("sig", "text")
+    sets = materialize(texts.mapInArrow(run, "sig long, hashes array<long>"), "near-sets")
+    if sets.count() > rows.count():  # rows equal in all columns
+        sets = materialize(sets.dropDuplicates(["sig"]), "near-sets")
+    return sets
+
+
+def true_pairs(keyed: DataFrame, nodes: DataFrame, pairs: DataFrame, shingle: int, share: int = 1000) -> DataFrame:
+    """Of the candidates ``pairs`` (node, hub), those whose whole sets are at 0.8 or more, as (a, b).
+
+    The nodes' sets move once for each pair, to their hub. A hub of over ``share`` pairs is
+    dealt over several groups, so no task holds all that link to one set.
+    """
+    low, high = F.least("node", "hub"), F.greatest("node", "hub")
+    pairs = pairs.groupBy(low.alias("low"), high.alias("high")).agg(F.min("hub").alias("b"))
+    pairs = materialize(pairs.select(F.when(F.col("b") == F.col("low"), F.col("high")).otherwise(F.col("low")).alias("a"), "b"), "near-candidates")
+    # Sketches of 2,048 bits tell long sets apart before any set moves.
+    ends = materialize(pairs.select(F.explode(F.array("a", "b")).alias("sig")).distinct(), "near-ends")
+    wide = materialize(nodes.select("sig", "n", "wide", "__row").join(_small(ends, 40), "sig"), "near-wide")
+    both = [wide.select(F.col("sig").alias(e), F.col("n").alias(f"n{e}"), F.col("wide").alias(f"w{e}")) for e in ("a", "b")]
+    differ = F.aggregate(F.zip_with("wa", "wb", lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda s, x: s + x)
+    left = materialize(pairs.join(both[0], "a").join(both[1], "b").where(9 * differ <= F.col("na") + F.col("nb")).select("a", "b"), "near-left")
+    groups = left.groupBy("b").agg(F.ceil(F.count(F.lit(1)) / share).alias("groups"))
+    dealt = materialize(left.join(groups, "b").select("a", "b", F.pmod(F.xxhash64("a"), F.col("groups")).alias("k")), "near-pairs")
+    ends = dealt.select(F.explode(F.array("a", "b")).alias("sig")).distinct()
+    sets = _sets(keyed, materialize(wide.select("sig", "__row").join(ends, "sig"), "near-rows"), shingle)
+    hubs = materialize(dealt.select("b", "k").distinct(), "near-hubs")
+    nodes_ = sets.select(F.col("sig").alias("a"), F.col("hashes").alias("x")).join(_small(dealt, 60), "a")
+    hubs = sets.select(F.col("sig").alias("b"), F.col("hashes").alias("y")).join(_small(hubs, 40), "b")
+    alike = 9 * F.size(F.array_intersect("x", "y")) >= 4 * (F.size("x") + F.size("y"))
+    found = materialize(nodes_.join(hubs, ["b", "k"]).where(alike).select("a", "b"), "near-true")
+    discard(sets, wide)
+    return found
+
+
+def near_links(keyed: DataFrame, nodes: DataFrame, shingle: int = SHINGLE) -> DataFrame:
+    """Links (a, b) of set hashes whose components are those of all pairs at 0.8 or more; ``nodes`` has each set once."""
     thin = nodes.select("sig", F.posexplode("prefix").alias("pos", "token"))
     met = materialize(thin.groupBy("token").agg(F.count("*").alias("nodes")).where("nodes > 1"), "near-met")
     own = Window.partitionBy("sig")
@@ -150,44 +196,30 @@ def near_links(keyed: DataFrame, prints: DataFrame, shingle: int = SHINGLE) -> D
     by = lambda c: F.struct(c, "x.sig")
     heads = places.groupBy("token").agg(F.max_by("x", by(F.col("common"))).alias("h1"), F.min_by("x", by(F.xxhash64("sig"))).alias("h2"))
 
-    def true_pairs(pairs: DataFrame) -> DataFrame:
-        """The pairs (a, b) whose whole sets are at 0.8 or more."""
-        # Sketches of 2,048 bits tell long sets apart before any set moves.
-        wide = [nodes.select(F.col("sig").alias(e), F.col("n").alias(f"n{e}"), F.col("wide").alias(f"w{e}")) for e in ("a", "b")]
-        differ = F.aggregate(F.zip_with("wa", "wb", lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda s, x: s + x)
-        pairs = pairs.distinct().join(wide[0], "a").join(wide[1], "b").where(9 * differ <= F.col("na") + F.col("nb")).select("a", "b")
-        pairs = materialize(pairs, "near-pairs")
-        ends = pairs.select(F.col("a").alias("sig")).union(pairs.select("b")).distinct()
-        rows = materialize(nodes.select("sig", "__row").join(ends, "sig"), "near-ends")
-
-        def run(batches):
-            for batch in batches:
-                sets = [shingles(t.as_py(), shingle) for t in batch.column("text")]
-                yield pa.RecordBatch.from_arrays([batch.column("sig"), pa.array(sets, pa.list_(pa.int64()))], names=["sig", "hashes"])
-
-        texts = keyed.select("__row", "text").join(_small(rows, 120), "__row").dropDuplicates(["sig"])
-        sets = materialize(texts.select("sig", "text").mapInArrow(run, "sig long, hashes array<long>"), "near-sets")
-        both = pairs.join(sets.select(F.col("sig").alias("a"), F.col("hashes").alias("x")), "a").join(sets.select(F.col("sig").alias("b"), F.col("hashes").alias("y")), "b")
-        return materialize(both.where(9 * F.size(F.array_intersect("x", "y")) >= 4 * (F.size("x") + F.size("y"))).select("a", "b"), "near-true")
-
     prints_ = materialize(nodes.groupBy("fp").agg(F.min("sig").alias("head")), "near-fingerprints")
     close = hamming_links(prints_.select("fp"), RADIUS)
-    ends = [prints_.select(F.col("fp").alias(e), F.col("head").alias(f"{e}h")) for e in ("a", "b")]
-    close = close.join(ends[0], "a").join(ends[1], "b").select(F.least("ah", "bh").alias("a"), F.greatest("ah", "bh").alias("b"))
-    alike = nodes.join(prints_, "fp").where("sig <> head").select(F.col("head").alias("a"), F.col("sig").alias("b"))
+    ends = [prints_.select(F.col("fp").alias(e), F.col("head").alias(to)) for e, to in (("a", "node"), ("b", "hub"))]
+    close = close.join(ends[0], "a").join(ends[1], "b").select("node", "hub")
+    alike = nodes.select("fp", "sig").join(prints_, "fp").where("sig <> head").select(F.col("sig").alias("node"), F.col("head").alias("hub"))
 
     star = places.join(heads, "token").select("x", F.explode(F.array("h1", "h2")).alias("h")).where((F.col("x.sig") != F.col("h.sig")) & _room("x", "h"))
-    first = true_pairs(star.select(*_ends("x", "h")).union(close).union(alike))
+    star = star.select(F.col("x.sig").alias("node"), F.col("h.sig").alias("hub"))
+    first = true_pairs(keyed, nodes, star.union(close).union(alike), shingle)
 
+    # Thin rows tell which shingles still lie in several components; only their places go on.
     labels = _small(connected_components(first), 40)
-    held = places.select("token", "x", F.col("sig").alias("node")).join(labels, "node", "left").select("token", "x", F.coalesce("root", "node").alias("label"))
-    sizes = held.groupBy("token", "label").count()
-    largest = sizes.groupBy("token").agg(F.max(F.struct("count", "label"))["label"].alias("most"), F.count("*").alias("labels")).where("labels > 1")
-    held = materialize(held.join(largest.select("token", "most"), "token"), "near-held")
+    label = F.coalesce("root", "node").alias("label")
+    sizes = places.select("token", F.col("sig").alias("node")).join(labels, "node", "left").groupBy("token", label).count()
+    most = sizes.groupBy("token").agg(F.max(F.struct("count", "label"))["label"].alias("most"), F.count("*").alias("labels")).where("labels > 1").select("token", "most")
+    most = materialize(most, "near-most")
+    held = places.select("token", "x", F.col("sig").alias("node")).join(_small(most, 40), "token").join(labels, "node", "left")
+    held = materialize(held.select("token", "x", label, "most"), "near-held")
+    discard(places, met)
     few = held.where("label != most").select("token", F.col("x").alias("y"), F.col("label").alias("other"))
     between = held.join(few, "token").where((F.col("label") != F.col("other")) & ((F.col("label") == F.col("most")) | (F.col("x.sig") < F.col("y.sig"))) & _room("x", "y"))
-    rest = between.select(*_ends("x", "y")).distinct()
-    return first.union(true_pairs(rest))
+    rest = true_pairs(keyed, nodes, between.select(F.col("x.sig").alias("node"), F.col("y.sig").alias("hub")), shingle)
+    discard(held)
+    return first.union(rest)
 
 
 def keep_one(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
@@ -221,7 +253,11 @@ def keep_one(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
 
     doc_type = docs.schema["doc_id"].dataType.simpleString()
     prints = keyed.select("doc_id", "__text", "__row", "text").mapInArrow(run, f"doc_id {doc_type}, __text string, __row string, sig long, n long, odd array<long>, wide array<long>, fp long, prefix array<long>")
-    prints = materialize(prints, "near-prints")
-    roots = connected_components(near_links(keyed, prints, shingle))
+    whole = materialize(prints.withColumn("__i", F.monotonically_increasing_id()), "near-prints")
+    nodes = distinct_sets(whole)
+    prints = materialize(whole.select("doc_id", "__text", "__row", "sig"), "near-ids")
+    discard(whole)
+    roots = connected_components(near_links(keyed, nodes, shingle))
+    discard(nodes)
     grouped = prints.join(roots, prints.sig == roots.node, "left").groupBy(F.coalesce("root", "sig")).agg(first_row().alias("__row"))
     return keep_rows(keyed, prints.select("__row"), grouped)
