@@ -71,15 +71,24 @@ def _with_slot(rows: DataFrame, counted: DataFrame, num_shards: int) -> DataFram
 def shard_rows(docs: DataFrame, num_shards: int = 8) -> DataFrame:
     """``docs`` with all their columns, ``size``, ``shard`` and ``slot``: shards of near equal bytes in the order in which rows come.
 
-    Columns of these names are replaced. Rows are numbered while they are written once;
-    sizes and numbers make the plan, and each text moves once, with its part. Null texts
-    count as empty; repeated rows and ids are rows like others; an empty table stays empty.
+    Columns of these names are replaced. Rows are numbered while they are written once.
+    A row's number holds the task that wrote it and its place there, so with the rows'
+    offsets of each part it gives the global index, and the shards' first numbers, found on
+    thin rows, give the shard: no text is shuffled. Null texts count as empty; repeated rows
+    and ids are rows like others; an empty table stays empty.
     """
     kept = [c for c in docs.columns if c not in ("size", "shard", "slot")]
     numbered = docs.select(*kept, utf8_size(F.col("text")).alias("size"), F.monotonically_increasing_id().alias("__row"))
-    numbered = materialize(numbered, "shard-rows").withColumn("__part", F.shiftright("__row", 33))  # the task that wrote the row
-    thin = _placed(numbered.select("__part", "__row", "size"), "size", ["__row"], num_shards)
-    return _with_slot(_placed(numbered, "size", ["__row"], num_shards), thin, num_shards).select(*kept, "size", "shard", "slot")
+    numbered = materialize(numbered, "shard-rows").withColumn("__part", F.shiftright("__row", 33))
+    thin = materialize(_placed(numbered.select("__part", "__row", "size"), "size", ["__row"], num_shards).select("__part", "__row", "shard", "__index"), "shard-placed")
+    parts = thin.groupBy("__part").agg((F.min_by("__index", "__row") - F.min("__row")).alias("__offset"))  # one row for each part
+    firsts = thin.groupBy("shard").agg(F.min("__row").alias("row"), F.min("__index").alias("index")).orderBy("row").collect()  # at most num_shards rows
+    if not firsts:
+        return _with_slot(thin, thin, num_shards).join(numbered.drop("__part"), "__row").select(*kept, "size", "shard", "slot")
+    cuts = F.array(*(F.struct(F.lit(r.row).alias("row"), F.lit(r.shard).alias("shard"), F.lit(r["index"]).alias("index")) for r in firsts))
+    own = F.element_at(F.filter(cuts, lambda c: c["row"] <= F.col("__row")), -1)
+    placed = numbered.join(F.broadcast(parts), "__part").withColumn("__cut", own)
+    return placed.select(*kept, "size", F.col("__cut.shard").alias("shard"), (F.col("__row") + F.col("__offset") - F.col("__cut.index")).alias("slot"))
 
 
 def shard_documents(docs: DataFrame, num_shards: int = 8) -> DataFrame:
