@@ -221,3 +221,20 @@ def test_hypergeometric_draws_follow_their_law(spark):
     mean = draws * good / total
     var = mean * (1 - good / total) * (total - draws) / (total - 1)
     assert abs(sum(k) / n - mean) < 0.02 and abs(sum((x - mean) ** 2 for x in k) / n - var) < 0.1
+
+
+def test_shard_rows_cut_the_rows_at_equal_bytes(spark):
+    rows = [(i % 9 if i % 4 else None, None if i % 7 == 0 else "é" * (i * 37 % 101), "x") for i in range(300)] + [(1, "long " * 500, "y")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, shard string").repartition(7)
+    out = sharding.shard_rows(docs, 8).collect()
+    want = sorted((str(d), str(t), len((t or "").encode()) + 1) for d, t, _ in rows)
+    assert sorted((str(r.doc_id), str(r.text), r["size"]) for r in out) == want
+    total, done = sum(r["size"] for r in out), 0
+    placed = sorted(out, key=lambda r: (r.shard, r.slot))
+    for s in range(8):
+        assert [r.slot for r in placed if r.shard == s] == list(range(sum(r.shard == s for r in placed)))
+    for r in placed:
+        done += r["size"]
+        assert r.shard == min(7, (2 * done - r["size"]) * 8 // (2 * total))
+    empty = sharding.shard_rows(docs.limit(0), 8)
+    assert empty.count() == 0 and empty.columns == ["doc_id", "text", "size", "shard", "slot"]
