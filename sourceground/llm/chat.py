@@ -92,14 +92,21 @@ def paths(messages: DataFrame) -> DataFrame:
 def format_trees(messages: DataFrame, branches: int = 1) -> DataFrame:
     """(tree, leaf, branch, formatted, spans) of the ``branches`` best paths of each tree.
 
-    ``messages`` has (tree, node, parent, role, text, score). A path's score is the mean of
-    its messages' (null counts as 0); ties go to the smaller leaf.
+    ``messages`` has (tree, node, parent, role, text, score), node unique in its tree; other
+    columns are ignored. A path's score is the mean of its messages' (null counts as 0);
+    ties go to the smaller leaf. Branches are ranked on scores alone, and only chosen paths
+    meet their texts, so a text moves once for each chosen path that holds it, however many
+    leaves lie below. Null roles and texts are empty; texts of any length are kept whole;
+    rows with a null tree or node are on no path. An empty table gives an empty result.
     """
-    walked = paths(messages).join(messages.select("tree", "node", "role", "text", "score"), ["tree", "node"])
-    turns = F.array_sort(F.collect_list(F.struct((-F.col("dist")).alias("at"), "role", "text")))
-    whole = walked.groupBy("tree", "leaf").agg(turns.alias("turns"), F.avg(F.coalesce("score", F.lit(0.0))).alias("path_score"))
+    score = messages.select("tree", "node", F.coalesce("score", F.lit(0.0)).alias("score"))
+    walked = materialize(paths(messages).join(score, ["tree", "node"]), "chat-walked")
     rank = Window.partitionBy("tree").orderBy(F.col("path_score").desc(), "leaf")
-    chosen = whole.withColumn("branch", F.row_number().over(rank)).where(F.col("branch") <= branches)
+    ranked = walked.groupBy("tree", "leaf").agg(F.avg("score").alias("path_score"))
+    best = ranked.withColumn("branch", F.row_number().over(rank)).where(F.col("branch") <= branches).select("tree", "leaf", "branch")
+    said = walked.drop("score").join(best, ["tree", "leaf"]).join(messages.select("tree", "node", "role", "text"), ["tree", "node"])
+    turns = F.array_sort(F.collect_list(F.struct((-F.col("dist")).alias("at"), "role", "text")))
+    chosen = said.groupBy("tree", "leaf", "branch").agg(turns.alias("turns"))
 
     def run(batches):
         span = pa.list_(pa.struct([("from", pa.int64()), ("to", pa.int64())]))
@@ -129,7 +136,11 @@ def threads(conversations: DataFrame) -> DataFrame:
 
 
 def digests(formatted: DataFrame) -> DataFrame:
-    """Per conversation, what reading the strings back gives: turns and text under the loss mask."""
+    """Per conversation, what reading the strings back gives: turns and text under the loss mask.
+
+    The empty tree stands for the null conversation. Strings of any length are read whole;
+    columns other than tree, formatted and spans are ignored; an empty table gives none.
+    """
 
     def run(batches):
         for batch in batches:

@@ -110,6 +110,39 @@ def test_chat_threads(spark):
     assert got[2].n_turns == 3 and got[2].turns_sha256 == hashlib.sha256(b"user\na\n\n\nuser\nb\n").hexdigest()
 
 
+def test_chat_branches_against_brute_force(spark):
+    """Bushy trees, ties, null scores and texts, a long text and columns named as those of the work: all branches in rank order."""
+    long = "a b" * 200_000
+    parents = {n: None if n == 1 else n // 3 + (n % 3 == 2) or 1 for n in range(1, 60)}
+    for n in (2, 3):
+        parents[n] = 1
+    score = {n: None if n % 7 == 0 else (n % 5) / 4 for n in parents}
+    text = {n: None if n % 11 == 0 else long if n == 5 else f"t{n}" for n in parents}
+    rows = [(t, n, p, "assistant" if n % 2 else None, text[n], score[n], 7, "x", 1) for t in ("a", "b") for n, p in parents.items()]
+    rows.append((None, 1, None, "user", "no tree", 1.0, 7, "x", 1))
+    messages = spark.createDataFrame(rows, "tree string, node long, parent long, role string, text string, score double, leaf long, path_score string, branch int")
+    want = []
+    for leaf in set(parents) - set(parents.values()):
+        path, at = [], leaf
+        while at is not None:
+            path.append(at)
+            at = parents[at]
+        want.append((-sum(score[n] or 0.0 for n in path) / len(path), leaf, path[::-1]))
+    want.sort()
+    got = chat.format_trees(messages, branches=4).orderBy("tree", "branch").collect()
+    assert [(r.tree, r.leaf, r.branch) for r in got] == [(t, w[1], i) for t in ("a", "b") for i, w in enumerate(want[:4], 1)]
+    for r, w in zip(got, want[:4] * 2, strict=True):
+        assert chat.parse(r.formatted) == [("assistant" if n % 2 else "", text[n] or "") for n in w[2]]
+
+
+def test_chat_null_conversation(spark):
+    rows = [(None, 1, "assistant", "b" * 300_000), (None, 0, "user", "a"), (3, 0, "assistant", "c"), (3, 0, "assistant", "c")]
+    conversations = spark.createDataFrame([(*r, 9, 9) for r in rows], "conv_id long, turn long, role string, text string, node long, tree long")
+    got = {r.conv_id: (r.n_turns, r.loss_chars) for r in chat.digests(chat.format_trees(chat.threads(conversations))).collect()}
+    assert got == {None: (2, 300_000), 3: (2, 2)}
+    assert chat.digests(chat.format_trees(chat.threads(conversations.limit(0)))).count() == 0
+
+
 ARTICLE = "<article><h1>T {n}</h1><p>Body {n} &amp; more   text <b>bold</b><br>tail<p>Second {n}<ul><li>x{n}<li>y{n}</ul></article>"
 LAYOUT = "<html><head><title>t{n}</title><style>p{{}}</style></head><body><header>Site</header><nav><a>menu</a></nav><div class='ad'>buy {n}</div>{main}<aside>side {n}</aside><div id=comments><p>I agree {n}</p></div><form>f</form><footer>&copy; {n}</footer></body></html>"
 
