@@ -76,6 +76,7 @@ PUNCTUATION = "，。、；：？！「」『』（）()《》〈〉·…—－,
 # Metadata keys with a column of their own.
 META_KEYS = ("書名", "作者", "作者描述", "朝代", "年份", "分類", "品質", "參本", "版本", "底本")
 
+# Allowed values of enumerated fields.
 INFERENCE_LEVELS = ("direct", "implicit", "external_required")
 DIFFICULTIES = ("Easy", "Medium", "Hard", "Expert")
 REVIEW_STATES = ("unreviewed", "auto_validated", "expert_approved", "rejected")

@@ -1,35 +1,27 @@
-"""The corpus table: passages with their book's metadata, filters and conformance."""
+"""The corpus table: passages with their book's metadata, filters, traces of spans."""
 
 from __future__ import annotations
 
 import functools
 
-from pyspark.sql import Column, DataFrame
+import pyarrow as pa
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import classify
 from ..functions import text as X
 from ..functions.lookups import (
     CORPUS_VERSION,
-    DIFFICULTIES,
     FORMAL_TIER,
-    INFERENCE_LEVELS,
     PILOTS,
-    PUNCTUATION_STATES,
-    REVIEW_STATES,
     SOURCE_HOMEPAGE,
     SOURCE_ID,
     SOURCE_LICENSE,
-    TASKS,
-    TIERS,
 )
 from ..sources.books import book_lines, catalog
 from ..sources.scratch import stored
 from .passages import passages
 
-CORPUS_REQUIRED = ("passage_id", "book_id", "book_title_trad", "book_title_simp", "category_level_1", "raw_text_trad", "raw_text_simp", "normalized_text", "source_id", "version_commit")
-ITEM_REQUIRED = ("item_id", "task", "task_code", "question", "evidence", "book_id", "passage_id", "inference_level", "source_id")
-
 
 def corpus_records(found: DataFrame, books: DataFrame, ingestion_date: str, version: str = CORPUS_VERSION, simplified: dict[str, str] | None = None) -> DataFrame:
     """Passages joined with the catalog (one small row per book) and enriched."""
@@ -93,25 +85,6 @@ def formal_pool(items: DataFrame, corpus: DataFrame | None = None) -> DataFrame:
     return kept
 
 
-def _violations(required: tuple[str, ...], enums: dict[str, tuple[str, ...]], constants: dict[str, str]) -> Column:
-    checks = [F.when(F.col(c).isNull(), f"missing:{c}") for c in required]
-    checks += [F.when(F.col(c).isNotNull() & ~F.col(c).isin(*allowed), F.concat(F.lit(f"enum:{c}:"), F.col(c))) for c, allowed in enums.items()]
-    checks += [F.when(F.col(c).isNotNull() & (F.col(c) != v), f"constant:{c}") for c, v in constants.items()]
-    return F.array_compact(F.array(*checks))
-
-
-def corpus_violations(corpus: DataFrame) -> DataFrame:
-    """(passage_id, violations) of records that break their schema."""
-    enums = {"quality_tier": TIERS, "punctuation_status": PUNCTUATION_STATES}
-    return corpus.select("passage_id", _violations(CORPUS_REQUIRED, enums, {"source_id": SOURCE_ID}).alias("violations")).where(F.size("violations") > 0)
-
-
-def item_violations(items: DataFrame) -> DataFrame:
-    """(item_id, violations) of items that break their schema."""
-    enums = {"task_code": tuple(TASKS), "inference_level": INFERENCE_LEVELS, "difficulty": DIFFICULTIES, "review_status": REVIEW_STATES}
-    return items.select("item_id", _violations(ITEM_REQUIRED, enums, {"source_id": SOURCE_ID}).alias("violations")).where(F.size("violations") > 0)
-
-
 def deduplicate(corpus: DataFrame) -> DataFrame:
     """One passage for each normalised text: the first by book and number."""
     from pyspark.sql import Window
@@ -120,29 +93,54 @@ def deduplicate(corpus: DataFrame) -> DataFrame:
     return corpus.withColumn("__key", F.sha2("normalized_text", 256)).withColumn("__rn", first).where("__rn = 1").drop("__key", "__rn")
 
 
-def _grams(text: Column, k: int) -> Column:
-    """All runs of ``k`` code points; a lookahead finds overlapping ones in one pass."""
-    return F.array_distinct(F.regexp_extract_all(text, F.lit(f"(?s)(?=(.{{{k}}}))"), F.lit(1)))
+#: Bytes of normalised spans in one automaton.
+SPAN_BYTES = 4 << 20
+
+
+def _matcher(table: pa.Table):
+    """An Aho-Corasick automaton over the spans of ``table`` (n, span_id); a word's value is the list of its rows."""
+    import ahocorasick
+
+    rows: dict[str, list[int]] = {}
+    for at, word in enumerate(table.column("n").to_pylist()):
+        rows.setdefault(word, []).append(at)
+    automaton = ahocorasick.Automaton()
+    for word, held in rows.items():
+        automaton.add_word(word, held)
+    automaton.make_automaton()
+    return automaton
 
 
-def trace_spans(spans: DataFrame, corpus: DataFrame, gram: int = 8, most_bytes: int = 64 << 20) -> DataFrame:
-    """(span_id, passage_id) of all passages that hold a span: equal first grams, then containment.
+def trace_spans(spans: DataFrame, corpus: DataFrame, most_bytes: int = SPAN_BYTES) -> DataFrame:
+    """(span_id, passage_id) of all passages that hold a span in their normalised text.
 
-    Spans shorter than a gram are compared with the passages' grams of their own length.
-    Spans are sent to the passages in groups of at most about ``most_bytes`` bytes, so no
-    gram is shuffled and a common one burdens no task. Null and empty spans are in none.
+    Spans are sent to the passages in groups of about ``most_bytes`` bytes, each as one
+    Aho-Corasick automaton that a task builds once and runs over its Arrow batches: a passage
+    is read once for each group, and no text is shuffled. Null and empty spans are in none.
     """
-    normal = spans.select("span_id", X.normalize(F.col("span")).alias("n")).where("n <> ''")
-    normal = normal.withColumn("k", F.least(F.lit(gram), F.length("n"))).withColumn("g", F.col("n").substr(F.lit(1), F.col("k")))
+    normal = spans.select("span_id", X.normalize(F.col("span")).alias("n")).where("n <> ''").distinct()
     normal = stored(normal, "spans")
-    size = normal.agg(F.sum(F.octet_length("n") + 100)).first()[0]
-    lengths = [r[0] for r in normal.select("k").distinct().collect()]  # at most ``gram`` values
-    if not size:
-        return corpus.select(F.lit(None).cast(spans.schema["span_id"].dataType).alias("span_id"), "passage_id").limit(0)
-    text = F.col("normalized_text")
-    grams = corpus.select("passage_id", F.explode(F.concat(*[_grams(text, k) for k in sorted(lengths)])).alias("g"))
-    groups = -(-size // most_bytes)
-    dealt = F.pmod(F.xxhash64("span_id", "n"), F.lit(groups))
-    hits = [grams.join(F.broadcast(normal.where(dealt == i)), "g").select("span_id", "n", "passage_id") for i in range(groups)]
-    found = functools.reduce(DataFrame.union, hits).join(corpus.select("passage_id", "normalized_text"), "passage_id")
-    return found.where(F.contains(text, F.col("n"))).select("span_id", "passage_id").distinct()
+    size = normal.agg(F.sum(F.octet_length("n") + 16)).first()[0] or 0
+    groups = max(1, -(-size // most_bytes))
+    id_type = spans.schema["span_id"].dataType.simpleString()
+    dealt = F.pmod(F.xxhash64("n"), F.lit(groups))
+
+    def hits(group: int) -> DataFrame:
+        table = normal.where(dealt == group).select("n", "span_id").toArrow()  # one group
+        sent = corpus.sparkSession.sparkContext.broadcast(table)
+
+        def run(batches):
+            own = sent.value
+            automaton = _matcher(own) if own.num_rows else None
+            ids = own.column("span_id").combine_chunks()
+            for batch in batches:
+                at, whose = [], []
+                for row, text in enumerate(batch.column("normalized_text").to_pylist() if automaton else ()):
+                    found = {k for _, held in automaton.iter(text or "") for k in held}
+                    at.extend(found)
+                    whose.extend([row] * len(found))
+                yield pa.RecordBatch.from_arrays([ids.take(pa.array(at, pa.int64())), batch.column("passage_id").take(pa.array(whose, pa.int64()))], names=["span_id", "passage_id"])
+
+        return corpus.select("passage_id", "normalized_text").mapInArrow(run, f"span_id {id_type}, passage_id string")
+
+    return functools.reduce(DataFrame.union, [hits(g) for g in range(groups)]).distinct()

@@ -2,15 +2,14 @@
 
 from __future__ import annotations
 
-import time
 from collections.abc import Callable
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import text as X
 from ..functions.lookups import MCQ_TASKS, SAFETY_NOTE, SOURCE_NAME, TASKS
+from . import calls
 from .generate import DISTRACTORS, ITEM_COLUMNS, _item
 
 SYSTEM = "Work only from the passage given. Quote evidence word for word. Answer with one JSON object."
@@ -48,34 +47,9 @@ def build_prompt(task: Column, difficulty: str = "Hard") -> Column:
     return prompt
 
 
-def complete(jobs: DataFrame, client: Callable[..., str], concurrency: int, max_retries: int = 4, max_tokens: int = 2048, temperature: float = 0.0, pause: float = 1.0, system: str = SYSTEM) -> DataFrame:
-    """Calls ``client(system, prompt, max_tokens=, temperature=)`` once for each job (passage_id, task_code, prompt).
-
-    Adds reply, error and attempts. A failed call is tried again after 1, 2, 4 ... at most
-    16 times ``pause`` seconds; the last error is kept and counted, never raised. The
-    number of partitions bounds the calls in flight. Store the result before using it.
-    """
-
-    def run(batches):
-        for pdf in batches:
-            out = []
-            for prompt in pdf["prompt"]:
-                reply, error, attempt, delay = None, None, 0, 1.0
-                while True:
-                    attempt += 1
-                    try:
-                        reply, error = client(system, prompt, max_tokens=max_tokens, temperature=temperature), None
-                        break
-                    except Exception as e:  # noqa: BLE001  any client, any error
-                        error = f"{type(e).__name__}: {e}"
-                        if attempt > max_retries:
-                            break
-                        time.sleep(pause * min(delay, 16.0))
-                        delay *= 2
-                out.append((reply, error, attempt))
-            yield pdf[["passage_id", "task_code"]].assign(**{c: pd.Series([o[i] for o in out], dtype=object, index=pdf.index) for i, c in enumerate(("reply", "error", "attempts"))})
-
-    return jobs.select("passage_id", "task_code", "prompt").repartition(concurrency, "passage_id", "task_code").mapInPandas(run, "passage_id string, task_code string, reply string, error string, attempts int")
+def complete(jobs: DataFrame, client: Callable[..., str], tasks: int, window: int = 1, system: str = SYSTEM, **options) -> DataFrame:
+    """``calls.complete`` with the library's system text; ``tasks * window`` calls are in flight at most."""
+    return calls.complete(jobs, client, tasks, window, system=system, **options)
 
 
 def job_accounting(replies: DataFrame) -> DataFrame:

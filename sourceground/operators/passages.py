@@ -99,7 +99,7 @@ def heading_levels(lines: DataFrame) -> list[int]:
 
 
 def with_heading_path(lines: DataFrame, levels: list[int] | None = None) -> DataFrame:
-    """``mark_lines`` with ``heading_path``: of each level the last heading so far, unless a shallower one came after it.
+    """``mark_lines`` with ``heading_path``: of each level the last heading so far, unless a shallower one came after it; ``__part`` stays.
 
     ``levels`` are the lengths that occur; if None they are read off by one small distinct query.
     """
@@ -111,20 +111,21 @@ def with_heading_path(lines: DataFrame, levels: list[int] | None = None) -> Data
         kept.append(F.when(line_no > above, F.col(f"{name}.title")))
         above = F.greatest(above, F.coalesce(line_no, F.lit(-1).cast("long")))
     path = F.array_compact(F.array(*kept)) if kept else F.array().cast("array<string>")
-    return marked.withColumn("heading_path", path).drop("__part", *[f"__h{n}" for n in levels])
+    return marked.withColumn("heading_path", path).drop(*[f"__h{n}" for n in levels])
 
 
 def passages(lines: DataFrame, levels: list[int] | None = None) -> DataFrame:
     """(book_id, passage_idx, heading_path, raw_joined, text, formulas) of every non-empty passage.
 
-    Texts are joined inside one group of lines, whose size is a passage's; the order comes
-    from line numbers. ``passage_idx`` counts from 0 in a book: cleaned passages are stored
+    Lines are joined to fragments inside their part, in the order of line numbers, and
+    fragments to passages, so a block that runs over many parts gathers a row of each. ``passage_idx`` counts from 0 in a book: cleaned passages are stored
     once, counted in runs of groups, and numbered inside their run.
     """
     lines = stored(lines.select("book_id", "line_no", "line"), "lines")  # read for the levels, for both carries, and for the texts
     content = with_heading_path(lines, levels).where("not is_break")
-    joined = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("line_no", "line"))), lambda x: x["line"]), "\n")
-    grouped = content.groupBy("book_id", "grp").agg(F.min_by("heading_path", "line_no").alias("heading_path"), joined.alias("raw_joined"))
+    joined = lambda at, text: F.array_join(F.transform(F.array_sort(F.collect_list(F.struct(at, text))), lambda x: x[text]), "\n")
+    fragments = content.groupBy(*KEYS, "grp").agg(F.min_by("heading_path", "line_no").alias("heading_path"), joined("line_no", "line").alias("fragment"))
+    grouped = fragments.groupBy("book_id", "grp").agg(F.min_by("heading_path", "__part").alias("heading_path"), joined("__part", "fragment").alias("raw_joined"))
     cleaned = grouped.withColumn("raw_joined", strip(F.col("raw_joined"))).withColumn("text", strip_inline(F.col("raw_joined")))
     cleaned = stored(cleaned.withColumn("__run", F.floor(F.col("grp") / NUMBERED)), "passages").where("text <> ''")
     before = Window.partitionBy("book_id").orderBy("__run").rowsBetween(Window.unboundedPreceding, -1)

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from ..functions import text as X
 from ..functions.lookups import SOURCE_ID
-from .generate import answer_scan_text
+from .generate import ANSWER, answer_scan_text
 
 NONE = "array<string>"
 
@@ -46,7 +46,12 @@ def level_errors() -> Column:
 
 
 def formula_errors() -> Column:
-    f = F.col("answer_formula")
+    """Name, herbs and doses of a formula must occur in the passage, whoever made it: a model's answer is read from its JSON object."""
+    said = F.when(F.col("answer_json").startswith("{"), F.from_json("answer_json", ANSWER))
+    return X.let(F.coalesce("answer_formula", said), _formula_errors)
+
+
+def _formula_errors(f: Column) -> Column:
     name = _if((f["formula_name"] != "") & ~_found(f["formula_name"]), F.concat(F.lit("name:"), f["formula_name"]))
 
     def of(i: Column) -> Column:

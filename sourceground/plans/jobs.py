@@ -8,12 +8,16 @@ from collections.abc import Callable, Iterable
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..functions import text as X
 from ..operators import corpus as C
 from ..operators import generate, model, report, sampling, validate
+from ..operators.calls import KEYS, REPLIES
 from ..sources.books import catalog
-from ..sources.scratch import stored
+from ..sources.scratch import exists, stored
 
 ORDER = ["pilot_ord", "book_ord", "passage_idx", "task_rank", "formula_no"]
+#: Bytes up to which a table of known size is sent to all executors.
+SENT = 64 << 20
 CARRY = ("pilot", "pilot_ord", "book_ord", "passage_idx")
 
 
@@ -37,35 +41,149 @@ def release(files: DataFrame, pilots: DataFrame, date: str, per_book: int = 30,
 
 
 def simple(full: DataFrame, n: int, seed: int = 0, tasks: tuple[str, ...] = ("T1", "T6")) -> DataFrame:
-    """A balanced, validated set of ``n`` items in a seeded order. ``full`` has min_chars 20; it feeds each task, so it is stored once."""
+    """A balanced, validated set of ``n`` items in a seeded order. ``full`` has min_chars 20.
+
+    It is stored once. Thin rows of its valid items decide what is taken; only the passages of
+    these at most ``n`` items are made into whole items.
+    """
+    order = ["shuffle", "passage_id", "task_rank", "formula_no"]
     keyed = stored(full.withColumn("shuffle", sampling.shuffle_key(seed, F.col("passage_id"))), "corpus")
     checked = validate.generate_and_validate(keyed, list(tasks), carry=("shuffle",))
-    return sampling.balanced_take(checked.where("ok"), n, ["shuffle", "passage_id", "task_rank", "formula_no"])
+    thin = stored(checked.where("ok").select("task_code", "book_id", *order), "thin")
+    taken = sampling.balanced_take(thin, n, order).select("passage_id", "task_rank", "formula_no")
+    taken = stored(taken.withColumn("__place", F.monotonically_increasing_id()), "taken")  # n rows at most, sorted
+    sent = F.broadcast(taken) if n * 200 <= SENT else taken
+    some = keyed.join(sent.select("passage_id"), "passage_id", "left_semi")
+    return validate.generate_and_validate(some, list(tasks), carry=("shuffle",)).join(sent, ["passage_id", "task_rank", "formula_no"]).orderBy("__place").drop("__place")
 
 
-def model_wave(full: DataFrame, tasks: list[str], client: Callable[..., str], name: str, done: DataFrame | None, size: int, concurrency: int, seed: int = 0, store: Callable[[DataFrame], DataFrame] = lambda df: df, pause: float = 1.0) -> tuple[DataFrame, DataFrame]:
-    """One wave of model jobs: (stored replies, checked items). ``store`` must write the replies: calls are never repeated."""
-    jobs = generate.model_jobs(full, tasks, done).withColumn("prompt", model.build_prompt(F.col("task_code")))
-    wave = sampling.first_n(jobs, [sampling.shuffle_key(seed, F.concat_ws("|", "passage_id", "task_code")), "passage_id", "task_code"], size)
-    replies = store(model.complete(wave, client, concurrency, pause=pause))
+def judged(full: DataFrame, replies: DataFrame, name: str) -> DataFrame:
+    """Replies as checked items on their passages."""
     rows = full.withColumns({"source_text": F.col("raw_text_trad"), "source_normalized": F.col("normalized_text")})
     items = model.items_from_replies(replies, rows, name, carry=("source_text", "source_normalized"))
-    return replies, validate.validate(items).drop("source_text", "source_normalized")
+    return validate.validate(items).drop("source_text", "source_normalized")
+
+
+def keyed_jobs(full: DataFrame, tasks: list[str], done: DataFrame | None, seed: int) -> DataFrame:
+    """Model jobs that are not done, each with the seeded key that orders them."""
+    jobs = generate.model_jobs(full, tasks, done)
+    return jobs.withColumn("shuffle", sampling.shuffle_key(seed, F.concat_ws("|", "passage_id", "task_code")))
+
+
+JOB_ORDER = ["shuffle", "passage_id", "task_code"]
+
+
+def model_wave(full: DataFrame, tasks: list[str], client: Callable[..., str], name: str, done: DataFrame | None, size: int, slots: int, window: int = 1, seed: int = 0, store: Callable[[DataFrame], DataFrame] = lambda df: df, **options) -> tuple[DataFrame, DataFrame]:
+    """One wave of model jobs: (stored replies, checked items). ``store`` must write the replies unless ``options`` name a ledger.
+
+    The wave is a range of thin keys, so no prompt is sorted or sent to one task.
+    """
+    thin = keyed_jobs(full.select("passage_id", "candidate_tasks"), tasks, done, seed).select(*JOB_ORDER)
+    keys = stored(sampling.first_n(thin, JOB_ORDER, size), "wave").select(*KEYS)
+    wave = full.join(F.broadcast(keys) if size * 200 <= SENT else keys, "passage_id").withColumn("prompt", model.build_prompt(F.col("task_code")))
+    replies = store(model.complete(wave, client, slots, window, **options))
+    return replies, judged(full, replies, name)
 
 
 def union(tables: Iterable[DataFrame]) -> DataFrame:
     return functools.reduce(DataFrame.unionByName, tables)
 
 
-def model_waves(full: DataFrame, tasks: list[str], client: Callable[..., str], name: str, waves: int, concurrency: int, seed: int = 0, store: Callable[[DataFrame], DataFrame] = lambda df: df, pause: float = 1.0) -> list[tuple[DataFrame, DataFrame]]:
-    """Waves until no job is left, each of a ``waves``-th of all jobs: (stored replies, checked items) of each wave.
+def next_size(target: int, accepted: int, tried: int, floor: int, ceiling: int) -> int:
+    """Jobs for the next wave: what is missing, divided by the share of jobs accepted so far (one of two before any)."""
+    missing = target - accepted
+    return max(0 if missing <= 0 else floor, min(ceiling, -(-missing * (tried + 2) // (accepted + 1))))
 
-    Each wave leaves out what the waves before have done, so a lost run starts again where
-    its stored replies end.
+
+class ModelRun:
+    """A model run whose state is in ``folder``: ``wave-00001/replies``, ``/items`` and ``/ledger``, and so on.
+
+    A wave counts once its items are written. A run that is started again on the same folder
+    goes on with the wave that was not; its ledger keeps the replies that were paid for.
     """
+
+    def __init__(self, full: DataFrame, tasks: list[str], client: Callable[..., str], name: str, folder: str, slots: int, window: int = 8, tries: int = 3, seed: int = 0, done: DataFrame | None = None, **options):
+        self.full, self.tasks, self.client, self.name, self.folder = full, tasks, client, name, folder.rstrip("/")
+        self.slots, self.window, self.tries, self.seed, self.given, self.options = slots, window, tries, seed, done, options
+        self.spark = full.sparkSession
+
+    def _wave(self, number: int, table: str) -> str:
+        return f"{self.folder}/wave-{number:05d}/{table}"
+
+    def waves(self) -> int:
+        """Waves whose items are written."""
+        n = 0
+        while exists(self.spark, f"{self._wave(n + 1, 'items')}/_SUCCESS"):
+            n += 1
+        return n
+
+    def _read(self, table: str) -> DataFrame | None:
+        n = self.waves()
+        return self.spark.read.parquet(*[self._wave(k, table) for k in range(1, n + 1)]) if n else None
+
+    def replies(self) -> DataFrame | None:
+        """Every reply and error of every wave, with ``wave``."""
+        return self._read("replies")
+
+    def items(self) -> DataFrame | None:
+        """The checked items of all waves, with ``wave`` and the key that orders them."""
+        return self._read("items")
+
+    def settled(self) -> DataFrame | None:
+        """(passage_id, task_code) that no wave takes again: given as done, answered with JSON, or tried ``tries`` times."""
+        found = self.replies()
+        if found is not None:
+            parsed = X.json_object(F.col("reply")).isNotNull()
+            found = found.groupBy(*KEYS).agg(F.max(parsed).alias("parsed"), F.count(F.lit(1)).alias("tried")).where(F.col("parsed") | (F.col("tried") >= self.tries)).select(*KEYS)
+        given = self.given.select(*KEYS) if self.given is not None else None
+        return found if given is None else given if found is None else found.union(given)
+
+    def counts(self) -> tuple[int, int]:
+        """(accepted items, jobs called) of the waves so far."""
+        items, replies = self.items(), self.replies()
+        return (items.where("ok").count(), replies.count()) if items is not None else (0, 0)
+
+    def step(self, size: int) -> int:
+        """Runs the next wave with ``size`` jobs; returns the jobs called."""
+        number = self.waves() + 1
+        ledger = self._wave(number, "ledger")
+        replies, _ = model_wave(self.full, self.tasks, self.client, self.name, self.settled(), size, self.slots, self.window, self.seed, ledger=ledger, **self.options)
+        replies.withColumn("wave", F.lit(number)).write.mode("overwrite").parquet(self._wave(number, "replies"))
+        kept = self.spark.read.parquet(self._wave(number, "replies"))
+        called = kept.count()
+        key = sampling.shuffle_key(self.seed, F.concat_ws("|", "passage_id", "task_code"))
+        items = judged(self.full, kept, self.name).withColumns({"wave": F.lit(number), "shuffle": key})
+        items.write.mode("overwrite").parquet(self._wave(number, "items"))
+        return called
+
+    def run(self, target: int, floor: int = 64, ceiling: int = 1_000_000) -> DataFrame:
+        """Waves until ``target`` items are accepted, those given as done included, or no job is left.
+
+        Returns the accepted items of this run's waves in the order of waves and keys, and of the
+        last wave only what the target lacks. The next wave's size follows from the share
+        accepted so far. Items given as done are counted, not returned.
+        """
+        already = self.given.select(*KEYS).distinct().count() if self.given is not None else 0
+        while True:
+            accepted, tried = self.counts()
+            size = next_size(target - already, accepted, tried, floor, ceiling)
+            if not size or not self.step(size):
+                break
+        last = self.waves()
+        items = self.items()
+        if items is None:
+            return judged(self.full, self.spark.createDataFrame([], REPLIES), self.name).where("ok")
+        ok = items.where("ok")
+        earlier = ok.where(F.col("wave") < last)
+        rest = sampling.first_n(ok.where(F.col("wave") == last), JOB_ORDER, target - already, earlier.count())
+        return earlier.unionByName(rest)
+
+
+def model_waves(full: DataFrame, tasks: list[str], client: Callable[..., str], name: str, waves: int, slots: int, seed: int = 0, store: Callable[[DataFrame], DataFrame] = lambda df: df, **options) -> list[tuple[DataFrame, DataFrame]]:
+    """Every job once, in ``waves`` waves of equal size: (stored replies, checked items) of each wave. For targets, retries and restarts see ``ModelRun``."""
     size = max(1, -(-generate.model_jobs(full, tasks).count() // waves))
     found: list[tuple[DataFrame, DataFrame]] = []
     for _ in range(waves):
-        done = union(replies for replies, _ in found) if found else None
-        found.append(model_wave(full, tasks, client, name, done, size, concurrency, seed, store, pause))
+        done = stored(union(replies.select(*KEYS) for replies, _ in found), "done") if found else None
+        found.append(model_wave(full, tasks, client, name, done, size, slots, 1, seed, store, **options))
     return found

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from ..functions import classify
 from ..functions import text as X
 from ..functions.lookups import SOURCE_ID
+from ..operators import conformance as K
 from ..operators import corpus as C
 from ..operators import generate as G
 from ..operators import model as M
@@ -20,7 +21,8 @@ from ..operators import validate as V
 from ..plans import jobs as J
 from ..sources import books as S
 from ..sources import io
-from ..sources.scratch import scratch_path, stored
+from ..sources import splits
+from ..sources.scratch import scratch_path, stored, stored_by
 from . import fixtures as D
 from . import sql as Q
 
@@ -268,14 +270,36 @@ def p10(spark, sf):
 def p11(spark, sf):
     c = D.corpus(spark, sf)
     c = c.withColumn("book_title_simp", F.when(F.col("passage_idx") % 5 != 0, F.col("book_title_simp"))).withColumn("quality_tier", F.when(F.col("passage_idx") % 5 == 1, "bad").otherwise(F.col("quality_tier")))
-    return C.corpus_violations(c).select("passage_id", F.array_join("violations", ";").alias("violations"))
+    return K.corpus_violations(c).select("passage_id", F.array_join("violations", ";").alias("violations"))
 
 
-@query("p12_item_violations", "SELECT item_id, CASE WHEN passage_idx % 4 = 0 THEN 'missing:question' ELSE 'enum:difficulty:Odd' END AS violations FROM items WHERE passage_idx % 4 IN (0, 1)")
+@query("p12_item_violations", """SELECT item_id, CASE passage_idx % 8 WHEN 0 THEN 'missing:question' WHEN 1 THEN 'enum:difficulty:Odd' WHEN 2 THEN 'missing:answer' WHEN 3 THEN 'constant:evidence.source_id' WHEN 4 THEN 'missing:evidence.book_title_trad'
+  WHEN 5 THEN 'missing:evidence' ELSE 'missing:answer;missing:evidence.source_id' END AS violations FROM items WHERE passage_idx % 8 < 7""")
 def p12(spark, sf):
-    i = items(spark, sf, ("passage_idx",))
-    i = i.withColumn("question", F.when(F.col("passage_idx") % 4 != 0, F.col("question"))).withColumn("difficulty", F.when(F.col("passage_idx") % 4 == 1, "Odd").otherwise(F.col("difficulty")))
-    return C.item_violations(i).select("item_id", F.array_join("violations", ";").alias("violations"))
+    i, k = items(spark, sf, ("passage_idx",)), F.col("passage_idx") % 8
+    gone = lambda when, c: F.when(~when, F.col(c))
+    e = F.col("evidence")
+    source = F.when(k == 3, "elsewhere").when(k != 6, F.lit(SOURCE_ID))
+    e = F.when(k != 5, e.withField("source_id", source).withField("book_title_trad", F.when(k != 4, e["book_title_trad"])))
+    unanswered = k.isin(2, 6)
+    i = i.withColumns({"question": gone(k == 0, "question"), "difficulty": F.when(k == 1, "Odd").otherwise(F.col("difficulty")), "evidence": e, "answer_text": gone(unanswered, "answer_text"), "answer_formula": gone(unanswered, "answer_formula")})
+    return K.item_violations(i).select("item_id", F.array_join("violations", ";").alias("violations"))
+
+
+@query("p12_item_documents", """SELECT item_id, CASE passage_idx % 8 WHEN 0 THEN 'missing:answer' WHEN 1 THEN 'type:options[1]:integer' WHEN 2 THEN 'type:evidence:string' WHEN 3 THEN 'missing:evidence.book_title_trad;constant:evidence.source_id' WHEN 4 THEN 'type:distractors[0].requires_external:string'
+  WHEN 5 THEN 'type:evidence.spans[0]:boolean' ELSE 'enum:task_code:T99' END AS violations FROM items WHERE passage_idx % 8 < 7""")
+def p12d(spark, sf):
+    """Items as lines of JSON, as any producer may write them, of which seven in eight break the schema."""
+    cases = """CASE passage_idx % 8 WHEN 0 THEN named_struct('drop', 'answer') WHEN 1 THEN named_struct('drop', 'options') WHEN 2 THEN named_struct('drop', 'evidence') WHEN 3 THEN named_struct('drop', 'evidence') WHEN 4 THEN named_struct('drop', 'distractors')
+      WHEN 5 THEN named_struct('drop', 'evidence') WHEN 6 THEN named_struct('drop', 'task_code') END.drop"""
+    value = """CASE passage_idx % 8 WHEN 0 THEN 'null' WHEN 1 THEN '["甲", 2, "丙"]' WHEN 2 THEN '"單"' WHEN 3 THEN '{"book_title_trad": null, "source_id": "x"}' WHEN 4 THEN '[{"option": "乙", "requires_external": "no"}]'
+      WHEN 5 THEN '{"book_title_trad": "書", "source_id": "' || '@' || '", "spans": [true, "文"]}' WHEN 6 THEN '"T99"' END""".replace("@", SOURCE_ID)
+    i = io.with_answer(items(spark, sf, ("passage_idx",))).withColumns({"broken": F.expr(cases), "value": F.expr(value)})
+    entries = F.filter(F.array(*[F.struct(F.lit(c).alias("k"), F.coalesce(F.to_json(F.col(c)) if c in ("answer", "evidence", "options", "distractors") else F.regexp_extract(F.to_json(F.array(c)), r"(?s)^\[(.*)\]$", 1), F.lit("null")).alias("v")) for c in K.ITEM["properties"]]), lambda e: ~e["k"].eqNullSafe(F.col("broken")))
+    body = F.concat_ws(", ", F.transform(entries, lambda e: F.concat(F.lit('"'), e["k"], F.lit('": '), e["v"])), F.when(F.col("broken").isNotNull(), F.concat(F.lit('"'), F.col("broken"), F.lit('": '), F.col("value"))))
+    lines = i.select("item_id", F.concat(F.lit("{"), body, F.lit("}")).alias("line"))
+    found = lines.select("item_id", K.document_violations(K.ITEM, F.try_parse_json("line")).alias("violations"))
+    return found.where(F.size("violations") > 0).select("item_id", F.array_join("violations", ";").alias("violations"))
 
 
 # ---------------------------------------------------------------- segmentation
@@ -284,6 +308,14 @@ def w01(spark, sf):
     return D.lines(spark, sf)
 
 
+@query("w01_split_lines", "SELECT book_id, line_no, line FROM lines")
+def w01s(spark, sf):
+    """The same lines from files on disk, read in byte ranges."""
+    root = scratch_path(spark, "books")
+    S.write_book_files(D.files(spark, sf), root).write.format("noop").mode("overwrite").save()
+    return splits.read_books(spark, root)[1]
+
+
 @query("w02_level_ranks", "SELECT book_id, eq_len, dense_rank() OVER (PARTITION BY book_id ORDER BY eq_len DESC) - 1 AS depth FROM (SELECT DISTINCT book_id, eq_len FROM heads2 WHERE eq_len IS NOT NULL)")
 def w02(spark, sf):
     return W.level_ranks(D.lines(spark, sf))
@@ -403,7 +435,21 @@ def _echo(system: str, prompt: str, max_tokens: int, temperature: float) -> str:
   FROM (SELECT passage_id, task_code, len(raw_text_trad || task_code) AS n FROM jobs JOIN corpus USING (passage_id))""")
 def g06(spark, sf):
     jobs = jobs_and_done(spark, sf)[0].withColumn("prompt", F.concat("raw_text_trad", "task_code"))
-    return M.complete(jobs, _echo, 4, max_retries=1, pause=0.0)
+    return M.complete(jobs, _echo, 4, 3, max_retries=1, pause=0.0)
+
+
+def _refuse(system: str, prompt: str, max_tokens: int, temperature: float) -> str:
+    raise RuntimeError("asked again")
+
+
+@query("g06_ledger", JOBS + """ SELECT passage_id, task_code, CASE WHEN n % 5 <> 0 THEN '{"answer": "' || n || '"}' END AS reply, CASE WHEN n % 5 = 0 THEN 'RuntimeError: asked again' END AS error, cast(1 AS bigint) AS attempts
+  FROM (SELECT passage_id, task_code, len(raw_text_trad || task_code) AS n FROM jobs JOIN corpus USING (passage_id))""")
+def g06_ledger(spark, sf):
+    """All jobs twice: what the first run has paid for comes from the ledger, the rest is asked again."""
+    jobs = stored(jobs_and_done(spark, sf)[0].select("passage_id", "task_code", F.concat("raw_text_trad", "task_code").alias("prompt")), "jobs")
+    ledger = scratch_path(spark, "ledger")
+    M.complete(jobs, _echo, 4, 3, ledger=ledger, max_retries=0, pause=0.0).write.format("noop").mode("overwrite").save()
+    return M.complete(jobs, _refuse, 4, 3, ledger=ledger, max_retries=0, pause=0.0)
 
 
 @query("g07_items_from_replies", REPLIES + f""" SELECT book_id || '::' || task_code || '::' || substr(sha1(passage_id || '|' || task_code || '|m1'), 1, 10) AS item_id, task_code, coalesce(j->>'question', '') AS question,
@@ -426,6 +472,14 @@ def j01(spark, sf):
     return V.with_source(items(spark, sf), D.corpus(spark, sf, 40)).select("item_id", "source_text")
 
 
+@query("j01_bucketed_validation", "SELECT item_id, len(errors) = 0 AS ok, array_to_string(errors, ';') AS errors FROM checked")
+def j01b(spark, sf):
+    """Stored items against stored passages, both bucketed by passage: the join shuffles nothing."""
+    full = stored_by(D.corpus(spark, sf), "corpus", "passage_id", 8)
+    made = stored_by(broken(full).drop("source_text", "source_normalized"), "items", "passage_id", 8)
+    return V.validate_stored(made, full).select("item_id", "ok", F.array_join("errors", ";").alias("errors"))
+
+
 @query("j02_passages_with_books", "SELECT passage_id, book_title_trad, author, dynasty, quality_score_source FROM corpus_all")
 def j02(spark, sf):
     return D.corpus(spark, sf, 0).select("passage_id", "book_title_trad", "author", "dynasty", "quality_score_source")
@@ -520,6 +574,18 @@ def v06m(spark, sf):
     return found.select("passage_id", "task_code", "ok", F.array_join("errors", ";").alias("errors"))
 
 
+FORMULA = """'{"question": "問", "evidence_spans": [], "task": "formula_structure_parsing", "answer": {"formula_name": "' || CASE passage_idx % 5 WHEN 0 THEN '虛構湯' ELSE substr(book_id, 1, 0) END || '", "ingredients": [{"herb": "' || CASE passage_idx % 5 WHEN 1 THEN '無此藥' ELSE '' END || '", "dose": ' || CASE passage_idx % 5 WHEN 2 THEN '"九萬兩"' ELSE 'null' END || '}, {"herb": "' || CASE WHEN passage_idx % 5 = 3 THEN '又無' ELSE '' END || '"' || CASE WHEN passage_idx % 5 = 3 THEN ', "dose": "十噸"' ELSE '' END || '}]}}'"""
+
+
+@query("v04_model_formulas", JOBS + """ SELECT passage_id, task_code, passage_idx % 5 = 4 AS ok, CASE passage_idx % 5 WHEN 0 THEN 'name:虛構湯' WHEN 1 THEN 'herb:無此藥' WHEN 2 THEN 'dose:九萬兩' WHEN 3 THEN 'herb:又無;dose:十噸' ELSE '' END AS errors FROM jobs""")
+def v04m(spark, sf):
+    """Formulas that a model has made up, in the answer's JSON."""
+    full = stored(D.corpus(spark, sf), "corpus")
+    said = G.model_jobs(full, ALL_TASKS).select("passage_id", "task_code", F.expr(FORMULA).alias("reply"))
+    found = J.judged(full, said, "m1")
+    return found.select("passage_id", "task_code", "ok", F.array_join("errors", ";").alias("errors"))
+
+
 # ---------------------------------------------------------------- samples
 
 
@@ -548,7 +614,8 @@ def r04(spark, sf):
 
 @query("r05_stop_at_n", "SELECT passage_id FROM (SELECT passage_id FROM corpus ORDER BY sha256('3:' || passage_id) LIMIT 60)")
 def r05(spark, sf):
-    return R.first_n(D.corpus(spark, sf), [R.shuffle_key(3, F.col("passage_id"))], 100, already=40).select("passage_id")
+    rows = stored(D.corpus(spark, sf).withColumn("shuffle", R.shuffle_key(3, F.col("passage_id"))), "corpus")
+    return R.first_n(rows, ["shuffle", "passage_id"], 100, already=40).select("passage_id")
 
 
 @query("r06_top_reasons", "SELECT errors[1] AS reason, count(*) AS n FROM checked WHERE len(errors) > 0 GROUP BY 1 ORDER BY n DESC, reason LIMIT 5")
@@ -683,3 +750,39 @@ def st3(spark, sf):
     full = stored(D.corpus(spark, sf), "corpus")
     waves = J.model_waves(full, ALL_TASKS, _answer, "m1", 3, 4, store=lambda df: stored(df, "replies"), pause=0.0)
     return J.union(replies.select("passage_id", "task_code", F.lit(f"T{n}").alias("wave")) for n, (replies, _) in enumerate(waves, 1))
+
+
+def _moody(system: str, prompt: str, max_tokens: int, temperature: float) -> str:
+    """By the passage's length: an error, no object, a span that the passage lacks, or a good answer."""
+    import json
+
+    text = json.loads(prompt[prompt.index('{"source"') :])["raw_text_trad"]
+    if len(text) % 5 == 0:
+        raise TimeoutError("busy")
+    return {1: "nothing", 2: '{"answer": "甲", "evidence": "無此文字"}'}.get(len(text) % 5, json.dumps({"answer": "甲", "evidence": text[:4]}))
+
+
+@query("st3_target_run", JOBS + """, given AS (SELECT * FROM jobs WHERE substr(sha1(passage_id || task_code), 1, 1) = '0'),
+  good AS (SELECT passage_id, task_code, row_number() OVER (ORDER BY sha256('0:' || passage_id || '|' || task_code)) AS place FROM jobs JOIN corpus USING (passage_id)
+    WHERE len(raw_text_trad) % 5 > 2 AND (passage_id, task_code) NOT IN (SELECT (passage_id, task_code) FROM given))
+  SELECT passage_id, task_code FROM good WHERE place <= (SELECT count(*) // 4 FROM jobs) - (SELECT count(*) FROM given)""")
+def st3t(spark, sf):
+    """Waves until a quarter of all jobs is accepted, a sixteenth of them given as done; some calls always fail."""
+    full = stored(D.corpus(spark, sf), "corpus")
+    jobs = stored(G.model_jobs(full, ALL_TASKS).select("passage_id", "task_code"), "jobs")
+    given = jobs.where(F.substring(F.sha1(F.concat("passage_id", "task_code")), 1, 1) == "0")
+    run = J.ModelRun(full, ALL_TASKS, _moody, "m1", scratch_path(spark, "model-run"), 4, 4, done=given, max_retries=0, pause=0.0)
+    return run.run(jobs.count() // 4).select("passage_id", "task_code")
+
+
+@query("st2_keyed_state", "SELECT item_id, task_code FROM items")
+def st2k(spark, sf):
+    """Two runs on one state; the second finds all passages again and reads no sink."""
+    from ..streaming.items import stream_keyed_items, write_keyed_items
+
+    base = scratch_path(spark, "stream")
+    c = stored(D.corpus(spark, sf), "corpus")
+    for _ in range(2):
+        c.write.mode("append").parquet(f"{base}/corpus")
+        write_keyed_items(stream_keyed_items(spark, f"{base}/corpus", c.schema, ["T1", "T6"], max_files=4), f"{base}/items", f"{base}/state").awaitTermination()
+    return spark.read.parquet(f"{base}/items").select("item_id", "task_code")

@@ -38,3 +38,21 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     path = scratch_path(df.sparkSession, name)
     df.write.mode("overwrite").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def sent_if_small(stored_table: DataFrame, row_bytes: int, limit: int = 64 << 20) -> DataFrame:
+    """A stored table, broadcast while its rows are proven to stay under ``limit`` bytes, so that the other side of a join does not move."""
+    from pyspark.sql import functions as F
+
+    return F.broadcast(stored_table) if stored_table.count() * row_bytes <= limit else stored_table
+
+
+def stored_by(df: DataFrame, name: str, key: str, buckets: int) -> DataFrame:
+    """Write once, bucketed and sorted by ``key``: joins of such tables with equal ``buckets`` on ``key`` shuffle nothing.
+
+    The table's files lie in the shared folder; its entry is in the session's catalog.
+    """
+    path = scratch_path(df.sparkSession, name)
+    table = f"{name.replace('-', '_')}_{path.rpartition('-')[2]}"
+    df.write.bucketBy(buckets, key).sortBy(key).option("path", path).mode("overwrite").saveAsTable(table)
+    return df.sparkSession.table(table)

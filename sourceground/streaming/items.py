@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import functools
 import zlib
 
 from pyspark.sql import DataFrame, SparkSession
@@ -44,3 +45,32 @@ def write_new_items(items: DataFrame, out: str, checkpoint: str) -> StreamingQue
         fresh.write.mode("overwrite").parquet(mine)
 
     return items.writeStream.foreachBatch(add).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+
+
+def stream_keyed_items(spark: SparkSession, corpus_path: str, schema: StructType, tasks: list[str], retention: str = "30 days", max_files: int | None = None) -> DataFrame:
+    """As ``stream_items``, with each passage and task once: keys are state, so the sink is never read.
+
+    A key is forgotten ``retention`` after its passage was first seen; a passage that arrives
+    again later than that is made into items again. Time is when a batch runs, so no row
+    is ever late. Run with ``write_keyed_items``, whose checkpoint holds the state.
+    """
+    reader = spark.readStream.schema(schema)
+    if max_files:
+        reader = reader.option("maxFilesPerTrigger", max_files)
+    passages = reader.parquet(corpus_path).withColumn("__seen", F.current_timestamp()).withWatermark("__seen", retention)
+    made = []
+    for task in tasks:
+        fresh = passages.where(F.array_contains("candidate_tasks", task)).dropDuplicatesWithinWatermark(["passage_id"])
+        made.append(validate.generate_and_validate(fresh, [task]))
+    return functools.reduce(DataFrame.unionByName, made)
+
+
+def write_keyed_items(items: DataFrame, out: str, checkpoint: str) -> StreamingQuery:
+    """``write_items`` with its keys in RocksDB, so that state is bounded by disk, not by memory."""
+    conf, name = items.sparkSession.conf, "spark.sql.streaming.stateStore.providerClass"
+    before = conf.get(name, None)
+    conf.set(name, "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
+    try:
+        return write_items(items, out, checkpoint)  # the query keeps the settings with which it starts
+    finally:
+        conf.set(name, before) if before else conf.unset(name)
