@@ -7,22 +7,25 @@ ends have changed meanwhile are passed over. What the vocabulary lacks falls bac
 bytes. No merge crosses a place where no piece has a space mark behind another letter, so
 words are worked on alone and their ids are remembered in a bounded store.
 
-Every Arrow batch can be checked against the library: ``agrees`` tells for each row
-whether its ids and its decoded text equal the library's.
+Every Arrow batch can be checked against the library: it encodes each word that the batch
+has worked out and decodes each text's ids; ``agrees`` tells for each row whether the ids
+of its words and its decoded text equal the library's. Texts as wholes are held against
+the library in tests.
 """
 
 from __future__ import annotations
 
-import heapq
 import re
+from heapq import heapify, heappop, heappush
 from itertools import chain
+from operator import add
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
 MARK = "▁"
 #: Words remembered by a Python worker (twice so many while the older half fades), and letters of the longest of them.
-STORE, LONGEST = 1 << 17, 64
+STORE, LONGEST = 1 << 18, 64
 #: UTF-8 bytes of text after which a batch of results is handed on.
 FLUSH = 1 << 22
 
@@ -36,7 +39,7 @@ class Vocabulary:
         self.library = sp = sentencepiece.SentencePieceProcessor(model_proto=model)
         names = sp.id_to_piece(list(range(len(sp))))
         self.unknown = sp.unk_id()
-        self.ids, self.score, self.bytes, self.unused, self.written = {}, {}, [None] * 256, set(), []
+        self.ids, self.bytes, self.unused, self.written = {}, [None] * 256, set(), []
         for at, name in enumerate(names):
             if sp.is_byte(at):
                 self.bytes[int(name[3:5], 16)] = at
@@ -44,46 +47,51 @@ class Vocabulary:
             elif sp.is_control(at) or sp.is_unknown(at):
                 self.written.append(b"")
             else:
-                self.ids[name], self.score[name] = at, sp.get_score(at)
+                self.ids[name] = at
                 self.written.append(name.replace(MARK, " ").encode())
                 if sp.is_unused(at):
                     self.unused.add(name)
         self.fallback = None not in self.bytes
         within = any(MARK in name.lstrip(MARK) for name in self.ids)
         self.word = re.compile(".+" if within else f"{MARK}+[^{MARK}]*|[^{MARK}]+", re.DOTALL)
-        self.known, self.older = {}, {}
+        scores = {name: sp.get_score(at) for name, at in self.ids.items()}
+        places = {score: place for place, score in enumerate(sorted(set(scores.values()), reverse=True))}
+        #: Place of a piece's score among all scores, the highest first.
+        self.rank = {name: places[score] for name, score in scores.items()}
+        self.known, self.older, self.fresh = {}, {}, []
 
     def merged(self, word: str) -> list[str]:
         """The symbols that are left when no adjacent pair is a piece."""
-        symbols, score = list(word), self.score
+        symbols, rank = list(word), self.rank
+        agenda = [(rank[pair], left, left + 1, 2) for left, pair in enumerate(map(add, symbols, symbols[1:])) if pair in rank]
+        if not agenda:
+            return symbols
+        heapify(agenda)
         before, behind = list(range(-1, len(word) - 1)), [*range(1, len(word)), -1]
-        agenda: list[tuple[float, int, int, int]] = []
         parts: dict[str, tuple[str, str]] = {}
-
-        def offer(left: int, right: int) -> None:
-            piece = symbols[left] + symbols[right]
-            if piece in score:
-                heapq.heappush(agenda, (-score[piece], left, right, len(piece)))
-                if piece in self.unused:
-                    parts[piece] = symbols[left], symbols[right]
-
-        for left in range(len(word) - 1):
-            offer(left, left + 1)
         while agenda:
-            _, left, right, size = heapq.heappop(agenda)
-            if not symbols[left] or not symbols[right] or len(symbols[left]) + len(symbols[right]) != size:
-                continue
-            symbols[left] += symbols[right]
+            _, left, right, size = heappop(agenda)
+            own, next_ = symbols[left], symbols[right]
+            if not own or not next_ or len(own) + len(next_) != size:
+                continue  # one of the ends has changed since
+            symbols[left] = piece = own + next_
             symbols[right] = ""
+            if piece in self.unused:
+                parts[piece] = own, next_
             behind[left] = after = behind[right]
             if after >= 0:
                 before[after] = left
-                offer(left, after)
-            if before[left] >= 0:
-                offer(before[left], left)
+                pair = piece + symbols[after]
+                if pair in rank:
+                    heappush(agenda, (rank[pair], left, after, len(pair)))
+            ahead = before[left]
+            if ahead >= 0:
+                pair = symbols[ahead] + piece
+                if pair in rank:
+                    heappush(agenda, (rank[pair], ahead, left, len(pair)))
         found = [s for s in symbols if s]
-        while parts and any(s in self.unused and s in parts for s in found):  # pieces that may only be steps on the way
-            found = [p for s in found for p in (parts[s] if s in self.unused and s in parts else (s,))]
+        while parts and any(s in parts for s in found):  # pieces that may only be steps on the way
+            found = [p for s in found for p in parts.get(s, (s,))]
         return found
 
     def _ids(self, word: str) -> tuple[int, ...]:
@@ -101,15 +109,32 @@ class Vocabulary:
     def encode_word(self, word: str) -> tuple[int, ...]:
         got = self.known.get(word)
         if got is None:
-            got = self.older.get(word) or self._ids(word)
+            got = self.older.get(word)
+            if got is None:
+                got = self._ids(word)
+                self.fresh.append((word, got))
             if len(word) <= LONGEST:
                 if len(self.known) >= STORE:
                     self.known, self.older = {}, self.known
                 self.known[word] = got
         return got
 
+    def differing(self) -> set[str]:
+        """Words worked out since the last call whose ids are not the library's; a word behind a space mark is a text without it."""
+        fresh, self.fresh = self.fresh, []
+        texts = [word[1:].replace(MARK, " ") if word.startswith(MARK) else word for word, _ in fresh]
+        theirs = self.library.encode(texts, num_threads=1)
+        alone = [self.library.piece_to_id(MARK)]  # a last space mark alone is no text of its own
+        return {word for (word, ids), text, their in zip(fresh, texts, theirs, strict=True) if list(ids) != (alone if word == MARK else their)}
+
+    def words(self, text: str) -> list[str]:
+        return self.word.findall(self.library.normalize(text))
+
     def encode(self, text: str) -> list[int]:
-        ids = list(chain.from_iterable(map(self.encode_word, self.word.findall(self.library.normalize(text)))))
+        return self.joined(self.words(text))
+
+    def joined(self, words: list[str]) -> list[int]:
+        ids = list(chain.from_iterable(map(self.encode_word, words)))
         if self.fallback or self.unknown not in ids:
             return ids
         return [i for at, i in enumerate(ids) if i != self.unknown or not at or ids[at - 1] != self.unknown]  # a run is one unknown
@@ -141,21 +166,24 @@ def encode(docs: DataFrame, model: bytes, check: bool = True) -> DataFrame:
     """(doc_id, ids array<int>, decoded, agrees) for every row: the whole text's ids and what they decode to.
 
     ``model`` is a merge-type model without user-defined pieces. Null texts count as empty
-    and have no ids. With ``check`` the library encodes and decodes each text as well and
-    ``agrees`` tells whether both are equal; without it ``agrees`` is null. Other columns
-    are not read; rows that repeat are rows like others; an empty table gives an empty result.
+    and have no ids. With ``check`` the library encodes the batch's new words and decodes each
+    text's ids as well, and ``agrees`` tells whether both are equal; without it ``agrees`` is
+    null. Other columns are not read; rows that repeat are rows like others; an empty table
+    gives an empty result.
     """
 
     def run(batches):
-        own = vocabulary(model)
+        own, wrong = vocabulary(model), set()
 
         def handed(doc_ids, texts):
-            ids = [own.encode(t) for t in texts]
-            decoded = [own.decode(i) for i in ids]
+            words = [own.words(t) for t in texts]
+            ids = [own.joined(w) for w in words]
+            decoded = own.library.decode(ids, num_threads=1)
             agrees = [None] * len(texts)
             if check:
-                theirs = own.library.encode(texts, num_threads=1)
-                agrees = [a == b and c == d for a, b, c, d in zip(ids, theirs, decoded, own.library.decode(theirs, num_threads=1), strict=True)]
+                wrong.update(own.differing())
+                agrees = [own.decode(i) == d and wrong.isdisjoint(w) for i, d, w in zip(ids, decoded, words, strict=True)]
+            own.fresh.clear()
             return pa.RecordBatch.from_arrays([doc_ids, pa.array(ids, pa.list_(pa.int32())), pa.array(decoded, pa.string()), pa.array(agrees, pa.bool_())], names=["doc_id", "ids", "decoded", "agrees"])
 
         for batch in batches:

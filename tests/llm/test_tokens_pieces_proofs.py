@@ -49,14 +49,22 @@ def test_remembered_words_are_bounded(monkeypatch):
     for _ in range(300):
         text = " ".join("".join(rng.choices("abcdefg", k=rng.randint(1, 9))) for _ in range(20)) + " " + "z" * 100
         assert own.encode(text) == own.library.encode(text)
+        assert own.differing() == set() and own.fresh == []
         assert len(own.known) <= 50 and len(own.older) <= 50 and not any(len(w) > sentencepieces.LONGEST for w in own.known)
 
 
+def test_words_that_differ_are_told():
+    own = sentencepieces.Vocabulary(sentencepieces.read_model(MODEL))
+    own.encode("one two")
+    own.fresh.append(("▁three", (5, 6)))
+    assert own.differing() == {"▁three"}
+
+
 def naive_agenda(own, word):
     """Merge the best adjacent pair until none is a piece, looking at all pairs each time."""
     symbols = list(word)
     while True:
-        pairs = [(-own.score[a + b], i) for i, (a, b) in enumerate(zip(symbols, symbols[1:], strict=False)) if a + b in own.score]
+        pairs = [(-own.library.get_score(own.ids[a + b]), i) for i, (a, b) in enumerate(zip(symbols, symbols[1:], strict=False)) if a + b in own.ids]
         if not pairs:
             return symbols
         at = min(pairs)[1]
