@@ -9,8 +9,10 @@ others are slots, and the content node is where the words of the slots are. Each
 aligned once more and read from that node, without the template nodes below it.
 
 Tags that are never running text (menus, footers, forms, scripts and the like) are left out
-everywhere. Class names decide only where nothing can be induced: on hosts with fewer
-than ``LEAST`` distinct pages, and on pages that hold no match of the content node.
+everywhere, and so are nodes that a class, id or role names an advert, a notice, a menu or
+reader comments, at any number of pages. Comments without such a name are known by the
+alignment: repeated siblings of one shape, without headings, whose number varies over the
+pages and that follow the text. Vaguer names decide only where nothing can be induced.
 """
 
 from __future__ import annotations
@@ -34,7 +36,12 @@ INLINE = frozenset("a abbr b bdi bdo big br cite code data del dfn em font i img
 #: Never running text, wherever they stand.
 DROPPED = frozenset("nav footer aside form button select option input textarea script style noscript template iframe svg math head title dialog menu object canvas audio video".split())
 DROPPED_ROLES = frozenset("navigation banner contentinfo complementary search dialog alert menu menubar".split())
-#: Class names and ids of what is no article; only for pages without a wrapper.
+#: Class names and ids of adverts, notices, menus and of reader comments; they count unless the node holds the page's heading.
+ASIDES = re.compile(
+    r"(?:^|[\s_-])(?:ads?|adverts?|advertisements?|advertising|sponsor(?:ed)?|promo(?:tion)?|sidebars?|menus?|navbar|navigation|breadcrumbs?|footer|site-?header|masthead|cookies?|consent|notices?|notifications?|newsletter)(?:$|[\s_-])", re.I
+)
+COMMENTS = re.compile(r"(?:^|[\s_-])(?:comments?|comment-?(?:list|section|thread|area|body)s?|user-?comments?|reader-?comments?|disqus(?:_thread)?|repl(?:y|ies)|respond|discussion)(?:$|[\s_-])", re.I)
+#: Class names and ids of what may be no article; only for pages without a wrapper.
 NAMES = re.compile(
     r"(?:^|[\s_-])(?:ads?|adverts?|advertisement|advertising|sponsor(?:ed)?|promo(?:tion)?|banner|sidebars?|side|menus?|nav|navbar|navigation|breadcrumbs?|footer|site-?header|masthead|"
     r"cookies?|consent|notices?|notifications?|alert|popup|modal|overlay|newsletter|subscribe|signup|login|comments?|disqus|replies|respond|share|sharing|social|related|recommended|widget|pagination|pager|skip|hidden)(?:$|[\s_-])",
@@ -45,6 +52,8 @@ CLOSES = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td
 SCOPES = frozenset("ul ol dl table div article section main body".split())
 #: Elements that hold an article or parts of a page, as lists, headings and paragraphs do not.
 HOLDERS = frozenset("#root html body div section article main center table tbody tr td".split())
+REPLY_TAGS = frozenset("div li article section dd".split())
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 PARAGRAPHS = frozenset("p h1 h2 h3 h4 h5 h6 ul ol dl blockquote pre figure".split())
 
 TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^\"'>]|\"[^\"]*\"|'[^']*')*)>|<[!?][^>]*>|<[/!?a-zA-Z][^>]*\Z", re.S)
@@ -67,6 +76,7 @@ class Node:
 def parse(html: str | None) -> Node:
     """A tree of a page; text pieces are strings among ``kids``. Bad markup never fails."""
     root = node = Node("#root", "#root", False, False, None)
+    asides: list[tuple[Node, bool]] = []
     html = html or ""
     at, end = 0, len(html)
     opened: dict[str, int] = {}
@@ -117,13 +127,14 @@ def parse(html: str | None) -> Node:
                 if tag == "tr" and node.tag == "tr":
                     node = leave(node.parent)
         attributes = m.group(3)
-        drop, named, key = tag in DROPPED, False, tag
+        drop, named, key, aside, said = tag in DROPPED, False, tag, False, False
         if attributes and not attributes.isspace():
             for name, *values in ATTRIBUTE.findall(attributes):
                 value, name = next((v for v in values if v), ""), name.lower()
                 if name in ("class", "id"):
                     key += f".{DIGITS.sub('#', value)}"
                     named = named or bool(NAMES.search(value))
+                    aside, said = aside or bool(ASIDES.search(value)), said or bool(COMMENTS.search(value))
                 elif name == "role":
                     drop = drop or value.lower() in DROPPED_ROLES
                 else:
@@ -134,15 +145,30 @@ def parse(html: str | None) -> Node:
             drop = True  # of the page; in an article it opens the text
         new = Node(tag, key, drop, named, node)
         node.kids.append(new)
+        if (aside or said) and not drop and tag not in ("html", "body", "main", "h1"):
+            asides.append((new, said))
         if tag in RAW:
             close = re.compile(rf"</{re.escape(tag)}\s*(?:>|\Z)", re.I).search(html, at)
             at = close.end() if close else end
         elif tag not in VOID and not attributes.endswith("/"):
             node = new
             opened[tag] = opened.get(tag, 0) + 1
+    for n, said in asides:
+        n.drop = not holds(n, ("h1", "main") if said else ("h1", "main", "article"))
     return root
 
 
+def holds(node: Node, tags: tuple[str, ...]) -> bool:
+    """Is one of ``tags`` below the node? Then its name tells of the page, as in ``has-sidebar``, not of itself."""
+    stack = [k for k in node.kids if k.__class__ is Node]
+    while stack:
+        n = stack.pop()
+        if n.tag in tags:
+            return True
+        stack += [k for k in n.kids if k.__class__ is Node]
+    return False
+
+
 def elements(node: Node) -> list[Node]:
     return [k for k in node.kids if k.__class__ is Node and k.tag not in INLINE and k.tag not in RAW]
 
@@ -381,8 +407,8 @@ class Matcher:
         return found
 
 
-def blocks(node: Node, template: frozenset[int] = frozenset(), by_name: bool = False) -> list[str]:
-    """Texts of the blocks below ``node`` in page order, without dropped nodes and the own texts of those in ``template``."""
+def blocks(node: Node, template: frozenset[int] = frozenset(), by_name: bool = False, left: frozenset[int] = frozenset()) -> list[str]:
+    """Texts of the blocks below ``node`` in page order, without dropped nodes, those in ``left`` and the own texts of those in ``template``."""
     out: list[str] = []
     held: list[str] = []
 
@@ -402,7 +428,7 @@ def blocks(node: Node, template: frozenset[int] = frozenset(), by_name: bool = F
             held.append(x)
         elif x.tag == "br":
             held.append(" ")
-        elif not (x.drop or (by_name and x.named)):
+        elif not (x.drop or id(x) in left or (by_name and x.named)):
             if x.tag in INLINE:
                 stack += reversed(x.kids)
             else:
@@ -436,21 +462,56 @@ def best_node(root: Node) -> Node:
         node = top[1]
 
 
-def induce(tree: list[Bone], stats: dict[int, tuple[int, ...]]) -> tuple[int, list[int]]:
-    """(index of the content node, indexes of constant nodes), from (pages, pages with the commonest text, words) of each node.
+def below(bone: Bone) -> list[Bone]:
+    """The bone and all below it."""
+    out, stack = [], [bone]
+    while stack:
+        out.append(stack.pop())
+        stack += out[-1].kids
+    return out
+
+
+def reply_runs(tree: list[Bone], stats: dict[int, tuple[int, ...]], fixed: set[int]) -> list[tuple[Bone, str]]:
+    """(parent, key) of runs of children that are reader comments: two or more of one shape with parts of their own and no
+    headings, fewer of them on some pages than on others, behind text that is at least a quarter of theirs."""
+    words = lambda bs: sum(stats.get(b.at, (0, 0, 0))[2] for b in bs if b.at not in fixed and not b.drop)
+    pages = max((s[0] for s in stats.values()), default=0)
+    found: list[tuple[Bone, str]] = []
+    for parent in tree:
+        keys = [k.key for k in parent.kids if k.tag in REPLY_TAGS and not k.drop]
+        for key in {k for k in keys if keys.count(k) > 1}:
+            items = [below(k) for k in parent.kids if k.key == key and not k.drop]
+            if any(len(i[0].kids) < 2 or any(b.tag in HEADINGS for b in i) for i in items):
+                continue
+            seen = [max((stats[b.at][0] for b in i if b.at in stats), default=0) for i in items]
+            before = words(b for b in tree if b.at < items[0][0].at)
+            if min(seen) < pages and before and 4 * before >= sum(map(words, items)):
+                found.append((parent, key))
+    return found
+
+
+def induce(tree: list[Bone], stats: dict[int, tuple[int, ...]]) -> tuple[int, list[int], list[tuple[int, str]]]:
+    """(index of the content node, indexes of constant nodes, reader comments as (index of their parent, key)), from (pages,
+    pages with the commonest text, words) of each node.
 
     A node is constant if at least ``LEAST`` pages have text in it, and ``CONSTANT`` of them
     the same. From the root down, the content is in the child with most words of slots,
     while that is a holder with ``MOST`` of them; a holder without parts must have nearly
-    all. An article or main element that has paragraphs beside that child is taken whole.
+    all. An article or main element with a tenth of the slots' words is where the way
+    begins; one that has paragraphs beside that child is taken whole. Dropped nodes and
+    comments have no words.
     """
     constant = [b.at for b in tree if (s := stats.get(b.at)) and s[0] >= LEAST and s[1] >= CONSTANT * s[0]]
     fixed = set(constant)
+    replies = reply_runs(tree, stats, fixed)
+    lost = {k.at for parent, key in replies for k in parent.kids if k.key == key}
     total: dict[int, int] = {}
     for b in reversed(tree):
         own = 0 if b.at in fixed else stats.get(b.at, (0, 0, 0))[2]
-        total[b.at] = 0 if b.drop else own + sum(total[k.at] for k in b.kids)
-    node = tree[0]
+        total[b.at] = 0 if b.drop or b.at in lost else own + sum(total[k.at] for k in b.kids)
+    hidden = {b.at for n in tree if n.drop or n.at in lost for b in below(n)} if any(b.drop for b in tree) or lost else set()
+    named = [b for b in tree if b.tag in ("article", "main") and b.at not in hidden and 10 * total[b.at] >= total[tree[0].at] > 0]
+    node = max(named, key=lambda b: total[b.at]) if named else tree[0]
     while node.kids:
         top = max(node.kids, key=lambda k: total[k.at])
         share = total[top.at] / max(1, total[node.at])
@@ -459,7 +520,7 @@ def induce(tree: list[Bone], stats: dict[int, tuple[int, ...]]) -> tuple[int, li
         if node.tag in ("article", "main") and any(k.tag in PARAGRAPHS and total[k.at] for k in node.kids):
             break
         node = top
-    return node.at, constant
+    return node.at, constant, [(parent.at, key) for parent, key in replies]
 
 
 def host_of(url: Column) -> Column:
@@ -505,7 +566,7 @@ class _Trees:
 
 
 def host_templates(keyed: DataFrame) -> DataFrame:
-    """(host, layout, skeleton, content, constant array<long>) for each layout of ``keyed`` (page_id, host, layout, html) that has a wrapper.
+    """(host, layout, skeleton, content, constant array<long>, replies array<string>) for each layout of ``keyed`` (page_id, host, layout, html) that has a wrapper.
 
     A layout with fewer than ``LEAST`` distinct pages uses the exemplar of its host's
     commonest layout, if the host has that many pages at all.
@@ -558,27 +619,30 @@ def host_templates(keyed: DataFrame) -> DataFrame:
 
     def choose(batches):
         for batch in batches:
-            content, constant = [], []
+            content, constant, replies = [], [], []
             for text, rows in zip(batch.column("skeleton").to_pylist(), batch.column("nodes").to_pylist(), strict=True):
                 stats = {r["node"]: (r["pages"], r["same"], r["words"], r["text"]) for r in rows}
-                c, k = induce(bones(text), stats)
+                c, k, r = induce(bones(text), stats)
                 content.append(c)
+                replies.append([f"{at} {key}" for at, key in r])
                 constant.append([at << 32 | stats[at][3] for at in k])  # the node and the hash of its text
-            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in ("host", "group", "skeleton")), pa.array(content, pa.int32()), pa.array(constant, pa.list_(pa.int64()))], names=["host", "group", "skeleton", "content", "constant"])
+            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in ("host", "group", "skeleton")), pa.array(content, pa.int32()), pa.array(constant, pa.list_(pa.int64())), pa.array(replies, pa.list_(pa.string()))], names=["host", "group", "skeleton", "content", "constant", "replies"])
 
     used = exemplars.withColumnRenamed("exemplar", "skeleton").join(nodes, ["host", "group"])
-    wrappers = used.select("host", "group", "skeleton", "nodes").mapInArrow(choose, "host string, group long, skeleton string, content int, constant array<long>")
+    wrappers = used.select("host", "group", "skeleton", "nodes").mapInArrow(choose, "host string, group long, skeleton string, content int, constant array<long>, replies array<string>")
     return groups.select("host", "layout", "group").join(materialize(wrappers, "wrappers"), ["host", "group"]).drop("group")
 
 
-def extract(html: str | None, matcher: Matcher, tree: list[Bone] | None, content: int, constant: frozenset[int]) -> str:
-    """The text of a page: below the node aligned with the wrapper's content node, without constant nodes; else of the page's own best node."""
+def extract(html: str | None, matcher: Matcher, tree: list[Bone] | None, content: int, constant: frozenset[int], replies: frozenset[str] = frozenset()) -> str:
+    """The text of a page: below the node aligned with the wrapper's content node, without constant nodes and comments; else of the page's own best node."""
     root = parse(html)
     if tree is not None:
         pairs = matcher.match(matcher.number(bones_of(root))[0], tree[0])
         node = next((n.node for n, b in pairs if b.at == content), None)
         if node is not None:
-            return "\n".join(blocks(node, frozenset(id(n.node) for n, b in pairs if b.at << 32 | n.text in constant)))
+            template = frozenset(id(n.node) for n, b in pairs if b.at << 32 | n.text in constant)
+            left = frozenset(id(k.node) for n, b in pairs for k in n.kids if f"{b.at} {k.key}" in replies) if replies else frozenset()
+            return "\n".join(blocks(node, template, left=left))
     return "\n".join(blocks(best_node(root), by_name=True))
 
 
@@ -594,7 +658,7 @@ def main_text(pages: DataFrame) -> DataFrame:
     """
     keyed = pages.select("page_id", "url", "html", host_of(F.col("url")).alias("host"), layout_of(F.col("html")).alias("layout"))
     templates = materialize(host_templates(keyed), "templates")
-    width = templates.agg(F.max(F.octet_length("skeleton") + F.octet_length("host") + 8 * F.size("constant"))).first()[0] or 0
+    width = templates.agg(F.max(F.octet_length("skeleton") + F.octet_length("host") + 8 * F.size("constant") + F.octet_length(F.array_join("replies", " ")))).first()[0] or 0
     joined = joined_with(keyed, templates, ["host", "layout"], 64 + width)
     page_type = pages.schema["page_id"].dataType.simpleString()
 
@@ -602,11 +666,11 @@ def main_text(pages: DataFrame) -> DataFrame:
         trees = _Trees()
         for batch in batches:
             texts = []
-            for h, s, c, k in zip(*(batch.column(x).to_pylist() for x in ("html", "skeleton", "content", "constant")), strict=True):
+            for h, s, c, k, r in zip(*(batch.column(x).to_pylist() for x in ("html", "skeleton", "content", "constant", "replies")), strict=True):
                 tree = trees.get(s) if s is not None else None
-                texts.append(extract(h, trees.matcher, tree, c if c is not None else -1, frozenset(k or ())))
+                texts.append(extract(h, trees.matcher, tree, c if c is not None else -1, frozenset(k or ()), frozenset(r or ())))
             yield pa.RecordBatch.from_arrays(
                 [batch.column("page_id"), batch.column("url"), pa.array(texts, pa.string()), pa.array([len(t) for t in texts], pa.int64())], names=["page_id", "url", "text", "n_chars"]
             )
 
-    return joined.select("page_id", "url", "html", "skeleton", "content", "constant").mapInArrow(run, f"page_id {page_type}, url string, text string, n_chars long")
+    return joined.select("page_id", "url", "html", "skeleton", "content", "constant", "replies").mapInArrow(run, f"page_id {page_type}, url string, text string, n_chars long")

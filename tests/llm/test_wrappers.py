@@ -4,6 +4,7 @@ import itertools
 import random
 
 import numpy as np
+import pytest
 from sourceground.llm import html_text as H
 
 PAGE = "page_id long, url string, html string"
@@ -83,6 +84,60 @@ def test_template_inside_an_article_and_copies_of_a_page(spark):
     assert all(got[100 + n] == "Title 7\nFollow us now\nText 7 and more of it\nThe end of page" for n in range(20))  # copies are one page: no wrapper
 
 
+def _say(n, words, of):
+    return " ".join(f"{of}{n}x{k}" for k in range(words))
+
+
+def _talk(n, of, items, words, inner="p", outer="div"):
+    return f"<{outer} class={of}>" + "".join(f"<div class={of}1><{inner} class={of}2>{_say(n, 2, f'who{k}')}</{inner}><{inner}>{_say(n, words, f'reply{k}')}</{inner}></div>" for k in range(items)) + f"</{outer}>"
+
+
+ARTICLE = "<article><h1>{h}</h1><p>{a}</p>{mid}<p>{b}</p>{end}</article>{out}"
+
+
+@pytest.mark.parametrize("pages", [1, 2, 3, 12])
+@pytest.mark.parametrize("case", ["named inside", "long named outside", "long outside", "long named articles", "short named outside", "wrapper named for its sidebar"])
+def test_no_advert_and_no_comment_at_any_number_of_pages(spark, pages, case):
+    rows, want = [], {}
+    for n in range(pages):
+        advert = f'<div class="advert">{_say(n, 12, "buy")}</div>'
+        mid, end, out, wrap = advert, "", "", "{}"
+        if case == "named inside":
+            end = _talk(n, "comments", 1 + n % 3, 30)
+        elif case == "long named outside":
+            out = _talk(n, "comments", 2 + n % 2, 300)
+        elif case == "long outside":
+            out = _talk(n, "zz", 2 + n % 2, 150)
+        elif case == "long named articles":
+            out = f'<section id="comments">{"".join(f"<article class=comment><p>{_say(n, 90, f'r{k}')}</p></article>" for k in range(3))}</section>'
+        elif case == "short named outside":
+            out = advert + _talk(n, "reader-comments", 1, 5)
+        else:
+            wrap = '<div class="page has-sidebar comments-open">{}</div>'
+            out = f'<div class="sidebar">{_say(n, 20, "side")}</div><div class="notice">{_say(n, 20, "note")}</div>'
+        body = ARTICLE.format(h=_say(n, 2, "head"), a=_say(n, 40, "a"), b=_say(n, 40, "b"), mid=mid, end=end, out=out)
+        rows.append((n, f"http://h{pages}.org/{n}", f"<html><body>{wrap.format(body)}</body></html>"))
+        want[n] = "\n".join([_say(n, 2, "head"), _say(n, 40, "a"), _say(n, 40, "b")])
+    assert {r.page_id: r.text for r in H.main_text(spark.createDataFrame(rows, PAGE)).collect()} == want
+
+
+def test_renamed_comments_inside_are_known_by_their_varying_number(spark):
+    """Classes say nothing: the repeated items behind the text go, repeated parts with headings stay."""
+    rows, want = [], {}
+    for n in range(12):
+        parts = "".join(f"<div class=k><h3>{_say(n, 2, f'sec{k}')}</h3><p>{_say(n, 15, f'in{k}')}</p></div>" for k in range(1 + n % 4))
+        rows.append((n, f"http://r.org/{n}", "<html><body>" + ARTICLE.format(h=_say(n, 2, "head"), a=_say(n, 40, "a"), b=_say(n, 40, "b"), mid=parts, end=_talk(n, "zz", 2 + n % 5, 25), out="") + "</body></html>"))
+        want[n] = "\n".join([_say(n, 2, "head"), _say(n, 40, "a"), *(_say(n, w, f"{of}{k}") for k in range(1 + n % 4) for of, w in (("sec", 2), ("in", 15))), _say(n, 40, "b")])
+    assert {r.page_id: r.text for r in H.main_text(spark.createDataFrame(rows, PAGE)).collect()} == want
+
+
+def test_ties_between_children(spark):
+    """Of two children with equally many words the first is the content."""
+    tree = H.bones(H.skeleton(H.bones_of(H.parse("<div><div><p>a b c</div><div><p>d e f</div></div>"))))
+    stats = {b.at: (3, 1, 9) for b in tree if b.words}
+    assert H.induce(tree, stats)[0] == 2
+
+
 def test_hosts_beyond_the_broadcast_limit(spark, monkeypatch):
     pages = spark.createDataFrame(stories("w.org", range(8)) + stories("v.org", range(20, 26)), PAGE)
     small = {r.page_id: r.text for r in H.main_text(pages).collect()}
