@@ -98,8 +98,8 @@ def violations(schema: dict, type_: StructType) -> Column:
 
 def document_violations(schema: dict, document: Column) -> Column:
     """What a VARIANT document breaks of ``schema``; one that is no object is named ``$``."""
-    found = let(document, lambda d: _node(schema, d, VariantType(), F.lit("$")))
-    return F.coalesce(F.transform(found, lambda v: F.regexp_replace(v, r":\$\.", ":")), F.array(F.lit("missing:$")))
+    found = let(document, lambda d: F.when(d.isNull(), F.array(F.lit("missing:$"))).otherwise(_node(schema, d, VariantType(), F.lit("$"))))
+    return F.transform(found, lambda v: F.regexp_replace(v, r":\$\.", ":"))
 
 
 def corpus_violations(corpus: DataFrame) -> DataFrame:

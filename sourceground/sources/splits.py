@@ -30,7 +30,7 @@ def read_lines(spark: SparkSession, root: str) -> DataFrame:
     are not UTF-8 are replaced. Empty files have no rows.
     """
     raw = spark.read.option("lineSep", "\n").text(f"{root}/*/*.txt").select("value", "_metadata.file_path", "_metadata.file_size", "_metadata.file_block_start")
-    pieces = F.split(F.regexp_replace(F.make_valid_utf8("value"), "\r$", ""), LINE_END, -1)
+    pieces = F.split(F.regexp_replace(F.make_valid_utf8("value"), r"\r\z", ""), LINE_END, -1)
     cut = raw.select(
         _path_part(-2).alias("book_id"), _path_part(-1).alias("file_name"), "file_size", F.col("file_block_start").alias("block"), (F.octet_length("value") + 1).alias("bytes"), F.posexplode(pieces).alias("k", "line")
     )
