@@ -25,11 +25,21 @@ from pyspark.sql import DataFrame
 
 MARK = "▁"
 #: Words remembered by a Python worker (twice so many while the older half fades), and letters of the longest of them.
-STORE, LONGEST = 1 << 18, 64
+STORE, LONGEST = 1 << 19, 64
 #: UTF-8 bytes of text after which a batch of results is handed on.
 FLUSH = 1 << 22
 
 
+def plain_normaliser(model: bytes) -> bool:
+    """Does the model's normaliser do no more than mark spaces and put one before the text?"""
+    try:
+        from sentencepiece import sentencepiece_model_pb2
+    except ImportError:  # the library then normalises all texts
+        return False
+    spec = sentencepiece_model_pb2.ModelProto.FromString(model).normalizer_spec
+    return not spec.precompiled_charsmap and not spec.normalization_rule_tsv and spec.add_dummy_prefix and spec.escape_whitespaces and not spec.remove_extra_whitespaces
+
+
 class Vocabulary:
     """Pieces of a merge-type model with their ids, scores and kinds."""
 
@@ -59,6 +69,7 @@ class Vocabulary:
         #: Place of a piece's score among all scores, the highest first.
         self.rank = {name: places[score] for name, score in scores.items()}
         self.known, self.older, self.fresh = {}, {}, []
+        self.plain = plain_normaliser(model)
 
     def merged(self, word: str) -> list[str]:
         """The symbols that are left when no adjacent pair is a piece."""
@@ -128,6 +139,8 @@ class Vocabulary:
         return {word for (word, ids), text, their in zip(fresh, texts, theirs, strict=True) if list(ids) != (alone if word == MARK else their)}
 
     def words(self, text: str) -> list[str]:
+        if self.plain:  # a space mark for each space and one before the text
+            return self.word.findall(MARK + text.replace(" ", MARK)) if text else []
         return self.word.findall(self.library.normalize(text))
 
     def encode(self, text: str) -> list[int]:
@@ -182,7 +195,7 @@ def encode(docs: DataFrame, model: bytes, check: bool = True) -> DataFrame:
             agrees = [None] * len(texts)
             if check:
                 wrong.update(own.differing())
-                agrees = [own.decode(i) == d and wrong.isdisjoint(w) for i, d, w in zip(ids, decoded, words, strict=True)]
+                agrees = [own.decode(i) == d and (not wrong or wrong.isdisjoint(w)) for i, d, w in zip(ids, decoded, words, strict=True)]
             own.fresh.clear()
             return pa.RecordBatch.from_arrays([doc_ids, pa.array(ids, pa.list_(pa.int32())), pa.array(decoded, pa.string()), pa.array(agrees, pa.bool_())], names=["doc_id", "ids", "decoded", "agrees"])
 
