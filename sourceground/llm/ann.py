@@ -18,9 +18,11 @@ is ranked against every row in a second pass.
 
 from __future__ import annotations
 
+import functools
+
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .common import materialize
@@ -174,8 +176,9 @@ def neighbours(vectors: DataFrame, every: int = 50, k: int = 5, sample_rows: int
 
     ``vectors`` has (vec_id, embedding); other columns are not read. The sample (``sample_rows``
     smallest hashes of ids) fits rotations, radius and substrings only; every row is
-    indexed. Vectors that are null, zero, or hold null or non-finite numbers take no part,
-    nor do those of another length than most of the sample. Rows that share a query's id
+    indexed. Vectors that are null, zero, or hold null or non-finite numbers take no part.
+    Cosines exist between vectors of one length only, so each length is a search of its
+    own. Rows that share a query's id
     are its own; of such rows one (the smallest vector) asks. Ties go to the smaller
     vec_id. Fewer rows than k: all of them. A null vec_id is a candidate, last among
     ties, and never a query. An empty table gives an empty result. A block holds at most
@@ -184,19 +187,22 @@ def neighbours(vectors: DataFrame, every: int = 50, k: int = 5, sample_rows: int
     spark = vectors.sparkSession
     rows = usable(vectors.select(F.col("vec_id").cast("long").alias("vec_id"), F.col("embedding").cast("array<double>").alias("v")), "v")
     rows = rows.select("vec_id", scaled(F.col("v")).alias("v"))
+    lengths = [r.n for r in rows.select(F.size("v").alias("n")).distinct().orderBy("n").collect()]  # one number for each length
+    found = [_of_length(spark, rows.where(F.size("v") == d) if len(lengths) > 1 else rows, d, every, k, sample_rows, block_bytes, least_rows) for d in lengths or [1]]
+    return functools.reduce(DataFrame.union, found)
+
+
+def _of_length(spark: SparkSession, rows: DataFrame, d: int, every: int, k: int, sample_rows: int, block_bytes: int, least_rows: int) -> DataFrame:
+    """``neighbours`` among scaled vectors (vec_id, v) of ``d`` numbers."""
     picked = rows.orderBy(F.xxhash64("vec_id"), "vec_id").limit(sample_rows).collect()  # bounded by the parameter
-    lengths: dict[int, int] = {}
-    for r in picked:
-        lengths[len(r.v)] = lengths.get(len(r.v), 0) + 1
-    d = max(lengths, key=lambda n: (lengths[n], n), default=1)
-    sample = unit(np.array([r.v for r in picked if len(r.v) == d], float).reshape(-1, d)) if picked else np.zeros((0, d))
+    sample = unit(np.array([r.v for r in picked], float).reshape(-1, d)) if picked else np.zeros((0, d))
     rotations = learn_rotations(sample)
     codes = encode(sample, rotations)
     radius = learn_radius(sample, codes, k)
     width = learn_width(codes, radius)
 
     key = [F.xxhash64("v"), F.xxhash64(F.lit(1), "v")]
-    keyed = rows.where(F.size("v") == d).select("vec_id", "v", key[0].alias("h1"), key[1].alias("h2"))
+    keyed = rows.select("vec_id", "v", key[0].alias("h1"), key[1].alias("h2"))
     by_id, by_vector = Window.partitionBy("h1", "h2", "vec_id"), Window.partitionBy("h1", "h2")
     few = keyed.withColumn("n", F.row_number().over(by_id.orderBy("h1"))).where((F.col("n") <= k) | F.col("vec_id").isNull())
     few = few.withColumn("n", F.row_number().over(by_vector.orderBy(F.col("vec_id").asc_nulls_last()))).where(F.col("n") <= 2 * k)

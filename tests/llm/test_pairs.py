@@ -280,3 +280,16 @@ def test_wand_is_exact():
         for threshold in (0.5, 0.9, 1.0):
             want = np.nonzero(scores >= threshold)[0].tolist()
             assert [i for i, _ in index.wand(terms, threshold)] == want
+
+
+def test_each_vector_length_is_a_search_of_its_own(spark):
+    rng = random.Random(12)
+    rows = [(i, [rng.gauss(0, 1) for _ in range(3 if i % 4 == 1 else 8)]) for i in range(203)]
+    rows = [(50 * (i // 4) if i % 40 == 1 else 1000 + i, v) for i, v in rows]  # queries of both lengths
+    got = {}
+    for r in ann.neighbours(spark.createDataFrame(rows, "vec_id long, embedding array<double>"), k=3).orderBy("query_id", "rank").collect():
+        got.setdefault(r.query_id, []).append(r.vec_id)
+    for q, v in rows:
+        if q % 50 == 0:
+            near = sorted((-sum(a * b for a, b in zip(v, w, strict=True)) / (sum(a * a for a in v) * sum(b * b for b in w)) ** 0.5, i) for i, w in rows if i != q and len(w) == len(v))
+            assert len(set(got[q]) & {i for _, i in near[:3]}) >= 2, q
