@@ -21,6 +21,8 @@ items of bounded size, searched in one pass, and dropped before the next is buil
 
 from __future__ import annotations
 
+import functools
+import hashlib
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -299,6 +301,7 @@ def keep_clean(docs: DataFrame, items: DataFrame, share: float = 0.8, **groups)
 
     Null and empty texts stay, repeated rows stay repeated; without items every row stays.
     """
+    hits = []
     for index, only in item_groups(items, share, **groups):
 
         def run(batches, index=index):
@@ -307,6 +310,18 @@ def keep_clean(docs: DataFrame, items: DataFrame, share: float = 0.8, **groups)
                 keep[[h.row for h in index.search(batch.column("text").to_pylist())]] = False
                 yield batch.filter(pa.array(keep))
 
-        docs = docs.mapInArrow(run, docs.schema)
-        docs = docs if only else materialize(docs, "clean")
-    return docs
+        def found(batches, index=index):
+            for batch in batches:
+                texts = batch.column("text").to_pylist()
+                rows = sorted({h.row for h in index.search(texts)})
+                yield pa.RecordBatch.from_arrays([pa.array([hashlib.md5(texts[r].encode()).hexdigest() for r in rows], pa.string())], names=["__hit"])
+
+        if only:
+            return docs.mapInArrow(run, docs.schema)
+        hits.append(materialize(docs.select("text").mapInArrow(found, "__hit string"), "hits"))
+    if not hits:
+        return docs
+    # The text decides, so hashes of the texts with hits are all that several groups leave behind.
+    dirty = materialize(functools.reduce(DataFrame.union, hits).distinct(), "dirty")
+    dirty = F.broadcast(dirty) if dirty.count() * 80 <= 64 << 20 else dirty
+    return docs.join(dirty, F.md5(docs["text"]) == dirty["__hit"], "left_anti")
