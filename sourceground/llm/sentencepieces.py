@@ -4,8 +4,9 @@ A normalised text is a chain of symbols, at first its characters. An agenda hold
 adjacent pairs whose union is a piece, ordered by the piece's score (ties: the left-most
 first); the best pair is merged, its new neighbours enter the agenda, and pairs whose
 ends have changed meanwhile are passed over. What the vocabulary lacks falls back to
-bytes. No merge crosses a place where no piece has a space mark behind another letter, so
-words are worked on alone and their ids are remembered in a bounded store.
+bytes. No merge crosses a place where two letters meet that no piece holds together, such as
+the end of a word, so words and their parts are worked on alone and their ids are
+remembered in a bounded store.
 
 Every Arrow batch can be checked against the library: it encodes each word that the batch
 has worked out and decodes each text's ids; ``agrees`` tells for each row whether the ids
@@ -26,10 +27,17 @@ from pyspark.sql import DataFrame
 MARK = "▁"
 #: Words remembered by a Python worker (twice so many while the older half fades), and letters of the longest of them.
 STORE, LONGEST = 1 << 19, 64
+#: New words that the library reads together.
+TOGETHER = 200
 #: UTF-8 bytes of text after which a batch of results is handed on.
 FLUSH = 1 << 22
 
 
+def as_text(word: str) -> str:
+    """The text that is normalised to ``word``: without the space mark in front."""
+    return word[1:].replace(MARK, " ") if word.startswith(MARK) else word
+
+
 def plain_normaliser(model: bytes) -> bool:
     """Does the model's normaliser do no more than mark spaces and put one before the text?"""
     try:
@@ -68,13 +76,15 @@ class Vocabulary:
         places = {score: place for place, score in enumerate(sorted(set(scores.values()), reverse=True))}
         #: Place of a piece's score among all scores, the highest first.
         self.rank = {name: places[score] for name, score in scores.items()}
+        #: Letters that stand together in some piece.
+        self.pairs = {name[at : at + 2] for name in self.ids for at in range(len(name) - 1)}
         self.known, self.older, self.fresh = {}, {}, []
         self.plain = plain_normaliser(model)
 
     def merged(self, word: str) -> list[str]:
         """The symbols that are left when no adjacent pair is a piece."""
-        symbols, rank = list(word), self.rank
-        agenda = [(rank[pair], left, left + 1, 2) for left, pair in enumerate(map(add, symbols, symbols[1:])) if pair in rank]
+        symbols, rank, unused = list(word), self.rank.get, self.unused
+        agenda = [(place, left, left + 1, 2) for left, place in enumerate(map(rank, map(add, symbols, symbols[1:]))) if place is not None]
         if not agenda:
             return symbols
         heapify(agenda)
@@ -87,19 +97,19 @@ class Vocabulary:
                 continue  # one of the ends has changed since
             symbols[left] = piece = own + next_
             symbols[right] = ""
-            if piece in self.unused:
+            if unused and piece in unused:
                 parts[piece] = own, next_
             behind[left] = after = behind[right]
             if after >= 0:
                 before[after] = left
                 pair = piece + symbols[after]
-                if pair in rank:
-                    heappush(agenda, (rank[pair], left, after, len(pair)))
+                if (place := rank(pair)) is not None:
+                    heappush(agenda, (place, left, after, len(pair)))
             ahead = before[left]
             if ahead >= 0:
                 pair = symbols[ahead] + piece
-                if pair in rank:
-                    heappush(agenda, (rank[pair], ahead, left, len(pair)))
+                if (place := rank(pair)) is not None:
+                    heappush(agenda, (place, ahead, left, len(pair)))
         found = [s for s in symbols if s]
         while parts and any(s in parts for s in found):  # pieces that may only be steps on the way
             found = [p for s in found for p in parts.get(s, (s,))]
@@ -117,26 +127,42 @@ class Vocabulary:
                 out.append(self.unknown)
         return tuple(out)
 
+    def _known(self, part: str) -> tuple[int, ...] | None:
+        got = self.known.get(part)
+        return got if got is not None else self.older.get(part)
+
+    def _keep(self, part: str, ids: tuple[int, ...]) -> tuple[int, ...]:
+        if len(part) <= LONGEST:
+            if len(self.known) >= STORE:
+                self.known, self.older = {}, self.known
+            self.known[part] = ids
+        return ids
+
+    def _part(self, part: str) -> tuple[int, ...]:
+        got = self._known(part)
+        return got if got is not None else self._keep(part, self._ids(part))
+
     def encode_word(self, word: str) -> tuple[int, ...]:
-        got = self.known.get(word)
+        """Ids of a word; it is cut between letters that no piece holds together, for no merge crosses such a place."""
+        got = self._known(word)
         if got is None:
-            got = self.older.get(word)
-            if got is None:
+            cuts = [at for at, pair in enumerate(map(add, word, word[1:]), 1) if pair not in self.pairs]
+            if cuts:
+                got = tuple(chain.from_iterable(self._part(word[i:j]) for i, j in zip([0, *cuts], [*cuts, len(word)], strict=True)))
+            else:
                 got = self._ids(word)
-                self.fresh.append((word, got))
-            if len(word) <= LONGEST:
-                if len(self.known) >= STORE:
-                    self.known, self.older = {}, self.known
-                self.known[word] = got
-        return got
+            self.fresh.append((word, got))
+        return self._keep(word, got)
 
     def differing(self) -> set[str]:
-        """Words worked out since the last call whose ids are not the library's; a word behind a space mark is a text without it."""
+        """Words worked out since the last call whose ids are not the library's; it reads them in groups, and words of groups that differ alone."""
         fresh, self.fresh = self.fresh, []
-        texts = [word[1:].replace(MARK, " ") if word.startswith(MARK) else word for word, _ in fresh]
-        theirs = self.library.encode(texts, num_threads=1)
+        groups = [fresh[at : at + TOGETHER] for at in range(0, len(fresh), TOGETHER)]
+        theirs = self.library.encode([as_text("".join(word for word, _ in g)) for g in groups], num_threads=1)
+        doubtful = [pair for g, their in zip(groups, theirs, strict=True) if list(chain.from_iterable(ids for _, ids in g)) != their for pair in g]
         alone = [self.library.piece_to_id(MARK)]  # a last space mark alone is no text of its own
-        return {word for (word, ids), text, their in zip(fresh, texts, theirs, strict=True) if list(ids) != (alone if word == MARK else their)}
+        theirs = self.library.encode([as_text(word) for word, _ in doubtful], num_threads=1)
+        return {word for (word, ids), their in zip(doubtful, theirs, strict=True) if list(ids) != (alone if word == MARK else their)}
 
     def words(self, text: str) -> list[str]:
         if self.plain:  # a space mark for each space and one before the text
@@ -147,7 +173,8 @@ class Vocabulary:
         return self.joined(self.words(text))
 
     def joined(self, words: list[str]) -> list[int]:
-        ids = list(chain.from_iterable(map(self.encode_word, words)))
+        known = self.known.get
+        ids = list(chain.from_iterable([known(word) or self.encode_word(word) for word in words]))
         if self.fallback or self.unknown not in ids:
             return ids
         return [i for at, i in enumerate(ids) if i != self.unknown or not at or ids[at - 1] != self.unknown]  # a run is one unknown
