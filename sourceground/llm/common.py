@@ -68,8 +68,10 @@ def connected_components(edges: DataFrame, src: str = "a", dst: str = "b", max_r
         step = lower.join(labels.select(F.col("node").alias("mid"), F.col("root").alias("jump")), "mid", "left").select(
             "node", "old", F.least("mid", F.coalesce("jump", "mid")).alias("root")
         )
-        step = materialize(step, "cc-labels")
+        step, before = materialize(step, "cc-labels"), labels
         labels = step.select("node", "root")
+        discard(before)
         if step.where("root < old").isEmpty():
+            discard(both)
             return labels
     raise RuntimeError(f"components did not settle in {max_rounds} rounds")

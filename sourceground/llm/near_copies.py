@@ -10,10 +10,11 @@ filter) completes them:
    moves only the order, never the result.
 2. Equal sets are one node from the start. Nodes that share a shingle of their prefixes are
    candidates, if sizes, positions and sketches of both sets still leave room for 0.8.
-3. Each node is first held against its fingerprint's neighbours and against two heads of
-   every shingle's nodes, and components of the true pairs are formed. All pairs between
-   different components follow: a large group of near copies is one component by then, so
-   its pairs are not listed.
+   Of shingles that the same nodes hold, one stands for all.
+3. Each node is first held against its fingerprint's neighbours and against a few heads of
+   its shingles' nodes, in turns, and components of the true pairs are formed. All pairs
+   between different components follow: a large group of near copies is one component by
+   then, so its pairs are not listed.
 4. Every candidate is decided by the exact similarity of its two whole sets.
 """
 
@@ -34,6 +35,11 @@ SEED = 42
 #: A share, so that a passage which so many documents hold is seen as common at any size.
 EVERY, SAMPLE = 12, 4096
 COMMON = 200_000
+#: Heads against which a node is held at a time, and at most so many turns with other heads, while
+#: a turn finds true pairs in so large a share of what it tries. None decides what is found.
+HEADS, TURNS, SHARE = 8, 3, 0.05
+#: Shingles before a place that tell whether two sets have met already.
+SEEN = 3
 #: Bits in which fingerprints of the first candidates may differ.
 RADIUS = 2
 
@@ -172,26 +178,32 @@ def true_pairs(keyed: DataFrame, nodes: DataFrame, pairs: DataFrame, shingle: in
     left = materialize(pairs.join(both[0], "a").join(both[1], "b").where(9 * differ <= F.col("na") + F.col("nb")).select("a", "b"), "near-left")
     groups = left.groupBy("b").agg(F.ceil(F.count(F.lit(1)) / share).alias("groups"))
     dealt = materialize(left.join(groups, "b").select("a", "b", F.pmod(F.xxhash64("a"), F.col("groups")).alias("k")), "near-pairs")
-    ends = dealt.select(F.explode(F.array("a", "b")).alias("sig")).distinct()
-    sets = _sets(keyed, materialize(wide.select("sig", "__row").join(ends, "sig"), "near-rows"), shingle)
-    hubs = materialize(dealt.select("b", "k").distinct(), "near-hubs")
+    moved = materialize(wide.select("sig", "__row").join(dealt.select(F.explode(F.array("a", "b")).alias("sig")).distinct(), "sig"), "near-rows")
+    sets = _sets(keyed, moved, shingle)
+    hubs_ = materialize(dealt.select("b", "k").distinct(), "near-hubs")
     nodes_ = sets.select(F.col("sig").alias("a"), F.col("hashes").alias("x")).join(_small(dealt, 60), "a")
-    hubs = sets.select(F.col("sig").alias("b"), F.col("hashes").alias("y")).join(_small(hubs, 40), "b")
+    hubs = sets.select(F.col("sig").alias("b"), F.col("hashes").alias("y")).join(_small(hubs_, 40), "b")
     alike = 9 * F.size(F.array_intersect("x", "y")) >= 4 * (F.size("x") + F.size("y"))
     found = materialize(nodes_.join(hubs, ["b", "k"]).where(alike).select("a", "b"), "near-true")
-    discard(sets, wide)
+    discard(sets, wide, pairs, ends, left, dealt, moved, hubs_)
     return found
 
 
 def near_links(keyed: DataFrame, nodes: DataFrame, shingle: int = SHINGLE) -> DataFrame:
-    """Links (a, b) of set hashes whose components are those of all pairs at 0.8 or more; ``nodes`` has each set once."""
+    """(node, root) of the components of all pairs at 0.8 or more, for sets that have such a pair; ``nodes`` has each set once."""
     thin = nodes.select("sig", F.posexplode("prefix").alias("pos", "token"))
-    met = materialize(thin.groupBy("token").agg(F.count("*").alias("nodes")).where("nodes > 1"), "near-met")
+    # Shingles that the same nodes hold name the same pairs: one of them stands for all (its holders by number, sum and exclusive or of hashes).
+    hashed = F.xxhash64("sig")
+    holders = [F.count("*").alias("nodes"), F.sum(F.shiftrightunsigned(hashed, 32)).alias("sum"), F.bit_xor(hashed).alias("xor")]
+    met = materialize(thin.groupBy("token").agg(*holders).where("nodes > 1"), "near-met")
+    stands = materialize(met.groupBy("nodes", "sum", "xor").agg(F.min("token").alias("token")).select("token", F.lit(True).alias("stands")), "near-stands")
+    met = materialize(met.join(stands, "token", "left").select("token", "nodes", F.col("stands").isNotNull().alias("stands")), "near-met")
     own = Window.partitionBy("sig")
     before, common = F.row_number().over(own.orderBy("pos")) - 1, F.avg("nodes").over(own)
-    places = thin.join(_small(met, 40), "token").select("token", "sig", "pos", before.alias("before"), common.alias("common"))
+    places = thin.join(_small(met, 40), "token").select("token", "sig", "pos", "stands", before.alias("before"), common.alias("common")).where("stands")
+    places = places.withColumn("prev", F.array_compact(F.array(*[F.lag("token", k).over(own.orderBy("pos")) for k in range(1, SEEN + 1)])))
     places = places.join(nodes.select("sig", "n", "odd"), "sig")
-    places = places.select("token", "sig", F.struct("sig", "n", "pos", "before", *(F.col("odd")[i].alias(f"odd{i}") for i in range(4))).alias("x"), "common")
+    places = places.select("token", "sig", F.struct("sig", "n", "pos", "before", "prev", *(F.col("odd")[i].alias(f"odd{i}") for i in range(4))).alias("x"), "common")
     places = materialize(places, "near-places")
     by = lambda c: F.struct(c, "x.sig")
     heads = places.groupBy("token").agg(F.max_by("x", by(F.col("common"))).alias("h1"), F.min_by("x", by(F.xxhash64("sig"))).alias("h2"))
@@ -203,23 +215,70 @@ def near_links(keyed: DataFrame, nodes: DataFrame, shingle: int = SHINGLE) -> Da
     alike = nodes.select("fp", "sig").join(prints_, "fp").where("sig <> head").select(F.col("sig").alias("node"), F.col("head").alias("hub"))
 
     star = places.join(heads, "token").select("x", F.explode(F.array("h1", "h2")).alias("h")).where((F.col("x.sig") != F.col("h.sig")) & _room("x", "h"))
-    star = star.select(F.col("x.sig").alias("node"), F.col("h.sig").alias("hub"))
-    first = true_pairs(keyed, nodes, star.union(close).union(alike), shingle)
-
-    # Thin rows tell which shingles still lie in several components; only their places go on.
-    labels = _small(connected_components(first), 40)
+    tried = materialize(_likely(star), "near-tried")
+    found = true_pairs(keyed, nodes, tried.union(close).union(alike), shingle)
+    labels = merged_labels(None, found)
     label = F.coalesce("root", "node").alias("label")
-    sizes = places.select("token", F.col("sig").alias("node")).join(labels, "node", "left").groupBy("token", label).count()
-    most = sizes.groupBy("token").agg(F.max(F.struct("count", "label"))["label"].alias("most"), F.count("*").alias("labels")).where("labels > 1").select("token", "most")
-    most = materialize(most, "near-most")
-    held = places.select("token", "x", F.col("sig").alias("node")).join(_small(most, 40), "token").join(labels, "node", "left")
-    held = materialize(held.select("token", "x", label, "most"), "near-held")
+    turn, going = 0, True
+    while True:
+        # Thin rows tell which shingles still lie in several components; only their places go on.
+        sent = _small(labels, 40)
+        sizes = places.select("token", F.col("sig").alias("node")).join(sent, "node", "left").groupBy("token", label).count()
+        most = sizes.groupBy("token").agg(F.max(F.struct("count", "label"))["label"].alias("most"), F.count("*").alias("labels")).where("labels > 1").select("token", "most")
+        most = materialize(most, "near-most")
+        held = places.select("token", "x", F.col("sig").alias("node")).join(_small(most, 40), "token").join(sent, "node", "left")
+        held = materialize(held.select("token", "x", label, "most"), "near-held")
+        if not going or turn == TURNS:
+            break
+        fresh = materialize(_again(held, tried, turn), "near-fresh")
+        found = true_pairs(keyed, nodes, fresh, shingle)
+        more = found.count()
+        if not more:
+            break
+        labels, before_ = merged_labels(labels, found), labels
+        tried, turn, going = tried.union(fresh), turn + 1, more >= SHARE * fresh.count()
+        discard(held, most, before_, found)
     discard(places, met)
     few = held.where("label != most").select("token", F.col("x").alias("y"), F.col("label").alias("other"))
-    between = held.join(few, "token").where((F.col("label") != F.col("other")) & ((F.col("label") == F.col("most")) | (F.col("x.sig") < F.col("y.sig"))) & _room("x", "y"))
+    # Two sets that share a shingle right before this one have met there.
+    between = held.join(few, "token").where((F.col("label") != F.col("other")) & ~F.arrays_overlap("x.prev", "y.prev") & ((F.col("label") == F.col("most")) | (F.col("x.sig") < F.col("y.sig"))) & _room("x", "y"))
     rest = true_pairs(keyed, nodes, between.select(F.col("x.sig").alias("node"), F.col("y.sig").alias("hub")), shingle)
     discard(held)
-    return first.union(rest)
+    return merged_labels(labels, rest)
+
+
+def merged_labels(labels: DataFrame | None, links: DataFrame) -> DataFrame:
+    """(node, root) after further links (a, b): components of the labels that they join, so what is known is not walked again."""
+    ends = links.select(F.explode(F.array("a", "b")).alias("node")).distinct()
+    known = ends.select("node", F.col("node").alias("root"))
+    if labels is not None:
+        known = labels.union(known.join(labels.select("node"), "node", "left_anti"))
+    known = materialize(known, "near-labels")
+    of = lambda end: _small(known, 40).select(F.col("node").alias(end), F.col("root").alias(f"r{end}"))
+    joined = links.join(of("a"), "a").join(of("b"), "b").where("ra <> rb").select(F.least("ra", "rb").alias("a"), F.greatest("ra", "rb").alias("b")).distinct()
+    roots = connected_components(joined).select(F.col("node").alias("root"), F.col("root").alias("lower"))
+    out = materialize(known.join(roots, "root", "left").select("node", F.coalesce("lower", "root").alias("root")), "near-labels")
+    discard(known)
+    return out
+
+
+def _likely(star: DataFrame) -> DataFrame:
+    """(node, hub): of each node's heads (x, h) the few that most of its shingles name."""
+    votes = star.groupBy(F.col("x.sig").alias("node"), F.col("h.sig").alias("hub")).agg(F.count(F.lit(1)).alias("votes"))
+    first = F.row_number().over(Window.partitionBy("node").orderBy(F.col("votes").desc(), F.xxhash64("hub")))
+    return votes.withColumn("__k", first).where(F.col("__k") <= HEADS).select("node", "hub")
+
+
+def _again(held: DataFrame, tried: DataFrame, turn: int) -> DataFrame:
+    """(node, hub) not tried before: each place against two new heads of its shingle, one in the largest component and one beside it."""
+    key = F.xxhash64(F.lit(turn), "token", "x.sig")
+    largest = F.col("label") == F.col("most")
+    pick = lambda when, what: F.min_by(what, F.when(when, key))
+    whole = F.struct("x", "label")
+    heads = held.groupBy("token").agg(pick(largest, whole).alias("h1"), pick(~largest, whole).alias("h2"))
+    star = held.join(heads, "token").select("x", "label", F.explode(F.array("h1", "h2")).alias("y")).where(F.col("label") != F.col("y.label"))
+    star = star.select("x", F.col("y.x").alias("h")).where(_room("x", "h"))
+    return _likely(star).join(tried, ["node", "hub"], "left_anti")
 
 
 def keep_one(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
@@ -257,7 +316,7 @@ def keep_one(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
     nodes = distinct_sets(whole)
     prints = materialize(whole.select("doc_id", "__text", "__row", "sig"), "near-ids")
     discard(whole)
-    roots = connected_components(near_links(keyed, nodes, shingle))
+    roots = near_links(keyed, nodes, shingle)
     discard(nodes)
     grouped = prints.join(roots, prints.sig == roots.node, "left").groupBy(F.coalesce("root", "sig")).agg(first_row().alias("__row"))
     return keep_rows(keyed, prints.select("__row"), grouped)
