@@ -10,7 +10,7 @@ import __spark_entry__ as entry
 from sourceground.queries import registry
 
 TABLES = "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations".split()
-SOME = ["x01_strip_inline", "x08_ingredients", "p02_quality_percent", "s02_file_order", "w05_heading_path", "g02_generate_t6", "v08_validate", "r01_balanced_take", "j03_resume", "a01_pilot_stats", "d03_trace_spans", "g07_items_from_replies"]
+SOME = ["x01_strip_inline", "x08_ingredients", "p02_quality_percent", "s02_file_order", "w05_heading_path", "g02_generate_t6", "v08_validate", "r01_balanced_take", "j03_resume", "a01_pilot_stats", "d03_trace_spans", "g07_items_from_replies", "v04_model_formulas", "p12_item_violations", "p12_item_documents", "w01_split_lines", "st3_target_run"]
 
 
 def rows(df):
