@@ -5,13 +5,17 @@
    of one leaf, and visits each further leaf whose ball could hold a partner within the
    radius (triangle inequality). The tree is fitted on a bounded sample; that moves
    only the boundaries, never the result.
-3. Each leaf is one group: a deeper tree inside it prunes the same way and compares the
+   Each level copies about a third of the rows, so the tree stops at a stated number of
+   copies; a leaf that is still too large is cut into groups that agree in part of their bits.
+3. Each leaf or such group is one task's work: a deeper tree inside it prunes the same way and compares the
    few that remain exactly. A leaf returns a spanning forest of its links, not all pairs.
 4. Components of these links, then the smallest document id of each.
 """
 
 from __future__ import annotations
 
+import functools
+
 import numpy as np
 import pandas as pd
 import pyarrow as pa
@@ -23,9 +27,11 @@ from .common import connected_components, materialize
 
 SEED = 42
 SHINGLE = 3
-#: Members wanted in a leaf, and fingerprints for each leaf (and in all, at least) that fit the tree's boundaries.
+#: Members wanted in a leaf, and fingerprints (of any number of them) that fit the tree's boundaries.
 LEAF_MEMBERS = 8192
-PER_LEAF, SAMPLE = 64, 4096
+SAMPLE = 16384
+#: Levels of the tree at most, and rows of all leaves for each fingerprint at most, as its sample tells.
+DEPTH, COPIES = 10, 4
 
 
 def fingerprint(text: str | None, shingle: int = SHINGLE) -> int:
@@ -169,51 +175,70 @@ def leaf_links(members: np.ndarray, visitors: np.ndarray, radius: int, small: in
     return fps[linked], fps[root[linked]]
 
 
-def _depth(members: int) -> int:
-    return max(0, int(np.ceil(np.log2(max(1, members / LEAF_MEMBERS)))))
-
-
 def _drawn(fps: DataFrame, of: int, wanted: int) -> np.ndarray:
     """About ``wanted`` of ``of`` fingerprints, by their hash."""
-    every = max(1, of // wanted)
+    every = max(1, -(-of // wanted))
     return fps.where(F.pmod(F.xxhash64("fp"), F.lit(every)) == 0).select("fp").toArrow().column("fp").to_numpy().view(np.uint64)
 
 
-def route(fps: DataFrame, radius: int, rounds: int = 4) -> DataFrame:
+def fitted(sample: np.ndarray, members: int, radius: int) -> VantageTree:
+    """The deepest tree wanted for so many members whose leaves hold at most ``COPIES`` rows for each of ``sample``."""
+    depth = min(DEPTH, max(0, int(np.ceil(np.log2(max(1, members / LEAF_MEMBERS))))))
+    while True:
+        tree = VantageTree(sample, depth, radius)
+        if not depth or len(tree.route(np.unique(sample))[0]) <= COPIES * len(np.unique(sample)):
+            return tree
+        depth -= 1
+
+
+def parted(mask: int, radius: int) -> list[int]:
+    """Masks that add bits to ``mask``: any two fingerprints within ``radius`` that agree under ``mask`` agree under one of them.
+
+    The bits that are free yet fall into radius + 1 parts; two that differ in ``radius`` bits agree in one.
+    """
+    free = [b for b in range(64) if not mask >> b & 1]
+    return [mask | sum(1 << int(b) for b in part) for part in np.array_split(free, radius + 1)]
+
+
+def route(fps: DataFrame, radius: int) -> DataFrame:
     """(leaf long, fp, member): each fingerprint where it lives and where it visits.
 
-    Leaves with over four times the members wanted are split again by trees of their own,
-    up to ``rounds`` times; what no ball can part stays together.
+    The tree stops where visits would copy too much. Leaves with over four times the rows
+    wanted, visitors among them, are cut by what their fingerprints hold under each mask of
+    ``parted``, in as many groups as the size asks for; groups of one common value are cut
+    again. Fingerprints are distinct, so 15 free bits fit, whatever the data. Two partners
+    in a leaf share at least one of its groups.
     """
     n = fps.count()
-    depth = _depth(n)
-    tree = VantageTree(_drawn(fps, n, max(SAMPLE, PER_LEAF << depth)), depth, radius)
+    tree = fitted(_drawn(fps, n, SAMPLE), n, radius)
 
     def first(batches):
         for batch in batches:
             leaf, who, member = tree.route(batch.column("fp").to_numpy(zero_copy_only=False).view(np.uint64))
             yield pa.RecordBatch.from_arrays([pa.array(leaf), pa.array(who.view(np.int64)), pa.array(member)], names=["leaf", "fp", "member"])
 
-    schema = "leaf long, fp long, member boolean"
-    routed = materialize(fps.select("fp").mapInArrow(first, schema), "simhash-routed")
-    for _ in range(rounds):
-        sizes = routed.where("member").groupBy("leaf").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > 4 * LEAF_MEMBERS).collect()  # few: leaves that the sample misjudged
-        if not sizes:
-            break
-        big = F.col("leaf").isin([r.leaf for r in sizes])
-        trees = {r.leaf: VantageTree(_drawn(routed.where(F.col("leaf") == r.leaf).where("member"), r.n, max(SAMPLE, PER_LEAF << _depth(r.n))), _depth(r.n), radius) for r in sizes}
-
-        def again(batches, trees=trees):
-            for batch in batches:
-                leaves = batch.column("leaf").to_numpy()
-                fp, member = batch.column("fp").to_numpy().view(np.uint64), batch.column("member").to_numpy(zero_copy_only=False)
-                for at in np.unique(leaves):
-                    sub, who, own = trees[int(at)].route(fp[leaves == at], member[leaves == at])
-                    name = np.array([xxhash.xxh64_intdigest(f"{at}/{k}") - 2**63 for k in range(2 ** trees[int(at)].depth)], np.int64)[sub]
-                    yield pa.RecordBatch.from_arrays([pa.array(name), pa.array(who.view(np.int64)), pa.array(own)], names=["leaf", "fp", "member"])
-
-        routed = materialize(routed.where(~big).union(routed.where(big).mapInArrow(again, schema)), "simhash-routed")
-    return routed
+    def again(batches):
+        for batch in batches:
+            mask = batch.column("mask").to_numpy()
+            for old in np.unique(mask):
+                rows = batch.filter(pa.array(mask == old))
+                for new in parted(int(old) % 2**64, radius):
+                    yield rows.set_column(1, "mask", pa.array(np.full(len(rows), new, np.uint64).view(np.int64)))
+
+    routed = fps.select("fp").mapInArrow(first, "leaf long, fp long, member boolean").select("leaf", F.lit(0).cast("long").alias("mask"), "fp", "member")
+    routed, done = materialize(routed, "simhash-routed"), []
+    limit = 4 * LEAF_MEMBERS
+    while True:
+        sizes = routed.groupBy("leaf", "mask").agg(F.count(F.lit(1)).alias("n")).where((F.col("n") > limit) & (F.bit_count("mask") < 64 - int(np.log2(limit))))
+        big = materialize(sizes.select("leaf", F.ceil(F.col("n") / LEAF_MEMBERS).alias("groups")), "simhash-big")
+        leaves = big.count()
+        if not leaves:
+            return functools.reduce(DataFrame.union, done, routed).select("leaf", "fp", "member")
+        few = F.broadcast(big) if leaves * 40 <= 64 << 20 else big  # else a shuffled join
+        done.append(routed.join(few, "leaf", "left_anti"))
+        cut = routed.join(few, "leaf").select("leaf", "mask", "fp", "member", "groups").mapInArrow(again, "leaf long, mask long, fp long, member boolean, groups long")
+        group = F.xxhash64("leaf", "mask", F.pmod(F.xxhash64(F.col("fp").bitwiseAND(F.col("mask"))), F.col("groups")))
+        routed = materialize(cut.select(group.alias("leaf"), "mask", "fp", "member"), "simhash-routed")
 
 
 def hamming_links(fps: DataFrame, radius: int = 2) -> DataFrame:

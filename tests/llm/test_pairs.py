@@ -54,6 +54,11 @@ def test_near_duplicates(spark):
     assert simhash.near_duplicates(docs.limit(0)).count() == 0
 
 
+def test_clashing_columns(spark):
+    docs = spark.createDataFrame([(1, "a b c d", 7, 8, 9), (2, "A b c d", 7, 8, 9)], "doc_id long, text string, fp long, component_id long, member long")
+    assert [(r.doc_id, r.component_id) for r in simhash.near_duplicates(docs).orderBy("doc_id").collect()] == [(1, 1), (2, 1)]
+
+
 def test_repeated_and_null_ids(spark):
     docs = spark.createDataFrame([(1, "a b c d", "x", "y", 1), (1, "a b c d", "x", "y", 1), (None, "a b c d", "x", "y", 1), (None, "only null", "x", "y", 1)], DOC)
     assert sorted(str(r.component_id) for r in simhash.near_duplicates(docs).collect()) == ["1", "1", "1", "None"]
@@ -80,26 +85,52 @@ def test_vantage_trees_lose_no_pair(depth):
     assert all(simhash.hamming(np.uint64(a), np.uint64(b)) <= 64 for a, b in links)
 
 
-@pytest.mark.parametrize("per_leaf", [64, 0])
-def test_links_over_many_leaves(spark, monkeypatch, per_leaf):
-    """Leaves of about 40 members; without a good sample some are split again. Components are those of brute force."""
-    monkeypatch.setattr(simhash, "LEAF_MEMBERS", 40)
-    monkeypatch.setattr(simhash, "PER_LEAF", per_leaf)
-    if not per_leaf:
-        monkeypatch.setattr(simhash, "SAMPLE", 12)
+def same_components(links, fps):
+    """Do the links give the components of all pairs within two bits?"""
+    place = {v: i for i, v in enumerate(fps.view(np.int64).tolist())}
+    mine = simhash.forest(np.array([place[a] for a, _ in links], int), np.array([place[b] for _, b in links], int), len(fps))
+    i, j = np.nonzero(simhash.hamming(fps[:, None], fps[None]) <= 2)
+    return (mine == simhash.forest(i, j, len(fps))).all()
+
+
+@pytest.mark.parametrize(("copies", "sample"), [(1000, 16384), (4, 12), (1, 16384)])
+def test_links_over_many_leaves(spark, monkeypatch, copies, sample):
+    """Leaves of about 64 members: by the tree alone, or by groups of bits below a short tree or none. Components are those of brute force."""
+    for name, value in (("LEAF_MEMBERS", 64), ("COPIES", copies), ("SAMPLE", sample)):
+        monkeypatch.setattr(simhash, name, value)
     rng = np.random.default_rng(9)
     x = rng.integers(0, 2**63, 1200, dtype=np.uint64)
     near = x[:300] ^ (np.uint64(1) << rng.integers(0, 64, 300).astype(np.uint64))
     ball = x[5] ^ (np.uint64(1) << np.arange(64, dtype=np.uint64))
-    fps = np.unique(np.concatenate([x, near, ball, ball ^ np.uint64(3)]))
+    close = x[9] ^ rng.integers(0, 2**10, 700, dtype=np.uint64)  # many in few bits: cut several times
+    fps = np.unique(np.concatenate([x, near, ball, ball ^ np.uint64(3), close]))
     df = spark.createDataFrame([(int(v),) for v in fps.view(np.int64)], "fp long")
     routed = simhash.route(df, 2)
-    assert routed.where("member").count() == routed.where("member").distinct().count() == len(fps) and routed.select("leaf").distinct().count() > 8
-    links = [(r.a, r.b) for r in simhash.hamming_links(df).collect()]
-    place = {v: i for i, v in enumerate(fps.view(np.int64).tolist())}
-    mine = simhash.forest(np.array([place[a] for a, _ in links], int), np.array([place[b] for _, b in links], int), len(fps))
-    i, j = np.nonzero(simhash.hamming(fps[:, None], fps[None]) <= 2)
-    assert (mine == simhash.forest(i, j, len(fps))).all()
+    groups = routed.groupBy("leaf").count()
+    assert groups.agg({"count": "max"}).first()[0] <= 4 * 64 * 2 and groups.count() > 8
+    assert routed.where("member").select("fp").distinct().count() == len(fps)
+    assert same_components([(r.a, r.b) for r in simhash.hamming_links(df).collect()], fps)
+
+
+@pytest.mark.parametrize("mask", [0, 2**64 - 2**15, 0x5555_5555_5555_5555])
+def test_partners_agree_in_one_part(mask):
+    rng = np.random.default_rng(4)
+    masks = list(simhash.parted(mask, 2))
+    assert all(m & mask == mask and m != mask for m in masks)
+    free = [b for b in range(64) if not mask >> b & 1]
+    for _ in range(500):
+        i, j = rng.choice(free, 2)
+        assert any(not m >> int(i) & 1 and not m >> int(j) & 1 for m in masks)
+
+
+def test_copies_do_not_grow_with_leaves(spark, monkeypatch):
+    """Rows for each random fingerprint: under COPIES from the tree, and three times that where its leaves are cut once."""
+    monkeypatch.setattr(simhash, "LEAF_MEMBERS", 16)
+    rng = np.random.default_rng(2)
+    for leaves in (2**5, 2**9):
+        fps = np.unique(rng.integers(-(2**63), 2**63, 16 * leaves))
+        n = simhash.route(spark.createDataFrame([(int(v),) for v in fps], "fp long"), 2).count()
+        assert n <= 3 * simhash.COPIES * len(fps)
 
 
 def test_components(spark):
