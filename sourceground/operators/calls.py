@@ -6,7 +6,8 @@ are therefore ``tasks * window``, however many cores the executors have.
 
 The ledger is a shared folder. A task writes the replies that it has paid for as chunk
 files, each named in a manifest entry that is written after it, so a chunk counts only
-when it is whole. A task that is run again reads its own chunks and calls what is missing.
+when it is whole. ``MERGED`` chunks of a level become one of the next, so files grow with the
+logarithm of the replies. A task that is run again reads its own chunks and calls what is missing.
 """
 
 from __future__ import annotations
@@ -15,11 +16,11 @@ import json
 import time
 import uuid
 import zlib
-from collections import deque
 from collections.abc import Callable, Iterator
-from concurrent.futures import FIRST_COMPLETED, Future, ThreadPoolExecutor, wait
+from queue import Empty, SimpleQueue
+from threading import Thread
 
-import pandas as pd
+import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -30,6 +31,11 @@ KEYS = ["passage_id", "task_code"]
 REPLIES = "passage_id string, task_code string, reply string, error string, attempts int"
 #: Results that a task hands on together.
 HANDED = 64
+RESULTS = pa.schema([("passage_id", pa.string()), ("task_code", pa.string()), ("reply", pa.string()), ("error", pa.string()), ("attempts", pa.int32())])
+#: After so many calls in a row that took under so many seconds, a task makes them one at a time and without its threads.
+QUICK, QUICK_S = 32, 0.002
+#: Chunks of one level of a ledger that become one of the next, and the highest level.
+MERGED, LEVELS = 64, 2
 
 
 def call(client: Callable[..., str], system: str, prompt: str, max_retries: int, pause: float, **options) -> tuple[str | None, str | None, int]:
@@ -42,22 +48,72 @@ def call(client: Callable[..., str], system: str, prompt: str, max_retries: int,
         except Exception as e:  # noqa: BLE001  any client, any error
             if attempt > max_retries:
                 return None, f"{type(e).__name__}: {e}", attempt
-        time.sleep(pause * min(delay, 16.0))
+        if pause:
+            time.sleep(pause * min(delay, 16.0))
         delay *= 2
 
 
 def sliding(jobs: Iterator[tuple], work: Callable[..., tuple], window: int) -> Iterator[tuple]:
-    """(job, result) as they finish: ``window`` threads, and as many jobs again waiting for them."""
-    with ThreadPoolExecutor(window) as pool:
-        held: dict[Future, tuple] = {}
+    """(job, result) as they finish: ``window`` threads, and as many jobs again waiting for them.
+
+    While calls are quick (a cache, a ledger, a stub), handing them over would cost more than
+    they do: the consumer makes them itself until one is slow. What ``work`` raises is raised here.
+    """
+    todo, done, quick = SimpleQueue(), SimpleQueue(), 0
+
+    def serve() -> None:
+        while (job := todo.get()) is not None:
+            start = time.perf_counter()
+            try:
+                done.put((job, work(job), None, time.perf_counter() - start))
+            except BaseException as e:  # noqa: BLE001  raised again by the consumer
+                done.put((job, None, e, 0.0))
+
+    def taken(job: tuple, result: tuple, error: BaseException | None, seconds: float) -> tuple:
+        nonlocal quick
+        quick = quick + 1 if seconds < QUICK_S else 0
+        if error is not None:
+            raise error
+        return job, result
+
+    threads = [Thread(target=serve, daemon=True) for _ in range(window)]
+    for t in threads:
+        t.start()
+    held = 0
+    try:
         for job in jobs:
-            held[pool.submit(work, job)] = job
-            while len(held) >= 2 * window:
-                for f in wait(held, return_when=FIRST_COMPLETED).done:
-                    yield held.pop(f), f.result()
-        while held:
-            for f in wait(held, return_when=FIRST_COMPLETED).done:
-                yield held.pop(f), f.result()
+            if quick >= QUICK:
+                while held:
+                    held -= 1
+                    yield taken(*done.get())
+                start = time.perf_counter()
+                result = work(job)
+                yield taken(job, result, None, time.perf_counter() - start)
+                continue
+            todo.put(job)
+            held += 1
+            if held >= 2 * window:
+                found = [done.get()]
+                try:
+                    while True:
+                        found.append(done.get_nowait())
+                except Empty:
+                    pass
+                held -= len(found)
+                for f in found:
+                    yield taken(*f)
+        for _ in range(held):
+            yield taken(*done.get())
+    finally:
+        try:
+            while True:  # what nobody waits for is not called
+                todo.get_nowait()
+        except Empty:
+            pass
+        for _ in threads:
+            todo.put(None)
+        for t in threads:
+            t.join()
 
 
 class Ledger:
@@ -68,6 +124,7 @@ class Ledger:
 
         self.fs, base = pafs.FileSystem.from_uri(root)
         self.folder, self.attempt, self.flush, self.held, self.chunks = f"{base}/part={part:05d}", attempt, flush, [], 0
+        self.whole: list[list[str]] = [[] for _ in range(LEVELS + 1)]  # this attempt's chunks, by level
         self.fs.create_dir(self.folder, recursive=True)
 
     def _write(self, name: str, data: bytes) -> None:
@@ -103,18 +160,35 @@ class Ledger:
 
     def close(self) -> None:
         if self.held:
-            name = f"chunk-{self.attempt:03d}-{self.chunks:05d}-{uuid.uuid4().hex[:8]}.jsonl"
             data = "\n".join(json.dumps(r, ensure_ascii=False) for r in self.held).encode()
-            self._write(name, data)
-            self._write(f"{name}.manifest", json.dumps({"file": name, "rows": len(self.held), "crc32": zlib.crc32(data)}).encode())
-            self.held, self.chunks = [], self.chunks + 1
+            self._keep(0, [data])
+            self.held = []
+
+    def _keep(self, level: int, parts: list[bytes] | Iterator[bytes]) -> None:
+        """Writes a chunk and its manifest; chunks that are enough for one of the next level become it and are deleted after it counts."""
+        name = f"chunk-{self.attempt:03d}-{self.chunks:07d}-{uuid.uuid4().hex[:8]}.jsonl"
+        self.chunks += 1
+        crc = 0
+        with self.fs.open_output_stream(f"{self.folder}/{name}") as out:
+            for n, data in enumerate(parts):
+                data = b"\n" + data if n else data
+                crc = zlib.crc32(data, crc)
+                out.write(data)
+        self._write(f"{name}.manifest", json.dumps({"file": name, "crc32": crc}).encode())
+        self.whole[level].append(name)
+        if level < LEVELS and len(self.whole[level]) >= MERGED:
+            merged, self.whole[level] = self.whole[level], []
+            self._keep(level + 1, (self._read(m) for m in merged))
+            for m in merged:
+                self.fs.delete_file(f"{self.folder}/{m}.manifest")
+                self.fs.delete_file(f"{self.folder}/{m}")
 
 
 def read_ledger(spark: SparkSession, root: str) -> DataFrame:
     """(passage_id, task_code, reply, error, attempts) of every reply below ``root``, once for each key; none if there is no ledger."""
     if not exists(spark, root):
         return spark.createDataFrame([], REPLIES)
-    rows = spark.read.schema("passage_id string, task_code string, reply string, attempts int").option("mode", "DROPMALFORMED").option("recursiveFileLookup", "true").option("pathGlobFilter", "*.jsonl").json(root)
+    rows = spark.read.schema("passage_id string, task_code string, reply string, attempts int").option("mode", "DROPMALFORMED").option("recursiveFileLookup", "true").option("pathGlobFilter", "*.jsonl").option("ignoreMissingFiles", "true").json(root)  # a chunk that has just been merged is asked for again
     whole = rows.where("reply is not null").groupBy(*KEYS).agg(F.min(F.struct("attempts", "reply")).alias("r"))
     return whole.select(*KEYS, "r.reply", F.lit(None).cast("string").alias("error"), "r.attempts")
 
@@ -150,17 +224,17 @@ def complete(
             paid = book.paid()
 
         def asked() -> Iterator[tuple]:
-            for pdf in batches:
-                for key in zip(pdf["passage_id"], pdf["task_code"], pdf["prompt"], strict=True):
+            for batch in batches:
+                for key in zip(*(batch.column(c).to_pylist() for c in (*KEYS, "prompt")), strict=True):
                     if key[:2] in paid:
                         again.add(key[:2])
                     else:
                         yield key
 
-        def table(rows: list[tuple]) -> pd.DataFrame:
-            return pd.DataFrame(rows, columns=[*KEYS, "reply", "error", "attempts"]).astype({"reply": object, "error": object})
+        def table(rows: list[tuple]) -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows, strict=True), RESULTS, strict=True)], schema=RESULTS)
 
-        rows = deque()
+        rows: list[tuple] = []
         work = lambda job: call(client, system, job[2], max_retries, pause, max_tokens=max_tokens, temperature=temperature)
         try:
             for job, (reply, error, attempts) in sliding(asked(), work, window):
@@ -168,18 +242,19 @@ def complete(
                     book.add({"passage_id": job[0], "task_code": job[1], "reply": reply, "attempts": attempts})
                 rows.append((*job[:2], reply, error, attempts))
                 if len(rows) >= HANDED:
-                    yield table(list(rows))
-                    rows.clear()
+                    yield table(rows)
+                    rows = []
         finally:
             if book:
                 book.close()
         if rows:
-            yield table(list(rows))
+            yield table(rows)
         for name in book.chunk_names() if again else ():
             found = [(r["passage_id"], r["task_code"], r["reply"], None, r["attempts"]) for r in book.chunk(name) if (r["passage_id"], r["task_code"]) in again]
+            found = list({r[:2]: r for r in found}.values())
             again -= {r[:2] for r in found}
             if found:
                 yield table(found)
 
-    called = wanted.repartition(tasks, *KEYS).mapInPandas(run, REPLIES)
+    called = wanted.repartition(tasks, *KEYS).mapInArrow(run, REPLIES)
     return called if before is None else called.unionByName(before.join(jobs.select(*KEYS), KEYS, "left_semi"))

@@ -206,3 +206,26 @@ def test_items_given_as_done_are_counted_and_not_called(spark, corpus, tmp_path)
     assert got.count() == 15 and got.join(done, ["passage_id", "task_code"], "left_semi").count() == 0
     assert run.replies().join(done, ["passage_id", "task_code"], "left_semi").count() == 0
     assert J.ModelRun(corpus, ["T2"], moody(str(tmp_path)), "m", scratch_path(spark, "run"), 2, done=done).run(10).count() == 0
+
+
+def test_a_call_costs_little_beside_the_client():
+    n = 20_000
+    start = time.perf_counter()
+    for window in (1, 3):
+        found = calls.sliding(((i,) for i in range(n)), lambda job: job[0], window)
+        assert sorted(r for _, r in found) == list(range(n))
+    assert (time.perf_counter() - start) / (2 * n) < 120e-6
+    with pytest.raises(SystemExit):
+        list(calls.sliding(((i,) for i in range(50)), lambda job: sys.exit() if job[0] == 20 else 0, 3))
+
+
+def test_a_ledger_has_few_files(tmp_path, monkeypatch):
+    monkeypatch.setattr(calls, "MERGED", 4)
+    book = calls.Ledger(f"file://{tmp_path}", 0, 0, 2)
+    for i in range(200):
+        book.add({"passage_id": f"p{i}", "task_code": "T2", "reply": "甲\n", "attempts": 1})
+    book.close()
+    names = book.chunk_names()
+    assert len(names) < 16  # of 100 chunks
+    rows = [r for n in names for r in book.chunk(n)]
+    assert sorted(r["passage_id"] for r in rows) == sorted(f"p{i}" for i in range(200)) and {r["reply"] for r in rows} == {"甲\n"}
