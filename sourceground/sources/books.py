@@ -10,12 +10,28 @@ from ..functions.lookups import META_KEYS, SOURCE_HOMEPAGE
 from ..functions.text import LINE_END, book_url, let, strip, to_simplified
 
 
+def folders(root: str) -> dict[str, str]:
+    """What ``load`` needs to read the text files in the folders right below ``root``: the folders are listed, their files are not looked up one by one."""
+    return {"path": f"{root}/*/", "pathGlobFilter": "*.txt"}
+
+
+#: Tasks that read files, for each core. Spark opens at most 32 small files in a task, so many small files would be as many tasks and tables.
+READERS = 4
+
+
+def packed(files: DataFrame) -> DataFrame:
+    """Read by no more than ``READERS`` tasks a core, each its files in order; where files are large, by as many as there are splits of 128 MB."""
+    most = READERS * files.sparkSession.sparkContext.defaultParallelism
+    size = int(str(files._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    return files.coalesce(max(most, size >> 27))
+
+
 def read_book_files(spark: SparkSession, root: str) -> DataFrame:
     """(book_id, file_name, content) of the text files in the folders right below ``root`` that hold ``index.txt``.
 
     Bytes that are not UTF-8 are replaced.
     """
-    raw = spark.read.format("binaryFile").load(f"{root}/*/*.txt")
+    raw = packed(spark.read.format("binaryFile").load(**folders(root)))
     parts = F.split("path", "/")
     files = raw.select(
         F.element_at(parts, -2).alias("book_id"),
@@ -36,9 +52,12 @@ def write_book_files(files: DataFrame, root: str) -> DataFrame:
         import pyarrow.fs as pafs
 
         fs, base = pafs.FileSystem.from_uri(root)
+        made = set()
         for pdf in batches:
             for book, name, content in zip(pdf["book_id"], pdf["file_name"], pdf["content"], strict=True):
-                fs.create_dir(f"{base}/{book}", recursive=True)
+                if book not in made:
+                    fs.create_dir(f"{base}/{book}", recursive=True)
+                    made.add(book)
                 with fs.open_output_stream(f"{base}/{book}/{name}") as out:
                     out.write((content or "").encode())
             yield pdf[["book_id", "file_name"]]

@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions.text import LINE_END
-from .books import file_order
+from .books import file_order, folders, packed
 from .scratch import sent_if_small, stored
 
 FILE = ["book_id", "file_name"]
@@ -29,7 +29,8 @@ def read_lines(spark: SparkSession, root: str) -> DataFrame:
     Lines end at any Unicode line end and a final line end adds no empty line. Bytes that
     are not UTF-8 are replaced. Empty files have no rows.
     """
-    raw = spark.read.option("lineSep", "\n").text(f"{root}/*/*.txt").select("value", "_metadata.file_path", "_metadata.file_size", "_metadata.file_block_start")
+    raw = spark.read.option("lineSep", "\n").format("text").load(**folders(root)).select("value", "_metadata.file_path", "_metadata.file_size", "_metadata.file_block_start")
+    raw = packed(raw)
     pieces = F.split(F.regexp_replace(F.make_valid_utf8("value"), r"\r\z", ""), LINE_END, -1)
     cut = raw.select(
         _path_part(-2).alias("book_id"), _path_part(-1).alias("file_name"), "file_size", F.col("file_block_start").alias("block"), (F.octet_length("value") + 1).alias("bytes"), F.posexplode(pieces).alias("k", "line")
@@ -72,7 +73,7 @@ def read_books(spark: SparkSession, root: str) -> tuple[DataFrame, DataFrame]:
     menus only. ``lines`` is (book_id, line_no, line) as ``book_lines`` gives it.
     """
     parts = F.split("path", "/")
-    names = spark.read.format("binaryFile").load(f"{root}/*/*.txt").select(F.element_at(parts, -2).alias("book_id"), F.element_at(parts, -1).alias("file_name"))  # contents are not read
+    names = packed(spark.read.format("binaryFile").load(**folders(root)).select(F.element_at(parts, -2).alias("book_id"), F.element_at(parts, -1).alias("file_name")))  # contents are not read
     names = stored(names.join(names.where("file_name = 'index.txt'").select("book_id"), "book_id", "left_semi"), "split-names")
     lines = stored(read_lines(spark, root), "split-numbered")
     files = stored(heads(lines, names), "split-heads")

@@ -153,3 +153,17 @@ def test_keyed_state_reads_no_sink(spark, corpus):
     found = spark.read.parquet(f"{base}/out")
     assert found.count() == found.select("item_id").distinct().count() == G.generate_items(corpus, ["T1", "T6"]).count()
     assert spark.conf.get("spark.sql.streaming.stateStore.providerClass") == provider
+
+
+def test_many_small_files_are_few_tasks(spark, tmp_path):
+    for book in ("a", "b"):
+        (tmp_path / book).mkdir()
+        for i in range(400):
+            (tmp_path / book / f"{i}.txt").write_text(f"{i}\n{book}")
+        (tmp_path / book / "index.txt").write_text("<book>\n</book>")
+        (tmp_path / book / "note.md").write_text("no book file")
+    raw = spark.read.format("text").load(**S.folders(str(tmp_path)))
+    most = S.READERS * spark.sparkContext.defaultParallelism
+    assert raw.count() == 2 * (2 * 400 + 2) and raw.rdd.getNumPartitions() > most >= S.packed(raw).rdd.getNumPartitions()
+    want = {(b, 2 * i + k + 1, line) for b in ("a", "b") for i in range(400) for k, line in enumerate((str(i), b))}
+    assert {tuple(r) for r in splits.read_books(spark, str(tmp_path))[1].collect()} == want
