@@ -6,6 +6,8 @@ explicit class, because Java's own classes are ASCII.
 
 from __future__ import annotations
 
+import functools
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -49,8 +51,19 @@ def replace_crossrefs(text: Column) -> Column:
     return F.when(F.contains(text, F.lit("[[")), let(text, put)).otherwise(text)
 
 
+def _marked(text: Column) -> Column:
+    """Is there anything that inline markup starts with?"""
+    has = [F.contains(text, F.lit(sign)) for sign in ("<", "((", "[[", "**", "__")]
+    return functools.reduce(Column.__or__, has)
+
+
 def strip_inline(text: Column, keep_dose: bool = True) -> Column:
-    """Reading text without inline markup; doses stay or go."""
+    """Reading text without inline markup; doses stay or go. Only text that has markup meets its patterns."""
+    plain = strip(F.replace(F.replace(text, F.lit(" "), F.lit("")), F.lit("\t"), F.lit("")))
+    return F.when(_marked(text) | F.contains(text, F.lit("　")), _without_markup(text, keep_dose)).otherwise(plain)
+
+
+def _without_markup(text: Column, keep_dose: bool) -> Column:
     text = F.regexp_replace(text, r"(?s)\(\(.*?\)\)", "")
     text = replace_crossrefs(text)
     text = F.regexp_replace(text, r"(?d)\*\*(.*?)\*\*", "$1")
@@ -64,23 +77,26 @@ def strip_inline(text: Column, keep_dose: bool = True) -> Column:
 
 def normalize(text: Column) -> Column:
     """Key for matching: no markup, doses, marks or space."""
-    return F.regexp_replace(strip_inline(text, keep_dose=False), r"[^\p{L}\p{N}_㐀-鿿豈-﫿]", "")
+    bare = F.when(_marked(text), strip_inline(text, keep_dose=False)).otherwise(text)
+    return F.regexp_replace(bare, r"[^\p{L}\p{N}_㐀-鿿豈-﫿]+", "")
 
 
 def remove_punctuation(text: Column) -> Column:
     return F.translate(text, PUNCTUATION, "")
 
 
+def _is_heading(line: Column) -> Column:
+    return F.contains(line, F.lit("===")) & strip(line).rlike(HEADING)
+
+
 def heading_title(line: Column) -> Column:
     """Title of a heading line, null for other lines."""
-    s = strip(line)
-    return F.when(s.rlike(HEADING), strip_inline(F.regexp_extract(s, HEADING, 2)))
+    return F.when(_is_heading(line), strip_inline(F.regexp_extract(strip(line), HEADING, 2)))
 
 
 def heading_signs(line: Column) -> Column:
     """Number of equal signs of a heading line, null for other lines."""
-    s = strip(line)
-    return F.when(s.rlike(HEADING), F.length(F.regexp_extract(s, HEADING, 1)))
+    return F.when(_is_heading(line), F.length(F.regexp_extract(strip(line), HEADING, 1)))
 
 
 def formula_bodies(raw: Column) -> Column:
