@@ -353,11 +353,12 @@ def w03u(spark, sf):
 
 # ---------------------------------------------------------------- generation
 def corpus_(spark: SparkSession, sf: str) -> DataFrame:
-    return D.corpus(spark, sf)
+    """The corpus, stored for queries that read it more than once."""
+    return stored(D.corpus(spark, sf), "corpus")
 
 
 def items(spark: SparkSession, sf: str, carry: tuple[str, ...] = ()) -> DataFrame:
-    return G.generate_items(D.corpus(spark, sf), ["T1", "T6"], carry=carry)
+    return G.generate_items(corpus_(spark, sf), ["T1", "T6"], carry=carry)
 
 
 def _ings(c: str) -> Column:
@@ -389,8 +390,8 @@ MODEL_TASKS = [t for t in ALL_TASKS if t not in ("T1", "T6")]
 JOBS = f", jobs AS (SELECT passage_id, passage_idx, unnest(list_filter(candidate_tasks, lambda t: t NOT IN ('T1', 'T6'))) AS task_code FROM corpus), done AS (SELECT * FROM jobs WHERE substr(sha1(passage_id || task_code), 1, 1) < '8')"
 
 
-def jobs_and_done(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
-    jobs = G.model_jobs(D.corpus(spark, sf), ALL_TASKS)
+def jobs_and_done(spark: SparkSession, sf: str, full: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
+    jobs = G.model_jobs(full if full is not None else D.corpus(spark, sf), ALL_TASKS)
     return jobs, jobs.where(F.substring(F.sha1(F.concat("passage_id", "task_code")), 1, 1) < "8")
 
 
@@ -420,8 +421,8 @@ REPLIES = JOBS + f""", replies AS (SELECT j.passage_id, j.task_code, c.book_id,
 parsed AS (SELECT *, try_cast(nullif(regexp_extract(reply, '(?s)\\{{.*\\}}'), '') AS json) AS j FROM replies)"""
 
 
-def replies(spark: SparkSession, sf: str) -> DataFrame:
-    rows = jobs_and_done(spark, sf)[0]
+def replies(spark: SparkSession, sf: str, full: DataFrame | None = None) -> DataFrame:
+    rows = jobs_and_done(spark, sf, full)[0]
     return rows.select("passage_id", "task_code", F.expr(REPLY).alias("reply"), F.when(F.col("passage_idx") % 7 == 5, "TimeoutError").alias("error"))
 
 
@@ -457,7 +458,8 @@ def g06_ledger(spark, sf):
   coalesce(array_to_string(cast(j->'options' AS varchar[]), ';'), '') AS options, CASE WHEN j->>'evidence' IS NOT NULL THEN j->>'evidence' ELSE coalesce(array_to_string(cast(j->'evidence_spans' AS varchar[]), ';'), '') END AS spans,
   CASE WHEN coalesce(j->>'safety_note', '') <> '' THEN j->>'safety_note' WHEN {Q.restricted("coalesce(j->>'answer', '')")} THEN {Q.q(Q.SAFETY_NOTE)} ELSE '' END AS safety_note FROM parsed WHERE j IS NOT NULL""")
 def g07(spark, sf):
-    found = M.items_from_replies(replies(spark, sf), D.corpus(spark, sf), "m1")
+    full = corpus_(spark, sf)
+    found = M.items_from_replies(replies(spark, sf, full), full, "m1")
     return found.select("item_id", "task_code", "question", "context", "answer_text", "inference_level", "difficulty", F.array_join("options", ";").alias("options"), F.array_join("evidence.spans", ";").alias("spans"), "safety_note")
 
 
@@ -469,7 +471,8 @@ def g08(spark, sf):
 # ---------------------------------------------------------------- joins
 @query("j01_items_with_source", "SELECT item_id, CASE WHEN len(raw_text_trad) < 40 THEN '' ELSE raw_text_trad END AS source_text FROM items")
 def j01(spark, sf):
-    return V.with_source(items(spark, sf), D.corpus(spark, sf, 40)).select("item_id", "source_text")
+    full = corpus_(spark, sf)
+    return V.with_source(G.generate_items(full, ["T1", "T6"]), C.min_length(full, 40)).select("item_id", "source_text")
 
 
 @query("j01_bucketed_validation", "SELECT item_id, len(errors) = 0 AS ok, array_to_string(errors, ';') AS errors FROM checked")
@@ -498,7 +501,7 @@ ITEM_ORDER = ["passage_idx", "task_rank", "formula_no"]
 
 @query("j04_release_corpus", SAMPLE + CAPPED + " SELECT passage_id FROM corpus WHERE passage_id IN (SELECT passage_id FROM sampled) OR passage_id IN (SELECT passage_id FROM capped)")
 def j04(spark, sf):
-    c = D.corpus(spark, sf)
+    c = corpus_(spark, sf)
     capped = R.cap_items(G.generate_items(c, ["T1", "T6"], carry=("passage_idx",)), 25, ITEM_ORDER)
     return R.release_corpus(c, R.balanced_sample(c, 30), capped).select("passage_id")
 
@@ -683,7 +686,8 @@ def a08(spark, sf):
 @query("a09_run_report", REPLIES + """ SELECT cast(40 AS bigint) AS target, count(*) AS jobs_total, count(error) AS errored, count(*) FILTER (error IS NULL AND j IS NULL) AS parse_failed, count(*) FILTER (error IS NULL AND j IS NOT NULL) AS yielded,
   (SELECT count(*) FILTER (len(errors) = 0) FROM checked) AS accepted, (SELECT count(*) FILTER (len(errors) > 0) FROM checked) AS rejected, greatest(0, 40 - (SELECT count(*) FILTER (len(errors) = 0) FROM checked)) AS shortfall FROM parsed""")
 def a09(spark, sf):
-    return A.run_report(replies(spark, sf), V.validate(broken(D.corpus(spark, sf))), 40)
+    full = corpus_(spark, sf)
+    return A.run_report(replies(spark, sf, full), V.validate(broken(full)), 40)
 
 
 # ---------------------------------------------------------------- further uses and jobs
