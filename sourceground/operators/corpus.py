@@ -18,16 +18,17 @@ from ..functions.lookups import (
     SOURCE_ID,
     SOURCE_LICENSE,
 )
-from ..sources.books import book_lines, catalog
-from ..sources.scratch import stored
-from .passages import passages
+from ..sources.books import book_pieces, catalog
+from ..sources.scratch import sent_if_small, stored
+from .passages import passages_of
 
 
 def corpus_records(found: DataFrame, books: DataFrame, ingestion_date: str, version: str = CORPUS_VERSION, simplified: dict[str, str] | None = None) -> DataFrame:
-    """Passages joined with the catalog (one small row per book) and enriched."""
+    """Passages joined with the catalog (one small row per book, stored and sent to them) and enriched."""
     path, text = F.col("heading_path"), F.col("text")
     columns = ["book_title_trad", "book_title_simp", "author", "dynasty", "year", "category_level_1", "category_level_2", "base_text", "quality_score_source", "quality_tier", "source_url"]
-    joined = found.join(books.select("book_id", *columns), "book_id")
+    books = stored(books.select("book_id", *columns), "catalog")
+    joined = found.join(sent_if_small(books, 1000), "book_id")
     return joined.select(
         X.passage_id(F.col("book_id"), path, text, F.col("passage_idx")).alias("passage_id"),
         "book_id", *columns[:10], "heading_path",
@@ -56,7 +57,7 @@ def min_length(corpus: DataFrame, min_chars: int = 12, column: str = "raw_text_t
 def ingest(files: DataFrame, ingestion_date: str, min_chars: int = 12, homepage: str = SOURCE_HOMEPAGE, simplified: dict[str, str] | None = None) -> DataFrame:
     """Book files to corpus records."""
     books = catalog(files, homepage, simplified)
-    return min_length(corpus_records(passages(book_lines(files)), books, ingestion_date, simplified=simplified), min_chars)
+    return min_length(corpus_records(passages_of(book_pieces(files)), books, ingestion_date, simplified=simplified), min_chars)
 
 
 def pilot_table(spark, pilots: dict[str, list[str]] | None = None) -> DataFrame:

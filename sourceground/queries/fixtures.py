@@ -10,6 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from ..operators import corpus as C
+from ..operators.passages import passages_of
 from ..sources import books
 from ..sources.scratch import stored
 
@@ -57,16 +58,12 @@ def lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def passages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from ..operators.passages import passages as cut
-
-    return cut(lines(spark, sf_dir))
+    return passages_of(books.book_pieces(stored(files(spark, sf_dir), "files")))
 
 
 def corpus(spark: SparkSession, sf_dir: str, min_chars: int = 12) -> DataFrame:
     source = stored(files(spark, sf_dir), "files")  # the files that a reader would find
-    from ..operators.passages import passages as cut
-
-    return C.min_length(C.corpus_records(cut(books.book_lines(source)), books.catalog(source), DATE), min_chars)
+    return C.min_length(C.corpus_records(passages_of(books.book_pieces(source)), books.catalog(source), DATE), min_chars)
 
 
 def pilot_corpus(spark: SparkSession, sf_dir: str, min_chars: int = 12) -> DataFrame:

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from ..functions import classify
 from ..functions.lookups import META_KEYS, SOURCE_HOMEPAGE
 from ..functions.text import LINE_END, book_url, let, strip, to_simplified
+from .scratch import sent_if_small, stored
 
 
 def folders(root: str) -> dict[str, str]:
@@ -88,15 +89,18 @@ def file_order(files: DataFrame) -> DataFrame:
     return kept.select("book_id", "file_name", F.row_number().over(order).alias("file_ord"))
 
 
+def _body() -> Column:
+    return F.when(F.col("file_name") == "index.txt", F.regexp_replace("content", r"(?s)<book>(.*?)</book>", "")).otherwise(F.col("content"))
+
+
 def book_lines(files: DataFrame, order: DataFrame | None = None) -> DataFrame:
     """(book_id, line_no, line): the files' lines one after another; the metadata block of ``index.txt`` is left out.
 
     Only the files' line counts meet in a window of a book; lines are numbered inside their file.
     """
     order = order if order is not None else file_order(files)
-    body = F.when(F.col("file_name") == "index.txt", F.regexp_replace("content", r"(?s)<book>(.*?)</book>", "")).otherwise(F.col("content"))
     dealt = files.join(order, ["book_id", "file_name"]).repartition("book_id", "file_ord")  # files of one book go to all tasks
-    cut = dealt.select("book_id", "file_ord", split_lines(body).alias("lines"))
+    cut = dealt.select("book_id", "file_ord", split_lines(_body()).alias("lines"))
     before = Window.partitionBy("book_id").orderBy("file_ord").rowsBetween(Window.unboundedPreceding, -1)
     counts = cut.select("book_id", "file_ord", F.size("lines").cast("long").alias("n"))
     offsets = counts.select("book_id", "file_ord", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("offset"))
@@ -104,6 +108,12 @@ def book_lines(files: DataFrame, order: DataFrame | None = None) -> DataFrame:
     return numbered.select("book_id", (F.col("offset") + F.col("pos") + 1).alias("line_no"), "line")
 
 
+def book_pieces(files: DataFrame) -> DataFrame:
+    """(book_id, piece, body): the files in their order, without the metadata block of ``index.txt``; lines as in ``book_lines``."""
+    order = stored(file_order(files), "order")
+    return files.join(sent_if_small(order, 250), ["book_id", "file_name"]).select("book_id", F.col("file_ord").alias("piece"), _body().alias("body"))
+
+
 def metadata_map(index_text: Column) -> Column:
     """key -> value of the first ``<book>`` block; lines split at their first ``=``; of a repeated key the last counts."""
     lines = split_lines(F.regexp_extract(index_text, r"(?s)<book>(.*?)</book>", 1))

@@ -134,3 +134,16 @@ def test_no_heading_level_is_lost(spark):
     lines = spark.createDataFrame(rows, "book_id string, line_no long, line string")
     assert W.heading_levels(lines) == list(range(32, 2, -1))
     assert [r.heading_path for r in W.passages(lines).collect()] == [["t30", "low"]]
+
+
+def test_texts_are_not_dealt_by_book(spark, tmp_path):
+    """Books, files and passages meet in thin tables that are sent to the texts; no task holds a book's passages."""
+    write(tmp_path, "甲", index=BOOK)
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        made = C.ingest(S.read_book_files(spark, str(tmp_path)), "2026-01-01")
+        assert "hashpartitioning" not in made._jdf.queryExecution().executedPlan().toString()
+        assert made.count() == 2
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
