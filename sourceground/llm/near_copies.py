@@ -132,9 +132,13 @@ def _room(a: str, b: str) -> Column:
     return (9 * differ <= na + nb) & (9 * shared >= 4 * (na + nb)) & (5 * F.least(na, nb) >= 4 * F.greatest(na, nb))
 
 
-def _small(stored: DataFrame, row_bytes: int, limit: int = 64 << 20) -> DataFrame:
-    """A stored table, broadcast while its rows are proven to stay under ``limit`` bytes, so that the other side of a join does not move."""
-    return F.broadcast(stored) if stored.count() * row_bytes <= limit else stored
+#: Bytes of one table that is sent: the driver holds it as rows, as a hash table and in blocks at a time, next to those of earlier joins.
+SENT = 8 << 20
+
+
+def _small(stored: DataFrame, row_bytes: int) -> DataFrame:
+    """A stored table, broadcast while its rows are proven to stay under ``SENT`` bytes, so that the other side of a join does not move."""
+    return F.broadcast(stored) if stored.count() * row_bytes <= SENT else stored
 
 
 def distinct_sets(prints: DataFrame) -> DataFrame:

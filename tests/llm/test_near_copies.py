@@ -52,3 +52,17 @@ def test_pipeline_keeps_texts_with_null_and_repeated_ids(spark):
     docs = spark.createDataFrame(rows, DOC)
     for kept in (corpus_pipeline.near_dedup_stage(spark, docs, ""), corpus_pipeline.near_dedup_stage(spark, docs.repartition(3), "")):
         assert sorted((str(r.doc_id), r.text) for r in kept.collect()) == [("4", rows[3][1]), ("5", rows[2][1]), ("None", rows[0][1]), ("None", rows[1][1])]
+
+
+def test_only_small_tables_are_sent(spark):
+    """A driver of 750 MB heap holds several sent tables at a time: a million rows of 40 bytes are not sent."""
+    from sourceground.llm import near_copies
+    from sourceground.llm.common import materialize
+
+    sent = lambda n: "Broadcast" in near_copies._small(materialize(spark.range(n), "sent"), 40).join(spark.range(5), "id")._jdf.queryExecution().sparkPlan().toString()
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        assert sent(1000) and not sent(1_000_000)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
