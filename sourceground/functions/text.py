@@ -7,6 +7,7 @@ explicit class, because Java's own classes are ASCII.
 from __future__ import annotations
 
 import functools
+from collections.abc import Iterable
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -51,10 +52,14 @@ def replace_crossrefs(text: Column) -> Column:
     return F.when(F.contains(text, F.lit("[[")), let(text, put)).otherwise(text)
 
 
+def contains_any(text: Column, signs: Iterable[str]) -> Column:
+    """Does the text hold any of ``signs``? A byte search for each until one is found, many times faster than a pattern of alternatives."""
+    return functools.reduce(Column.__or__, [F.contains(text, F.lit(sign)) for sign in signs])
+
+
 def _marked(text: Column) -> Column:
     """Is there anything that inline markup starts with?"""
-    has = [F.contains(text, F.lit(sign)) for sign in ("<", "((", "[[", "**", "__")]
-    return functools.reduce(Column.__or__, has)
+    return contains_any(text, ("<", "((", "[[", "**", "__"))
 
 
 def strip_inline(text: Column, keep_dose: bool = True) -> Column:
@@ -85,6 +90,11 @@ def remove_punctuation(text: Column) -> Column:
     return F.translate(text, PUNCTUATION, "")
 
 
+def has_punctuation(text: Column) -> Column:
+    """Would ``remove_punctuation`` change the text?"""
+    return contains_any(text, PUNCTUATION)
+
+
 def _is_heading(line: Column) -> Column:
     return F.contains(line, F.lit("===")) & strip(line).rlike(HEADING)
 
@@ -166,7 +176,7 @@ def contains(source: Column, normalized_source: Column, needle: Column) -> Colum
 
 
 def mentions_restricted_herb(text: Column) -> Column:
-    return F.coalesce(text.rlike("|".join(SAFETY_HERBS)), F.lit(False))
+    return F.coalesce(contains_any(text, SAFETY_HERBS), F.lit(False))
 
 
 def safety_note(text: Column) -> Column:

@@ -47,11 +47,11 @@ def _item(code: str, rows: DataFrame, carry: list[str], **given: Column) -> Data
 def generate_t1(corpus: DataFrame, min_chars: int = 20, max_chars: int = 220, carry: tuple[str, ...] = ()) -> DataFrame:
     """Punctuation restoration: passages of the right length that have any punctuation. ``carry`` keeps columns."""
     text = F.col("raw_text_trad")
-    rows = corpus.where(F.length(text).between(min_chars, max_chars)).withColumn("__bare", X.remove_punctuation(text)).where(F.col("__bare") != text)
+    rows = corpus.where(F.length(text).between(min_chars, max_chars) & X.has_punctuation(text))
     return _item(
         "T1", rows, list(carry),
         item_id=X.item_id(F.col("book_id"), F.lit("T1"), F.col("passage_id"), F.lit("")),
-        question=F.lit(QUESTION_T1), context=F.col("__bare"), answer_text=text, evidence=evidence(F.array(text)),
+        question=F.lit(QUESTION_T1), context=X.remove_punctuation(text), answer_text=text, evidence=evidence(F.array(text)),
     )
 
 

@@ -64,20 +64,40 @@ def job_accounting(replies: DataFrame) -> DataFrame:
     )
 
 
-def _get(name: str, kind: str = "string") -> Column:
-    return F.try_variant_get(F.col("__data"), f"$.{name}", kind)
+TEXTS = ("question", "answer", "context", "task", "evidence", "evidence_spans", "inference_level", "difficulty", "safety_note", "quality_warning")
+LISTS = ("evidence", "evidence_spans", "options")
+
+
+def _taken_apart(data: Column) -> Column:
+    """struct(texts, lists, distractors, answer) of a reply's fields, each read once.
+
+    As one value (``let``) it stays out of the code that Spark generates for the join, which with all
+    these fields is one method too long for the JVM to compile.
+    """
+
+    def parts(fields: Column) -> Column:
+        get = lambda n, kind: F.try_variant_get(F.try_element_at(fields, F.lit(n)), "$", kind)
+        texts = F.struct(*[get(n, "string").alias(n) for n in TEXTS])
+        lists = F.struct(*[get(n, "array<string>").alias(n) for n in LISTS])
+        return F.struct(texts.alias("texts"), lists.alias("lists"), get("distractors", DISTRACTORS).alias("distractors"), F.try_element_at(fields, F.lit("answer")).alias("answer"))
+
+    return X.let(F.try_variant_get(data, "$", "map<string,variant>"), parts)
+
+
+def _get(name: str) -> Column:
+    return F.col(f"__said.texts.{name}")
 
 
 def items_from_replies(replies: DataFrame, corpus: DataFrame, model: str, difficulty: str = "Hard", carry: tuple[str, ...] = ()) -> DataFrame:
     """Replies (passage_id, task_code, reply) that hold JSON, as items on their passages."""
     data = replies.select("passage_id", "task_code", X.json_object(F.col("reply")).alias("__data")).where("__data is not null")
-    rows = corpus.join(data, "passage_id")
-    filled = lambda c: F.nullif(c, F.lit(""))
-    listed = lambda n: F.coalesce(_get(n, "array<string>"), F.when(filled(_get(n)).isNotNull(), F.array(_get(n))))
+    rows = corpus.join(data, "passage_id").withColumn("__said", _taken_apart(F.col("__data")))
+    filled = lambda c: F.when(c != "", c)
+    listed = lambda n: F.coalesce(F.col(f"__said.lists.{n}"), F.when(filled(_get(n)).isNotNull(), F.array(_get(n))))
     some = lambda c: F.when(F.size(c) > 0, c)
     spans = F.coalesce(some(listed("evidence")), some(listed("evidence_spans")), F.array().cast("array<string>"))
-    options = F.coalesce(_get("options", "array<string>"), F.array().cast("array<string>"))
-    answer = F.try_variant_get(F.col("__data"), "$.answer", "variant")
+    options = F.coalesce("__said.lists.options", F.array().cast("array<string>"))
+    answer = F.col("__said.answer")
     is_text = F.coalesce(F.schema_of_variant(answer) == "STRING", F.lit(False))
     # A text stands in answer_text alone; an answer that is there and null stands nowhere; without any, the whole reply is the answer.
     answer_json = F.when(answer.isNull(), F.to_json("__data")).when(~is_text & ~F.is_variant_null(answer), F.to_json(answer))
@@ -93,7 +113,7 @@ def items_from_replies(replies: DataFrame, corpus: DataFrame, model: str, diffic
         question=F.coalesce(_get("question"), F.lit("")), context=F.coalesce(filled(_get("context")), F.col("raw_text_trad")),
         answer_text=F.when(is_text, _get("answer")), answer_json=answer_json, evidence=evidence(spans),
         inference_level=F.coalesce(_get("inference_level"), F.lit("direct")), difficulty=F.coalesce(filled(_get("difficulty")), F.lit(difficulty)),
-        options=options, distractors=F.coalesce(_get("distractors", DISTRACTORS), F.array().cast(DISTRACTORS)),
+        options=options, distractors=F.coalesce("__said.distractors", F.array().cast(DISTRACTORS)),
         safety_note=F.when((note == "") & X.mentions_restricted_herb(said), SAFETY_NOTE).otherwise(note),
         quality_warning=F.coalesce(_get("quality_warning"), F.lit("")), generator=F.lit(model),
     )
