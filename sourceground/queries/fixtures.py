@@ -53,16 +53,21 @@ def files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.sql(FILES.replace("FROM documents", "FROM {documents}"), documents=table(spark, sf_dir, "documents"))
 
 
+def source_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The files that a reader would find, dealt to all tasks: a table in one file would be one task in each step that follows."""
+    return stored(files(spark, sf_dir).repartition("book_id", "file_name"), "files")
+
+
 def lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return books.book_lines(files(spark, sf_dir))
 
 
 def passages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return passages_of(books.book_pieces(stored(files(spark, sf_dir), "files")))
+    return passages_of(books.book_pieces(source_files(spark, sf_dir)))
 
 
 def corpus(spark: SparkSession, sf_dir: str, min_chars: int = 12) -> DataFrame:
-    source = stored(files(spark, sf_dir), "files")  # the files that a reader would find
+    source = source_files(spark, sf_dir)
     return C.min_length(C.corpus_records(passages_of(books.book_pieces(source)), books.catalog(source), DATE), min_chars)
 
 
