@@ -23,11 +23,11 @@ from ..sources.scratch import sent_if_small, stored
 from .passages import passages_of
 
 
-def corpus_records(found: DataFrame, books: DataFrame, ingestion_date: str, version: str = CORPUS_VERSION, simplified: dict[str, str] | None = None) -> DataFrame:
-    """Passages joined with the catalog (one small row per book, stored and sent to them) and enriched."""
+def corpus_records(found: DataFrame, books: DataFrame, ingestion_date: str, version: str = CORPUS_VERSION, simplified: dict[str, str] | None = None, carry: tuple[str, ...] = ()) -> DataFrame:
+    """Passages joined with the catalog (one small row per book, stored and sent to them) and enriched. ``carry`` keeps further columns of the catalog."""
     path, text = F.col("heading_path"), F.col("text")
     columns = ["book_title_trad", "book_title_simp", "author", "dynasty", "year", "category_level_1", "category_level_2", "base_text", "quality_score_source", "quality_tier", "source_url"]
-    books = stored(books.select("book_id", *columns), "catalog")
+    books = stored(books.select("book_id", *columns, *carry), "catalog")
     joined = found.join(sent_if_small(books, 1000), "book_id")
     return joined.select(
         X.passage_id(F.col("book_id"), path, text, F.col("passage_idx")).alias("passage_id"),
@@ -45,7 +45,7 @@ def corpus_records(found: DataFrame, books: DataFrame, ingestion_date: str, vers
         F.lit(SOURCE_LICENSE).alias("source_license"),
         F.lit(version).alias("version_commit"),
         F.lit(ingestion_date).alias("ingestion_date"),
-        "passage_idx",
+        "passage_idx", *carry,
     )
 
 
@@ -54,10 +54,12 @@ def min_length(corpus: DataFrame, min_chars: int = 12, column: str = "raw_text_t
     return corpus.where(F.length(column) >= min_chars)
 
 
-def ingest(files: DataFrame, ingestion_date: str, min_chars: int = 12, homepage: str = SOURCE_HOMEPAGE, simplified: dict[str, str] | None = None) -> DataFrame:
-    """Book files to corpus records."""
+def ingest(files: DataFrame, ingestion_date: str, min_chars: int = 12, homepage: str = SOURCE_HOMEPAGE, simplified: dict[str, str] | None = None, pilots: DataFrame | None = None) -> DataFrame:
+    """Book files to corpus records; with ``pilots``, as ``select_pilots`` of them. The lists meet the catalog, not the passages."""
     books = catalog(files, homepage, simplified)
-    return min_length(corpus_records(passages_of(book_pieces(files)), books, ingestion_date, simplified=simplified), min_chars)
+    carry = () if pilots is None else ("pilot", "pilot_ord", "book_ord")
+    books = books if pilots is None else select_pilots(books, pilots)
+    return min_length(corpus_records(passages_of(book_pieces(files)), books, ingestion_date, simplified=simplified, carry=carry), min_chars)
 
 
 def pilot_table(spark, pilots: dict[str, list[str]] | None = None) -> DataFrame:
@@ -68,6 +70,11 @@ def pilot_table(spark, pilots: dict[str, list[str]] | None = None) -> DataFrame:
     return spark.range(1).select(F.inline(listed))  # of constants: no Python worker starts for it
 
 
+def listed(files: DataFrame, pilots: DataFrame) -> DataFrame:
+    """The files of listed books."""
+    return files.join(F.broadcast(pilots.select("book_id")), "book_id", "left_semi")
+
+
 def select_pilots(df: DataFrame, pilots: DataFrame) -> DataFrame:
     """Rows of the listed books, once for each list that names them, with the lists' order columns."""
     return df.join(F.broadcast(pilots), "book_id")

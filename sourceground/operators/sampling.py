@@ -95,10 +95,15 @@ def balanced_sample(corpus: DataFrame, per_book: int = 30) -> DataFrame:
     return corpus.withColumn("__rn", F.row_number().over(order)).where(F.col("__rn") <= per_book).drop("__rn")
 
 
-def cap_items(items: DataFrame, cap: int, order: list[str]) -> DataFrame:
-    """The first ``cap`` items of each task and book; the result is sorted by task, book and id."""
+def first_of_each(items: DataFrame, cap: int, order: list[str]) -> DataFrame:
+    """The first ``cap`` items of each task and book."""
     w = Window.partitionBy("task_code", "book_id").orderBy(*order)
-    return items.withColumn("__rn", F.row_number().over(w)).where(F.col("__rn") <= cap).drop("__rn").orderBy("task_code", "book_id", "item_id")
+    return items.withColumn("__rn", F.row_number().over(w)).where(F.col("__rn") <= cap).drop("__rn")
+
+
+def cap_items(items: DataFrame, cap: int, order: list[str]) -> DataFrame:
+    """``first_of_each``, sorted by task, book and id."""
+    return first_of_each(items, cap, order).orderBy("task_code", "book_id", "item_id")
 
 
 def stratified_sample(corpus: DataFrame, stratum: str, k: int, seed: int) -> DataFrame:
@@ -112,8 +117,8 @@ def top_reasons(checked: DataFrame, k: int = 5) -> DataFrame:
     return reasons.groupBy("reason").agg(F.count(F.lit(1)).alias("n")).orderBy(F.col("n").desc(), "reason").limit(k)
 
 
-def release_corpus(corpus: DataFrame, sample: DataFrame, released: DataFrame) -> DataFrame:
-    """The sample and every further passage that a released item cites."""
-    ids = sample.select("passage_id")
-    cited = corpus.join(released.select("passage_id").distinct(), "passage_id", "left_semi").join(ids, "passage_id", "left_anti")
+def release_corpus(corpus: DataFrame, sample: DataFrame, released: DataFrame, key: tuple[str, ...] = ("passage_id",)) -> DataFrame:
+    """The sample and every further passage that a released item cites; ``key`` tells passages apart."""
+    ids = sample.select(*key)
+    cited = corpus.join(released.select(*key).distinct(), [*key], "left_semi").join(ids, [*key], "left_anti")
     return sample.unionByName(cited)

@@ -64,7 +64,8 @@ def _formula_errors(f: Column) -> Column:
 
 def punctuation_errors() -> Column:
     answer = F.col("answer_text")
-    changed = X.remove_punctuation(answer) != X.remove_punctuation(F.coalesce("context", F.lit("")))
+    # Removing marks twice is removing them once, so a context that is the bare answer needs no second pass.
+    changed = X.let(F.coalesce("context", F.lit("")), lambda c: (X.remove_punctuation(answer) != c) & (X.remove_punctuation(answer) != X.remove_punctuation(c)))
     errors = F.when(answer.isNull(), F.array(F.lit("answer_not_text"))).otherwise(_if(changed, "punctuation_changes_text"))
     return F.when(F.col("task") == "punctuation_restoration", errors).otherwise(F.array().cast(NONE))
 

@@ -19,27 +19,44 @@ ORDER = ["pilot_ord", "book_ord", "passage_idx", "task_rank", "formula_no"]
 #: Bytes up to which a table of known size is sent to all executors.
 SENT = 64 << 20
 CARRY = ("pilot", "pilot_ord", "book_ord", "passage_idx")
+#: What tells a passage of the lists apart.
+PLACE = ["book_id", "pilot_ord", "book_ord", "passage_idx"]
+#: Tasks of a release: those whose items need no model.
+TASKS = ["T1", "T6"]
 
 
 def pilot_corpus(files: DataFrame, pilots: DataFrame, date: str, min_chars: int = 12) -> DataFrame:
     """Corpus records of the listed books. Files are pruned before anything is exploded; one scan serves all lists."""
-    wanted = files.join(F.broadcast(pilots.select("book_id").distinct()), "book_id", "left_semi")
-    return C.select_pilots(C.ingest(wanted, date, min_chars), pilots)
+    return C.ingest(C.listed(files, pilots), date, min_chars, pilots=pilots)
 
 
 def release(files: DataFrame, pilots: DataFrame, date: str, per_book: int = 30, cap: int = 25, full: DataFrame | None = None) -> dict[str, DataFrame]:
-    """All tables of a release. The corpus, the checked items and the released ones feed several tables, so they are stored once."""
-    full = full if full is not None else stored(pilot_corpus(files, pilots, date), "corpus")
-    checked = stored(validate.generate_and_validate(full, ["T1", "T6"], carry=CARRY), "checked")
-    released = stored(sampling.cap_items(checked.where("ok"), cap, ORDER), "released")
-    sample = sampling.release_corpus(full, sampling.balanced_sample(full, per_book), released)
-    stats = report.pilot_stats(full, sample, checked, released)
+    """All tables of a release.
+
+    Every passage is counted and every item checked, but only thin rows of them are stored: they decide what is
+    released. ``corpus`` and ``items`` are plans that make whole rows of the released passages alone, so
+    ``full`` need not be stored.
+    """
+    full = full if full is not None else pilot_corpus(files, pilots, date)
+    passages = stored(full.select("book_id", *CARRY, F.col("formulas.formula_name").alias("formulas")), "counted")
+    checked = stored(validate.generate_and_validate(full, TASKS, carry=CARRY).select("book_id", *CARRY, "task_code", "task_rank", "formula_no", "ok"), "checked")
+    released = stored(sampling.first_of_each(checked.where("ok"), cap, ORDER), "released")
+    first = stored(sampling.balanced_sample(passages, per_book), "first")
+    sample = stored(sampling.release_corpus(passages, first, released, ("book_id", "passage_idx")), "sample")
+    stats = report.pilot_stats(passages, sample, checked, released)
     return {
-        "catalog": catalog(files), "corpus": sample, "items": released, "stats": stats,
+        "catalog": catalog(files), "corpus": full.join(sample.select(*PLACE), PLACE, "left_semi").select(*full.columns), "items": whole_items(full, released), "stats": stats,
         "document": report.stats_document(stats, report.task_map(checked, "pilot")), "totals": report.totals(stats),
     }
 
 
+def whole_items(full: DataFrame, thin: DataFrame) -> DataFrame:
+    """The checked items that ``thin`` names, sorted by task, book and id; only their passages are made into items."""
+    some = full.join(thin.select(*PLACE), PLACE, "left_semi").select(*full.columns)
+    checked, key = validate.generate_and_validate(some, TASKS, carry=CARRY), ["book_id", *ORDER]
+    return checked.join(thin.select(*key), key, "left_semi").select(*checked.columns).orderBy("task_code", "book_id", "item_id")
+
+
 def simple(full: DataFrame, n: int, seed: int = 0, tasks: tuple[str, ...] = ("T1", "T6")) -> DataFrame:
     """A balanced, validated set of ``n`` items in a seeded order. ``full`` has min_chars 20.
 

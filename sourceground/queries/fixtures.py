@@ -8,6 +8,7 @@ have a menu, one is only an index.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ..operators import corpus as C
 from ..operators.passages import passages_of
@@ -49,13 +50,18 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def files(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spark.sql(FILES.replace("FROM documents", "FROM {documents}"), documents=table(spark, sf_dir, "documents"))
+def files(spark: SparkSession, sf_dir: str, pilots: DataFrame | None = None) -> DataFrame:
+    """With ``pilots`` the files of listed books: documents of other books are dropped before their text is rewritten."""
+    documents = table(spark, sf_dir, "documents")
+    if pilots is not None:
+        documents = C.listed(documents.withColumn("book_id", F.col("source")), pilots).drop("book_id")
+    found = spark.sql(FILES.replace("FROM documents", "FROM {documents}"), documents=documents)
+    return found if pilots is None else C.listed(found, pilots)  # one book is made of all documents
 
 
-def source_files(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The files that a reader would find, dealt to all tasks: a table in one file would be one task in each step that follows."""
-    return stored(files(spark, sf_dir).repartition("book_id", "file_name"), "files")
+def source_files(spark: SparkSession, sf_dir: str, pilots: DataFrame | None = None) -> DataFrame:
+    """The files that a reader would find (with ``pilots`` in the listed books), dealt to all tasks: a table in one file would be one task in each step that follows."""
+    return stored(files(spark, sf_dir, pilots).repartition("book_id", "file_name"), "files")
 
 
 def lines(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -67,9 +73,9 @@ def passages(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def corpus(spark: SparkSession, sf_dir: str, min_chars: int = 12) -> DataFrame:
-    source = source_files(spark, sf_dir)
-    return C.min_length(C.corpus_records(passages_of(books.book_pieces(source)), books.catalog(source), DATE), min_chars)
+    return C.ingest(source_files(spark, sf_dir), DATE, min_chars)
 
 
 def pilot_corpus(spark: SparkSession, sf_dir: str, min_chars: int = 12) -> DataFrame:
-    return C.select_pilots(corpus(spark, sf_dir, min_chars), C.pilot_table(spark, PILOTS))
+    pilots = C.pilot_table(spark, PILOTS)
+    return C.ingest(source_files(spark, sf_dir, pilots), DATE, min_chars, pilots=pilots)

@@ -635,7 +635,7 @@ def r07(spark, sf):
 
 # ---------------------------------------------------------------- reports
 def _release(spark: SparkSession, sf: str) -> dict[str, DataFrame]:
-    return J.release(D.files(spark, sf), C.pilot_table(spark, D.PILOTS), D.DATE, full=stored(D.pilot_corpus(spark, sf), "corpus"))
+    return J.release(D.files(spark, sf), C.pilot_table(spark, D.PILOTS), D.DATE, full=D.pilot_corpus(spark, sf))
 
 
 PSTATS = SAMPLE.replace("FROM corpus", "FROM pcorpus") + CAPPED.replace("FROM items", "FROM pitems") + """, st AS (SELECT pilot, count(*) AS passages_full, count(*) FILTER (n_formulas > 0) AS formula_passages,
