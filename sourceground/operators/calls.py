@@ -1,13 +1,14 @@
 """Calls of a model client from inside tasks: a sliding window of calls, and a ledger of paid replies.
 
-A task keeps at most ``2 * window`` jobs in hand, of which ``window`` are being called; it
-takes the next job when one is done and hands results on as they finish. Calls in flight
-are therefore ``tasks * window``, however many cores the executors have.
-
-The ledger is a shared folder. A task writes the replies that it has paid for as chunk
-files, each named in a manifest entry that is written after it, so a chunk counts only
-when it is whole. ``MERGED`` chunks of a level become one of the next, so files grow with the
-logarithm of the replies. A task that is run again reads its own chunks and calls what is missing.
+Calls in flight are ``tasks * window`` at most, however many cores the executors have. They
+are dealt to as many tasks as there are cores, so a task has a share of them (its window) and the
+same share of the jobs. It keeps at most twice its window in hand, takes the next job when one is
+done and hands results on as they finish.
+
+The ledger is a shared folder. A task appends the replies that it has paid for to chunk
+files, a line each; a line counts when it is whole. Where a file cannot be appended to, each
+flush is a chunk, and ``MERGED`` chunks of a level become one of the next, so files stay few.
+A task that is run again reads its own chunks and calls what is missing.
 """
 
 from __future__ import annotations
@@ -15,7 +16,6 @@ from __future__ import annotations
 import json
 import time
 import uuid
-import zlib
 from collections.abc import Callable, Iterator
 from queue import Empty, SimpleQueue
 from threading import Thread
@@ -34,8 +34,9 @@ HANDED = 64
 RESULTS = pa.schema([("passage_id", pa.string()), ("task_code", pa.string()), ("reply", pa.string()), ("error", pa.string()), ("attempts", pa.int32())])
 #: After so many calls in a row that took under so many seconds, a task makes them one at a time and without its threads.
 QUICK, QUICK_S = 32, 0.002
-#: Chunks of one level of a ledger that become one of the next, and the highest level.
+#: Chunks of one level of a ledger that become one of the next, and the highest level. A chunk that is appended to holds as many flushes as one of that level.
 MERGED, LEVELS = 64, 2
+_line = json.JSONEncoder(ensure_ascii=False).encode
 
 
 def call(client: Callable[..., str], system: str, prompt: str, max_retries: int, pause: float, **options) -> tuple[str | None, str | None, int]:
@@ -124,13 +125,10 @@ class Ledger:
 
         self.fs, base = pafs.FileSystem.from_uri(root)
         self.folder, self.attempt, self.flush, self.held, self.chunks = f"{base}/part={part:05d}", attempt, flush, [], 0
-        self.whole: list[list[str]] = [[] for _ in range(LEVELS + 1)]  # this attempt's chunks, by level
+        self.appends, self.open, self.appended = True, None, 0  # can files be appended to, the chunk that is, its flushes
+        self.whole: list[list[str]] = [[] for _ in range(LEVELS + 1)]  # this attempt's chunks that were not appended to, by level
         self.fs.create_dir(self.folder, recursive=True)
 
-    def _write(self, name: str, data: bytes) -> None:
-        with self.fs.open_output_stream(f"{self.folder}/{name}") as out:
-            out.write(data)
-
     def _read(self, name: str) -> bytes:
         with self.fs.open_input_stream(f"{self.folder}/{name}") as file:
             return file.read()
@@ -138,16 +136,11 @@ class Ledger:
     def chunk_names(self) -> list[str]:
         import pyarrow.fs as pafs
 
-        return sorted(f.base_name for f in self.fs.get_file_info(pafs.FileSelector(self.folder)) if f.base_name.endswith(".manifest"))
+        return sorted(f.base_name for f in self.fs.get_file_info(pafs.FileSelector(self.folder)) if f.base_name.endswith(".jsonl"))
 
-    def chunk(self, manifest: str) -> list[dict]:
-        """The replies of a chunk that is whole, else none."""
-        try:
-            entry = json.loads(self._read(manifest))
-            data = self._read(entry["file"])
-        except (OSError, ValueError):
-            return []
-        return [json.loads(line) for line in data.splitlines()] if zlib.crc32(data) == entry["crc32"] else []
+    def chunk(self, name: str) -> list[dict]:
+        """The replies in the whole lines of a chunk; a lost task may have left half a line at its end."""
+        return [json.loads(line) for line in self._read(name).split(b"\n")[:-1]]
 
     def paid(self) -> set[tuple[str, str]]:
         """Keys of all replies in this task's chunks; the replies themselves stay on disk."""
@@ -160,27 +153,40 @@ class Ledger:
 
     def close(self) -> None:
         if self.held:
-            data = "\n".join(json.dumps(r, ensure_ascii=False) for r in self.held).encode()
-            self._keep(0, [data])
+            data = "".join([_line(r) + "\n" for r in self.held]).encode()
+            if not (self.appends and self._append(data)):
+                self._keep(0, [data])
             self.held = []
 
-    def _keep(self, level: int, parts: list[bytes] | Iterator[bytes]) -> None:
-        """Writes a chunk and its manifest; chunks that are enough for one of the next level become it and are deleted after it counts."""
-        name = f"chunk-{self.attempt:03d}-{self.chunks:07d}-{uuid.uuid4().hex[:8]}.jsonl"
+    def _name(self) -> str:
         self.chunks += 1
-        crc = 0
+        return f"chunk-{self.attempt:03d}-{self.chunks:07d}-{uuid.uuid4().hex[:8]}.jsonl"
+
+    def _append(self, data: bytes) -> bool:
+        """Is ``data`` now at the end of this attempt's chunk, in a file that is closed?"""
+        if self.open is None or self.appended >= MERGED**LEVELS:
+            self.open, self.appended = self._name(), 0
+        try:
+            out = self.fs.open_append_stream(f"{self.folder}/{self.open}")
+        except NotImplementedError:  # an object store
+            self.appends = False
+            return False
+        with out:
+            out.write(data)
+        self.appended += 1
+        return True
+
+    def _keep(self, level: int, parts: list[bytes] | Iterator[bytes]) -> None:
+        """Writes a chunk; chunks that are enough for one of the next level become it and are deleted after it is whole."""
+        name = self._name()
         with self.fs.open_output_stream(f"{self.folder}/{name}") as out:
-            for n, data in enumerate(parts):
-                data = b"\n" + data if n else data
-                crc = zlib.crc32(data, crc)
+            for data in parts:
                 out.write(data)
-        self._write(f"{name}.manifest", json.dumps({"file": name, "crc32": crc}).encode())
         self.whole[level].append(name)
         if level < LEVELS and len(self.whole[level]) >= MERGED:
             merged, self.whole[level] = self.whole[level], []
             self._keep(level + 1, (self._read(m) for m in merged))
             for m in merged:
-                self.fs.delete_file(f"{self.folder}/{m}.manifest")
                 self.fs.delete_file(f"{self.folder}/{m}")
 
 
@@ -189,7 +195,7 @@ def read_ledger(spark: SparkSession, root: str) -> DataFrame:
     if not exists(spark, root):
         return spark.createDataFrame([], REPLIES)
     rows = spark.read.schema("passage_id string, task_code string, reply string, attempts int").option("mode", "DROPMALFORMED").option("recursiveFileLookup", "true").option("pathGlobFilter", "*.jsonl").option("ignoreMissingFiles", "true").json(root)  # a chunk that has just been merged is asked for again
-    whole = rows.where("reply is not null").groupBy(*KEYS).agg(F.min(F.struct("attempts", "reply")).alias("r"))
+    whole = rows.where("reply is not null").repartition(*KEYS).groupBy(*KEYS).agg(F.min(F.struct("attempts", "reply")).alias("r"))
     return whole.select(*KEYS, "r.reply", F.lit(None).cast("string").alias("error"), "r.attempts")
 
 
@@ -205,9 +211,12 @@ def complete(
 
     With ``ledger``, a folder that all executors reach, jobs whose replies it holds are not
     called; a task that is lost calls only what its chunks lack, and so does a result that is
-    computed twice. At most ``flush`` replies of each lost task are paid twice, and those in
+    computed twice. At most ``tasks * flush`` replies of lost tasks are paid twice, and those in
     flight. Errors are not paid and not kept. Without a ledger, store the result before using it.
     """
+    slots = tasks * window
+    parts = min(slots, max(tasks, jobs.sparkSession.sparkContext.defaultParallelism))
+    part_flush = max(1, flush * tasks // parts)
     wanted = jobs.select(*KEYS, "prompt")
     before = None
     run_folder = None
@@ -218,9 +227,10 @@ def complete(
 
     def run(batches):
         book, paid, again = None, set(), set()
+        context = TaskContext.get()
+        own = sum(slot * parts // slots == context.partitionId() for slot in range(slots))
         if run_folder:
-            context = TaskContext.get()
-            book = Ledger(run_folder, context.partitionId(), context.attemptNumber(), flush)
+            book = Ledger(run_folder, context.partitionId(), context.attemptNumber(), part_flush)
             paid = book.paid()
 
         def asked() -> Iterator[tuple]:
@@ -237,7 +247,7 @@ def complete(
         rows: list[tuple] = []
         work = lambda job: call(client, system, job[2], max_retries, pause, max_tokens=max_tokens, temperature=temperature)
         try:
-            for job, (reply, error, attempts) in sliding(asked(), work, window):
+            for job, (reply, error, attempts) in sliding(asked(), work, own):
                 if book and error is None:
                     book.add({"passage_id": job[0], "task_code": job[1], "reply": reply, "attempts": attempts})
                 rows.append((*job[:2], reply, error, attempts))
@@ -256,5 +266,6 @@ def complete(
             if found:
                 yield table(found)
 
-    called = wanted.repartition(tasks, *KEYS).mapInArrow(run, REPLIES)
+    part = F.floor(F.pmod(F.xxhash64(*KEYS), F.lit(slots)) * parts / slots).cast("int")
+    called = wanted.repartitionById(parts, part).mapInArrow(run, REPLIES)
     return called if before is None else called.unionByName(before.join(jobs.select(*KEYS), KEYS, "left_semi"))

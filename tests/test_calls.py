@@ -229,3 +229,28 @@ def test_a_ledger_has_few_files(tmp_path, monkeypatch):
     assert len(names) < 16  # of 100 chunks
     rows = [r for n in names for r in book.chunk(n)]
     assert sorted(r["passage_id"] for r in rows) == sorted(f"p{i}" for i in range(200)) and {r["reply"] for r in rows} == {"甲\n"}
+
+
+def test_a_ledger_appends_to_one_file_and_counts_whole_lines(tmp_path):
+    book = calls.Ledger(f"file://{tmp_path}", 0, 0, 2)
+    made = lambda i: {"passage_id": f"p{i}", "task_code": "T2", "reply": "甲\n", "attempts": 1}
+    for i in range(300):
+        book.add(made(i))
+    book.close()
+    assert len(book.chunk_names()) == 1 and len(list(Path(book.folder).iterdir())) == 1  # of 150 flushes
+    with open(f"{book.folder}/{book.chunk_names()[0]}", "a") as file:
+        file.write('{"passage_id": "p300", "task_c')  # the task is lost
+    again = calls.Ledger(f"file://{tmp_path}", 0, 1, 2)
+    assert again.paid() == {(f"p{i}", "T2") for i in range(300)}
+    again.appends = False  # an object store
+    for i in range(300, 400):
+        again.add(made(i))
+    again.close()
+    assert len(again.chunk_names()) < 60 and len(again.paid()) == 400
+
+
+def test_calls_in_flight_are_dealt_to_the_cores(spark):
+    rows = stored(jobs(spark, 60), "jobs")
+    for tasks, window, parts in ((1, 8, 4), (1, 3, 3), (2, 3, 4), (6, 2, 6)):
+        called = calls.complete(rows, lambda system, prompt, **_: prompt, tasks, window)
+        assert called.rdd.getNumPartitions() == parts and called.count() == 60
