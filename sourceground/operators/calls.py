@@ -193,7 +193,7 @@ class Ledger:
 def read_ledger(spark: SparkSession, root: str) -> DataFrame:
     """(passage_id, task_code, reply, error, attempts) of every reply below ``root``, once for each key; none if there is no ledger."""
     if not exists(spark, root):
-        return spark.createDataFrame([], REPLIES)
+        return spark.range(0).select(*[F.lit(None).cast(kind).alias(name) for name, kind in (c.split() for c in REPLIES.split(", "))])
     rows = spark.read.schema("passage_id string, task_code string, reply string, attempts int").option("mode", "DROPMALFORMED").option("recursiveFileLookup", "true").option("pathGlobFilter", "*.jsonl").option("ignoreMissingFiles", "true").json(root)  # a chunk that has just been merged is asked for again
     whole = rows.where("reply is not null").repartition(*KEYS).groupBy(*KEYS).agg(F.min(F.struct("attempts", "reply")).alias("r"))
     return whole.select(*KEYS, "r.reply", F.lit(None).cast("string").alias("error"), "r.attempts")
@@ -202,6 +202,7 @@ def read_ledger(spark: SparkSession, root: str) -> DataFrame:
 def complete(
     jobs: DataFrame, client: Callable[..., str], tasks: int, window: int = 8, ledger: str | None = None, flush: int = 16,
     max_retries: int = 4, max_tokens: int = 2048, temperature: float = 0.0, pause: float = 1.0, system: str = "",
+    later: Callable[[DataFrame], DataFrame] | None = None,
 ) -> DataFrame:
     """Calls ``client(system, prompt, max_tokens=, temperature=)`` once for each job (passage_id, task_code, prompt).
 
@@ -213,16 +214,23 @@ def complete(
     called; a task that is lost calls only what its chunks lack, and so does a result that is
     computed twice. At most ``tasks * flush`` replies of lost tasks are paid twice, and those in
     flight. Errors are not paid and not kept. Without a ledger, store the result before using it.
+
+    With ``later``, ``jobs`` are rows of any columns beside their keys, and it makes the prompt
+    of them once they are with the tasks that call: prompts are not moved. They may also be
+    rows of a passage (passage_id), which it makes into jobs, with a ledger before they are dealt.
     """
     slots = tasks * window
     parts = min(slots, max(tasks, jobs.sparkSession.sparkContext.defaultParallelism))
     part_flush = max(1, flush * tasks // parts)
-    wanted = jobs.select(*KEYS, "prompt")
+    if later and ledger and "task_code" not in jobs.columns:
+        jobs, later = later(jobs), None
+    wanted = jobs if later else jobs.select(*KEYS, "prompt")
     before = None
     run_folder = None
     if ledger:
-        before = read_ledger(jobs.sparkSession, ledger)
-        wanted = wanted.join(before.select(*KEYS), KEYS, "left_anti")
+        if exists(jobs.sparkSession, ledger):
+            before = read_ledger(jobs.sparkSession, ledger)
+            wanted = wanted.join(before.select(*KEYS), KEYS, "left_anti")
         run_folder = f"{ledger.rstrip('/')}/run-{uuid.uuid4().hex}"
 
     def run(batches):
@@ -266,6 +274,7 @@ def complete(
             if found:
                 yield table(found)
 
-    part = F.floor(F.pmod(F.xxhash64(*KEYS), F.lit(slots)) * parts / slots).cast("int")
-    called = wanted.repartitionById(parts, part).mapInArrow(run, REPLIES)
+    part = F.floor(F.pmod(F.xxhash64(*[k for k in KEYS if k in wanted.columns]), F.lit(slots)) * parts / slots).cast("int")
+    dealt = wanted.repartitionById(parts, part)
+    called = (later(dealt).select(*KEYS, "prompt") if later else dealt).mapInArrow(run, REPLIES)
     return called if before is None else called.unionByName(before.join(jobs.select(*KEYS), KEYS, "left_semi"))

@@ -22,7 +22,11 @@ FORM_OPEN = 'Give {"question","answer","evidence_spans","inference_level","diffi
 FORM_CHOICE = 'Give four options: {"question","options","answer","distractors":[{"option","exclusion_reason","requires_external"}],"evidence_spans","inference_level","difficulty","safety_note"}.'
 
 
-def meta_block(columns: tuple[str, ...] = ("book_title_trad", "author", "dynasty", "year", "base_text", "quality_score_source", "chapter", "section_title", "raw_text_trad")) -> Column:
+#: What a model may see of a passage.
+SEEN = ("book_title_trad", "author", "dynasty", "year", "base_text", "quality_score_source", "chapter", "section_title", "raw_text_trad")
+
+
+def meta_block(columns: tuple[str, ...] = SEEN) -> Column:
     """The fields a model may see, as JSON with nulls."""
     return F.to_json(F.struct(F.lit(SOURCE_NAME).alias("source"), *columns), {"ignoreNullFields": "false"})
 
@@ -89,9 +93,9 @@ def _get(name: str) -> Column:
 
 
 def items_from_replies(replies: DataFrame, corpus: DataFrame, model: str, difficulty: str = "Hard", carry: tuple[str, ...] = ()) -> DataFrame:
-    """Replies (passage_id, task_code, reply) that hold JSON, as items on their passages."""
+    """Replies (passage_id, task_code, reply) that hold JSON, as items on their passages, or on rows of ``corpus`` that are their jobs (with ``task_code``)."""
     data = replies.select("passage_id", "task_code", X.json_object(F.col("reply")).alias("__data")).where("__data is not null")
-    rows = corpus.join(data, "passage_id").withColumn("__said", _taken_apart(F.col("__data")))
+    rows = corpus.join(data, [c for c in calls.KEYS if c in corpus.columns]).withColumn("__said", _taken_apart(F.col("__data")))
     filled = lambda c: F.when(c != "", c)
     listed = lambda n: F.coalesce(F.col(f"__said.lists.{n}"), F.when(filled(_get(n)).isNotNull(), F.array(_get(n))))
     some = lambda c: F.when(F.size(c) > 0, c)

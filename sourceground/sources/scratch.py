@@ -33,9 +33,15 @@ def exists(spark: SparkSession, path: str) -> bool:
     return where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(where)
 
 
-def stored(df: DataFrame, name: str) -> DataFrame:
+def delete(spark: SparkSession, path: str) -> None:
+    """Deletes a scratch table that nothing reads any more."""
+    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)
+
+
+def stored(df: DataFrame, name: str, path: str | None = None) -> DataFrame:
     """Write once as Parquet and read back: later steps reuse it, and a lost executor costs a reread."""
-    path = scratch_path(df.sparkSession, name)
+    path = path or scratch_path(df.sparkSession, name)
     df.write.mode("overwrite").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 

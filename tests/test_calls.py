@@ -254,3 +254,25 @@ def test_calls_in_flight_are_dealt_to_the_cores(spark):
     for tasks, window, parts in ((1, 8, 4), (1, 3, 3), (2, 3, 4), (6, 2, 6)):
         called = calls.complete(rows, lambda system, prompt, **_: prompt, tasks, window)
         assert called.rdd.getNumPartitions() == parts and called.count() == 60
+
+
+def test_many_waves_read_the_corpus_a_few_times(spark, corpus, monkeypatch):
+    from sourceground.queries.registry import _moody
+
+    tasks, names = list(TASKS), []
+    monkeypatch.setattr(J, "stored", lambda df, name, path=None: names.append(name) or stored(df, name, path))
+    monkeypatch.setattr(J, "WAVES", 1)
+    monkeypatch.setattr(J, "BLOCKS", 2)
+    monkeypatch.setattr(J, "SLICE", 100)
+    keyed = stored(J.keyed_jobs(corpus, tasks, None, 0).select(*J.JOB_ORDER, F.length("raw_text_trad").alias("n")), "keyed")
+    done = keyed.where("n % 7 = 0")
+    want = [tuple(r) for r in keyed.where("n % 5 > 2 and n % 7 <> 0").orderBy(*J.JOB_ORDER).select(*calls.KEYS).limit(150).collect()]
+    folder, given = scratch_path(spark, "run"), done.count()
+    start = lambda: J.ModelRun(corpus, tasks, _moody, "m", folder, 2, 2, done=done, max_retries=0, pause=0.0)
+    start().run(given + 40, floor=70, ceiling=70)
+    run = start()  # goes on in the same folder
+    got = run.run(given + 150, floor=70, ceiling=70)
+    assert len(want) == 150 and sorted(tuple(r) for r in got.select(*calls.KEYS).collect()) == sorted(want)
+    waves = run.waves()
+    assert waves >= 7 and names.count("wave") == waves and 2 <= names.count("block") <= 2 * 3  # two runs
+    assert run.replies().groupBy(*calls.KEYS).count().agg(F.max("count")).first()[0] <= 3
