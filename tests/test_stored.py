@@ -167,3 +167,29 @@ def test_many_small_files_are_few_tasks(spark, tmp_path):
     assert raw.count() == 2 * (2 * 400 + 2) and raw.rdd.getNumPartitions() > most >= S.packed(raw).rdd.getNumPartitions()
     want = {(b, 2 * i + k + 1, line) for b in ("a", "b") for i in range(400) for k, line in enumerate((str(i), b))}
     assert {tuple(r) for r in splits.read_books(spark, str(tmp_path))[1].collect()} == want
+
+
+def test_small_ranges_and_chunks_give_the_same_lines(spark, tmp_path, monkeypatch):
+    """Files are listed and read by tasks, in ranges and chunks of any size; the driver's readers are not asked for a file."""
+    rng = random.Random(5)
+    for n in range(3):
+        book = tmp_path / f"b{n}"
+        book.mkdir()
+        (book / "index.txt").write_bytes("".join(rng.choices(PIECES, k=rng.randint(1, 30))).encode())
+        for k in range(3):
+            (book / f"{k + 1}.txt").write_bytes("".join(rng.choices(PIECES[:10], k=rng.choice([1, 9, 90]))).encode() + (b"\xff\r\r" if k == 2 else b""))
+    for path in tmp_path.glob("*/*.txt"):
+        data = path.read_bytes()
+        for length, most in ((1, 3), (5, 2), (64, 7), (999, 1000)):
+            got = []
+            for block in range(0, len(data), length):
+                with open(path, "rb") as file:
+                    got += list(splits._chunks(file, block, len(data), length, most))
+            assert b"".join(d for d, _ in got) == data and [e for _, e in got] == [False] * (len(got) - 1) + [True]
+            assert all(d.endswith(b"\n") for d, _ in got[:-1])
+    monkeypatch.setattr(splits, "RANGE", 40)
+    monkeypatch.setattr(splits, "READ", 16)
+    want = sorted(tuple(r) for r in S.book_lines(S.read_book_files(spark, str(tmp_path))).collect())
+    assert sorted(tuple(r) for r in splits.read_books(spark, str(tmp_path))[1].collect()) == want
+    listed = splits.list_files(spark, str(tmp_path))._jdf.queryExecution().executedPlan().toString()
+    assert "FileScan" not in listed and "MapInArrow" in listed
