@@ -276,3 +276,20 @@ def test_many_waves_read_the_corpus_a_few_times(spark, corpus, monkeypatch):
     waves = run.waves()
     assert waves >= 7 and names.count("wave") == waves and 2 <= names.count("block") <= 2 * 3  # two runs
     assert run.replies().groupBy(*calls.KEYS).count().agg(F.max("count")).first()[0] <= 3
+
+
+def test_waves_move_passages_without_prompts_and_store_no_keys(spark, corpus, monkeypatch):
+    from sourceground.operators import model
+
+    wave = J.passages_in_range(corpus, list(TASKS), 0, None, None)
+    made = lambda rows: J.prompted(rows.withColumn("task_code", F.explode("__tasks")))
+    told = lambda system, prompt, **_: prompt
+    called = model.complete(wave, told, 4, later=made)
+    above, below = plan(called).split("Exchange", 1)
+    assert "prompt#" in above and "explode" in above and "prompt#" not in below and "explode" not in below
+    want = sorted(tuple(r) for r in J.prompted(G.model_jobs(corpus, list(TASKS))).select(*calls.KEYS, "prompt").collect())
+    assert sorted((r.passage_id, r.task_code, r.reply) for r in called.collect()) == want
+    kept = model.complete(wave, told, 4, later=made, ledger=scratch_path(spark, "ledger"))
+    assert sorted((r.passage_id, r.task_code, r.reply) for r in kept.collect()) == want
+    monkeypatch.setattr(J, "stored", lambda *a: pytest.fail("a wave stores keys"))
+    assert len(J.model_waves(corpus, ["T2"], told, "m", 2, 2, store=lambda df: df)) == 2
